@@ -1,0 +1,25 @@
+"""Cutting a plan at a small intermediate result that several later steps share."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors see: ``spark.checkpoint.dir``; a temporary one only if unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="hitledger-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """Computes ``df`` once and keeps it in the shared folder, so it survives lost executors."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint(eager=True)
