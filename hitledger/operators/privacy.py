@@ -131,17 +131,15 @@ def mask_lines(
     told_apart = [F.col(c).cast("string") for c in identity] or [F.col(line)]
     out = lines.withColumn("_identity", F.sha2(F.concat_ws("\0", *told_apart), 256))
     for name, pattern, fake in PASSES:
-        out = out.withColumn(
-            line,
-            replace_matches(
-                F.col(line),
-                pattern,
-                lambda m, i, name=name, fake=fake: draw(name, m, fake, F.col("_identity"), i),
-            ),
-        )
+        rule = _rule_of_pass(draw, name, fake)
+        out = out.withColumn(line, replace_matches(F.col(line), pattern, rule))
     return out.select(*names)
 
 
+def _rule_of_pass(draw: Callable, name: str, fake: Callable) -> Callable[[Column, Column], Column]:
+    return lambda match, position: draw(name, match, fake, F.col("_identity"), position)
+
+
 def mask_columns(rows: DataFrame, key: str) -> DataFrame:
     """Parsed rows with address and content hashes replaced by keyed pseudonyms."""
     draw = masker(key, random_share=0.0)

@@ -111,10 +111,14 @@ def spread_small(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines_of_events(events: DataFrame) -> DataFrame:
     """(event_id, user_id, event_type, ts, src_file, line)."""
     sql = _LINES.format(events="{events}", **_SPARK, **_md5_hooks("string"))
-    return spark.sql(sql, events=spread_small(_events(spark, sf_dir)))
+    return events.sparkSession.sql(sql, events=events)
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines_of_events(spread_small(_events(spark, sf_dir)))
 
 
 def registry_names(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitledger.functions import patterns as P
 
@@ -34,7 +35,7 @@ def _leading_bytes(uri: str) -> str:
         return stream.read(6).hex()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _head_of(uris: pd.Series) -> pd.Series:
     return uris.map(_leading_bytes)
 
