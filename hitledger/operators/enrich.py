@@ -25,8 +25,8 @@ def _byte_aligned(prefixes: DataFrame) -> DataFrame:
     parts = F.split("cidr", "/")
     base = prefixes.select(
         "provider",
-        address_key(parts.getItem(0)).alias("base"),
-        parts.getItem(1).try_cast("int").alias("plen"),
+        address_key(F.get(parts, F.lit(0))).alias("base"),
+        F.get(parts, F.lit(1)).try_cast("int").alias("plen"),
     ).where(
         F.col("base").isNotNull() & F.col("plen").between(0, (F.length("base") - 1) * 8)
     )

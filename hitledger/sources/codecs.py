@@ -63,8 +63,7 @@ def with_codec(files: DataFrame) -> DataFrame:
     sniffed = files.withColumn("codec", codec_of_head(_head_of(F.col("src_path"))))
     return sniffed.withColumns(
         {
-            # an empty file is fine under any name
-            "as_named": (F.col("codec") == codec_of_name(F.col("src_file"))) | (F.col("src_bytes") == 0),
+            "as_named": F.col("codec") == codec_of_name(F.col("src_file")),
             "decodable": F.col("codec").isin(*DECODABLE),
         }
     )
