@@ -10,11 +10,13 @@ all requests costs one computation per worker. No shuffle is needed to attach th
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitledger.functions import patterns as P
 from hitledger.functions.addresses import address_key
@@ -22,46 +24,57 @@ from hitledger.functions.addresses import address_key
 _REMEMBERED = 1 << 16
 
 
-def _fold(digest: bytes, bits: int) -> int:
-    """XOR of the consecutive ``bits``-wide words of a digest (both are powers of two)."""
-    word, width = int.from_bytes(digest, "big"), len(digest) * 8
-    while width > bits:
-        width //= 2
-        word = (word >> width) ^ (word & ((1 << width) - 1))
-    return word
+def register_bytes(secret: bytes, addresses: Sequence[bytes]) -> np.ndarray:
+    """Three bytes (bucket low, bucket high, rank + 1) per address; all of one length.
 
-
-def register_hex(secret: bytes, address: bytes) -> str:
-    """Hash of one 4- or 16-byte address under ``secret``."""
-    size = len(address) // 2
-    bits = size * 8
-    head = int.from_bytes(address[:size], "big")
-    tail = int.from_bytes(address[size:], "big")
+    The rounds run over the whole batch: per address only the digest itself is a Python
+    call. A digest is folded to half an address by XOR of its consecutive words.
+    """
+    data = np.frombuffer(b"".join(addresses), np.uint8).reshape(len(addresses), -1)
+    size = data.shape[1] // 2
+    head, tail = data[:, :size].copy(), data[:, size:].copy()
     for turn in range(P.HASH_ROUNDS):
         if turn:
             head, tail = tail, head
-        block = bytes([turn]) + secret + tail.to_bytes(size, "big")
-        head ^= _fold(hashlib.sha512(block).digest(), bits)
-    word = ((head << bits) | tail) >> (2 * bits - 32)
-    bucket = word & P.BUCKET_MASK
-    # leading ones of the masked sample = leading zeros of its complement
-    rank = 32 - (~(word & P.SAMPLE_MASK) & 0xFFFFFFFF).bit_length()
-    return bytes([bucket & 0xFF, bucket >> 8, rank + 1]).hex()
+        salted = hashlib.sha512(bytes([turn]) + secret)
+        digests = []
+        for word in tail:
+            state = salted.copy()
+            state.update(word)
+            digests.append(state.digest())
+        words = np.frombuffer(b"".join(digests), np.uint8).reshape(len(tail), -1, size)
+        head ^= np.bitwise_xor.reduce(words, axis=1)
+    leading = np.ascontiguousarray(np.hstack([head, tail])[:, :4]).view(">u4")[:, 0].astype(np.int64)
+    bucket = leading & P.BUCKET_MASK
+    # leading ones of the masked sample = 32 - bit length of its complement
+    zeros = ~leading & 0xFFFFFFFF | (0xFFFFFFFF ^ P.SAMPLE_MASK)
+    rank = 32 - np.frexp(zeros.astype(np.float64))[1]
+    return np.column_stack([bucket & 0xFF, bucket >> 8, rank + 1]).astype(np.uint8)
+
+
+def register_hexes(secret: bytes, addresses: Sequence[bytes]) -> dict[bytes, str]:
+    """Hex registers of 4- and 16-byte addresses."""
+    out = {}
+    for size in (4, 16):
+        batch = [a for a in addresses if len(a) == size]
+        if batch:
+            out.update(zip(batch, (row.tobytes().hex() for row in register_bytes(secret, batch))))
+    return out
 
 
 def hll_hash(addr: Column, secret: bytes = b"") -> Column:
     """Six hex digits per address text; NULL for NULL or malformed addresses."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[bytes, str] = {}
         for keys in batches:
+            # the first byte of a key is the address version
+            plain = [key if key is None else bytes(key[1:]) for key in keys]
             if len(known) > _REMEMBERED:
                 known.clear()
-            for key in keys.dropna().unique():
-                if key not in known:
-                    known[key] = register_hex(secret, bytes(key[1:]))
-            yield pd.Series([known.get(key) for key in keys], dtype=object)
+            known.update(register_hexes(secret, list(set(plain) - known.keys() - {None})))
+            yield pd.Series([known.get(p) for p in plain], dtype=object)
 
     return hashed(address_key(addr))
 

@@ -144,15 +144,31 @@ def rejected_lines(
     )
 
 
-def reject_examples(rejects: DataFrame, per_field: int = 4) -> DataFrame:
+def next_token(line: Column, failed: Column, layout: Layout = ACCESS_LOG) -> Column:
+    """The first word after the pieces that matched: what the failing piece met instead."""
+    rest = None
+    for n, spec in enumerate(layout.fields):
+        matched = F.regexp_extract(line, layout.leading_regex(n), 0) if n else F.lit("")
+        after = F.substring(line, F.length(matched) + 1, F.length(line))
+        here = failed == spec.name
+        rest = F.when(here, after) if rest is None else rest.when(here, after)
+    everything = F.regexp_extract(line, layout.leading_regex(len(layout.fields)), 0)
+    rest = rest.otherwise(F.substring(line, F.length(everything) + 1, F.length(line)))
+    return F.nullif(F.regexp_extract(rest, r"^\s*(\S+)", 1), F.lit(""))
+
+
+def reject_examples(
+    rejects: DataFrame, per_field: int = 4, layout: Layout = ACCESS_LOG
+) -> DataFrame:
     """Up to ``per_field`` unexplained lines per failing piece, as a report would show them.
 
     Spark cuts a ranking window to the limit in every task before the shuffle, so a piece
     that fails for most lines sends ``per_field`` lines per task, not all of them.
     """
     order = W.partitionBy("reject_field").orderBy("line")
-    return (
+    examples = (
         rejects.where(F.col("reject_class") == "unknown")
         .withColumn("example", F.row_number().over(order))
         .where(F.col("example") <= per_field)
     )
+    return examples.withColumn("next_token", next_token(F.col("line"), F.col("reject_field"), layout))

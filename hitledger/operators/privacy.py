@@ -9,6 +9,7 @@ position of the match; so a retried task, or another partitioning, writes the sa
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,65 +53,98 @@ def _fake_moment(digest: Column) -> Column:
     return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
-def _two(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
+def fake_local_time(digest: Column) -> Column:
+    return F.date_format(_fake_moment(digest), "dd/MMM/yyyy:HH:mm:ss")
 
 
-def _clock(ts: Column) -> Column:
-    return F.concat_ws(":", _two(F.hour(ts)), _two(F.minute(ts)), _two(F.second(ts).cast("int")))
+def fake_iso_time(digest: Column) -> Column:
+    return F.date_format(_fake_moment(digest), "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def fake_local_time(digest: Column) -> Column:
-    ts = _fake_moment(digest)
-    month = F.element_at(F.array(*[F.lit(m) for m in P.MONTH_NAMES]), F.month(ts))
-    date = F.concat_ws("/", _two(F.day(ts)), month, F.year(ts).cast("string"))
-    return F.concat_ws(":", date, _clock(ts))
+@dataclass(frozen=True)
+class Kind:
+    """What one pass replaces, by what, and a cheap test that every such text passes."""
 
+    name: str
+    pattern: str
+    fake: Callable[[Column], Column]
+    maybe: Callable[[Column], Column]
 
-def fake_iso_time(digest: Column) -> Column:
-    ts = _fake_moment(digest)
-    date = F.concat_ws("-", F.year(ts).cast("string"), _two(F.month(ts)), _two(F.day(ts)))
-    return F.concat_ws("T", date, _clock(ts))
+
+def _maybe_ipv6(text: Column) -> Column:
+    # every form has a double colon, or seven groups, or is a zoned link-local address
+    return text.contains("::") | text.contains("fe80:") | text.rlike("(?:[0-9a-fA-F]{1,4}:){7}")
 
 
+HASHES = Kind("hash", P.HASH, fake_hash, lambda text: text.rlike(P.HASH))
+IPV4 = Kind("ipv4", P.IPV4, fake_ipv4, lambda text: text.rlike(r"[0-9]\.[0-9]"))
+IPV6 = Kind("ipv6", P.IPV6, fake_ipv6, _maybe_ipv6)
+LOCAL = Kind("local_time", P.LOCAL_TIME_IN_TEXT, fake_local_time, lambda text: text.contains("/"))
+ISO = Kind("iso_time", P.ISO_TIME_IN_TEXT, fake_iso_time, lambda text: text.rlike("[0-9]T[0-9]"))
+
 # Order matters: an IPv4 tail belongs to its IPv6 address.
-PASSES: list[tuple[str, str, Callable[[Column], Column]]] = [
-    ("ipv6", P.IPV6, fake_ipv6),
-    ("ipv4", P.IPV4, fake_ipv4),
-    ("hash", P.HASH, fake_hash),
-    ("local_time", P.LOCAL_TIME_IN_TEXT, fake_local_time),
-    ("iso_time", P.ISO_TIME_IN_TEXT, fake_iso_time),
-]
+PASSES = [IPV6, IPV4, HASHES, LOCAL, ISO]
+
+# Put around matches to cut a line; lines hold no line ends.
+_MARK = "\n"
 
 
-def replace_matches(text: Column, pattern: str, replacement: Callable[[Column, Column], Column]) -> Column:
-    """Every match of ``pattern`` replaced by ``replacement(match, position)``.
+def replace_matches(
+    text: Column, pattern: str, *steps: Callable[[Column, Column], Column]
+) -> Column:
+    """Every match of ``pattern`` in a line replaced by the last of ``steps``.
 
-    ``pattern`` must not match empty text.
+    One scan marks the matches, so that cutting at the marks leaves them at the odd
+    positions. Each step maps (match, what the step before made of it) to a value, computed
+    once per match; the first one is given the position of the match.
     """
-    between = F.split(text, pattern, -1)
-    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), replacement)
-    woven = F.zip_with(between, found, lambda b, f: F.concat(b, F.coalesce(f, F.lit(""))))
-    return F.when(text.rlike(pattern), F.array_join(woven, "")).otherwise(text)
+    pieces = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK)
+    first, *others = steps
+    cut = F.transform(
+        pieces,
+        lambda piece, i: F.struct(
+            piece.alias("text"), F.when(i % 2 == 1, first(piece, i)).alias("made")
+        ),
+    )
+    for step in others:
+        cut = F.transform(cut, _next_step(step))
+    return F.array_join(F.transform(cut, lambda c: F.coalesce(c["made"], c["text"])), "")
 
 
-def masker(
-    key: str, random_share: float = P.MASK_RANDOM_SHARE, seed: str = ""
-) -> Callable[[str, Column, Callable, Column, Column], Column]:
-    """Replacement rule of one run: keyed, or with ``random_share`` free of the input value."""
-    if not key:
-        raise ValueError("masking needs a secret key")
+def _next_step(step: Callable[[Column, Column], Column]) -> Callable[[Column], Column]:
+    def apply(c: Column) -> Column:
+        made = F.when(c["made"].isNotNull(), step(c["text"], c["made"]))
+        return F.struct(c["text"].alias("text"), made.alias("made"))
+
+    return apply
 
-    def draw(name: str, match: Column, fake: Callable, identity: Column, position: Column) -> Column:
-        free = F.sha2(
-            F.concat_ws("\0", F.lit(key), F.lit(seed), F.lit(name), identity, position.cast("string")), 256
-        )
-        linked = F.sha2(F.concat_ws("\0", F.lit(key), F.lit(name), match), 256)
+
+def masked(
+    text: Column, kind: Kind, key: str, random_share: float, seed: str, identity: Column
+) -> Column:
+    """One pass: keyed values, a share of them replaced by values free of the input."""
+
+    def free(match: Column, position: Column) -> Column:
+        given = [F.lit(key), F.lit(seed), F.lit(kind.name), identity, position.cast("string")]
+        return F.sha2(F.concat_ws("\0", *given), 256)
+
+    def chosen(match: Column, drawn: Column) -> Column:
         # the last 13 digits decide, the first ones make the value
-        chance = _hex_number(free, 52, 13) / F.lit(float(16**13))
-        return fake(F.when(chance < random_share, free).otherwise(linked))
+        chance = _hex_number(drawn, 52, 13) / F.lit(float(16**13))
+        return F.when(chance < random_share, drawn).otherwise(linked(match, drawn))
+
+    def linked(match: Column, _: Column) -> Column:
+        return F.sha2(F.concat_ws("\0", F.lit(key), F.lit(kind.name), match), 256)
+
+    draw = [free, chosen] if random_share > 0 else [linked]
+    replaced = replace_matches(text, kind.pattern, *draw, lambda _, digest: kind.fake(digest))
+    return F.when(kind.maybe(text), replaced).otherwise(text)
 
-    return draw
+
+def _checked(key: str) -> str:
+    if not key:
+        raise ValueError("masking needs a secret key")
+    return key
 
 
 def mask_lines(
@@ -126,33 +160,28 @@ def mask_lines(
     ``identity`` names columns that tell lines apart (file, line number, event id); without
     it the original text itself is used, so equal lines draw alike.
     """
-    draw = masker(key, random_share, seed)
+    _checked(key)
     names = lines.columns
     told_apart = [F.col(c).cast("string") for c in identity] or [F.col(line)]
     out = lines.withColumn("_identity", F.sha2(F.concat_ws("\0", *told_apart), 256))
-    for name, pattern, fake in PASSES:
-        rule = _rule_of_pass(draw, name, fake)
-        out = out.withColumn(line, replace_matches(F.col(line), pattern, rule))
+    for kind in PASSES:
+        text = masked(F.col(line), kind, key, random_share, seed, F.col("_identity"))
+        out = out.withColumn(line, text)
     return out.select(*names)
 
 
-def _rule_of_pass(draw: Callable, name: str, fake: Callable) -> Callable[[Column, Column], Column]:
-    return lambda match, position: draw(name, match, fake, F.col("_identity"), position)
-
-
 def mask_columns(rows: DataFrame, key: str) -> DataFrame:
-    """Parsed rows with address and content hashes replaced by keyed pseudonyms."""
-    draw = masker(key, random_share=0.0)
-    none, first = F.lit(""), F.lit(0)
-    addr = F.col(ADDRESS_COLUMN)
-    v6 = draw("ipv6", addr, fake_ipv6, none, first)
-    v4 = draw("ipv4", addr, fake_ipv4, none, first)
-    replaced = {ADDRESS_COLUMN: F.when(F.instr(addr, ":") > 0, v6).otherwise(v4)}
-    for name in ("package_hash", "registry_hash", "artifact_hash"):
-        replaced[name] = draw("hash", F.col(name), fake_hash, none, first)
-    urls = {
-        name: replace_matches(F.col(name), P.HASH, lambda m, i: draw("hash", m, fake_hash, none, i))
-        for name in ("request", "request_url", "package", "registry", "artifact")
-    }
-    masked = {n: F.when(F.col(n).isNotNull(), c) for n, c in {**replaced, **urls}.items()}
-    return rows.withColumns({n: c for n, c in masked.items() if n in rows.columns})
+    """Parsed rows with addresses and content hashes replaced by keyed pseudonyms."""
+    _checked(key)
+
+    def pseudonym(name: str, kind: Kind) -> Column:
+        return masked(F.col(name), kind, key, 0.0, "", F.lit(""))
+
+    hashes = ["package_hash", "registry_hash", "artifact_hash"]
+    texts = ["request", "request_url", "package", "registry", "artifact"]
+    columns = {name: pseudonym(name, HASHES) for name in [*hashes, *texts]}
+    is_v6 = F.instr(ADDRESS_COLUMN, ":") > 0
+    columns[ADDRESS_COLUMN] = F.when(is_v6, pseudonym(ADDRESS_COLUMN, IPV6)).otherwise(
+        pseudonym(ADDRESS_COLUMN, IPV4)
+    )
+    return rows.withColumns({n: c for n, c in columns.items() if n in rows.columns})

@@ -89,7 +89,9 @@ def reject_classes(spark, sf_dir):
 
 def reject_examples(spark, sf_dir):
     rejects = parse.rejected_lines(sample_log.log_lines(spark, sf_dir), "line")
-    return parse.reject_examples(rejects).select("reject_field", "example", "line")
+    return parse.reject_examples(rejects).select(
+        "reject_field", "example", "next_token", "line"
+    )
 
 
 def parse_outcomes(spark, sf_dir):
@@ -350,7 +352,8 @@ def masked_columns(spark, sf_dir):
 
 def hashed_clients(spark, sf_dir):
     rows = parsed(spark, sf_dir).select(F.col("remote_addr").alias("ip"))
-    return rows.distinct().select("ip", hll_hash(F.col("ip")).alias("hll_hash"))
+    # hashed where the rows are parsed, as the ingest job does it
+    return rows.withColumn("hll_hash", hll_hash(F.col("ip"))).distinct()
 
 
 def hll_estimate(spark, sf_dir):

@@ -174,6 +174,16 @@ def _reject_field() -> str:
     return f"case{cases} else 'end_of_line' end"
 
 
+def _next_token() -> str:
+    cases, text = "", "^"
+    for name, piece in _PIECES:
+        matched = f"regexp_extract(line, '{text}')" if text != "^" else "''"
+        cases += f" when reject_field = '{name}' then substr(line, length({matched}) + 1)"
+        text += piece
+    rest = f"case{cases} else substr(line, length(regexp_extract(line, '{text}')) + 1) end"
+    return f"nullif(regexp_extract({rest}, '^\\s*(\\S+)', 1), '')"
+
+
 _REJECTS = f"""{_LINES},
 rejects as (
   select line, {_reject_field()} as reject_field,
@@ -219,7 +229,7 @@ def checking_sql() -> dict[str, str]:
         "pkgserver_from_file": f"{_LINES} select {_SERVER} as pkgserver, count(*) as n from lines group by 1",
         "reject_classes": f"{_REJECTS} select reject_class, reject_field, count(*) as n from rejects group by 1, 2",
         "reject_examples": f"""{_REJECTS}
-select reject_field, cast(example as int) as example, line from (
+select reject_field, cast(example as int) as example, {_next_token()} as next_token, line from (
   select *, row_number() over (partition by reject_field order by line) as example
   from rejects where reject_class = 'unknown') where example <= 4""",
         "parse_outcomes": f"""{_LINES}

@@ -11,7 +11,8 @@ from hitledger.functions import patterns as P
 from hitledger.sources.codecs import decoded_lines, undecodable_files, with_codec
 from hitledger.sources.listing import default_selection, list_files
 
-# A compressed file is read by one task. From this size on its lines are spread out.
+# A compressed file is read by one task. If it is at least this large and more than one
+# core's share of the scan, that task would outlast all others.
 HEAVY_BYTES = 256 << 20
 _LINE_BYTES_PER_TASK = 128 << 20
 _EXPANSION = 8
@@ -35,25 +36,27 @@ def lines_of_files(spark: SparkSession, files: DataFrame, sniff: bool = True) ->
     """Lines of the files in a listing; None if it is empty.
 
     The chosen paths come to the driver, as Spark's own file index would hold them anyway.
-    Large compressed files cannot be split, so their lines are spread over more tasks before
-    any parsing; all other files are parsed in the task that reads them, without a shuffle.
+    Compressed files cannot be split. One that exceeds an even share of the scan has its
+    lines spread over more tasks before any parsing; all other files are parsed in the task
+    that reads them, without a shuffle.
     """
     if sniff:
         files = with_codec(files)
     else:
         files = files.withColumns({"codec": F.lit("plain"), "as_named": F.lit(True), "decodable": F.lit(True)})
     compressed = F.col("src_file").rlike(r"\.(gz|zst|bz2)$")
-    heavy = compressed & (F.col("src_bytes") >= HEAVY_BYTES)
     found = (
         files.where("decodable")
-        .select("src_path", "src_bytes", "as_named", heavy.alias("heavy"))
+        .select("src_path", "src_bytes", "as_named", compressed.alias("compressed"))
         .collect()
     )
+    share = sum(r.src_bytes for r in found) / spark.sparkContext.defaultParallelism
+    limit = max(HEAVY_BYTES, share)
+    big = [r for r in found if r.as_named and r.compressed and r.src_bytes > limit]
+    light = [r.src_path for r in found if r.as_named and not (r.compressed and r.src_bytes > limit)]
     parts = []
-    light = [r.src_path for r in found if r.as_named and not r.heavy]
     if light:
         parts.append(text_lines(spark, light))
-    big = [r for r in found if r.as_named and r.heavy]
     if big:
         spread = max(1, sum(r.src_bytes for r in big) * _EXPANSION // _LINE_BYTES_PER_TASK)
         parts.append(text_lines(spark, [r.src_path for r in big]).repartition(int(spread)))

@@ -1,3 +1,4 @@
+import hashlib
 import ipaddress
 import random
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hitledger.functions.addresses import address_key
-from hitledger.functions.iphash import hll_hash, register_hex
+from hitledger.functions.iphash import hll_hash, register_hexes
 from hitledger.operators.registers import estimate_clients, estimated, merged, registers
 
 VECTORS = [
@@ -66,9 +67,28 @@ def test_hash_shape_and_independence_of_partitioning(spark):
         assert high <= 0x0F and 1 <= rank <= 19
 
 
-def test_register_hex_of_v6_differs_by_key():
-    address = ipaddress.ip_address("2001:db8::1").packed
-    assert register_hex(b"a", address) != register_hex(b"b", address)
+def by_the_letter(secret, address):
+    """The published rule, one byte at a time."""
+    data, half = bytearray(address), len(address) // 2
+    for turn in range(16):
+        digest = hashlib.sha512(bytes([turn]) + secret + bytes(data[half:])).digest()
+        for i, x in enumerate(digest):
+            data[i % half] ^= x
+        if turn < 15:
+            data[:half], data[half:] = data[half:], data[:half]
+    value = int.from_bytes(data[:4], "big")
+    bucket, bits = value & 0xFFF, f"{value & 0xFFFFC000:032b}"
+    rank = len(bits) - len(bits.lstrip("1"))
+    return bytes([bucket & 255, bucket >> 8, rank + 1]).hex()
+
+
+def test_batch_hash_agrees_with_the_rule_by_the_letter():
+    rng = random.Random(3)
+    for secret in (b"", b"some key"):
+        batch = [rng.randbytes(rng.choice([4, 16])) for _ in range(3000)]
+        got = register_hexes(secret, batch)
+        assert all(got[a] == by_the_letter(secret, a) for a in batch)
+    assert max(int(h[4:], 16) for h in got.values()) > 8
 
 
 def test_estimate_and_merge(spark):

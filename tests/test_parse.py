@@ -184,6 +184,15 @@ def test_reject_examples_are_bounded(spark):
     assert [r.example for r in sorted(examples, key=lambda r: r.example)] == [1, 2, 3, 4]
 
 
+def test_next_token(spark):
+    texts = [line(version="next"), line(rest=' "r 1" "-"'), line(rest=' "r" "-" more'), "not a log line", line(status="x")]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = {r.reject_field: r.next_token for r in reject_examples(rejected_lines(df)).collect()}
+    assert got == {
+        "julia_version": "next", "request_id": '"r', "end_of_line": "more", "remote_addr": "not", "status": "x",
+    }
+
+
 def test_full_schema_matches_the_contract(spark):
     df = spark.createDataFrame([(LINE_A + TAIL, "access_kr.pkg.julia.log")], "value string, src_file string")
     rows = with_hll_hash(parse_lines(df, "value", [], F.col("src_file")), b"k")
