@@ -17,11 +17,13 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitledger.functions import patterns as P
 from hitledger.functions.layout import ACCESS_LOG, Layout
 from hitledger.operators.parse import parse_or_reject, with_hll_hash
 from hitledger.sources.codecs import with_codec
@@ -221,6 +223,14 @@ def read_rows(
     return _current(spark, root, "row", layout, files).drop(*_REASONS.names)
 
 
+def read_recent(
+    spark: SparkSession, root: str, as_of: datetime, days: int = P.DEFAULT_WINDOW_DAYS
+) -> DataFrame:
+    """Rows of the files that ``is_recent`` selects; other partitions are not opened."""
+    oldest = (as_of - timedelta(days=days)).date()
+    return read_rows(spark, root).where(F.col("log_date") > oldest)
+
+
 def read_rejects(
     spark: SparkSession, root: str, layout: Layout = ACCESS_LOG, files: DataFrame | None = None
 ) -> DataFrame:

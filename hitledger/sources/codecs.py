@@ -86,8 +86,12 @@ def _lines_of(uri: str, codec: str) -> Iterator[list[str]]:
         yield [rest.decode("utf-8", "replace")]
 
 
-def decoded_lines(files: DataFrame) -> DataFrame:
-    """(value, src_path, src_file) of misnamed files, one block of lines at a time."""
+def decoded_lines(files: DataFrame, tasks: int) -> DataFrame:
+    """(value, src_path, src_file) of misnamed files, one block of lines at a time.
+
+    ``tasks`` is explicit: the listing rows are tiny, and adaptive execution would put all
+    the decoding into one task.
+    """
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -96,6 +100,6 @@ def decoded_lines(files: DataFrame) -> DataFrame:
                     yield pd.DataFrame({"value": lines, "src_path": uri, "src_file": name})
 
     chosen = files.select("src_path", "src_file", "codec")
-    return chosen.repartition("src_path").mapInPandas(
+    return chosen.repartition(tasks, "src_path").mapInPandas(
         decode, "value string, src_path string, src_file string"
     )

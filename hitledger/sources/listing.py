@@ -13,6 +13,8 @@ from hitledger.functions import patterns as P
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
     """(src_path, src_file, src_mtime, src_bytes); the contents are never read."""
     files = spark.read.format("binaryFile").load(list(paths))
+    # without this every large file would be a task of its own, for four values
+    files = files.coalesce(spark.sparkContext.defaultParallelism)
     return files.select(
         F.col("_metadata.file_path").alias("src_path"),
         F.col("_metadata.file_name").alias("src_file"),

@@ -60,8 +60,9 @@ def lines_of_files(spark: SparkSession, files: DataFrame, sniff: bool = True) ->
     if big:
         spread = max(1, sum(r.src_bytes for r in big) * _EXPANSION // _LINE_BYTES_PER_TASK)
         parts.append(text_lines(spark, [r.src_path for r in big]).repartition(int(spread)))
-    if any(not r.as_named for r in found):
-        odd = decoded_lines(files.where("decodable and not as_named"))
+    misnamed = sum(not r.as_named for r in found)
+    if misnamed:
+        odd = decoded_lines(files.where("decodable and not as_named"), misnamed)
         parts.append(odd.withColumn("value", without_carriage_return(F.col("value"))))
     out = None
     for part in parts:

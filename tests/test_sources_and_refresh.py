@@ -306,3 +306,44 @@ def test_mirror_cache(spark, tmp_path):
     assert exports.read_mirror_cache(spark, cache).count() == n
     whole = textscan.mirror_scan(spark, str(logs), AS_OF)
     assert mirror.bytes_by_day(whole.withColumn("line", F.lit("nothing"))).where("bytes = 0").count() == 3
+
+
+def test_whole_jobs(spark, logs, tmp_path):
+    from hitledger.plans import jobs
+
+    store, key = str(tmp_path / "store"), tmp_path / "key"
+    key.write_bytes(b"k")
+    assert jobs.parse_directory(spark, str(logs), store, AS_OF, str(key)) == 3
+    files = [str(p) for p in sorted(logs.iterdir())]
+    assert jobs.parse_files(spark, files, store, str(key)) == 0
+    assert jobs.parse_files(spark, files[:1], str(tmp_path / "other")) == 1
+
+    prefixes = spark.sql("select 'ci' as provider, '192.168.0.0/16' as cidr")
+    registry = spark.sql("select '00000000-0000-0000-0000-000000000001' as package_uuid, 'One' as name, 'R' as registry, 1 as priority")
+    rows = refresh.read_recent(spark, store, AS_OF)
+    reports = jobs.download_reports(rows, prefixes, registry, str(tmp_path), AS_OF)
+    assert {(r.kind, r.is_ci): r.n for r in reports.totals.collect()} == {
+        ("package", False): 4, ("package", True): 1, ("artifact", False): 1, ("artifact", True): 0,
+    }
+    assert {(r.name, r.day.day, r.n) for r in reports.top_packages(registry).collect()} == {("One", 9, 1), ("One", 10, 1)}
+    assert refresh.read_recent(spark, store, AS_OF, 10).select("src_file").distinct().count() == 1
+    plan = refresh.read_recent(spark, store, AS_OF, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(record" in plan and "log_date" in plan.split("PartitionFilters")[1][:200]
+
+    jobs.anonymize_file(spark, files[0], str(tmp_path / "anon"), "k")
+    assert spark.read.text(str(tmp_path / "anon")).count() == 2
+    [look] = jobs.quick_look(spark, str(logs)).collect()
+    assert tuple(look) == (7, 3, 2)
+
+
+def test_recent_rows_follow_the_file_predicate(spark, logs, tmp_path):
+    from datetime import timedelta
+
+    store = str(tmp_path / "store")
+    refresh.refresh(spark, store, str(logs), F.lit(True))
+    rows = refresh.read_rows(spark, store)
+    for days in (1, 9, 10, 11):
+        for hours in (0, 12, 24):
+            as_of = AS_OF.replace(hour=0) + timedelta(hours=hours)
+            want = rows.where(is_recent(F.col("src_file"), days, as_of)).count()
+            assert refresh.read_recent(spark, store, as_of, days).count() == want
