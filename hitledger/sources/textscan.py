@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,9 @@ from hitledger.sources.listing import default_selection, list_files
 # A compressed file is read by one task. If it is at least this large and more than one
 # core's share of the scan, that task would outlast all others.
 HEAVY_BYTES = 256 << 20
-_LINE_BYTES_PER_TASK = 128 << 20
+# Its lines get this many tasks per core's share, and no task more than 1 GB of text.
+_TASKS_PER_SHARE = 4
+_LINE_BYTES_PER_TASK = 1 << 30
 _EXPANSION = 8
 
 
@@ -58,8 +61,9 @@ def lines_of_files(spark: SparkSession, files: DataFrame, sniff: bool = True) ->
     if light:
         parts.append(text_lines(spark, light))
     if big:
-        spread = max(1, sum(r.src_bytes for r in big) * _EXPANSION // _LINE_BYTES_PER_TASK)
-        parts.append(text_lines(spark, [r.src_path for r in big]).repartition(int(spread)))
+        size = sum(r.src_bytes for r in big)
+        spread = max(_TASKS_PER_SHARE * size / share, size * _EXPANSION / _LINE_BYTES_PER_TASK)
+        parts.append(text_lines(spark, [r.src_path for r in big]).repartition(math.ceil(spread)))
     misnamed = sum(not r.as_named for r in found)
     if misnamed:
         odd = decoded_lines(files.where("decodable and not as_named"), misnamed)
