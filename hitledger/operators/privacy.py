@@ -76,9 +76,12 @@ def _maybe_ipv6(text: Column) -> Column:
     return text.contains("::") | text.contains("fe80:") | text.rlike("(?:[0-9a-fA-F]{1,4}:){7}")
 
 
+# The address pattern may stop at a double colon; a match reaches to the end of the address.
+_WHOLE_IPV6 = rf"(?:{P.IPV6})[0-9a-fA-F:]*(?:\.[0-9]+){{0,3}}"
+
 HASHES = Kind("hash", P.HASH, fake_hash, lambda text: text.rlike(P.HASH))
 IPV4 = Kind("ipv4", P.IPV4, fake_ipv4, lambda text: text.rlike(r"[0-9]\.[0-9]"))
-IPV6 = Kind("ipv6", P.IPV6, fake_ipv6, _maybe_ipv6)
+IPV6 = Kind("ipv6", _WHOLE_IPV6, fake_ipv6, _maybe_ipv6)
 LOCAL = Kind("local_time", P.LOCAL_TIME_IN_TEXT, fake_local_time, lambda text: text.contains("/"))
 ISO = Kind("iso_time", P.ISO_TIME_IN_TEXT, fake_iso_time, lambda text: text.rlike("[0-9]T[0-9]"))
 
@@ -119,24 +122,25 @@ def _next_step(step: Callable[[Column, Column], Column]) -> Callable[[Column], C
     return apply
 
 
+def _linked(match: Column, kind: Kind, key: str) -> Column:
+    return F.sha2(F.concat_ws("\0", F.lit(key), F.lit(kind.name), match), 256)
+
+
 def masked(
     text: Column, kind: Kind, key: str, random_share: float, seed: str, identity: Column
 ) -> Column:
     """One pass: keyed values, a share of them replaced by values free of the input."""
 
-    def free(match: Column, position: Column) -> Column:
+    def free(_: Column, position: Column) -> Column:
         given = [F.lit(key), F.lit(seed), F.lit(kind.name), identity, position.cast("string")]
         return F.sha2(F.concat_ws("\0", *given), 256)
 
     def chosen(match: Column, drawn: Column) -> Column:
         # the last 13 digits decide, the first ones make the value
         chance = _hex_number(drawn, 52, 13) / F.lit(float(16**13))
-        return F.when(chance < random_share, drawn).otherwise(linked(match, drawn))
+        return F.when(chance < random_share, drawn).otherwise(_linked(match, kind, key))
 
-    def linked(match: Column, _: Column) -> Column:
-        return F.sha2(F.concat_ws("\0", F.lit(key), F.lit(kind.name), match), 256)
-
-    draw = [free, chosen] if random_share > 0 else [linked]
+    draw = [free, chosen] if random_share > 0 else [lambda match, _: _linked(match, kind, key)]
     replaced = replace_matches(text, kind.pattern, *draw, lambda _, digest: kind.fake(digest))
     return F.when(kind.maybe(text), replaced).otherwise(text)
 
@@ -171,17 +175,22 @@ def mask_lines(
 
 
 def mask_columns(rows: DataFrame, key: str) -> DataFrame:
-    """Parsed rows with addresses and content hashes replaced by keyed pseudonyms."""
+    """Parsed rows with addresses and content hashes replaced by keyed pseudonyms.
+
+    The hashes inside URLs get the same pseudonyms as the hash columns.
+    """
     _checked(key)
 
     def pseudonym(name: str, kind: Kind) -> Column:
-        return masked(F.col(name), kind, key, 0.0, "", F.lit(""))
-
-    hashes = ["package_hash", "registry_hash", "artifact_hash"]
-    texts = ["request", "request_url", "package", "registry", "artifact"]
-    columns = {name: pseudonym(name, HASHES) for name in [*hashes, *texts]}
-    is_v6 = F.instr(ADDRESS_COLUMN, ":") > 0
-    columns[ADDRESS_COLUMN] = F.when(is_v6, pseudonym(ADDRESS_COLUMN, IPV6)).otherwise(
-        pseudonym(ADDRESS_COLUMN, IPV4)
-    )
+        value = F.col(name)
+        return F.when(value.isNotNull(), kind.fake(_linked(value, kind, key)))
+
+    def rewritten(name: str) -> Column:
+        return masked(F.col(name), HASHES, key, 0.0, "", F.lit(""))
+
+    columns = {n: pseudonym(n, HASHES) for n in ("package_hash", "registry_hash", "artifact_hash")}
+    columns |= {n: rewritten(n) for n in ("request", "request_url", "package", "registry", "artifact")}
+    columns[ADDRESS_COLUMN] = F.when(
+        F.instr(ADDRESS_COLUMN, ":") > 0, pseudonym(ADDRESS_COLUMN, IPV6)
+    ).otherwise(pseudonym(ADDRESS_COLUMN, IPV4))
     return rows.withColumns({n: c for n, c in columns.items() if n in rows.columns})

@@ -19,7 +19,6 @@ from hitledger.streaming.ingest import daily_counts, run_to_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime(2024, 2, 8, 12, 0, 0)
-MASK_KEY = "catalogue"
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,20 +328,20 @@ def anonymize_line_filter(spark, sf_dir):
 def anonymize_lines(spark, sf_dir):
     lines = sample_log.log_lines(spark, sf_dir).select("event_id", "line")
     chosen = privacy.resource_lines(lines, "line")
-    return privacy.mask_lines(chosen, MASK_KEY, "line", ["event_id"])
+    return privacy.mask_lines(chosen, sample_log.MASK_KEY, "line", ["event_id"])
 
 
 def masked_links(spark, sf_dir):
     """Fully keyed masking keeps who-is-who: lines per pseudonym, without the pseudonym."""
     lines = sample_log.log_lines(spark, sf_dir).select("line")
-    masked = privacy.mask_lines(lines, MASK_KEY, "line", random_share=0.0)
+    masked = privacy.mask_lines(lines, sample_log.MASK_KEY, "line", random_share=0.0)
     client = F.substring_index("line", " ", 1)
     per_client = counts.count_by(masked, client=client)
     return counts.count_by(per_client.select(F.col("n").alias("lines")), lines=F.col("lines"))
 
 
 def masked_columns(spark, sf_dir):
-    return privacy.mask_columns(parsed(spark, sf_dir), MASK_KEY).select(
+    return privacy.mask_columns(parsed(spark, sf_dir), sample_log.MASK_KEY).select(
         "event_id", "remote_addr", "request_url", "package_hash", "artifact_hash", "status"
     )
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from hitledger.plans.sample_log import CI_PREFIXES, lines_sql, registries_sql
+from hitledger.plans.sample_log import CI_PREFIXES, MASK_KEY, lines_sql, registries_sql
 
 _HEX = "[a-fA-F0-9]"
 _UUID = f"{_HEX}{{8}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{12}}"
@@ -215,6 +215,85 @@ from (select {select}4096 - count(*) as zeros,
       from {source} {group})"""
 
 
+# --- masking: the published key of the catalogue, digests by SHA-256 -------------------
+
+
+def _number(digest: str, start: int, length: int) -> str:
+    return f"cast(concat('0x', substr({digest}, {start}, {length})) as bigint)"
+
+
+def _digest(*parts: str) -> str:
+    return f"sha256({' || chr(0) || '.join(parts)})"
+
+
+def _drawn(kind: str, match: str, random_share: float) -> str:
+    """Digest behind the first match of a line: free of the value for a share of the lines."""
+    linked = _digest(f"'{MASK_KEY}'", f"'{kind}'", match)
+    if not random_share:
+        return linked
+    free = _digest(f"'{MASK_KEY}'", "''", f"'{kind}'", "sha256(cast(event_id as varchar))", "'1'")
+    chance = f"{_number(free, 52, 13)} / {16**13}.0::double"
+    return f"case when {chance} < {random_share} then {free} else {linked} end"
+
+
+def _fake_v6(digest: str) -> str:
+    groups = [f"regexp_replace(substr({digest}, {1 + 4 * i}, 4), '^0{{1,3}}', '')" for i in range(8)]
+    return " || ':' || ".join(groups)
+
+
+def _fake_v4(digest: str) -> str:
+    return " || '.' || ".join(_number(digest, 1 + 2 * i, 2) for i in range(4))
+
+
+def _fake_address(v6: str, v4: str) -> str:
+    return f"case when addr like '%:%' then {_fake_v6(v6)} else {_fake_v4(v4)} end"
+
+
+def _fake_time(digest: str, form: str) -> str:
+    moment = f"timestamp '2020-09-01' + to_seconds({_number(digest, 1, 13)} % {91 * 24 * 60 * 60})"
+    return f"strftime({moment}, '{form}')"
+
+
+def _masked_lines() -> str:
+    """Every line has one address at its start, one time, and at most one 40-digit hash."""
+    share = 0.5
+    return f"""{_LINES},
+found as (
+  select event_id, line, split_part(line, ' ', 1) as addr, regexp_extract(line, '{_HASH}') as tree,
+         regexp_extract(line, '\\d\\d/\\w\\w\\w/\\d\\d\\d\\d:\\d\\d:\\d\\d:\\d\\d') as local,
+         regexp_extract(line, '\\d\\d\\d\\d-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d') as iso
+  from lines
+  where contains(line, '/package') or contains(line, '/artifact') or contains(line, '/registry')),
+drawn as (
+  select *, {_drawn("ipv6", "addr", share)} as v6, {_drawn("ipv4", "addr", share)} as v4,
+         {_drawn("hash", "tree", share)} as h, {_drawn("local_time", "local", share)} as lt,
+         {_drawn("iso_time", "iso", share)} as it
+  from found),
+faked as (
+  select *, {_fake_address("v6", "v4")} || substr(line, length(addr) + 1) as l1 from drawn),
+hashed as (select *, case when tree = '' then l1 else replace(l1, tree, substr(h, 1, 40)) end as l2 from faked)
+select event_id,
+       case when local <> '' then replace(l2, local, {_fake_time("lt", "%d/%b/%Y:%H:%M:%S")})
+            else replace(l2, iso, {_fake_time("it", "%Y-%m-%dT%H:%M:%S")}) end as line
+from hashed"""
+
+
+def _masked_columns() -> str:
+    def tree(name: str) -> str:
+        return f"case when {name} is not null then substr({_drawn('hash', name, 0)}, 1, 40) end"
+
+    found = f"regexp_extract(request_url, '{_HASH}')"
+    return f"""{_PARSED},
+drawn as (
+  select *, remote_addr as addr, {_drawn("ipv6", "remote_addr", 0)} as v6,
+         {_drawn("ipv4", "remote_addr", 0)} as v4, {found} as found from parsed)
+select event_id, {_fake_address("v6", "v4")} as remote_addr,
+       case when found = '' then request_url
+            else replace(request_url, found, substr({_drawn("hash", "found", 0)}, 1, 40)) end as request_url,
+       {tree("package_hash")} as package_hash, {tree("artifact_hash")} as artifact_hash, status
+from drawn"""
+
+
 def checking_sql() -> dict[str, str]:
     fields = ", ".join([*_TEXT, "time_utc", "status", "body_bytes_sent", "request_time", "julia_interactive", "pkgserver"])
     no_address = fields.replace("remote_addr, ", "", 1)
@@ -313,6 +392,8 @@ select user_id, event_type, bytes, {_human("bytes")} as human from sums""",
         "anonymize_line_filter": f"""{_LINES}
 select event_id, line from lines
 where contains(line, '/package') or contains(line, '/artifact') or contains(line, '/registry')""",
+        "anonymize_lines": _masked_lines(),
+        "masked_columns": _masked_columns(),
         "masked_links": f"""{_LINES}
 select lines, count(*) as n
 from (select split_part(line, ' ', 1) as client, count(*) as lines from lines group by 1) group by 1""",

@@ -26,14 +26,14 @@ def found(pattern, text):
     return [m.group(0) for m in re.finditer(pattern, text)]
 
 
-ALL = [P.IPV6, P.IPV4, P.HASH, P.LOCAL_TIME_IN_TEXT, P.ISO_TIME_IN_TEXT]
+ALL = [privacy.IPV6.pattern, P.IPV4, P.HASH, P.LOCAL_TIME_IN_TEXT, P.ISO_TIME_IN_TEXT]
 
 
 def test_nothing_survives_without_randomness(spark):
     for before, after in zip(TEXTS, masked(spark, TEXTS, random_share=0.0)):
         for pattern in ALL:
             old, new = found(pattern, before), found(pattern, after)
-            if pattern not in (P.IPV4, P.IPV6):
+            if pattern not in ALL[:2]:
                 assert len(old) == len(new)
             assert not set(old) & set(found(pattern, after))
         # what lies between the matches stays
@@ -53,6 +53,13 @@ def test_masking_matches_a_plain_python_pass(spark):
     assert len(fakes) == len(marks)
 
 
+def test_compressed_addresses_are_masked_to_their_end(spark):
+    texts = ["fe80::1 x", "2001:db8::57 [", "::ffff:9.8.7.6 y", "::1, z", "a::b:c:d.", "64:ff9b::1.2.3.4"]
+    out = masked(spark, texts, random_share=0.0)
+    rest = [re.sub("^[0-9a-f]{1,4}(:[0-9a-f]{1,4}){7}", "#", text) for text in out]
+    assert rest == ["# x", "# [", "# y", "#, z", "#.", "#"]
+
+
 def test_equal_values_stay_linked_without_randomness(spark):
     one, _, three = masked(spark, TEXTS, random_share=0.0)
     assert one.split(" ")[0] == three.split(" ")[0]
