@@ -76,7 +76,8 @@ def hll_hash(addr: Column, secret: bytes = b"") -> Column:
             known.update(register_hexes(secret, list(set(plain) - known.keys() - {None})))
             yield pd.Series([known.get(p) for p in plain], dtype=object)
 
-    return hashed(address_key(addr))
+    # Marked so that a later filter on the hash does not make Spark evaluate it twice.
+    return hashed.asNondeterministic()(address_key(addr))
 
 
 def bucket_of(hashed: Column) -> Column:

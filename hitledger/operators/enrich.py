@@ -97,36 +97,68 @@ def with_provider(rows: DataFrame, prefixes: PrefixTable, addr: str = "remote_ad
     if prefixes.small is None:
         return _with_provider_shuffled(rows, prefixes, addr)
     names = rows.columns
-    out = rows.withColumn("_key", address_key(F.col(addr)))
-    for level, table in prefixes.small.items():
+    keyed = rows.withColumn("_key", address_key(F.col(addr)))
+    out, owner = _probed(keyed, prefixes.small)
+    return out.select(*names, F.coalesce(owner, F.lit(P.UNKNOWN_PROVIDER)).alias("provider"))
+
+
+def _probed(keyed: DataFrame, tables: dict[int, DataFrame]) -> tuple[DataFrame, Column]:
+    """Joins ``_key`` to each level's broadcast table; the owner found at the longest level."""
+    for level, table in tables.items():
         same = network_key(F.col("_key"), level) == F.col(f"_net{level}")
-        out = out.join(F.broadcast(table), same, "left")
-    found = [F.col(f"_provider{level}") for level in prefixes.small]
-    owner = F.coalesce(*found, F.lit(P.UNKNOWN_PROVIDER))
-    return out.select(*names, owner.alias("provider"))
+        keyed = keyed.join(F.broadcast(table), same, "left")
+    return keyed, F.coalesce(*[F.col(f"_provider{level}") for level in tables], F.lit(None))
+
+
+# Up to two bytes there are at most 2 * (1 + 256 + 65,536) networks, whatever the table holds.
+_COARSE = (2, 1, 0)
+_SALTS = 16
 
 
 def _with_provider_shuffled(rows: DataFrame, prefixes: PrefixTable, addr: str) -> DataFrame:
-    """Prefix tables beyond the broadcast bound: shuffle distinct addresses, then join back.
+    """Prefix tables beyond the broadcast bound: look up distinct addresses, then join back.
 
-    The join back is a plain equality join on the address; adaptive execution splits the
-    log side of a hot address over several tasks.
+    Networks of up to two bytes hold huge shares of all addresses but are few: they are
+    broadcast. Longer ones are joined by shuffle, each network's addresses over several
+    salted groups. The join back is a plain equality join on the address, where adaptive
+    execution splits the log side of a hot address over several tasks.
     """
-    levels = F.sequence(F.lit(0), F.length("_key") - 1)
+    nets = prefixes.nets
     addresses = rows.select(F.col(addr).alias("_addr")).where(F.col(addr).isNotNull()).distinct()
     keyed = addresses.withColumn("_key", address_key(F.col("_addr"))).where(F.col("_key").isNotNull())
-    probes = keyed.select("_addr", "_key", F.explode(levels).alias("level"))
-    probes = probes.withColumn("net", F.substring("_key", F.lit(1), F.col("level") + 1))
+
+    coarse = {level: _level_of(nets, level) for level in _COARSE}
+    found, coarse_owner = _probed(keyed, coarse)
+    found = found.select("_addr", coarse_owner.alias("_owner"), F.lit(-1).alias("level"))
+
+    fine_levels = F.sequence(F.lit(len(_COARSE)), F.length("_key") - 1)
+    probes = keyed.select("_addr", "_key", F.explode(fine_levels).alias("level")).select(
+        "_addr",
+        "level",
+        F.substring("_key", F.lit(1), F.col("level") + 1).alias("net"),
+        F.pmod(F.hash("_addr"), F.lit(_SALTS)).alias("salt"),
+    )
+    salted = nets.where(F.col("level") >= len(_COARSE)).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+    )
+    fine = probes.join(salted, ["level", "net", "salt"])
     owners = (
-        probes.join(prefixes.nets, ["level", "net"])
+        found.where(F.col("_owner").isNotNull())
+        .unionByName(fine.select("_addr", F.col("provider").alias("_owner"), "level"))
         .groupBy("_addr")
-        .agg(F.max_by("provider", "level").alias("_owner"))
+        .agg(F.max_by("_owner", "level").alias("_owner"))
     )
     joined = rows.join(owners, rows[addr] == owners["_addr"], "left")
     owner = F.coalesce("_owner", F.lit(P.UNKNOWN_PROVIDER)).alias("provider")
     return joined.select(*[rows[c] for c in rows.columns], owner)
 
 
+def _level_of(nets: DataFrame, level: int) -> DataFrame:
+    return nets.where(F.col("level") == level).select(
+        F.col("net").alias(f"_net{level}"), F.col("provider").alias(f"_provider{level}")
+    )
+
+
 def is_ci() -> Column:
     return F.col("provider") != P.UNKNOWN_PROVIDER
 
