@@ -45,12 +45,15 @@ select event_id, user_id, event_type, ts,
 from {events}
 """
 
+# Both registries know every user's package, with priorities that let either come first or
+# tie; the packages of purchases are in neither.
 _REGISTRIES = """
-select {uuid} as package_uuid, concat('pkg-', user_id) as name, 'General' as registry, 1 as priority
-from (select distinct user_id from {events}) where user_id % 3 <> 0
+select {uuid} as package_uuid, concat('pkg-', user_id) as name, 'General' as registry,
+       cast(1 + user_id % 3 as int) as priority
+from (select distinct user_id from {events})
 union all
 select {uuid}, concat('private-', user_id), 'Private', 2
-from (select distinct user_id from {events}) where user_id % 2 = 0
+from (select distinct user_id from {events})
 """
 
 _SPARK = {

@@ -20,7 +20,7 @@ UUID, TREE = "d8e11817-5142-5d16-987a-aa16d5891078", "b51f894272d996c9857577f3e8
 REG, REG_HASH = "23338594-aafe-5451-b93e-139f81909106", "b5230a91f1429fb5f11e589305d567f2756ad1b3"
 ART = "2b4232945204cdceaa254c800d4027e3f011dca7"
 AGENT_A = "libcurl/7.71.1 mbedTLS/2.16.8 zlib/1.2.11 libssh2/1.9.0 nghttp2/1.40.0 julia/1.6.0-DEV.1278"
-AGENT_B = "Pkg.jl (https://github.com/JuliaLang/Pkg.jl)"
+AGENT_B = "Client (https://example.org/client)"
 SYSTEM_A = "x86_64-apple-darwin18-libgfortran5-julia_version+1.6.0"
 SERVER = "eu-central.pkg.julialang.org"
 
@@ -37,14 +37,14 @@ LINE_C = (
     f'"{AGENT_A}" 1.546 1.6.0-DEV.1284 x86_64-linux-gnu "{CI}" false "-"'
 )
 LINE_D = (
-    '212.181.25.47 [2020-11-02T18:31:41-02:30] "GET /meta HTTP/1.1" 200 123 "Pkg.jl" 1.546 1.5.2 '
+    '212.181.25.47 [2020-11-02T18:31:41-02:30] "GET /meta HTTP/1.1" 200 123 "Client" 1.546 1.5.2 '
     'x86_64-linux-gnu "APPVEYOR=n" false "-"'
 )
 TAIL = ' "rid-1" "miss"'
 
 
 def line(addr="1.2.3.4", time="[06/Nov/2020:20:00:14 +0000]", method="GET", url="/x", http="HTTP/1.1",
-         status="200", size="5", agent="Pkg.jl", took="1.5", version="1.5.2", system="linux", ci="CI=n",
+         status="200", size="5", agent="Client", took="1.5", version="1.5.2", system="linux", ci="CI=n",
          flag="true", server="-", rest=' "r" "-"'):
     return (
         f'{addr} {time} "{method} {url} {http}" {status} {size} "{agent}" {took} {version} {system} '
@@ -87,7 +87,7 @@ C = expected(
 )
 D = expected(
     **url_parts("/meta"), remote_addr="212.181.25.47", time_utc=datetime(2020, 11, 2, 21, 1, 41), status=200,
-    body_bytes_sent=123, http_user_agent="Pkg.jl", request_time=1.546, julia_version="1.5.2",
+    body_bytes_sent=123, http_user_agent="Client", request_time=1.546, julia_version="1.5.2",
     julia_system="x86_64-linux-gnu", julia_ci_variables="APPVEYOR=n", julia_interactive=False,
 )
 GOLDEN = [
