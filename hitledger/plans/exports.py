@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.operators import counts, enrich, mirror, privacy
+from hitledger.sources.tables import read_if_present
 from hitledger.sources.textscan import mirror_scan
 
+MIRROR_SCHEMA = "line string, day date"
+
 
 def _csv(report: DataFrame, folder: str) -> str:
     # CSV output is gzip where compressed; Spark writes no zstd text
@@ -48,28 +51,19 @@ def write_anonymized(lines: DataFrame, output: str, key: str, **masking) -> None
     masked.select("value").write.mode("overwrite").text(output)
 
 
-def cached_mirror_days(spark: SparkSession, cache: str) -> DataFrame | None:
-    schema = "line string, day date"
-    try:
-        return spark.read.schema(schema).parquet(cache).select("day").distinct()
-    except Exception as error:  # noqa: BLE001 - the error class differs between file systems
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
-
-
 def cache_mirror_lines(spark: SparkSession, logs: str, cache: str, as_of: datetime) -> None:
     """Appends the mirror lines of days the cache does not hold yet.
 
     The days present are a short list, one value per calendar day in the cache.
     """
     lines = mirror_scan(spark, logs, as_of)
-    present = cached_mirror_days(spark, cache)
-    if present is not None:
-        lines = lines.where(~F.col("day").isin([r.day for r in present.collect()]))
+    cached = read_if_present(spark, cache, MIRROR_SCHEMA)
+    if cached is not None:
+        present = [r.day for r in cached.select("day").distinct().collect()]
+        lines = lines.where(~F.col("day").isin(present))
     chosen = mirror.mirror_lines(lines)
     chosen.write.mode("append").option("compression", "zstd").partitionBy("day").parquet(cache)
 
 
 def read_mirror_cache(spark: SparkSession, cache: str) -> DataFrame:
-    return spark.read.schema("line string, day date").parquet(cache)
+    return spark.read.schema(MIRROR_SCHEMA).parquet(cache)

@@ -28,6 +28,7 @@ from hitledger.functions.layout import ACCESS_LOG, Layout
 from hitledger.operators.parse import parse_or_reject, with_hll_hash
 from hitledger.sources.codecs import with_codec
 from hitledger.sources.listing import file_date, list_files
+from hitledger.sources.tables import read_if_present
 from hitledger.sources.textscan import lines_of_files
 
 PARSER_VERSION = 1
@@ -71,23 +72,11 @@ def source_id(path: Column) -> Column:
     return F.sha1(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds anything, asked of Spark's own file listing."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    try:
-        return not listing.load(path).select("path").isEmpty()
-    except Exception as error:  # noqa: BLE001 - the error class differs between file systems
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
-
-
 def manifest(spark: SparkSession, root: str) -> DataFrame:
     """The newest entry per file; files dropped as unreadable are left out."""
-    path = f"{root}/manifest"
-    if not _exists(spark, path):
+    entries = read_if_present(spark, f"{root}/manifest", MANIFEST)
+    if entries is None:
         return spark.createDataFrame([], MANIFEST)
-    entries = spark.read.schema(MANIFEST).parquet(path)
     names = [n for n in MANIFEST.names if n != "src_path"]
     newest = entries.groupBy("src_path").agg(
         F.max_by(F.struct(*names), F.struct("run_at", "run_id")).alias("e")
@@ -168,10 +157,7 @@ def _write(lines, root, run_id, secret, transform, layout) -> None:
 
 
 def _record(spark, root, files, run_id, key_print) -> None:
-    if _exists(spark, f"{root}/table"):
-        counts = _per_file(_stored(spark, root).where(F.col("run_id") == run_id))
-    else:
-        counts = spark.createDataFrame([], "src_id string, run_id string, n_rows bigint, n_rejects bigint")
+    counts = _per_file(_stored(spark, root).where(F.col("run_id") == run_id))
     entries = files.withColumn("src_id", source_id(F.col("src_path"))).join(
         counts.drop("run_id"), "src_id", "left"
     )
@@ -191,7 +177,9 @@ def _record(spark, root, files, run_id, key_print) -> None:
 
 
 def _stored(spark: SparkSession, root: str, layout: Layout = ACCESS_LOG, **options) -> DataFrame:
-    return spark.read.schema(table_schema(layout)).options(**options).parquet(f"{root}/table")
+    schema = table_schema(layout)
+    found = read_if_present(spark, f"{root}/table", schema, **options)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def _per_file(stored: DataFrame) -> DataFrame:

@@ -60,7 +60,9 @@ def codec_of_name(name: Column) -> Column:
 
 def with_codec(files: DataFrame) -> DataFrame:
     """Adds ``codec`` (by content), ``as_named`` (text source can read it), ``decodable``."""
-    sniffed = files.withColumn("codec", codec_of_head(_head_of(F.col("src_path"))))
+    # an explicit number: adaptive execution would open all these files in one task
+    spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism, "src_path")
+    sniffed = spread.withColumn("codec", codec_of_head(_head_of(F.col("src_path"))))
     return sniffed.withColumns(
         {
             "as_named": F.col("codec") == codec_of_name(F.col("src_file")),
