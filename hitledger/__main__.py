@@ -7,7 +7,6 @@ from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
-from hitledger.operators.privacy import without_address
 from hitledger.plans import exports, jobs, refresh
 from hitledger.session import SETTINGS
 from hitledger.sources.dimensions import ci_prefixes, registries
@@ -67,7 +66,7 @@ def main() -> None:
         reports.top_packages(registry).orderBy("package_uuid", "day").show(400, truncate=False)
         print(reports.package_csv, reports.artifact_csv, sep="\n")
     elif args.job == "sanitize":
-        exports.write_sanitized(without_address(refresh.read_rows(spark, args.store)), args.output, args.format)
+        exports.write_sanitized(refresh.read_rows(spark, args.store), args.output, args.format)
     elif args.job == "anonymize":
         jobs.anonymize_file(spark, args.source, args.output, args.key, args.seed)
     elif args.job == "mirror":

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hitledger.functions import patterns as P
 from hitledger.functions.addresses import address_key, network_key
+from hitledger.stages import shared
 
 # Rows a prefix table may have to be broadcast: about 50 MB of short keys and names.
 BROADCAST_ROWS = 500_000
@@ -113,44 +114,70 @@ def _probed(keyed: DataFrame, tables: dict[int, DataFrame]) -> tuple[DataFrame,
 # Up to two bytes there are at most 2 * (1 + 256 + 65,536) networks, whatever the table holds.
 _COARSE = (2, 1, 0)
 _SALTS = 16
+# An address beyond the 10,000 busiest has less than a ten-thousandth of all rows.
+HOT_ADDRESSES = 10_000
 
 
 def _with_provider_shuffled(rows: DataFrame, prefixes: PrefixTable, addr: str) -> DataFrame:
     """Prefix tables beyond the broadcast bound: look up distinct addresses, then join back.
 
+    The busiest addresses are joined back by broadcast, so that no key of the remaining
+    shuffle join is large. Rows of hot addresses are never shuffled.
+    """
+    counted = shared(_owners(rows, prefixes, addr))
+    hot = F.broadcast(
+        counted.orderBy(F.desc("rows"), "_addr").limit(HOT_ADDRESSES).select("_addr", "_owner")
+    )
+    names = rows.columns
+    owner = F.coalesce("_owner", F.lit(P.UNKNOWN_PROVIDER)).alias("provider")
+    same = F.col(addr) == F.col("_addr")
+    busy = rows.join(hot, same, "left").where(F.col("_addr").isNotNull() | F.col(addr).isNull())
+    rest = rows.where(F.col(addr).isNotNull()).join(hot, same, "left_anti")
+    found = counted.where(F.col("_owner").isNotNull()).select("_addr", "_owner")
+    rest = rest.join(found, same, "left")
+    return busy.select(*names, owner).unionByName(rest.select(*names, owner))
+
+
+def _owners(rows: DataFrame, prefixes: PrefixTable, addr: str) -> DataFrame:
+    """(_addr, rows, _owner) per distinct address; no owner is NULL.
+
     Networks of up to two bytes hold huge shares of all addresses but are few: they are
     broadcast. Longer ones are joined by shuffle, each network's addresses over several
-    salted groups. The join back is a plain equality join on the address, where adaptive
-    execution splits the log side of a hot address over several tasks.
+    salted groups.
     """
     nets = prefixes.nets
-    addresses = rows.select(F.col(addr).alias("_addr")).where(F.col(addr).isNotNull()).distinct()
-    keyed = addresses.withColumn("_key", address_key(F.col("_addr"))).where(F.col("_key").isNotNull())
-
+    counted = (
+        rows.groupBy(F.col(addr).alias("_addr"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where(F.col("_addr").isNotNull())
+    )
+    keyed = counted.withColumn("_key", address_key(F.col("_addr")))
     coarse = {level: _level_of(nets, level) for level in _COARSE}
-    found, coarse_owner = _probed(keyed, coarse)
-    found = found.select("_addr", coarse_owner.alias("_owner"), F.lit(-1).alias("level"))
+    probed, coarse_owner = _probed(keyed, coarse)
+    probed = probed.select("_addr", "rows", "_key", coarse_owner.alias("_coarse"))
 
     fine_levels = F.sequence(F.lit(len(_COARSE)), F.length("_key") - 1)
-    probes = keyed.select("_addr", "_key", F.explode(fine_levels).alias("level")).select(
-        "_addr",
-        "level",
-        F.substring("_key", F.lit(1), F.col("level") + 1).alias("net"),
-        F.pmod(F.hash("_addr"), F.lit(_SALTS)).alias("salt"),
+    probes = (
+        keyed.where(F.col("_key").isNotNull())
+        .select("_addr", "_key", F.explode(fine_levels).alias("level"))
+        .select(
+            "_addr",
+            "level",
+            F.substring("_key", F.lit(1), F.col("level") + 1).alias("net"),
+            F.pmod(F.hash("_addr"), F.lit(_SALTS)).alias("salt"),
+        )
     )
     salted = nets.where(F.col("level") >= len(_COARSE)).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
     )
-    fine = probes.join(salted, ["level", "net", "salt"])
-    owners = (
-        found.where(F.col("_owner").isNotNull())
-        .unionByName(fine.select("_addr", F.col("provider").alias("_owner"), "level"))
+    fine = (
+        probes.join(salted, ["level", "net", "salt"])
         .groupBy("_addr")
-        .agg(F.max_by("_owner", "level").alias("_owner"))
+        .agg(F.max_by("provider", "level").alias("_fine"))
+    )
+    return probed.join(fine, "_addr", "left").select(
+        "_addr", "rows", F.coalesce("_fine", "_coarse").alias("_owner")
     )
-    joined = rows.join(owners, rows[addr] == owners["_addr"], "left")
-    owner = F.coalesce("_owner", F.lit(P.UNKNOWN_PROVIDER)).alias("provider")
-    return joined.select(*[rows[c] for c in rows.columns], owner)
 
 
 def _level_of(nets: DataFrame, level: int) -> DataFrame:

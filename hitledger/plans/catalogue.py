@@ -13,7 +13,7 @@ from hitledger.functions.iphash import hll_hash
 from hitledger.functions.values import month_day, server_of
 from hitledger.operators import counts, enrich, mirror, parse, privacy, registers
 from hitledger.plans import sample_log
-from hitledger.plans.stages import shared
+from hitledger.stages import shared
 from hitledger.sources.listing import default_selection, is_access_log, is_recent
 from hitledger.streaming.ingest import daily_counts, run_to_folder
 

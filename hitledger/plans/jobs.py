@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hitledger.functions import patterns as P
 from hitledger.operators import counts, enrich, mirror
 from hitledger.plans import exports, refresh
-from hitledger.plans.stages import shared
+from hitledger.stages import shared
 from hitledger.sources.dimensions import read_secret
 from hitledger.sources.listing import default_selection, list_files
 from hitledger.sources.textscan import text_lines

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.operators.parse import parse_lines, with_hll_hash
-from hitledger.plans.stages import shared_folder
+from hitledger.stages import shared_folder
 from hitledger.sources.textscan import without_carriage_return
 
 LATE = "2 days"

@@ -122,8 +122,9 @@ def longest_match(prefixes, text):
     return min(owners)[1] if owners else "<unknown>"
 
 
-@pytest.mark.parametrize("most_rows", [enrich.BROADCAST_ROWS, 0])
-def test_longest_prefix_against_brute_force(spark, most_rows):
+@pytest.mark.parametrize("most_rows,hot", [(enrich.BROADCAST_ROWS, 0), (0, 0), (0, 3), (0, 10_000)])
+def test_longest_prefix_against_brute_force(spark, monkeypatch, most_rows, hot):
+    monkeypatch.setattr(enrich, "HOT_ADDRESSES", hot)
     rng = random.Random(11)
     prefixes = [("all4", "0.0.0.0/0"), ("dup2", "10.1.0.0/16"), ("dup1", "10.1.0.0/16"), ("one", "10.1.2.3/32"), ("self6", "::1/128")]
     if most_rows == 0:
@@ -137,6 +138,7 @@ def test_longest_prefix_against_brute_force(spark, most_rows):
     ips = [str(ipaddress.IPv4Address((10 << 24) | rng.getrandbits(24))) for _ in range(400)]
     ips += [str(ipaddress.IPv6Address((0x2001 << 112) | rng.getrandbits(112))) for _ in range(400)]
     ips += ["10.1.2.3", "10.1.2.4", "192.168.0.1", "::1", "::2", "bogus", "10.1.2.3"]
+    ips += ["10.1.2.3"] * 50 + ["bogus"] * 20 + ["2001:1::1"] * 30
     df = spark.createDataFrame([(i, ip) for i, ip in enumerate(ips)] + [(-1, None)], "id int, remote_addr string")
     dim = spark.createDataFrame([*prefixes, ("junk", "nonsense"), ("junk", "1.2.3.4/99"), ("junk", None)], "provider string, cidr string")
     table = enrich.PrefixTable.build(dim, most_rows)

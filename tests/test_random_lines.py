@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hitledger.functions import patterns as P
 from hitledger.functions.layout import ACCESS_LOG
 from hitledger.operators.parse import parse_lines, parse_or_reject
-from hitledger.plans.stages import shared
+from hitledger.stages import shared
 
 MONTHS = {m.lower(): i for i, m in enumerate(P.MONTH_NAMES, start=1)}
 
