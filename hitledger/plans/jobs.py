@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from hitledger.functions import patterns as P
 from hitledger.operators import counts, enrich, mirror
+from hitledger.operators.parse import parse_lines
 from hitledger.plans import exports, refresh
 from hitledger.stages import shared
 from hitledger.sources.dimensions import read_secret
 from hitledger.sources.listing import default_selection, list_files
-from hitledger.sources.textscan import text_lines
+from hitledger.sources.textscan import raw_lines, text_lines
 
 
 def parse_directory(
@@ -82,7 +83,7 @@ def anonymize_file(
     seed: str = "",
     random_share: float = P.MASK_RANDOM_SHARE,
 ) -> None:
-    lines = spark.read.option("lineSep", "\n").text(source)
+    lines = raw_lines(spark, source).select("value")
     exports.write_anonymized(lines, output, key, seed=seed, random_share=random_share)
 
 
@@ -99,8 +100,6 @@ def mirror_traffic(
 
 def quick_look(spark: SparkSession, path: str) -> DataFrame:
     """Distinct clients and packages of one log file."""
-    from hitledger.operators.parse import parse_lines
-
     rows = parse_lines(text_lines(spark, path), file_name=F.col("src_file"))
     return rows.agg(
         F.count(F.lit(1)).alias("rows"),

@@ -11,8 +11,12 @@ from hitledger.functions import patterns as P
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """(src_path, src_file, src_mtime, src_bytes); the contents are never read."""
-    files = spark.read.format("binaryFile").load(list(paths))
+    """(src_path, src_file, src_mtime, src_bytes) of files and of all files below folders.
+
+    The contents are never read.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.load(list(paths))
     # without this every large file would be a task of its own, for four values
     files = files.coalesce(spark.sparkContext.defaultParallelism)
     return files.select(

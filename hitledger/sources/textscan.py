@@ -25,10 +25,15 @@ def without_carriage_return(line: Column) -> Column:
     return F.when(line.endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(line)
 
 
+def raw_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """``value`` and ``_metadata``: lines end at newline only."""
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True)
+    return reader.text(paths if isinstance(paths, str) else list(paths))
+
+
 def text_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """(value, src_path, src_file): one row per line, ended by newline only."""
-    raw = spark.read.option("lineSep", "\n").text(paths if isinstance(paths, str) else list(paths))
-    return raw.select(
+    return raw_lines(spark, paths).select(
         without_carriage_return(F.col("value")).alias("value"),
         F.col("_metadata.file_path").alias("src_path"),
         F.col("_metadata.file_name").alias("src_file"),
@@ -92,7 +97,7 @@ def mirror_scan(spark: SparkSession, directory: str, as_of, days: int = P.MIRROR
 
     The filter is on the file name, so files of other days are not opened.
     """
-    raw = spark.read.option("lineSep", "\n").text(directory)
+    raw = raw_lines(spark, directory)
     name = F.col("_metadata.file_name")
     day = F.try_to_date(F.regexp_extract(name, r"(\d{8})", 1), "yyyyMMdd")
     today = F.lit(as_of).cast("date")

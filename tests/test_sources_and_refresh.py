@@ -97,6 +97,10 @@ def test_scan_of_a_directory(spark, logs):
     assert [g[0] for g in got] == sorted(LINES)
     rows = parse_lines(lines, "value", ["src_file"], F.col("src_file"))
     assert {r.pkgserver for r in rows.select("pkgserver").collect()} == {"kr", "us-east"}
+    for sub in ("older", "day=1"):
+        (logs / sub).mkdir()
+        put(logs / sub, name_of("sub", 20240109), LINES[:1])
+    assert textscan.scan_directory(spark, str(logs), AS_OF).count() == len(LINES) + 2
     only = textscan.scan_directory(spark, str(logs), AS_OF, F.col("src_bytes") < 0)
     assert only is None
 
