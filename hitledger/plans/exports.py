@@ -6,12 +6,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitledger.operators import counts, enrich, mirror, privacy
+from hitledger.sources.listing import list_files
 from hitledger.sources.tables import read_if_present
-from hitledger.sources.textscan import mirror_scan
+from hitledger.sources.textscan import in_mirror_window, mirror_day, mirror_scan
 
-MIRROR_SCHEMA = "line string, day date"
+_DAY = T.StructType([T.StructField("day", T.DateType(), True)])
+_LINES = T.StructType([T.StructField("line", T.StringType(), True), *_DAY])
 
 
 def _csv(report: DataFrame, folder: str) -> str:
@@ -51,19 +54,48 @@ def write_anonymized(lines: DataFrame, output: str, key: str, **masking) -> None
     masked.select("value").write.mode("overwrite").text(output)
 
 
-def cache_mirror_lines(spark: SparkSession, logs: str, cache: str, as_of: datetime) -> None:
-    """Appends the mirror lines of days the cache does not hold yet.
+def cache_mirror_lines(spark: SparkSession, logs: str, cache: str, as_of: datetime) -> int:
+    """Adds the mirror lines of days the cache does not hold yet; how many days those were.
 
-    The days present are a short list, one value per calendar day in the cache.
+    ``cache/lines`` holds the lines by day, ``cache/days`` the days that are complete, with or
+    without lines. A day is listed only after its lines are there, and writing them again
+    replaces them, so an interrupted run does no harm.
     """
-    lines = mirror_scan(spark, logs, as_of)
-    cached = read_if_present(spark, cache, MIRROR_SCHEMA)
-    if cached is not None:
-        present = [r.day for r in cached.select("day").distinct().collect()]
-        lines = lines.where(~F.col("day").isin(present))
-    chosen = mirror.mirror_lines(lines)
-    chosen.write.mode("append").option("compression", "zstd").partitionBy("day").parquet(cache)
-
-
-def read_mirror_cache(spark: SparkSession, cache: str) -> DataFrame:
-    return spark.read.schema(MIRROR_SCHEMA).parquet(cache)
+    day = mirror_day(F.col("src_file"))
+    seen = list_files(spark, logs).select(day.alias("day")).where(in_mirror_window(F.col("day"), as_of))
+    # at most one value per day of the window
+    new = seen.distinct().join(mirror_days(spark, cache), "day", "left_anti").toArrow()
+    if new.num_rows == 0:
+        return 0
+    lines = mirror_scan(spark, logs, as_of).where(F.col("day").isin(new["day"].to_pylist()))
+    (
+        mirror.mirror_lines(lines)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
+        .partitionBy("day")
+        .parquet(f"{cache}/lines")
+    )
+    spark.createDataFrame(new).coalesce(1).write.mode("append").parquet(f"{cache}/days")
+    return new.num_rows
+
+
+def _cached(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    found = read_if_present(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def mirror_days(spark: SparkSession, cache: str) -> DataFrame:
+    return _cached(spark, f"{cache}/days", _DAY).distinct()
+
+
+def mirror_cache(spark: SparkSession, cache: str) -> DataFrame:
+    """(line, day) of all cached days."""
+    return _cached(spark, f"{cache}/lines", _LINES)
+
+
+def mirror_bytes(spark: SparkSession, cache: str) -> DataFrame:
+    """Bytes per cached day, 0 for days without mirror lines."""
+    served = mirror.bytes_by_day(mirror_cache(spark, cache))
+    every = mirror_days(spark, cache).join(served, "day", "left")
+    return every.select("day", F.coalesce("bytes", F.lit(0).cast("decimal(38,0)")).alias("bytes"))

@@ -93,8 +93,7 @@ def mirror_traffic(
     """(bytes per day, total) of the mirror logs of the last 30 days."""
     exports.cache_mirror_lines(spark, logs, cache, as_of)
     oldest = F.date_sub(F.lit(as_of).cast("date"), P.MIRROR_WINDOW_DAYS)
-    cached = exports.read_mirror_cache(spark, cache).where(F.col("day") >= oldest)
-    per_day = mirror.bytes_by_day(cached)
+    per_day = exports.mirror_bytes(spark, cache).where(F.col("day") >= oldest)
     return per_day, mirror.total_bytes(per_day)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,7 +81,11 @@ def lines_of_files(spark: SparkSession, files: DataFrame, sniff: bool = True) ->
 
 
 def scan_directory(
-    spark: SparkSession, directory: str, as_of, criteria: Column | None = None, sniff: bool = True
+    spark: SparkSession,
+    directory: str,
+    as_of: datetime,
+    criteria: Column | None = None,
+    sniff: bool = True,
 ) -> DataFrame | None:
     """Lines of the files in ``directory`` that meet ``criteria`` on the listing columns."""
     if criteria is None:
@@ -92,15 +97,24 @@ def rejected_files(spark: SparkSession, directory: str) -> DataFrame:
     return undecodable_files(with_codec(list_files(spark, directory)))
 
 
-def mirror_scan(spark: SparkSession, directory: str, as_of, days: int = P.MIRROR_WINDOW_DAYS) -> DataFrame:
-    """(day, line) of the daily mirror logs from ``days`` days back up to yesterday.
+def mirror_day(name: Column) -> Column:
+    """Day of a daily mirror log, from the eight digits in its name."""
+    return F.try_to_date(F.regexp_extract(name, r"(\d{8})", 1), "yyyyMMdd")
+
+
+def in_mirror_window(day: Column, as_of: datetime, days: int = P.MIRROR_WINDOW_DAYS) -> Column:
+    """From ``days`` days back up to yesterday."""
+    today = F.lit(as_of).cast("date")
+    return day.between(F.date_sub(today, days), F.date_sub(today, 1))
+
+
+def mirror_scan(
+    spark: SparkSession, directory: str, as_of: datetime, days: int = P.MIRROR_WINDOW_DAYS
+) -> DataFrame:
+    """(day, line) of the daily mirror logs in the window.
 
     The filter is on the file name, so files of other days are not opened.
     """
-    raw = raw_lines(spark, directory)
-    name = F.col("_metadata.file_name")
-    day = F.try_to_date(F.regexp_extract(name, r"(\d{8})", 1), "yyyyMMdd")
-    today = F.lit(as_of).cast("date")
-    return raw.where(day.between(F.date_sub(today, days), F.date_sub(today, 1))).select(
-        day.alias("day"), F.col("value").alias("line")
-    )
+    day = mirror_day(F.col("_metadata.file_name"))
+    lines = raw_lines(spark, directory).where(in_mirror_window(day, as_of, days))
+    return lines.select(day.alias("day"), F.col("value").alias("line"))

@@ -297,18 +297,26 @@ def test_mirror_cache(spark, tmp_path):
     put(logs, "mirrors.log-20231220.gz", [hit])  # 31 days back
     put(logs, "mirrors.log-20231221.gz", [hit])  # 30 days back
     from hitledger.operators import mirror
+    from hitledger.plans.jobs import mirror_traffic
 
-    exports.cache_mirror_lines(spark, str(logs), cache, AS_OF)
-    lines = exports.read_mirror_cache(spark, cache)
-    per_day = {r.day.isoformat(): int(r.bytes) for r in mirror.bytes_by_day(lines).collect()}
-    assert per_day == {"2024-01-19": 1000, "2024-01-18": 1000, "2023-12-21": 1000}
-    [total] = mirror.total_bytes(mirror.bytes_by_day(lines)).collect()
+    put(logs, "mirrors.log-20240117.gz", ["nothing of ours"])
+    assert exports.cache_mirror_lines(spark, str(logs), cache, AS_OF) == 4
+    per_day, total = mirror_traffic(spark, str(logs), cache, AS_OF)
+    assert {r.day.isoformat(): int(r.bytes) for r in per_day.collect()} == {
+        "2024-01-19": 1000, "2024-01-18": 1000, "2024-01-17": 0, "2023-12-21": 1000,
+    }
+    [total] = total.collect()
     assert (int(total.bytes), total.human) == (3000, "2.9 KB")
-    n = lines.count()
-    exports.cache_mirror_lines(spark, str(logs), cache, AS_OF)
-    assert exports.read_mirror_cache(spark, cache).count() == n
+    n = exports.mirror_cache(spark, cache).count()
+    assert n == 5
+    assert exports.cache_mirror_lines(spark, str(logs), cache, AS_OF) == 0
+    later, _ = mirror_traffic(spark, str(logs), cache, AS_OF.replace(day=21))
+    assert {r.day.isoformat() for r in later.collect()} == {f"2024-01-{d}" for d in (17, 18, 19, 20)}
+    assert exports.mirror_cache(spark, cache).count() == n + 1
+    empty = str(tmp_path / "none")
+    assert mirror.total_bytes(exports.mirror_bytes(spark, empty)).collect()[0].human == "0.0 B"
     whole = textscan.mirror_scan(spark, str(logs), AS_OF)
-    assert mirror.bytes_by_day(whole.withColumn("line", F.lit("nothing"))).where("bytes = 0").count() == 3
+    assert mirror.bytes_by_day(whole.withColumn("line", F.lit("nothing"))).where("bytes = 0").count() == 4
 
 
 def test_whole_jobs(spark, logs, tmp_path):
