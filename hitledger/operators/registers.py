@@ -32,15 +32,14 @@ def estimated(regs: DataFrame, keys: Sequence[str]) -> DataFrame:
     zeros = F.lit(m) - F.col("_filled")
     raw = F.lit(alpha * m * m) / (F.col("_mass") + zeros)
     small = (raw <= 2.5 * m) & (zeros > 0)
+    linear = F.lit(m) * F.ln(F.lit(m) / F.greatest(zeros, F.lit(1.0)))
     return (
         regs.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).cast("double").alias("_filled"),
             F.sum(F.pow(F.lit(2.0), -F.col("rank"))).alias("_mass"),
         )
-        .select(
-            *keys, F.when(small, F.lit(m) * F.ln(F.lit(m) / F.greatest(zeros, F.lit(1.0)))).otherwise(raw).alias("clients")
-        )
+        .select(*keys, F.when(small, linear).otherwise(raw).alias("clients"))
     )
 
 

@@ -367,9 +367,10 @@ def _md5_registers(spark, sf_dir):
     rank = F.lit(1) + sum(
         (F.when(F.substring(digest, 20 + i, 1) < "8", 1).otherwise(0) for i in range(4)), F.lit(0)
     )
+    bucket = F.concat(F.substring(digest, 1, 2), F.lit("0"), F.substring(digest, 3, 1))
     return parsed(spark, sf_dir).select(
         F.to_date("time_utc").alias("day"),
-        F.concat(F.substring(digest, 1, 2), F.lit("0"), F.substring(digest, 3, 1), F.lpad(F.hex(rank), 2, "0")).alias("hll_hash"),
+        F.concat(bucket, F.lpad(F.hex(rank), 2, "0")).alias("hll_hash"),
     )
 
 

@@ -156,7 +156,9 @@ def _wide(kind: str, name: str, labels: list[str]) -> str:
     cells = ", ".join(
         f"cast(count(*) filter (where strftime(day, '%m/%d') = '{d}') as bigint) as \"{d}\"" for d in labels
     )
-    return f"select key as {name}, count(*) as total_downloads, {cells} from kept where kind = '{kind}' and key is not null group by 1"
+    return f"""
+select key as {name}, count(*) as total_downloads, {cells}
+from kept where kind = '{kind}' and key is not null group by 1"""
 
 
 _FIRST_DAY, _LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
@@ -298,13 +300,14 @@ def checking_sql() -> dict[str, str]:
     fields = ", ".join([*_TEXT, "time_utc", "status", "body_bytes_sent", "request_time", "julia_interactive", "pkgserver"])
     no_address = fields.replace("remote_addr, ", "", 1)
     days_01 = _labels(_FIRST_DAY, _LAST_DAY)
+    p = _PARSED
     return {
-        "parse_all_fields": f"{_PARSED} select event_id, {fields} from parsed",
-        "parse_timestamps": f"{_PARSED} select event_id, time_utc from parsed",
-        "parse_typed_values": f"{_PARSED} select event_id, status, body_bytes_sent, request_time, julia_interactive from parsed",
-        "parse_urls": f"{_PARSED} select event_id, request_method, request_url, request_http, package_uuid, package_hash, "
+        "parse_all_fields": f"{p} select event_id, {fields} from parsed",
+        "parse_timestamps": f"{p} select event_id, time_utc from parsed",
+        "parse_typed_values": f"{p} select event_id, status, body_bytes_sent, request_time, julia_interactive from parsed",
+        "parse_urls": f"{p} select event_id, request_method, request_url, request_http, package_uuid, package_hash, "
         "registry_uuid, registry_hash, artifact_hash from parsed",
-        "parse_strict": f"{_PARSED} select pkgserver, cache_miss, count(*) as n from parsed group by 1, 2",
+        "parse_strict": f"{p} select pkgserver, cache_miss, count(*) as n from parsed group by 1, 2",
         "pkgserver_from_file": f"{_LINES} select {_SERVER} as pkgserver, count(*) as n from lines group by 1",
         "reject_classes": f"{_REJECTS} select reject_class, reject_field, count(*) as n from rejects group by 1, 2",
         "reject_examples": f"""{_REJECTS}
@@ -320,20 +323,20 @@ select src_file, true as access_log,
        date_diff('second', d, timestamp '2024-02-08 12:00:00') < 15 * 86400 as recent_15,
        date_diff('second', d, timestamp '2024-02-08 12:00:00') < 33 * 86400 as selected
 from files""",
-        "union_files": f"{_PARSED} select src_file, count(*) as n from parsed group by 1",
+        "union_files": f"{p} select src_file, count(*) as n from parsed group by 1",
         "freshness_anti_join": f"""{_LINES}
 select distinct src_file from lines where src_file like 'access\\_kr.%' escape '\\' or src_file like 'access\\_us-east.%' escape '\\'""",
-        "package_requests": f"{_PARSED} select event_id, request_url from parsed where starts_with(request_url, '/package')",
-        "artifact_requests": f"{_PARSED} select event_id, request_url from parsed where starts_with(request_url, '/artifact')",
-        "hits_by_package": f"{_PARSED} select package_uuid, count(*) as n from parsed where package_uuid is not null group by 1",
-        "hits_by_package_with_missing": f"{_PARSED} select package_uuid, count(*) as n from parsed "
+        "package_requests": f"{p} select event_id, request_url from parsed where starts_with(request_url, '/package')",
+        "artifact_requests": f"{p} select event_id, request_url from parsed where starts_with(request_url, '/artifact')",
+        "hits_by_package": f"{p} select package_uuid, count(*) as n from parsed where package_uuid is not null group by 1",
+        "hits_by_package_with_missing": f"{p} select package_uuid, count(*) as n from parsed "
         "where starts_with(request_url, '/package') group by 1",
-        "hits_by_artifact": f"{_PARSED} select artifact_hash, count(*) as n from parsed where artifact_hash is not null group by 1",
+        "hits_by_artifact": f"{p} select artifact_hash, count(*) as n from parsed where artifact_hash is not null group by 1",
         "plotted_days": f"{_DAILY} select day from days",
         "plotted_day_labels": f"""{_DAILY},
 labels as (select distinct strftime(day, '%m/%d') as label from hits where kind = 'package')
 select label from labels where label > (select min(label) from labels) and label < (select max(label) from labels)""",
-        "hits_by_month_day": f"{_PARSED} select strftime(time_utc, '%m/%d') as label, count(*) as n from parsed group by 1",
+        "hits_by_month_day": f"{p} select strftime(time_utc, '%m/%d') as label, count(*) as n from parsed group by 1",
         "package_downloads_by_day": _zero_filled("package", "package_uuid"),
         "artifact_downloads_by_day": _zero_filled("artifact", "artifact_hash"),
         "package_report_wide": f"""{_DAILY}, {_REGISTRY},
@@ -347,18 +350,18 @@ select t.key as package_uuid, d.day, cast(count(h.day) as bigint) as n
 from top t cross join days d
 left join kept h on h.kind = 'package' and h.key is not distinct from t.key and h.day = d.day
 group by 1, 2""",
-        "group_by_expr": f"""{_PARSED}
+        "group_by_expr": f"""{p}
 select case when starts_with(request_url, '/package') then 'package'
             when starts_with(request_url, '/artifact') then 'artifact' else 'other' end as kind,
        status >= 400 as failed, cast(hour(time_utc) as int) as hour, count(*) as n
 from parsed group by 1, 2, 3""",
-        "row_count": f"{_PARSED} select count(*) as n from parsed",
-        "distinct_clients": f"{_PARSED} select count(distinct remote_addr) as n from parsed",
-        "distinct_packages": f"{_PARSED} select count(distinct package_uuid) as n from parsed",
-        "distinct_values": f"{_PARSED} select distinct julia_version as value from parsed where julia_version is not null",
-        "present_values": f"{_PARSED} select http_user_agent as value, count(*) as n from parsed "
+        "row_count": f"{p} select count(*) as n from parsed",
+        "distinct_clients": f"{p} select count(distinct remote_addr) as n from parsed",
+        "distinct_packages": f"{p} select count(distinct package_uuid) as n from parsed",
+        "distinct_values": f"{p} select distinct julia_version as value from parsed where julia_version is not null",
+        "present_values": f"{p} select http_user_agent as value, count(*) as n from parsed "
         "where http_user_agent is not null group by 1",
-        "package_names": f"""{_PARSED}, {_REGISTRY}
+        "package_names": f"""{p}, {_REGISTRY}
 select p.package_uuid, names.name
 from (select distinct package_uuid from parsed where package_uuid is not null) p
 left join names using (package_uuid)""",
@@ -372,7 +375,7 @@ left join owned on starts_with(request_url, prefix) and (provider <> '<unknown>'
 group by 1, 2""",
         "non_ci_hits": f"{_LOOKED_UP} select event_id from owned where provider = '<unknown>'",
         "ci_hits": f"{_LOOKED_UP} select event_id from owned where provider <> '<unknown>'",
-        "ci_variables_map": f"""{_PARSED}
+        "ci_variables_map": f"""{p}
 select event_id, nullif(regexp_extract(julia_ci_variables, '(?:^|;)CI=([^;]*)', 1), '') as ci,
        regexp_matches(julia_ci_variables, '=([^n;]|n[^;])') as is_ci_env
 from parsed""",
@@ -388,7 +391,7 @@ sums as (
               * (case event_type when 'click' then 4096 else 1 end) as bigint) as bytes
   from lines group by 1, 2)
 select user_id, event_type, bytes, {_human("bytes")} as human from sums""",
-        "sanitized": f"{_PARSED} select event_id, {no_address} from parsed",
+        "sanitized": f"{p} select event_id, {no_address} from parsed",
         "anonymize_line_filter": f"""{_LINES}
 select event_id, line from lines
 where contains(line, '/package') or contains(line, '/artifact') or contains(line, '/registry')""",
@@ -401,6 +404,6 @@ from (select split_part(line, ' ', 1) as client, count(*) as lines from lines gr
         "register_estimates": f"{_MD5_REGISTERS} {_estimate('regs', 'day')}",
         "register_merge": f"""{_MD5_REGISTERS},
 whole as (select bucket, max(rank) as rank from regs group by 1) {_estimate("whole", "")}""",
-        "daily_window_counts": f"{_PARSED} select cast(time_utc as date) as day, count(*) as n from parsed group by 1",
-        "streaming_daily_counts": f"{_PARSED} select cast(time_utc as date) as day, count(*) as n from parsed group by 1",
+        "daily_window_counts": f"{p} select cast(time_utc as date) as day, count(*) as n from parsed group by 1",
+        "streaming_daily_counts": f"{p} select cast(time_utc as date) as day, count(*) as n from parsed group by 1",
     }

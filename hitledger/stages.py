@@ -8,13 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: ``spark.checkpoint.dir``; a temporary one only if unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="hitledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="hitledger-")
+    return _own_folders[application]
 
 
 def shared(df: DataFrame) -> DataFrame:
