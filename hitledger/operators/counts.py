@@ -53,43 +53,58 @@ def hits_by_artifact(rows: DataFrame) -> DataFrame:
     return count_by(rows.where(is_artifact_request()), artifact_hash=F.col("artifact_hash"))
 
 
-def split_totals(rows: DataFrame) -> DataFrame:
-    """Package and artifact requests by CI flag; all four rows, absent ones with 0."""
-    per_kind = (
-        rows.withColumn("kind", request_kind())
-        .where(F.col("kind").isNotNull())
-        .agg(
-            *[
-                F.count_if((F.col("kind") == kind) & (F.col("is_ci") == ci)).alias(f"{kind}_{ci}")
-                for kind in (PACKAGE, ARTIFACT)
-                for ci in (False, True)
-            ]
-        )
+def split_totals(hits: DataFrame) -> DataFrame:
+    """Package and artifact requests by CI flag; all four rows, absent ones with 0.
+
+    ``hits`` has ``kind``, ``is_ci`` and a count ``n``: single requests or pre-aggregated ones.
+    """
+    cells = [(kind, ci) for kind in (PACKAGE, ARTIFACT) for ci in (False, True)]
+    summed = hits.agg(
+        *[
+            F.sum(F.when((F.col("kind") == kind) & (F.col("is_ci") == ci), F.col("n"))).alias(f"{kind}_{ci}")
+            for kind, ci in cells
+        ]
     )
-    cells = [
+    rows = [
         F.struct(
-            F.lit(kind).alias("kind"), F.lit(ci).alias("is_ci"), F.col(f"{kind}_{ci}").alias("n")
+            F.lit(kind).alias("kind"),
+            F.lit(ci).alias("is_ci"),
+            F.coalesce(f"{kind}_{ci}", F.lit(0)).cast("bigint").alias("n"),
         )
-        for kind in (PACKAGE, ARTIFACT)
-        for ci in (False, True)
+        for kind, ci in cells
     ]
-    return per_kind.select(F.inline(F.array(*cells)))
+    return summed.select(F.inline(F.array(*rows)))
+
+
+def single_requests(rows: DataFrame) -> DataFrame:
+    """(kind, is_ci, n = 1) of package and artifact requests."""
+    requests = rows.where(is_package_request() | is_artifact_request())
+    return requests.select(request_kind().alias("kind"), "is_ci", F.lit(1).alias("n"))
 
 
 # --- days -----------------------------------------------------------------------------
 
 
-def daily_hits(rows: DataFrame) -> DataFrame:
-    """(kind, key, day, n) of package and artifact requests that carry a time."""
-    kind = request_kind()
+def hits_by_key_and_day(rows: DataFrame, *more: str) -> DataFrame:
+    """(*more, kind, key, day, n) of package and artifact requests; no time is no day."""
     key = F.when(is_package_request(), F.col("package_uuid")).otherwise(F.col("artifact_hash"))
     return (
-        rows.where((is_package_request() | is_artifact_request()) & F.col("time_utc").isNotNull())
-        .groupBy(kind.alias("kind"), key.alias("key"), F.to_date("time_utc").alias("day"))
+        rows.where(is_package_request() | is_artifact_request())
+        .groupBy(
+            *more,
+            request_kind().alias("kind"),
+            key.alias("key"),
+            F.to_date("time_utc").alias("day"),
+        )
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def daily_hits(rows: DataFrame) -> DataFrame:
+    """(kind, key, day, n) of package and artifact requests that carry a time."""
+    return hits_by_key_and_day(rows).where(F.col("day").isNotNull())
+
+
 def plotted_days(daily: DataFrame) -> DataFrame:
     """Distinct package days without the first and the last one (time-zone edges)."""
     days = daily.where(F.col("kind") == PACKAGE).select("day").distinct()

@@ -259,7 +259,7 @@ def ci_provider_shuffled(spark, sf_dir):
 
 def ci_split_totals(spark, sf_dir):
     rows = enrich.with_ci_flag(parsed(spark, sf_dir), prefixes(spark))
-    return counts.split_totals(rows)
+    return counts.split_totals(counts.single_requests(rows))
 
 
 def non_ci_hits(spark, sf_dir):

@@ -91,11 +91,12 @@ def test_rows_without_time_count_in_totals_only(spark):
 
 
 def test_split_totals_lists_all_four(spark):
-    got = counts.split_totals(rows(spark, [hit("a", 1), hit("a", 1, ci=True), hit("b", 1)])).collect()
-    assert sorted(map(tuple, got)) == [
-        ("artifact", False, 0), ("artifact", True, 0), ("package", False, 2), ("package", True, 1),
-    ]
-    assert counts.split_totals(rows(spark, [])).count() == 4
+    df = rows(spark, [hit("a", 1), hit("a", 1, ci=True), hit("b", None), hit("a", 2)])
+    for hits in (counts.single_requests(df), counts.hits_by_key_and_day(df, "is_ci")):
+        assert sorted(map(tuple, counts.split_totals(hits).collect())) == [
+            ("artifact", False, 0), ("artifact", True, 0), ("package", False, 3), ("package", True, 1),
+        ]
+    assert counts.split_totals(counts.single_requests(rows(spark, []))).count() == 4
 
 
 def test_group_by_any_key_function(spark):
