@@ -10,21 +10,24 @@ from pyspark.sql import functions as F
 
 from hitledger.functions import patterns as P
 from hitledger.functions.iphash import hll_hash
-from hitledger.functions.layout import ACCESS_LOG, Layout
+from hitledger.functions.layout import ACCESS_LOG, Field, Layout
 from hitledger.functions.values import CASTS, absent_to_null, server_of
 
-# Lines are split on this character, so it cannot occur inside one.
+# Captured texts are separated by this character, which cannot occur inside a line.
 _MARK = "\n"
 
 
-def _captures(line: Column, layout: Layout) -> Column:
-    """All captured texts of one line, from a single pass of the regular expression.
+def _captures(line: Column, layout: Layout, fields: Sequence[Field]) -> Column:
+    """The captured texts of ``fields``, from a single pass of the regular expression.
 
-    A line that does not match is left as it is and yields one element.
+    They follow an empty first element. A line that does not match yields itself alone.
     """
-    n = len(layout.captured)
-    marked = F.regexp_replace(line, layout.regex, _MARK.join(f"${i}" for i in range(1, n + 1)))
-    return F.split(marked, _MARK)
+    marked = "".join(f"{_MARK}${layout.group_of[f.name]}" for f in fields)
+    return F.split(F.regexp_replace(line, layout.regex, marked), _MARK)
+
+
+def _matched(captures: Column, fields: Sequence[Field]) -> Column:
+    return F.size(captures) == len(fields) + 1
 
 
 def _present(captures: Column) -> Column:
@@ -33,11 +36,8 @@ def _present(captures: Column) -> Column:
     return F.transform(captures, absent_to_null)
 
 
-def _typed(captures: Column, layout: Layout) -> list[Column]:
-    return [
-        CASTS[f.kind](captures.getItem(layout.group_of[f.name] - 1)).alias(f.name)
-        for f in layout.captured
-    ]
+def _typed(captures: Column, fields: Sequence[Field]) -> list[Column]:
+    return [CASTS[f.kind](captures.getItem(i)).alias(f.name) for i, f in enumerate(fields, start=1)]
 
 
 def parse_lines(
@@ -46,21 +46,26 @@ def parse_lines(
     keep: Sequence[str] = (),
     file_name: Column | None = None,
     layout: Layout = ACCESS_LOG,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Typed rows of the lines that match ``layout``; ``keep`` columns pass through.
 
     The captures come out of a generator. Catalyst moves no filter and no projection below
     a generator, so each line meets the regular expression exactly once, however many of
     its fields a query filters on or returns. The generator also drops the other lines.
+    For the same reason Catalyst cannot prune captures: a job that needs few fields names
+    them in ``only``. Which lines match does not depend on it.
     """
-    n = len(layout.captured)
-    matched = F.filter(F.array(_captures(F.col(line), layout)), lambda c: F.size(c) == n)
+    fields = [f for f in layout.captured if only is None or f.name in only]
+    matched = F.filter(
+        F.array(_captures(F.col(line), layout, fields)), lambda c: _matched(c, fields)
+    )
     server = [] if file_name is None else [server_of(file_name).alias("pkgserver")]
     return lines.select(
         *keep, *server, F.explode(F.transform(matched, _present)).alias("_captures")
     ).select(
         *keep,
-        *_typed(F.col("_captures"), layout),
+        *_typed(F.col("_captures"), fields),
         *["pkgserver" for _ in server],
     )
 
@@ -77,19 +82,19 @@ def parse_or_reject(
     Rejected lines keep their text in ``line`` and say which piece failed; the typed columns
     are NULL. Parsed lines have NULL there.
     """
-    n = len(layout.captured)
+    fields = layout.captured
     once = lines.select(
         *keep,
         F.col(line).alias("line"),
         (F.lit(None).cast("string") if file_name is None else server_of(file_name)).alias("pkgserver"),
-        F.explode(F.array(_captures(F.col(line), layout))).alias("_captures"),
+        F.explode(F.array(_captures(F.col(line), layout, fields))).alias("_captures"),
     )
-    ok = F.size("_captures") == n
+    ok = _matched(F.col("_captures"), fields)
     typed = once.withColumn("_row", F.when(ok, _present(F.col("_captures"))))
     return typed.select(
         *keep,
         F.when(ok, "row").otherwise("reject").alias("record"),
-        *_typed(F.col("_row"), layout),
+        *_typed(F.col("_row"), fields),
         "pkgserver",
         F.when(~ok, F.col("line")).alias("line"),
         F.when(~ok, reject_field(F.col("line"), layout)).alias("reject_field"),

@@ -21,17 +21,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime(2024, 2, 8, 12, 0, 0)
 
 
-def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parsed(spark: SparkSession, sf_dir: str, *only: str) -> DataFrame:
+    """All fields and the server, or just some fields."""
     lines = sample_log.log_lines(spark, sf_dir)
+    if only:
+        return parse.parse_lines(lines, "line", ["event_id"], only=only)
     return parse.parse_lines(lines, "line", ["event_id"], F.col("src_file"))
 
 
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsed(
+        spark, sf_dir, "remote_addr", "time_utc", "request_url", "package_uuid", "artifact_hash"
+    )
+
+
 def prefixes(spark: SparkSession) -> enrich.PrefixTable:
     return enrich.PrefixTable.build(sample_log.prefix_rows(spark))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> counts.DailyHits:
-    rows = enrich.non_ci_rows(parsed(spark, sf_dir), prefixes(spark))
+    rows = enrich.non_ci_rows(report_rows(spark, sf_dir), prefixes(spark))
     return counts.DailyHits.of(shared(counts.daily_hits(rows)))
 
 
@@ -43,18 +52,19 @@ def parse_all_fields(spark, sf_dir):
 
 
 def parse_timestamps(spark, sf_dir):
-    return parsed(spark, sf_dir).select("event_id", "time_utc")
+    return parsed(spark, sf_dir, "time_utc")
 
 
 def parse_typed_values(spark, sf_dir):
-    return parsed(spark, sf_dir).select(
-        "event_id", "status", "body_bytes_sent", "request_time", "julia_interactive"
+    return parsed(
+        spark, sf_dir, "status", "body_bytes_sent", "request_time", "julia_interactive"
     )
 
 
 def parse_urls(spark, sf_dir):
-    return parsed(spark, sf_dir).select(
-        "event_id",
+    return parsed(
+        spark,
+        sf_dir,
         "request_method",
         "request_url",
         "request_http",
@@ -121,7 +131,7 @@ def file_selection(spark, sf_dir):
 
 def union_files(spark, sf_dir):
     lines = sample_log.log_lines(spark, sf_dir)
-    rows = parse.parse_lines(lines, "line", ["src_file"])
+    rows = parse.parse_lines(lines, "line", ["src_file"], only=["status"])
     return counts.count_by(rows, src_file=F.col("src_file"))
 
 
@@ -139,42 +149,42 @@ def freshness_anti_join(spark, sf_dir):
 
 
 def package_requests(spark, sf_dir):
-    rows = parsed(spark, sf_dir).where(counts.is_package_request())
+    rows = parsed(spark, sf_dir, "request_url").where(counts.is_package_request())
     return rows.select("event_id", "request_url")
 
 
 def artifact_requests(spark, sf_dir):
-    rows = parsed(spark, sf_dir).where(counts.is_artifact_request())
+    rows = parsed(spark, sf_dir, "request_url").where(counts.is_artifact_request())
     return rows.select("event_id", "request_url")
 
 
 def hits_by_package(spark, sf_dir):
-    hits = counts.hits_by_package(parsed(spark, sf_dir)).where(F.col("package_uuid").isNotNull())
+    hits = counts.hits_by_package(parsed(spark, sf_dir, "request_url", "package_uuid")).where(F.col("package_uuid").isNotNull())
     return counts.ranked(hits, "package_uuid")
 
 
 def hits_by_artifact(spark, sf_dir):
-    hits = counts.hits_by_artifact(parsed(spark, sf_dir)).where(F.col("artifact_hash").isNotNull())
+    hits = counts.hits_by_artifact(parsed(spark, sf_dir, "request_url", "artifact_hash")).where(F.col("artifact_hash").isNotNull())
     return counts.ranked(hits, "artifact_hash")
 
 
 def hits_by_package_with_missing(spark, sf_dir):
     """Malformed package paths form a group of their own."""
-    return counts.hits_by_package(parsed(spark, sf_dir))
+    return counts.hits_by_package(parsed(spark, sf_dir, "request_url", "package_uuid"))
 
 
 def plotted_days(spark, sf_dir):
-    rows = enrich.non_ci_rows(parsed(spark, sf_dir), prefixes(spark))
+    rows = enrich.non_ci_rows(report_rows(spark, sf_dir), prefixes(spark))
     return counts.plotted_days(shared(counts.daily_hits(rows)))
 
 
 def plotted_day_labels(spark, sf_dir):
-    rows = enrich.non_ci_rows(parsed(spark, sf_dir), prefixes(spark))
+    rows = enrich.non_ci_rows(report_rows(spark, sf_dir), prefixes(spark))
     return counts.plotted_day_labels(shared(counts.daily_hits(rows)))
 
 
 def hits_by_month_day(spark, sf_dir):
-    return counts.count_by(parsed(spark, sf_dir), label=month_day(F.col("time_utc")))
+    return counts.count_by(parsed(spark, sf_dir, "time_utc"), label=month_day(F.col("time_utc")))
 
 
 def package_downloads_by_day(spark, sf_dir):
@@ -201,7 +211,7 @@ def top10_package_series(spark, sf_dir):
 
 
 def group_by_expr(spark, sf_dir):
-    rows = parsed(spark, sf_dir)
+    rows = parsed(spark, sf_dir, "request_url", "status", "time_utc")
     return counts.count_by(
         rows,
         kind=F.coalesce(counts.request_kind(), F.lit("other")),
@@ -211,20 +221,20 @@ def group_by_expr(spark, sf_dir):
 
 
 def row_count(spark, sf_dir):
-    return parsed(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return parsed(spark, sf_dir, "remote_addr").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_clients(spark, sf_dir):
-    return counts.count_distinct_of(parsed(spark, sf_dir), "remote_addr")
+    return counts.count_distinct_of(parsed(spark, sf_dir, "remote_addr"), "remote_addr")
 
 
 def distinct_packages(spark, sf_dir):
-    return counts.count_distinct_of(parsed(spark, sf_dir), "package_uuid")
+    return counts.count_distinct_of(parsed(spark, sf_dir, "package_uuid"), "package_uuid")
 
 
 def distinct_values(spark, sf_dir):
     return (
-        counts.present_values(parsed(spark, sf_dir), "julia_version")
+        counts.present_values(parsed(spark, sf_dir, "julia_version"), "julia_version")
         .distinct()
         .withColumnRenamed("julia_version", "value")
     )
@@ -232,7 +242,7 @@ def distinct_values(spark, sf_dir):
 
 def present_values(spark, sf_dir):
     """Every non-missing user agent, with how often it occurs."""
-    agents = counts.present_values(parsed(spark, sf_dir), "http_user_agent")
+    agents = counts.present_values(parsed(spark, sf_dir, "http_user_agent"), "http_user_agent")
     return counts.count_by(agents, value=F.col("http_user_agent"))
 
 
@@ -240,39 +250,39 @@ def present_values(spark, sf_dir):
 
 
 def package_names(spark, sf_dir):
-    seen = counts.hits_by_package(parsed(spark, sf_dir)).where(F.col("package_uuid").isNotNull())
+    seen = counts.hits_by_package(parsed(spark, sf_dir, "request_url", "package_uuid")).where(F.col("package_uuid").isNotNull())
     named = enrich.with_package_name(seen, sample_log.registry_names(spark, sf_dir))
     return named.select("package_uuid", "name")
 
 
 def ci_provider(spark, sf_dir):
-    rows = parsed(spark, sf_dir).select("event_id", "remote_addr")
+    rows = parsed(spark, sf_dir, "remote_addr")
     return enrich.with_provider(rows, prefixes(spark)).select("event_id", "provider")
 
 
 def ci_provider_shuffled(spark, sf_dir):
     """The same lookup the way a prefix table too large to broadcast takes."""
-    rows = parsed(spark, sf_dir).select("event_id", "remote_addr")
+    rows = parsed(spark, sf_dir, "remote_addr")
     large = enrich.PrefixTable.build(sample_log.prefix_rows(spark), most_rows=0)
     return enrich.with_provider(rows, large).select("event_id", "provider")
 
 
 def ci_split_totals(spark, sf_dir):
-    rows = enrich.with_ci_flag(parsed(spark, sf_dir), prefixes(spark))
+    rows = enrich.with_ci_flag(parsed(spark, sf_dir, "remote_addr", "request_url"), prefixes(spark))
     return counts.split_totals(counts.single_requests(rows))
 
 
 def non_ci_hits(spark, sf_dir):
-    return enrich.non_ci_rows(parsed(spark, sf_dir), prefixes(spark)).select("event_id")
+    return enrich.non_ci_rows(parsed(spark, sf_dir, "remote_addr"), prefixes(spark)).select("event_id")
 
 
 def ci_hits(spark, sf_dir):
-    return enrich.ci_rows(parsed(spark, sf_dir), prefixes(spark)).select("event_id")
+    return enrich.ci_rows(parsed(spark, sf_dir, "remote_addr"), prefixes(spark)).select("event_id")
 
 
 def ci_variables_map(spark, sf_dir):
     variables = F.col("julia_ci_variables")
-    return parsed(spark, sf_dir).select(
+    return parsed(spark, sf_dir, "julia_ci_variables").select(
         "event_id",
         F.try_element_at(enrich.ci_variables(variables), F.lit("CI")).alias("ci"),
         enrich.is_ci_environment(variables).alias("is_ci_env"),
@@ -350,13 +360,15 @@ def masked_columns(spark, sf_dir):
 
 
 def hashed_clients(spark, sf_dir):
-    rows = parsed(spark, sf_dir).select(F.col("remote_addr").alias("ip"))
+    rows = parsed(spark, sf_dir, "remote_addr").select(F.col("remote_addr").alias("ip"))
     # hashed where the rows are parsed, as the ingest job does it
     return rows.withColumn("hll_hash", hll_hash(F.col("ip"))).distinct()
 
 
 def hll_estimate(spark, sf_dir):
-    rows = parsed(spark, sf_dir).select(F.to_date("time_utc").alias("day"), "remote_addr")
+    rows = parsed(spark, sf_dir, "remote_addr", "time_utc").select(
+        F.to_date("time_utc").alias("day"), "remote_addr"
+    )
     hashed = rows.withColumn("hll_hash", hll_hash(F.col("remote_addr")))
     return registers.estimate_clients(hashed, ["day"])
 
@@ -368,7 +380,7 @@ def _md5_registers(spark, sf_dir):
         (F.when(F.substring(digest, 20 + i, 1) < "8", 1).otherwise(0) for i in range(4)), F.lit(0)
     )
     bucket = F.concat(F.substring(digest, 1, 2), F.lit("0"), F.substring(digest, 3, 1))
-    return parsed(spark, sf_dir).select(
+    return parsed(spark, sf_dir, "remote_addr", "time_utc").select(
         F.to_date("time_utc").alias("day"),
         F.concat(bucket, F.lpad(F.hex(rank), 2, "0")).alias("hll_hash"),
     )
@@ -394,7 +406,7 @@ def register_merge(spark, sf_dir):
 
 
 def daily_window_counts(spark, sf_dir):
-    return daily_counts(parsed(spark, sf_dir))
+    return daily_counts(parsed(spark, sf_dir, "time_utc"))
 
 
 def streaming_daily_counts(spark, sf_dir):
@@ -403,7 +415,7 @@ def streaming_daily_counts(spark, sf_dir):
     schema = spark.read.parquet(folder).schema
     events = spark.readStream.schema(schema).parquet(folder)
     lines = sample_log.lines_of_events(events)
-    rows = parse.parse_lines(lines, "line", ["event_id"], F.col("src_file"))
+    rows = parse.parse_lines(lines, "line", ["event_id"], only=["time_utc"])
     return run_to_folder(daily_counts(rows), "complete")
 
 

@@ -100,7 +100,7 @@ def mirror_traffic(
 
 def quick_look(spark: SparkSession, path: str) -> DataFrame:
     """Distinct clients and packages of one log file."""
-    rows = parse_lines(text_lines(spark, path), file_name=F.col("src_file"))
+    rows = parse_lines(text_lines(spark, path), only=["remote_addr", "package_uuid"])
     return rows.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("remote_addr").alias("clients"),

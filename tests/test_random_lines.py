@@ -123,6 +123,12 @@ def test_random_lines_against_plain_reading(spark, strict):
     assert got.keys() == parsed
     for i in parsed:
         assert got[i] == {"id": i, **want[i]}, texts[i]
+    few = ["status", "time_utc", "request_url"]
+    part = parse_lines(df, "value", ["id"], layout=layout, only=few)
+    assert part.columns == ["id", "time_utc", "request_url", "status"]
+    assert {r.id: (r.time_utc, r.request_url, r.status) for r in part.collect()} == {
+        i: (w["time_utc"], w["request_url"], w["status"]) for i, w in want.items() if w is not None
+    }
     once = parse_or_reject(df, "value", ["id"], layout=layout).collect()
     assert len(once) == len(texts)
     assert {r.id for r in once if r.record == "row"} == parsed
