@@ -105,9 +105,13 @@ def daily_hits(rows: DataFrame) -> DataFrame:
     return hits_by_key_and_day(rows).where(F.col("day").isNotNull())
 
 
+def _package_days(daily: DataFrame) -> DataFrame:
+    return daily.where(F.col("kind") == PACKAGE).select("day").distinct()
+
+
 def plotted_days(daily: DataFrame) -> DataFrame:
     """Distinct package days without the first and the last one (time-zone edges)."""
-    days = daily.where(F.col("kind") == PACKAGE).select("day").distinct()
+    days = _package_days(daily)
     return days.where(_inside(days, "day"))
 
 
@@ -190,7 +194,8 @@ class DailyHits:
     @classmethod
     def of(cls, table: DataFrame) -> DailyHits:
         """``table`` is the result of ``daily_hits``, written or checkpointed: it is read often."""
-        return cls(table, sorted(r.day for r in plotted_days(table).collect()))
+        present = sorted(r.day for r in _package_days(table).collect())
+        return cls(table, present[1:-1])
 
     def trimmed(self, kind: str) -> DataFrame:
         """(key, day, n) of one kind on the plotted days, which always come from packages."""

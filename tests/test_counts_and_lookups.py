@@ -38,7 +38,9 @@ def test_human_bytes_of_larger_units(spark):
 
 def test_day_trim(spark):
     data = [hit("a", 1), hit("a", 2), hit("b", 2), hit("a", 3), hit("b", 5), hit("x", 4, "artifact"), hit("x", 2, "artifact")]
-    daily = counts.DailyHits.of(counts.daily_hits(rows(spark, data)))
+    hits = counts.daily_hits(rows(spark, data))
+    daily = counts.DailyHits.of(hits)
+    assert daily.days == sorted(r.day for r in counts.plotted_days(hits).collect())
     # day 4 has artifact hits only, so it is not plotted
     assert daily.days == [date(2024, 1, 2), date(2024, 1, 3)]
     assert sorted(daily.trimmed("artifact").collect()) == [("x", date(2024, 1, 2), 1)]
