@@ -30,9 +30,10 @@ def utc_time(text: Column) -> Column:
     clock = F.concat(F.substring(text, F.lit(1), F.length(text) - 7), F.lit(" UTC"))
     local = F.unix_seconds(F.try_to_timestamp(clock, F.lit(_CLOCK_FORMAT)))
     digits = F.translate(F.right(text, F.lit(7)), " :]", "").try_cast("int")
-    offset = (digits / 100).cast("int") * 3600 + digits % 100 * 60
+    # signed hhmm: a unit is 36 seconds, which leaves 24 to each minute
+    offset = digits * 36 + digits % 100 * 24
     start = F.lit("1970-01-01").cast("timestamp_ntz")
-    utc = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), local - offset)
+    utc = start + (local - offset).cast("interval second")
     return F.when(text.rlike(P.LOG_TIME), utc)
 
 

@@ -50,7 +50,7 @@ def fake_hash(digest: Column) -> Column:
 def _fake_moment(digest: Column) -> Column:
     seconds = _hex_number(digest, 1, 13) % (P.MASKED_DAYS * 24 * 60 * 60)
     start = F.lit(P.MASKED_FROM).cast("timestamp_ntz")
-    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return start + seconds.cast("interval second")
 
 
 def fake_local_time(digest: Column) -> Column:
