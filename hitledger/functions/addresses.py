@@ -18,10 +18,10 @@ _GROUP = "^[0-9a-f]{1,4}$"
 
 
 def _quad_hex(quad: Column) -> Column:
-    octets = F.split(quad, r"\.")
     number = F.lit(0).cast("bigint")
-    for i in range(4):
-        number = number * 256 + F.get(octets, F.lit(i)).try_cast("bigint")
+    for i in range(1, 5):
+        octet = F.substring_index(F.substring_index(quad, ".", i), ".", -1)
+        number = number * 256 + octet.try_cast("bigint")
     return F.lpad(F.hex(number), 8, "0")
 
 
