@@ -1,25 +1,33 @@
-"""Cutting a plan at a small intermediate result that several later steps share."""
+"""Cutting a plan at an intermediate result that several later steps share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_own_folders: dict[str, str] = {}
+#: Used on local masters only, where driver and executors are one process.
+LOCAL_FOLDER = "file:///tmp/checkpoints"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors see: ``spark.checkpoint.dir``; a temporary one only if unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    Where it is unset a local master gets a fixed folder; a cluster gets an error, because
+    part files written to the executors' own disks would be missing from later reads.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    application = spark.sparkContext.applicationId
-    if application not in _own_folders:
-        _own_folders[application] = tempfile.mkdtemp(prefix="hitledger-")
-    return _own_folders[application]
+    local = spark.conf.get("spark.master", "").split("[")[0] == "local"
+    if not folder:
+        if not local:
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        return LOCAL_FOLDER
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A path below the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 def shared(df: DataFrame) -> DataFrame:
@@ -28,6 +36,15 @@ def shared(df: DataFrame) -> DataFrame:
     Unlike a checkpoint the table keeps column statistics, and is computed in one job.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    path = new_folder(spark, "stage")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Deletes the folder behind a table made by ``shared`` once no plan needs it any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        if folder.rsplit("/", 1)[-1].startswith("stage-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
