@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hitledger.llm.mixing import OP10_SQL, op10_mix_sources
+from hitledger.llm.quality import OP5_SQL, op5_quality_rules
 
-QUERIES = {"op10_mix_sources": op10_mix_sources}
-SQL = {"op10_mix_sources": OP10_SQL}
+QUERIES = {"op5_quality_rules": op5_quality_rules, "op10_mix_sources": op10_mix_sources}
+SQL = {"op5_quality_rules": OP5_SQL, "op10_mix_sources": OP10_SQL}
