@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+from hitledger.llm.bpe import op1_byte_bpe
 from hitledger.llm.linededup import OP3_SQL, op3_line_dedup
 from hitledger.llm.mixing import OP10_SQL, op10_mix_sources
 from hitledger.llm.quality import OP5_SQL, op5_quality_rules
 
-QUERIES = {"op3_line_dedup": op3_line_dedup, "op5_quality_rules": op5_quality_rules, "op10_mix_sources": op10_mix_sources}
-SQL = {"op3_line_dedup": OP3_SQL, "op5_quality_rules": OP5_SQL, "op10_mix_sources": OP10_SQL}
+QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op3_line_dedup": op3_line_dedup,
+    "op5_quality_rules": op5_quality_rules,
+    "op10_mix_sources": op10_mix_sources,
+}
+SQL = {
+    "op3_line_dedup": OP3_SQL,
+    "op5_quality_rules": OP5_SQL,
+    "op10_mix_sources": OP10_SQL,
+}
