@@ -6,15 +6,18 @@ from hitledger.llm.bpe import op1_byte_bpe
 from hitledger.llm.linededup import OP3_SQL, op3_line_dedup
 from hitledger.llm.mixing import OP10_SQL, op10_mix_sources
 from hitledger.llm.quality import OP5_SQL, op5_quality_rules
+from hitledger.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc": op6_warc,
     "op10_mix_sources": op10_mix_sources,
 }
 SQL = {
     "op3_line_dedup": OP3_SQL,
     "op5_quality_rules": OP5_SQL,
+    "op6_warc": OP6_SQL,
     "op10_mix_sources": OP10_SQL,
 }
