@@ -5,6 +5,7 @@ from __future__ import annotations
 from hitledger.llm.bpe import op1_byte_bpe
 from hitledger.llm.linededup import OP3_SQL, op3_line_dedup
 from hitledger.llm.mixing import OP10_SQL, op10_mix_sources
+from hitledger.llm.neardup import op9_near_duplicates
 from hitledger.llm.quality import OP5_SQL, op5_quality_rules
 from hitledger.llm.warc import OP6_SQL, op6_warc
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_mix_sources": op10_mix_sources,
 }
 SQL = {
