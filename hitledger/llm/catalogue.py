@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hitledger.llm.bpe import op1_byte_bpe
+from hitledger.llm.brown import op2_brown_scores
 from hitledger.llm.linededup import OP3_SQL, op3_line_dedup
 from hitledger.llm.mixing import OP10_SQL, op10_mix_sources
 from hitledger.llm.neardup import op9_near_duplicates
@@ -11,6 +12,7 @@ from hitledger.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_brown_scores": op2_brown_scores,
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,

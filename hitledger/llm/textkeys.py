@@ -66,8 +66,7 @@ class Words:
 
     offsets: np.ndarray
     keys: np.ndarray
-    last_byte: np.ndarray | None = None
-    wide: np.ndarray | None = None
+    endings: np.ndarray | None = None
 
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
@@ -84,13 +83,16 @@ def string_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words(column: pa.Array, folding=SPACED, forms: bool = False) -> Words:
-    """Words of each row; ``forms`` adds the last byte and whether a byte is beyond ASCII."""
+    """Words of each row; ``forms`` adds ``endings``.
+
+    An ending is the last byte, plus 256 times the byte before it (0 if there is none), plus 2**16
+    if any byte is beyond ASCII.
+    """
     is_word, codes = folding
     data, offsets = string_parts(column)
     if not len(data):
-        none = np.zeros(0, np.uint8)
-        return Words(np.zeros(len(offsets), np.int64), np.zeros(0, _U), none, none.astype(bool))
-    keys, starts, lasts, wides, at = [], [], [], [], 0
+        return Words(np.zeros(len(offsets), np.int64), np.zeros(0, _U), np.zeros(0, np.int32))
+    keys, starts, endings, at = [], [], [], 0
     while at < len(data):
         stop = _cut(data, offsets, is_word, at)
         part = data[at:stop]
@@ -110,17 +112,16 @@ def words(column: pa.Array, folding=SPACED, forms: bool = False) -> Words:
         keys.append(mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(_U)))
         starts.append(begin + at)
         if forms:
-            lasts.append(part[end - 1])
             beyond = np.zeros(len(part) + 1, np.int32)
             np.cumsum(part >= 128, out=beyond[1:])
-            wides.append(beyond[end] > beyond[begin])
+            before = np.where(end - begin > 1, part[np.maximum(end - 2, 0)], 0).astype(np.int32)
+            endings.append(part[end - 1] + (before << 8) + ((beyond[end] > beyond[begin]).astype(np.int32) << 16))
         at = stop
     all_starts = np.concatenate(starts)
     return Words(
         np.searchsorted(all_starts, offsets).astype(np.int64),
         np.concatenate(keys),
-        np.concatenate(lasts) if forms else None,
-        np.concatenate(wides) if forms else None,
+        np.concatenate(endings) if forms else None,
     )
 
 
