@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hitledger.llm.bpe import op1_byte_bpe
 from hitledger.llm.brown import op2_brown_scores
+from hitledger.llm.language import op7_language
 from hitledger.llm.linededup import OP3_SQL, op3_line_dedup
 from hitledger.llm.mixing import OP10_SQL, op10_mix_sources
 from hitledger.llm.neardup import op9_near_duplicates
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
+    "op7_language": op7_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_mix_sources": op10_mix_sources,
 }
