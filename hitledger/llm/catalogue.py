@@ -10,6 +10,7 @@ from hitledger.llm.linededup import OP3_SQL, op3_line_dedup
 from hitledger.llm.mixing import OP10_SQL, op10_mix_sources
 from hitledger.llm.neardup import op9_near_duplicates
 from hitledger.llm.quality import OP5_SQL, op5_quality_rules
+from hitledger.llm.vectors import op8_near_vectors
 from hitledger.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
     "op7_language": op7_language,
+    "op8_near_vectors": op8_near_vectors,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_mix_sources": op10_mix_sources,
 }
