@@ -131,6 +131,7 @@ def mix(
 ) -> DataFrame:
     """Adds ``taken`` (words used, repeats counted) and ``uses`` (source, words) to every document.
 
+    ``docs`` is read four times, so it should be a written table where ``size`` is costly.
     ``sources`` is an array of source names. Sums of ``taken`` meet ``targets`` rounded down
     wherever the flow can; the one document at the end of a segment is used in part, unless
     ``whole``, which rounds it to the nearer number of whole uses.
@@ -238,12 +239,16 @@ def source_targets(docs: DataFrame, size: Column, source: str, share: float = 1.
 
 
 def mix_documents(docs: DataFrame, whole: bool = False) -> tuple[DataFrame, dict]:
-    """All documents mixed by their one ``source``: (documents with ``taken``, totals by source)."""
-    totals = source_targets(docs, word_count(F.col("text")), "source")
+    """Documents by their one ``source``: (rows with ``size`` and ``taken``, totals by source).
+
+    Words are counted once, into a table; all else reads that.
+    """
+    counted = shared(docs.withColumn("size", word_count(F.col("text"))) if "text" in docs.columns else docs)
+    totals = source_targets(counted, F.col("size"), "source")
     mixed = mix(
-        docs,
+        counted,
         doc_id="doc_id",
-        size=word_count(F.col("text")),
+        size=F.col("size"),
         sources=F.array(F.col("source").cast("string")),
         targets={s: t for s, (_, t) in totals.items()},
         whole=whole,
@@ -253,14 +258,14 @@ def mix_documents(docs: DataFrame, whole: bool = False) -> tuple[DataFrame, dict
 
 def op10_mix_sources(spark, sf_dir: str) -> DataFrame:
     """Per document: size, source_size, target of its source, taken."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    mixed, totals = mix_documents(docs)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    mixed, totals = mix_documents(sized)
     table = spark.createDataFrame(
         [(s, size, target) for s, (size, target) in totals.items()],
         "source string, source_size long, target double",
     )
-    rows = mixed.select("doc_id", "source", word_count(F.col("text")).alias("size"), "taken")
-    joined = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["source"]))
+    joined = mixed.join(F.broadcast(table), mixed["source"].eqNullSafe(table["source"]))
     return joined.select("doc_id", "size", "source_size", "target", "taken")
 
 
