@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from hitledger.plans import exports, jobs, refresh
 from hitledger.session import SETTINGS
-from hitledger.sources.dimensions import ci_prefixes, registries
+from hitledger.sources.dimensions import ci_prefixes, read_secret, registries
 
 
 def _arguments() -> argparse.Namespace:
@@ -35,8 +35,11 @@ def _arguments() -> argparse.Namespace:
     anonymize = job.add_parser("anonymize", help="mask addresses, hashes and times of a log")
     anonymize.add_argument("source")
     anonymize.add_argument("output")
-    anonymize.add_argument("--key", required=True)
-    anonymize.add_argument("--seed", default="")
+    anonymize.add_argument("--key-file", required=True)
+    anonymize.add_argument("--seed", default=None, help="default: a fresh one for each run")
+
+    tidy = job.add_parser("tidy", help="find damaged rows, remove superseded runs")
+    tidy.add_argument("store")
 
     mirror = job.add_parser("mirror", help="bytes a mirror served in the last 30 days")
     mirror.add_argument("logs")
@@ -54,10 +57,18 @@ def main() -> None:
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     as_of = args.as_of or datetime.now(UTC).replace(tzinfo=None)
-    if args.job == "parse" and args.dir:
-        print(jobs.parse_directory(spark, args.dir, args.store, as_of, args.key_file), "files parsed")
-    elif args.job == "parse":
-        print(jobs.parse_files(spark, args.files, args.store, args.key_file), "files parsed")
+    if args.job == "parse":
+        if args.dir:
+            print(jobs.parse_directory(spark, args.dir, args.store, as_of, args.key_file), "files parsed")
+        else:
+            print(jobs.parse_files(spark, args.files, args.store, args.key_file), "files parsed")
+        report = jobs.parse_report(spark, args.store, args.dir)
+        for title, table in (("not readable", report.unreadable), ("no date in the name", report.undated)):
+            for row in table.limit(100).collect():
+                print(f"{title}: {row.src_path}")
+        report.rejects.show(50, truncate=False)
+    elif args.job == "tidy":
+        print("{} files to parse again, {} runs removed".format(*jobs.tidy(spark, args.store)))
     elif args.job == "report":
         rows = refresh.read_recent(spark, args.store, as_of)
         registry = registries(spark, args.registries)
@@ -68,7 +79,8 @@ def main() -> None:
     elif args.job == "sanitize":
         exports.write_sanitized(refresh.read_rows(spark, args.store), args.output, args.format)
     elif args.job == "anonymize":
-        jobs.anonymize_file(spark, args.source, args.output, args.key, args.seed)
+        key = read_secret(spark, args.key_file).hex()
+        jobs.anonymize_file(spark, args.source, args.output, key, args.seed)
     elif args.job == "mirror":
         per_day, total = jobs.mirror_traffic(spark, args.logs, args.cache, as_of)
         per_day.orderBy("day").show(40)

@@ -1,7 +1,8 @@
 """Fixed values of the log contract: patterns, formats and constants.
 
 Everything in this file is a fixed value: it has to equal what the log format and
-the published masking rules use, or results differ. Logic lives elsewhere.
+the published masking rules use, or results differ. Logic lives elsewhere. ``[^\\n]`` stands for
+"any character": Java's dot would also stop at carriage returns and other line ends.
 """
 
 # --- pieces of one access-log line -------------------------------------------------
@@ -24,7 +25,6 @@ LOG_TIME = (
     r"^\[(?:\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4}"
     r"|\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{2}:\d{2})\]$"
 )
-MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 # --- file names ---------------------------------------------------------------------
 ACCESS_LOG_NAME = r"^access_.*\.pkg\.julia.*\.((gz)|(zst))"

@@ -57,6 +57,12 @@ def parse_lines(
     them in ``only``. Which lines match does not depend on it.
     """
     fields = [f for f in layout.captured if only is None or f.name in only]
+    if only is not None and len(fields) != len(set(only)):
+        unknown = sorted(set(only) - {f.name for f in layout.captured})
+        raise ValueError(f"the layout has no such fields: {unknown}")
+    # at least one group, so that a line that matches yields more than itself
+    fields = fields or layout.captured[:1]
+    wanted = [f for f in fields if only is None or f.name in only]
     matched = F.filter(
         F.array(_captures(F.col(line), layout, fields)), lambda c: _matched(c, fields)
     )
@@ -65,7 +71,7 @@ def parse_lines(
         *keep, *server, F.explode(F.transform(matched, _present)).alias("_captures")
     ).select(
         *keep,
-        *_typed(F.col("_captures"), fields),
+        *_typed(F.col("_captures"), wanted),
         *["pkgserver" for _ in server],
     )
 

@@ -416,7 +416,7 @@ def streaming_daily_counts(spark, sf_dir):
     events = spark.readStream.schema(schema).parquet(folder)
     lines = sample_log.lines_of_events(events)
     rows = parse.parse_lines(lines, "line", ["event_id"], only=["time_utc"])
-    return run_to_folder(daily_counts(rows), "complete")
+    return run_to_folder(daily_counts(rows), "update", keys=["day"])
 
 
 CATALOGUE: dict[str, Query] = {

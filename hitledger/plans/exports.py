@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitledger.functions.layout import ACCESS_LOG, Layout
 from hitledger.operators import counts, enrich, mirror, privacy
 from hitledger.sources.listing import list_files
 from hitledger.sources.tables import read_if_present
@@ -41,10 +42,16 @@ def write_artifact_report(daily: counts.DailyHits, output: str, as_of: datetime)
     return _csv(report, report_folder(output, counts.ARTIFACT, as_of))
 
 
-def write_sanitized(rows: DataFrame, output: str, fmt: str = "parquet") -> None:
-    """Rows without the address, one folder per source file; no shuffle."""
+def write_sanitized(
+    rows: DataFrame, output: str, fmt: str = "parquet", layout: Layout = ACCESS_LOG
+) -> None:
+    """Exactly the parsed columns but the address, one folder per source file; no shuffle.
+
+    No path and no run of the store is published. ``legacy_csv`` reads the CSV form back.
+    """
     codec = "zstd" if fmt == "parquet" else "gzip"
-    writer = privacy.without_address(rows).write.mode("overwrite").partitionBy("src_file")
+    parsed = rows.select(*[f.name for f in layout.schema], "src_file")
+    writer = privacy.without_address(parsed).write.mode("overwrite").partitionBy("src_file")
     writer.option("compression", codec).option("header", True).format(fmt).save(output)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -15,8 +16,8 @@ from hitledger.operators.parse import parse_lines
 from hitledger.plans import exports, refresh
 from hitledger.stages import shared
 from hitledger.sources.dimensions import read_secret
-from hitledger.sources.listing import default_selection, list_files
-from hitledger.sources.textscan import raw_lines, text_lines
+from hitledger.sources.listing import default_selection, list_files, undated_files
+from hitledger.sources.textscan import in_mirror_window, text_lines
 
 
 def parse_directory(
@@ -38,6 +39,35 @@ def parse_files(spark: SparkSession, files: Sequence[str], store: str, key_file:
     return refresh.refresh_files(spark, store, list_files(spark, *files), _secret(spark, key_file))
 
 
+@dataclass(frozen=True)
+class ParseReport:
+    """What a user should hear after parsing."""
+
+    unreadable: DataFrame
+    undated: DataFrame
+    rejects: DataFrame
+
+
+def parse_report(spark: SparkSession, store: str, directory: str | None = None) -> ParseReport:
+    """Files that could not be decoded, access logs whose names hold no date, rejects by reason."""
+    rejects = refresh.read_rejects(spark, store)
+    names = [] if directory is None else [directory]
+    listed = list_files(spark, *names) if names else refresh.manifest(spark, store).select(
+        "src_path", F.substring_index("src_path", "/", -1).alias("src_file")
+    )
+    return ParseReport(
+        refresh.unreadable_files(spark, store),
+        undated_files(listed).select("src_path"),
+        rejects.groupBy("reject_class", "reject_field").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reject_field"),
+    )
+
+
+def tidy(spark: SparkSession, store: str) -> tuple[int, int]:
+    """Marks files with damaged rows for parsing and removes superseded runs: how many of each."""
+    damaged = refresh.drop_damaged(spark, store).count()
+    return damaged, len(refresh.remove_superseded(spark, store))
+
+
 def _secret(spark: SparkSession, key_file: str | None) -> bytes:
     return b"" if key_file is None else read_secret(spark, key_file)
 
@@ -81,11 +111,24 @@ def anonymize_file(
     source: str,
     output: str,
     key: str,
-    seed: str = "",
+    seed: str | None = None,
     random_share: float = P.MASK_RANDOM_SHARE,
 ) -> None:
-    lines = raw_lines(spark, source).select("value")
-    exports.write_anonymized(lines, output, key, seed=seed, random_share=random_share)
+    """Masks the resource lines of log files. Without a seed every run draws afresh.
+
+    A line's identity is its file and its place in the scan, so equal lines draw differently.
+    """
+    lines = text_lines(spark, source).select(
+        "value", "src_path", F.monotonically_increasing_id().alias("place")
+    )
+    exports.write_anonymized(
+        lines,
+        output,
+        key,
+        identity=["src_path", "place"],
+        seed=secrets.token_hex(16) if seed is None else seed,
+        random_share=random_share,
+    )
 
 
 def mirror_traffic(
@@ -93,8 +136,7 @@ def mirror_traffic(
 ) -> tuple[DataFrame, DataFrame]:
     """(bytes per day, total) of the mirror logs of the last 30 days."""
     exports.cache_mirror_lines(spark, logs, cache, as_of)
-    oldest = F.date_sub(F.lit(as_of).cast("date"), P.MIRROR_WINDOW_DAYS)
-    per_day = exports.mirror_bytes(spark, cache).where(F.col("day") >= oldest)
+    per_day = exports.mirror_bytes(spark, cache).where(in_mirror_window(F.col("day"), as_of))
     return per_day, mirror.total_bytes(per_day)
 
 

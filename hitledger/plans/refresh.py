@@ -2,14 +2,15 @@
 
 Layout below one root folder:
 
-* ``table/record=<row|reject>/log_date=<day>/src_id=<id>/`` zstd Parquet, one partition per
-  source file, overwritten as a whole when that file is parsed again;
+* ``table/run_id=<run>/record=<row|reject>/log_date=<day>/`` zstd Parquet. Every run writes a
+  folder of its own and never touches another's; ``src_id`` tells the source files apart;
 * ``manifest/`` one appended row per file and run: what was read (path, modification time,
-  length), how (key fingerprint, parser version), what came out (row and reject counts).
+  length), how (key fingerprint, parser version), what came out (status, row and reject counts).
 
 A file is stale when the manifest's newest entry for its path does not match what is on
-disk now. Rows count only if the manifest names their run, so a run that dies before its
-manifest rows are written leaves nothing visible and is simply repeated.
+disk now. Rows count only if the manifest names their run for their file. So a run that dies
+before its manifest rows are written changes nothing: the rows of earlier runs stay published, and
+its files are parsed again. ``remove_superseded`` deletes runs that no file needs any more.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ from pyspark.sql import types as T
 from hitledger.functions import patterns as P
 from hitledger.functions.layout import ACCESS_LOG, Layout
 from hitledger.operators.parse import parse_or_reject, with_hll_hash
-from hitledger.sources.codecs import with_codec
+from hitledger.sources.codecs import damaged_files, with_codec
 from hitledger.sources.listing import file_date, list_files
 from hitledger.sources.tables import read_if_present
 from hitledger.sources.textscan import lines_of_files
 
-PARSER_VERSION = 1
+PARSER_VERSION = 2
 # Manifest entries that may be broadcast to check rows against: 16 bytes each.
 BROADCAST_FILES = 1_000_000
 
@@ -54,9 +55,11 @@ MANIFEST = _struct(
     n_rows=_LONG,
     n_rejects=_LONG,
 )
-_SOURCE = _struct(src_path=_TEXT, src_file=_TEXT, run_id=_TEXT)
+_SOURCE = _struct(src_path=_TEXT, src_file=_TEXT, src_id=_TEXT)
 _REASONS = _struct(line=_TEXT, reject_field=_TEXT, reject_class=_TEXT)
-_PARTITIONS = _struct(record=_TEXT, log_date=T.DateType(), src_id=_TEXT)
+_PARTITIONS = _struct(run_id=_TEXT, record=_TEXT, log_date=T.DateType())
+#: Files with these entries are not looked at again until they change.
+OK, UNREADABLE, DROPPED = "ok", "unreadable", "dropped"
 
 
 def table_schema(layout: Layout = ACCESS_LOG) -> T.StructType:
@@ -72,8 +75,8 @@ def source_id(path: Column) -> Column:
     return F.sha1(path)
 
 
-def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """The newest entry per file; files dropped as unreadable are left out."""
+def manifest_entries(spark: SparkSession, root: str) -> DataFrame:
+    """The newest entry per file, whatever its status."""
     entries = read_if_present(spark, f"{root}/manifest", MANIFEST)
     if entries is None:
         return spark.createDataFrame([], MANIFEST)
@@ -81,14 +84,29 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     newest = entries.groupBy("src_path").agg(
         F.max_by(F.struct(*names), F.struct("run_at", "run_id")).alias("e")
     )
-    return newest.select("src_path", "e.*").where(F.col("status") == "ok")
+    return newest.select("src_path", "e.*")
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest entry per file; files that are unreadable or were dropped are left out."""
+    return manifest_entries(spark, root).where(F.col("status") == OK)
+
+
+def unreadable_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files the last look could not decode: (src_path, src_mtime, src_bytes)."""
+    found = manifest_entries(spark, root).where(F.col("status") == UNREADABLE)
+    return found.select("src_path", "src_mtime", "src_bytes")
 
 
 def stale_files(
     files: DataFrame, known: DataFrame, key_print: str, version: int = PARSER_VERSION
 ) -> DataFrame:
-    """Listed files without an up-to-date manifest entry."""
-    current = known.where((F.col("key_print") == key_print) & (F.col("parser_version") == version))
+    """Listed files without an up-to-date manifest entry (``known``: the newest ones)."""
+    current = known.where(
+        (F.col("key_print") == key_print)
+        & (F.col("parser_version") == version)
+        & (F.col("status") != DROPPED)
+    )
     return files.join(current, ["src_path", "src_mtime", "src_bytes"], "left_anti")
 
 
@@ -118,49 +136,72 @@ def refresh_files(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     layout: Layout = ACCESS_LOG,
 ) -> int:
+    """The same for a listing. A file that cannot be decoded gets an entry of its own and does
+    not keep the others from being parsed; ``unreadable_files`` lists them.
+    """
     key_print = key_fingerprint(secret)
-    stale = with_codec(stale_files(files, manifest(spark, root), key_print))
+    stale = with_codec(stale_files(files, manifest_entries(spark, root), key_print))
     # The listing is fixed here: the manifest must record what this run saw, not what a
     # later look at the folder would show. One short row per stale file.
     fixed = stale.toArrow()
     if fixed.num_rows == 0:
         return 0
     chosen = spark.createDataFrame(fixed)
-    readable = chosen.where("decodable")
-    lines = lines_of_files(spark, readable, sniff=False)
+    readable, odd = chosen.where("decodable"), chosen.where("not decodable")
     run_id = uuid.uuid4().hex
-    if lines is not None:
-        _write(lines, root, run_id, secret, transform, layout)
-    _record(spark, root, readable, run_id, key_print)
+    try:
+        written = _write(spark, root, readable, run_id, secret, transform, layout)
+    except Exception:
+        # only after a failure: which files does not even decoding get through?
+        broken = damaged_files(readable).toArrow()
+        if broken.num_rows == 0:
+            raise
+        broken = spark.createDataFrame(broken)
+        readable = readable.join(broken, "src_path", "left_anti")
+        odd = odd.unionByName(chosen.join(broken, "src_path", "left_semi"))
+        run_id = uuid.uuid4().hex
+        written = _write(spark, root, readable, run_id, secret, transform, layout)
+    _record(spark, root, readable, odd, run_id, key_print, written)
     return readable.count()
 
 
-def _write(lines, root, run_id, secret, transform, layout) -> None:
+def run_folder(root: str, run_id: str) -> str:
+    return f"{root}/table/run_id={run_id}"
+
+
+def _write(spark, root, files, run_id, secret, transform, layout) -> bool:
+    lines = lines_of_files(spark, files)
+    if lines is None:
+        return False
     rows = parse_or_reject(lines, "value", ["src_path", "src_file"], F.col("src_file"), layout)
     rows = with_hll_hash(rows, secret)
     if transform is not None:
         rows = transform(rows)
     stored = rows.withColumns(
         {
-            "run_id": F.lit(run_id),
             "log_date": F.to_date(file_date(F.col("src_file"))),
             "src_id": source_id(F.col("src_path")),
         }
-    ).select(*table_schema(layout).names)
+    ).select(*[n for n in table_schema(layout).names if n != "run_id"])
     (
-        stored.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        stored.write.mode("errorifexists")
         .option("compression", "zstd")
-        .partitionBy(*_PARTITIONS.names)
-        .parquet(f"{root}/table")
-    )
-
-
-def _record(spark, root, files, run_id, key_print) -> None:
-    counts = _per_file(_stored(spark, root).where(F.col("run_id") == run_id))
-    entries = files.withColumn("src_id", source_id(F.col("src_path"))).join(
-        counts.drop("run_id"), "src_id", "left"
+        .partitionBy("record", "log_date")
+        .parquet(run_folder(root, run_id))
     )
+    return True
+
+
+def _record(spark, root, readable, odd, run_id, key_print, written) -> None:
+    own = T.StructType([f for f in table_schema() if f.name in ("src_id", "record")])
+    rows = None
+    if written:
+        # the run's own folder alone; footers and one short column
+        rows = read_if_present(spark, run_folder(root, run_id), own)
+    rows = spark.createDataFrame([], own) if rows is None else rows
+    counts = _per_file(rows.withColumn("run_id", F.lit(run_id))).drop("run_id")
+    files = readable.withColumn("status", F.lit(OK)).unionByName(odd.withColumn("status", F.lit(UNREADABLE)))
+    entries = files.withColumn("src_id", source_id(F.col("src_path"))).join(counts, "src_id", "left")
     entries.select(
         "src_path",
         "src_id",
@@ -170,12 +211,31 @@ def _record(spark, root, files, run_id, key_print) -> None:
         F.lit(PARSER_VERSION).alias("parser_version"),
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("run_at"),
-        F.lit("ok").alias("status"),
+        "status",
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.coalesce("n_rejects", F.lit(0)).alias("n_rejects"),
     ).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
 
 
+def remove_superseded(spark: SparkSession, root: str) -> list[str]:
+    """Deletes the folders of recorded runs that are no file's newest; their ids.
+
+    Runs without manifest rows are left alone: they may be under way. Call it when no reader
+    that started before the last refresh is still at work.
+    """
+    entries = read_if_present(spark, f"{root}/manifest", MANIFEST)
+    if entries is None:
+        return []
+    current = manifest(spark, root).select("run_id").distinct()
+    old = entries.select("run_id").distinct().join(current, "run_id", "left_anti")
+    gone = []
+    for row in old.orderBy("run_id").toLocalIterator():
+        path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(root, row.run_id))
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+            gone.append(row.run_id)
+    return gone
+
+
 def _stored(spark: SparkSession, root: str, layout: Layout = ACCESS_LOG, **options) -> DataFrame:
     schema = table_schema(layout)
     found = read_if_present(spark, f"{root}/table", schema, **options)
@@ -229,20 +289,41 @@ def read_rejects(
 def drop_damaged(spark: SparkSession, root: str) -> DataFrame:
     """Marks files whose stored rows are unreadable or incomplete, so they are parsed again.
 
-    Damaged Parquet files are skipped while counting; a file whose counts fall short of its
-    manifest entry gets a ``dropped`` entry. Returns the paths concerned.
+    Damaged Parquet files are skipped while reading all columns; a file whose counts fall short of its
+    manifest entry gets a ``dropped`` entry, then the damaged Parquet files are deleted. Returns the
+    paths concerned.
     """
     known = manifest(spark, root)
-    # reading one column makes a truncated data page show; row counts alone come from footers
     readable = _stored(spark, root, ignoreCorruptFiles=True, ignoreMissingFiles=True)
-    counts = _per_file(readable.where(F.length("src_path") > 0))
+    # a value made of all columns, so that every page is read; no row is left out
+    whole = F.xxhash64(*readable.columns)
+    counts = _per_file(readable.where(whole.isNotNull() & (F.length(whole.cast("string")) > 0)))
     found = counts.withColumnsRenamed({"n_rows": "rows_now", "n_rejects": "rejects_now"})
     damaged = known.join(found, ["src_id", "run_id"], "left").where(
         (F.coalesce("rows_now", F.lit(0)) != F.col("n_rows"))
         | (F.coalesce("rejects_now", F.lit(0)) != F.col("n_rejects"))
     )
     fixed = spark.createDataFrame(damaged.select(*MANIFEST.names).toArrow(), MANIFEST)
-    dropped = fixed.withColumns({"status": F.lit("dropped"), "run_at": F.current_timestamp()})
+    dropped = fixed.withColumns({"status": F.lit(DROPPED), "run_at": F.current_timestamp()})
     if not dropped.isEmpty():
         dropped.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+        _delete_damaged_parts(spark, root, readable)
     return fixed.select("src_path")
+
+
+def _delete_damaged_parts(spark: SparkSession, root: str, readable: DataFrame) -> None:
+    """Deletes table files of which not all rows can be read: no reader could get past them.
+
+    Called once their source files are marked; rows of other source files in them are too.
+    """
+    path = F.col("_metadata.file_path").alias("src_path")
+    by_footer = readable.groupBy(path).agg(F.count(F.lit(1)).alias("all_rows"))
+    whole = F.xxhash64(*readable.columns)
+    in_full = readable.where(F.length(whole.cast("string")) > 0).groupBy(path).agg(F.count(F.lit(1)).alias("rows"))
+    parts = list_files(spark, f"{root}/table").where(F.col("src_file").endswith(".parquet"))
+    bad = parts.join(by_footer, "src_path", "left").join(in_full, "src_path", "left").where(
+        F.col("all_rows").isNull() | ~F.col("rows").eqNullSafe(F.col("all_rows"))
+    )
+    for row in bad.select("src_path").toLocalIterator():
+        file = spark._jvm.org.apache.hadoop.fs.Path(row.src_path)
+        file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)

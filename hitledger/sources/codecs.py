@@ -29,8 +29,12 @@ def _open(uri: str):
     return system, path
 
 
-def _leading_bytes(uri: str) -> str:
-    system, path = _open(uri)
+def _leading_bytes(uri: str) -> str | None:
+    """Hex of the first bytes; None for stores that only Spark can open."""
+    try:
+        system, path = _open(uri)
+    except (ValueError, ImportError, OSError):
+        return None
     with system.open_input_stream(path, compression=None) as stream:
         return stream.read(6).hex()
 
@@ -62,7 +66,11 @@ def with_codec(files: DataFrame) -> DataFrame:
     """Adds ``codec`` (by content), ``as_named`` (text source can read it), ``decodable``."""
     # an explicit number: adaptive execution would open all these files in one task
     spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism, "src_path")
-    sniffed = spread.withColumn("codec", codec_of_head(_head_of(F.col("src_path"))))
+    # where only the session's own file systems reach, the name has to be trusted
+    head = _head_of(F.col("src_path"))
+    looked = spread.withColumn("_head", head)
+    codec = F.when(F.col("_head").isNull(), codec_of_name(F.col("src_file"))).otherwise(codec_of_head(F.col("_head")))
+    sniffed = looked.withColumn("codec", codec).drop("_head")
     return sniffed.withColumns(
         {
             "as_named": F.col("codec") == codec_of_name(F.col("src_file")),
@@ -76,6 +84,24 @@ def undecodable_files(files: DataFrame) -> DataFrame:
     return files.where(~F.col("decodable"))
 
 
+def damaged_files(files: DataFrame) -> DataFrame:
+    """(src_path) of files that cannot be decoded to their end. Reads all of them."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bad = []
+            for uri, codec in zip(batch["src_path"], batch["codec"]):
+                try:
+                    for _ in _lines_of(uri, codec):
+                        pass
+                except (OSError, EOFError, ValueError):
+                    bad.append(uri)
+            yield pd.DataFrame({"src_path": pd.Series(bad, dtype="object")})
+
+    tasks = max(1, files.sparkSession.sparkContext.defaultParallelism)
+    return files.select("src_path", "codec").repartition(tasks, "src_path").mapInPandas(check, "src_path string")
+
+
 def _lines_of(uri: str, codec: str) -> Iterator[list[str]]:
     system, path = _open(uri)
     compression = {"plain": None, "bzip2": "bz2"}.get(codec, codec)

@@ -44,15 +44,15 @@ def text_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
 def lines_of_files(spark: SparkSession, files: DataFrame, sniff: bool = True) -> DataFrame | None:
     """Lines of the files in a listing; None if it is empty.
 
+    A listing that already says how its files are packed (``with_codec``) is taken at its word.
     The chosen paths come to the driver, as Spark's own file index would hold them anyway.
     Compressed files cannot be split. One that exceeds an even share of the scan has its
     lines spread over more tasks before any parsing; all other files are parsed in the task
     that reads them, without a shuffle.
     """
-    if sniff:
-        files = with_codec(files)
-    else:
-        files = files.withColumns({"codec": F.lit("plain"), "as_named": F.lit(True), "decodable": F.lit(True)})
+    if "as_named" not in files.columns:
+        named = {"codec": F.lit("plain"), "as_named": F.lit(True), "decodable": F.lit(True)}
+        files = with_codec(files) if sniff else files.withColumns(named)
     compressed = F.col("src_file").rlike(r"\.(gz|zst|bz2)$")
     found = (
         files.where("decodable")

@@ -6,44 +6,60 @@ refresh, which compares modification times.
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hitledger.operators.parse import parse_lines, with_hll_hash
-from hitledger.stages import shared_folder
+from hitledger.operators.parse import parse_or_reject, with_hll_hash
+from hitledger.sources.listing import is_access_log
+from hitledger.sources.tables import read_if_present
 from hitledger.sources.textscan import without_carriage_return
+from hitledger.stages import new_folder
 
 LATE = "2 days"
 
 
-def stream_lines(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
-    """(value, src_path, src_file) of the files that land in ``directory``."""
-    reader = spark.readStream.option("lineSep", "\n")
+def stream_lines(
+    spark: SparkSession,
+    directory: str,
+    files_per_batch: int | None = None,
+    criteria: Column | None = None,
+    names: str = "access_*",
+) -> DataFrame:
+    """(value, src_path, src_file) of the log files that land in ``directory`` or below.
+
+    Files whose name does not match the glob ``names`` are not opened; ``criteria`` on src_file
+    (default: the name of an access log) decides about the others.
+    """
+    reader = spark.readStream.option("lineSep", "\n").option("recursiveFileLookup", True)
+    reader = reader.option("pathGlobFilter", names)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(directory).select(
+    lines = reader.text(directory).select(
         without_carriage_return(F.col("value")).alias("value"),
         F.col("_metadata.file_path").alias("src_path"),
         F.col("_metadata.file_name").alias("src_file"),
     )
+    return lines.where(is_access_log(F.col("src_file")) if criteria is None else criteria)
 
 
 def parsed_stream(lines: DataFrame, secret: bytes = b"") -> DataFrame:
-    rows = parse_lines(lines, "value", ["src_path", "src_file"], F.col("src_file"))
+    """Every line once: rows, and rejects with their reason, told apart by ``record``."""
+    rows = parse_or_reject(lines, "value", ["src_path", "src_file"], F.col("src_file"))
     return with_hll_hash(rows, secret)
 
 
 def ingest_available(rows: DataFrame, table: str, checkpoint: str) -> None:
-    """Appends everything that has arrived to ``table``, partitioned by request day."""
+    """Appends everything that has arrived to ``table``, by record kind and request day."""
     query = (
         rows.withColumn("log_date", F.to_date("time_utc"))
         .writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)
         .option("compression", "zstd")
-        .partitionBy("log_date")
+        .partitionBy("record", "log_date")
         .trigger(availableNow=True)
         .start()
     )
@@ -63,7 +79,8 @@ def with_event_time(rows: DataFrame, late: str = LATE) -> DataFrame:
 def daily_counts(rows: DataFrame, late: str = LATE) -> DataFrame:
     """(day, n) by event time; one plan for tables and streams.
 
-    The watermark bounds a stream's state to the days that may still receive lines.
+    In update and append mode the watermark bounds a stream's state to the days that may still
+    receive lines.
     """
     start = F.col("w.start").cast("timestamp_ntz")
     day = F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), start))
@@ -75,14 +92,18 @@ def daily_counts(rows: DataFrame, late: str = LATE) -> DataFrame:
     )
 
 
-def run_to_folder(stream: DataFrame, mode: str) -> DataFrame:
-    """Runs a stream over all present input; the last batch's rows, from the shared folder."""
+def run_to_folder(stream: DataFrame, mode: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Runs a stream over all present input; what its batches gave, from the shared folder.
+
+    Each batch has a folder named by its number, so a repeated batch replaces itself alone. In
+    update mode ``keys`` name the rows: of each, the newest batch counts. In append mode all rows
+    do. Without input the result is empty.
+    """
     spark = stream.sparkSession
-    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    out = f"{base}/out"
+    base = new_folder(spark, "stream")
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -92,4 +113,12 @@ def run_to_folder(stream: DataFrame, mode: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    found = read_if_present(spark, f"{base}/out", schema)
+    if found is None:
+        return spark.createDataFrame([], stream.schema)
+    if keys:
+        others = [c for c in stream.columns if c not in keys]
+        newest = found.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("_newest"))
+        found = newest.select(*keys, *[F.col("_newest")[c].alias(c) for c in others])
+    return found.select(*stream.columns)

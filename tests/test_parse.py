@@ -11,6 +11,7 @@ from hitledger.operators.parse import (
     rejected_lines,
     with_hll_hash,
 )
+from tests_lines import LINES
 
 CI = (
     "APPVEYOR=n;CI=n;CI_SERVER=n;CIRCLECI=n;CONTINUOUS_INTEGRATION=n;GITHUB_ACTIONS=n;GITLAB_CI=n;"
@@ -231,3 +232,11 @@ def test_the_regular_expression_runs_once_per_line(spark):
     query = rows.where(F.col("request_url").startswith("/package") & F.col("time_utc").isNotNull())
     plan = query.groupBy("package_uuid").count()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_replace(value") == 1
+
+
+def test_only_checks_names_and_changes_no_line(spark):
+    lines = spark.createDataFrame([(LINES[0],), ("garbage",), ("more",)], "value string")
+    assert parse_lines(lines).count() == parse_lines(lines, only=[]).count() == 1
+    assert parse_lines(lines, only=["status"]).columns == ["status"]
+    with pytest.raises(ValueError, match="statsu"):
+        parse_lines(lines, only=["statsu"])

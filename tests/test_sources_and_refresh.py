@@ -216,7 +216,7 @@ def test_damaged_file_is_parsed_again(spark, logs, tmp_path):
     refresh.refresh(spark, root, str(logs), selected(spark, logs))
     before = refresh.read_rows(spark, root).count()
     assert refresh.drop_damaged(spark, root).count() == 0
-    [victim] = pathlib.Path(root, "table", "record=row", "log_date=2024-01-11").rglob("*.parquet")
+    [victim] = pathlib.Path(root, "table").glob("run_id=*/record=row/log_date=2024-01-11/*.parquet")
     victim.write_bytes(b"not parquet at all")
     for crc in victim.parent.glob(".*.crc"):
         crc.write_bytes(b"")
@@ -226,6 +226,120 @@ def test_damaged_file_is_parsed_again(spark, logs, tmp_path):
     assert refresh.read_rows(spark, root).count() == before
 
 
+def test_damage_in_any_column_is_found(spark, logs, tmp_path):
+    root = str(tmp_path / "store")
+    refresh.refresh(spark, root, str(logs), selected(spark, logs))
+    before = refresh.read_rows(spark, root).count()
+    import pyarrow.parquet as pq
+
+    [victim] = pathlib.Path(root, "table").glob("run_id=*/record=row/log_date=2024-01-11/*.parquet")
+    group = pq.ParquetFile(victim).metadata.row_group(0)
+    [column] = [group.column(i) for i in range(group.num_columns) if group.column(i).path_in_schema == "request"]
+    data = bytearray(victim.read_bytes())
+    start = column.dictionary_page_offset or column.data_page_offset
+    data[start : start + column.total_compressed_size] = b"\xff" * column.total_compressed_size
+    victim.write_bytes(bytes(data))
+    for crc in victim.parent.glob(".*.crc"):
+        crc.write_bytes(b"")
+        crc.unlink()
+    assert refresh.drop_damaged(spark, root).count() == 1
+    assert refresh.refresh(spark, root, str(logs), selected(spark, logs)) == 1
+    assert refresh.read_rows(spark, root).count() == before
+
+
+def misnamed(tmp_path):
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    put(folder, name_of("a", 20240110), LINES[:2], "log")
+    put(folder, name_of("b", 20240110, "zst"), LINES[2:4], "gz")
+    put(folder, "access_c.pkg.julialang.org.log-20240110.gz.log", LINES[4:6], "gz")
+    put(folder, name_of("d", 20240110), LINES[6:], "gz")
+    return folder
+
+
+def test_refresh_honours_content(spark, tmp_path):
+    from hitledger.plans import jobs
+
+    folder = misnamed(tmp_path)
+    put(folder, name_of("x", 20240110), LINES[:2], "xz")
+    want = sorted(r.value for r in textscan.scan_directory(spark, str(folder), AS_OF).collect())
+    assert want == sorted(LINES)
+    files = [str(p) for p in sorted(folder.iterdir())]
+    for k, run in enumerate((
+        lambda store: jobs.parse_directory(spark, str(folder), store, AS_OF),
+        lambda store: jobs.parse_files(spark, files, store),
+    )):
+        store = str(tmp_path / f"store{k}")
+        assert run(store) == 4
+        good = [x for x in LINES if x.startswith("1")]
+        assert refresh.read_rows(spark, store).count() == len(good)
+        assert refresh.read_rejects(spark, store).count() == len(LINES) - len(good)
+        [odd] = refresh.unreadable_files(spark, store).collect()
+        assert odd.src_path.endswith(name_of("x", 20240110))
+        assert run(store) == 0
+
+
+def test_a_truncated_file_does_not_stop_the_others(spark, logs, tmp_path):
+    broken = put(logs, name_of("bad", 20240112), LINES * 50)
+    broken.write_bytes(broken.read_bytes()[:-20])
+    root = str(tmp_path / "store")
+    assert refresh.refresh(spark, root, str(logs), selected(spark, logs)) == 3
+    assert [r.src_path.rsplit("/", 1)[1] for r in refresh.unreadable_files(spark, root).collect()] == [broken.name]
+    assert refresh.read_rows(spark, root).where("src_file like '%bad%'").count() == 0
+    mended = put(logs, broken.name, LINES)
+    os.utime(mended, (time.time() + 9, time.time() + 9))
+    assert refresh.refresh(spark, root, str(logs), selected(spark, logs)) == 1
+    assert refresh.unreadable_files(spark, root).count() == 0
+
+
+def test_a_death_before_the_manifest_keeps_the_old_rows(spark, logs, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    run = lambda: refresh.refresh(spark, root, str(logs), selected(spark, logs))
+    run()
+    before = refresh.read_rows(spark, root).count()
+    path = put(logs, name_of("kr", 20240110), [x for x in LINES if x.startswith("1")][:1])
+    os.utime(path, (time.time() + 9, time.time() + 9))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "_record", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            run()
+    assert refresh.read_rows(spark, root).count() == before
+    assert run() == 1
+    assert refresh.read_rows(spark, root).where("pkgserver = 'kr'").count() == 1
+    # the first run still holds the two other files
+    assert refresh.remove_superseded(spark, root) == []
+    for name in (name_of("us-east", 20240110, "zst"), name_of("us-east", 20240111)):
+        os.utime(logs / name, (time.time() + 9, time.time() + 9))
+    assert run() == 2
+    after = refresh.read_rows(spark, root).count()
+    assert len(refresh.remove_superseded(spark, root)) == 1
+    assert refresh.read_rows(spark, root).count() == after
+
+
+def test_counting_reads_the_new_run_alone(spark, logs, tmp_path, monkeypatch):
+    root, read = str(tmp_path / "store"), []
+    plain = refresh.read_if_present
+    monkeypatch.setattr(refresh, "read_if_present", lambda s, path, *a, **k: read.append(path) or plain(s, path, *a, **k))
+    refresh.refresh(spark, root, str(logs), selected(spark, logs))
+    assert all("/table/run_id=" in p for p in read if "/table" in p) and any("/table" in p for p in read)
+
+
+def test_parse_report(spark, logs, tmp_path):
+    from hitledger.plans import jobs
+
+    put(logs, name_of("kr", 20241399), LINES[:1])
+    store = str(tmp_path / "store")
+    jobs.parse_directory(spark, str(logs), store, AS_OF)
+    report = jobs.parse_report(spark, store, str(logs))
+    assert [r.src_path.rsplit("/", 1)[1] for r in report.undated.collect()] == [name_of("kr", 20241399)]
+    assert sum(r.n for r in report.rejects.collect()) == refresh.read_rejects(spark, store).count()
+    assert jobs.tidy(spark, store) == (0, 0)
+
+
 def test_empty_directory(spark, tmp_path):
     (tmp_path / "logs").mkdir()
     assert refresh.refresh(spark, str(tmp_path / "s"), str(tmp_path / "logs"), F.lit(True)) == 0
@@ -261,6 +375,9 @@ def test_reports_and_sanitized_export(spark, logs, tmp_path):
         assert {r.src_file for r in again.select("src_file").collect()} == {
             r.src_file for r in rows.select("src_file").collect()
         }
+        assert again.columns == [f.name for f in P_LAYOUT.schema if f.name != "remote_addr"] + ["src_file"]
+    typed = legacy_csv(spark, str(tmp_path / "clean-csv"), without=("remote_addr",))
+    assert typed.count() == rows.count() and typed.where("status is not null").count() > 0
 
 
 def test_legacy_csv_keeps_types_and_leading_zeros(spark, tmp_path):
@@ -312,7 +429,9 @@ def test_mirror_cache(spark, tmp_path):
     assert exports.cache_mirror_lines(spark, str(logs), cache, AS_OF) == 0
     later, _ = mirror_traffic(spark, str(logs), cache, AS_OF.replace(day=21))
     assert {r.day.isoformat() for r in later.collect()} == {f"2024-01-{d}" for d in (17, 18, 19, 20)}
-    assert exports.mirror_cache(spark, cache).count() == n + 1
+    earlier, _ = mirror_traffic(spark, str(logs), cache, AS_OF.replace(day=10))
+    assert {r.day.isoformat() for r in earlier.collect()} == {"2023-12-20", "2023-12-21"}
+    assert exports.mirror_cache(spark, cache).count() == n + 2
     empty = str(tmp_path / "none")
     assert mirror.total_bytes(exports.mirror_bytes(spark, empty)).collect()[0].human == "0.0 B"
     whole = textscan.mirror_scan(spark, str(logs), AS_OF)
