@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Bound of the pieces and pairs a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+#: Lengths of the heads of pieces whose tables are kept.
+HEADS = (4, 8)
 
 
 class Vocabulary:
@@ -48,6 +50,7 @@ class Vocabulary:
         self.suffixes = {t[i:] for t in self.ranks for i in range(len(t))}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
+        self.heads: dict[bytes, list[int]] = {}
 
     def merged(self, piece: bytes) -> list[int]:
         """Merging by rank, for short strings: the definition that the pair table rests on."""
@@ -76,18 +79,25 @@ class Vocabulary:
 
     def extend(self, piece: bytes, last: list[int], until: int | None = None) -> None:
         """Continues the table ``last`` (one entry per prefix, the empty one first) over ``piece``."""
-        ranks, suffixes = self.ranks, self.suffixes
+        ranks, suffixes, pairs = self.ranks.get, self.suffixes, self.pairs
         for end in range(len(last), (len(piece) if until is None else until) + 1):
             start = end - 1
+            part = piece[start:end]
             while True:
-                part = piece[start:end]
-                token = ranks.get(part)
-                if token is not None and (
-                    self.may_follow(last[start], token) if start else self.stands_alone(token)
-                ):
-                    last.append(token)
-                    break
+                token = ranks(part)
+                if token is not None:
+                    if start:
+                        before = last[start]
+                        follows = pairs.get((before, token))
+                        if follows is None:
+                            follows = self.may_follow(before, token)
+                    else:
+                        follows = self.stands_alone(token)
+                    if follows:
+                        last.append(token)
+                        break
                 start -= 1
+                part = piece[start:end]
                 if start < 0 or part not in suffixes:
                     raise ValueError("the vocabulary lacks single bytes")
 
@@ -103,10 +113,24 @@ class Vocabulary:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        last = [-1]
-        self.extend(piece, last)
+        last = self.table(piece)
         return self.backwards(last)
 
+    def table(self, piece: bytes) -> list[int]:
+        """The table of a string, as an append to that of its first bytes, which is kept."""
+        if len(piece) <= HEADS[0]:
+            last = [-1]
+        else:
+            head = piece[: HEADS[1] if len(piece) > HEADS[1] else HEADS[0]]
+            known = self.heads.get(head)
+            if known is None:
+                if len(self.heads) >= REMEMBERED // 4:
+                    self.heads.clear()
+                known = self.heads[head] = self.table(head)
+            last = known.copy()
+        self.extend(piece, last)
+        return last
+
     def encode(self, text: str) -> list[int]:
         return [i for m in self.pattern.finditer(text) for i in self.piece_ids(m.group().encode())]
 
@@ -246,7 +270,7 @@ def encoded_digests(docs: DataFrame, files: tuple[str, str] | None = None) -> Da
     both = decode_column(encode_column(docs.select("doc_id", "text"), files), files)
     return both.select(
         "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         sha256(F.col("ids")).alias("ids_sha256"),
         sha256(F.col("decoded")).alias("decoded_sha256"),
     )
