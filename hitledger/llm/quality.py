@@ -29,7 +29,6 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Runs of letters and digits, and runs of anything else but white space.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-WHITE = "\x20\t\n\x0b\x0c\r"
 
 
 def repeat_words(tokens: Column, window: int = WINDOW) -> Column:
@@ -117,8 +116,6 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, text: str, doc_id: str) -> D
 def judge(docs: DataFrame, trusted: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Adds the counts, ``llr`` (mean log ratio), ``base_failed`` and ``kept`` to every document."""
     ratios = log_ratios(docs, trusted, text, doc_id).scalar()
-    # a subquery may not stand inside a lambda; the optimizer merges this column into its one use
-    docs = docs.withColumn("__ratios", ratios)
     body = text_or_empty(text)
     grams = hashed_ngrams(body)
     tokens = words(body)
@@ -127,17 +124,28 @@ def judge(docs: DataFrame, trusted: DataFrame, *, text: str = "text", doc_id: st
         F.struct(grams.alias("g"), F.col("__ratios").alias("r")),
         lambda s: F.aggregate(s["g"], F.lit(0.0), lambda a, b: a + F.get(s["r"], b)) / F.greatest(F.size(s["g"]), F.lit(1)),
     )
-    measured = docs.withColumns(
+    # a subquery may not stand inside a lambda; the optimizer merges this column into its one use,
+    # which has to stay alone in its projection, or the array would be written into every row
+    docs = docs.withColumn("__ratios", ratios).withColumn("llr", llr).drop("__ratios")
+    # the words are found once for the three counts that need them
+    of_words = let(
+        tokens,
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n"),
+            F.length(F.array_join(w, "")).cast("long").alias("chars"),
+            repeat_words(w).alias("repeated"),
+        ),
+    )
+    measured = docs.withColumn("__of_words", of_words).withColumns(
         {
-            "n_words": F.size(tokens).cast("long"),
-            "word_chars": F.length(F.translate(body, WHITE, "")).cast("long"),
-            "n_symbols": (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
+            "n_words": F.col("__of_words")["n"],
+            "word_chars": F.col("__of_words")["chars"],
+            "n_symbols": (F.size(F.split(body, f"[{SYMBOLS}]")) - 1).cast("long"),
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-            "n_repeat_words": repeat_words(tokens),
-            "llr": llr,
+            "n_repeat_words": F.col("__of_words")["repeated"],
         }
     )
-    measured = measured.drop("__ratios")
+    measured = measured.drop("__of_words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return measured.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("llr") >= THRESHOLD)
