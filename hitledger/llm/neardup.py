@@ -8,8 +8,11 @@
    each other class is compared with it on the full sets.
 4. Confirmed links give components. Where the classes of one band value still lie in several
    components, those outside the largest are compared with all others, block against block, by their
-   signatures, and what comes near the threshold is confirmed on the full sets. So no pair that
-   shares a band value and could add a link stays unseen, and no group is expanded into all pairs.
+   signatures: the two likeliest partners of each are confirmed on the full sets. Members of a group
+   mostly meet its centre that way. What then still lies in different components is compared once
+   more, all pairs whose signatures come near the threshold, on the full sets, inside the tasks. So
+   no pair that shares a band value and could join two components stays unseen, and no group is ever
+   expanded into rows of pairs: tasks return spanning forests.
 
 With ``REGISTERS`` 128 in bands of 5, a pair of similarity 0.8 shares no band with probability 5e-5.
 
@@ -34,7 +37,7 @@ from pyspark.sql import types as T
 
 from hitledger.llm import textkeys as tk
 from hitledger.llm.common import join_by_hot_key, text_or_empty
-from hitledger.llm.components import components
+from hitledger.llm.components import components, forest
 from hitledger.stages import shared
 
 REGISTERS, BAND = 128, 5
@@ -43,8 +46,10 @@ BANDS = REGISTERS // BAND
 FRACTION = 25
 SALTS = 64
 BLOCK = 256
-#: How far below the threshold a signature's estimate may lie: over five standard deviations.
-MARGIN = 0.18
+#: How far below the threshold a signature's estimate may lie: over four standard deviations.
+MARGIN = 0.15
+#: Partners confirmed for each class and block before all are compared.
+PARTNERS = 2
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -103,7 +108,7 @@ def sets_of(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return tk.distinct_by_row(*tk.shingles(tk.words(column), size))
 
 
-_FOUND = "__n long, __class string, __bands binary, __sig binary"
+_FOUND = "__n long, __class string, __bands array<bigint>, __sig binary"
 
 
 def _signed(size: int, text_at: int, names: list[str]):
@@ -126,7 +131,7 @@ def _signed(size: int, text_at: int, names: list[str]):
                 added = [
                     pa.array(n, pa.int64()),
                     pa.array([f"{a:016x}{b:016x}" for a, b in zip(*sums)], pa.string()),
-                    pa.array([x.tobytes() if k else b"" for x, k in zip(bands, n)], pa.binary()),
+                    pa.array(list(bands.view(np.int64)), pa.list_(pa.int64())),
                     pa.array([x.tobytes() if k else b"" for x, k in zip(digests, n)], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], names=names)
@@ -178,49 +183,101 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return shared(rows.mapInArrow(_confirmed(size, percent), "a long, b long"))
 
 
-def _near_blocks(least: int):
-    """Of runs of one band value's blocks: pairs of different components whose digests agree."""
+def _groups(batches: Iterator[pa.RecordBatch], width: int = 3) -> Iterator[list[tuple]]:
+    """Runs of rows that agree in their first columns, across batches."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[-1][:width] != row[:width]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
-    def close(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        asking = [r for r in rows if r[3] == 0]
-        others = [r for r in rows if r[3] == 1]
-        if not asking or not others:
-            return
-        signatures = np.frombuffer(b"".join(r[6] for r in others), np.uint16).reshape(len(others), -1)
-        ids = np.array([r[4] for r in others])
-        parts = np.array([r[5] for r in others])
-        for r in asking:
-            agree = (signatures == np.frombuffer(r[6], np.uint16)).sum(axis=1)
-            for other in ids[(agree >= least) & (parts != r[5])]:
-                yield max(int(other), r[4]), min(int(other), r[4])
+
+def _near(rows: list[tuple], least: int, percent: int) -> Iterator[tuple[tuple, list[tuple], np.ndarray]]:
+    """For each asking class of one block pair: the others it may be near to, and how they agree.
+
+    Those have another component, a size that allows the similarity, and digests that agree in
+    ``least`` registers. Rows: key, i, j, role, cid, part, n, signature, ...
+    """
+    asking, others = [r for r in rows if r[3] == 0], [r for r in rows if r[3] == 1]
+    if not asking or not others:
+        return
+    signatures = np.frombuffer(b"".join(r[7] for r in others), np.uint16).reshape(len(others), -1)
+    parts, sizes = (np.array([r[k] for r in others]) for k in (5, 6))
+    for own in asking:
+        agree = (signatures == np.frombuffer(own[7], np.uint16)).sum(axis=1)
+        fits = (parts != own[5]) & (100 * np.minimum(sizes, own[6]) >= percent * np.maximum(sizes, own[6]))
+        near = np.flatnonzero(fits & (agree >= least))
+        if len(near):
+            yield own, [others[k] for k in near], agree[near]
+
+
+def _likeliest(least: int, percent: int):
+    """(a, b) of each asking class and its PARTNERS likeliest partners elsewhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, found = [], set()
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[-1][:3] != row[:3]:
-                    found.update(close(held))
-                    held = []
-                held.append(row)
+        found: set[tuple[int, int]] = set()
+        for rows in _groups(batches):
+            for own, others, agree in _near(rows, least, percent):
+                ids = np.array([r[4] for r in others])
+                for x in ids[np.lexsort((ids, -agree))[:PARTNERS]]:
+                    found.add((max(int(x), own[4]), min(int(x), own[4])))
             if len(found) > 50_000:
                 yield _pairs(found)
                 found = set()
-        found.update(close(held))
         yield _pairs(found)
 
     return run
 
 
+def _remaining(least: int, percent: int, size: int):
+    """Links between components, as forests: all near pairs of a block pair on their full sets.
+
+    A pair that shares several bands is compared in the first of them alone. Rows end with the band
+    keys and the text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            sets: dict[int, np.ndarray] = {}
+
+            def set_of(row: tuple) -> np.ndarray:
+                if row[4] not in sets:
+                    sets[row[4]] = sets_of(pa.array([row[9]], pa.string()), size)[1]
+                return sets[row[4]]
+
+            links = []
+            for own, others, _ in _near(rows, least, percent):
+                bands = np.array(own[8])
+                shared_bands = np.array([r[8] for r in others]) == bands
+                for other, same in zip(others, shared_bands):
+                    if bands[same.argmax()] != own[0]:
+                        continue
+                    a, b = set_of(own), set_of(other)
+                    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+                    both = int((a[at] == b).sum())
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        links.append((own[4], other[4]))
+            if links:
+                yield _pairs(set(forest(links)))
+
+    return run
+
+
 def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
     left, right = zip(*found) if found else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def unseen_pairs(members: DataFrame, labels: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a band value, lie in different components and agree in digests.
+def block_pairs(members: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """(key, i, j, role, cid, part): the blocks in which classes of one band value meet.
 
-    The classes outside a value's largest component face all of its classes, in blocks of about
-    ``BLOCK``: what one task gets is bounded, and what is sent grows with those outside.
+    Only of band values whose classes lie in several components; None if there is none. The classes
+    outside the largest component (role 0) face all classes (role 1), in blocks of about ``BLOCK``:
+    what one task gets is bounded, and what is sent grows with those outside.
     """
     at = members.join(labels, members["cid"] == labels["node"], "left").select(
         "key", "cid", F.coalesce("component", "cid").alias("part")
@@ -228,28 +285,36 @@ def unseen_pairs(members: DataFrame, labels: DataFrame, signatures: DataFrame, p
     at = shared(at)
     sizes = at.groupBy("key", "part").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(
-        F.max(F.struct(F.col("n"), (-F.col("part")).alias("minus"))).alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")
+        F.max(F.struct(F.col("n"), (-F.col("part")).alias("minus"))).alias("most"),
+        F.sum("n").alias("n"),
+        F.count("*").alias("parts"),
     )
-    # in a group of two, the pivot was compared with the other
-    mixed = mixed.where("parts > 1 and n > 2").select(
-        "key", "n", (-F.col("most")["minus"]).alias("main"), (F.col("n") - F.col("most")["n"]).alias("outside")
+    mixed = shared(
+        mixed.where("parts > 1").select(
+            "key", "n", (-F.col("most")["minus"]).alias("main"), (F.col("n") - F.col("most")["n"]).alias("outside")
+        )
     )
-    mixed = shared(mixed)
+    if mixed.isEmpty():
+        return None
     rows = join_by_hot_key(at, mixed, "key", "n", "inner")
     few, all_of = F.ceil(F.col("outside") / BLOCK), F.ceil(F.col("n") / BLOCK)
     number = F.xxhash64("cid")
     asking = rows.where("part <> main").select(
         "key", F.pmod(number, few).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), all_of - 1)).alias("j"),
         F.lit(0).alias("role"), "cid", "part",
-    )
+    )
     others = rows.select(
         "key", F.explode(F.sequence(F.lit(0).cast("long"), few - 1)).alias("i"), F.pmod(number, all_of).alias("j"),
         F.lit(1).alias("role"), "cid", "part",
-    )
-    dealt = asking.union(others).join(signatures, "cid").select("key", "i", "j", "role", "cid", "part", "__sig")
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    least = int(REGISTERS * (percent / 100 - MARGIN))
-    return dealt.mapInArrow(_near_blocks(least), "a long, b long").distinct()
+    )
+    return asking.union(others)
+
+
+def met(blocks: DataFrame, facts: DataFrame, task) -> DataFrame:
+    """Runs ``task`` over the block pairs, each row with its class's ``facts``."""
+    rows = blocks.join(facts, "cid").select(*blocks.columns, *[c for c in facts.columns if c != "cid"])
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return shared(rows.mapInArrow(task, "a long, b long").distinct())
 
 
 def near_duplicates(
@@ -271,15 +336,9 @@ def near_duplicates(
     )
     chosen = classes.select("cid")
     signatures = shared(
-        some.select(F.col("__row").alias("cid"), "__bands", "__sig").join(chosen, "cid", "left_semi")
-    )
-    # 8 bytes a band, as 16 hex digits: equality is all that a key is for
-    bands = signatures.select(
-        "cid",
-        F.explode(
-            F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring("__bands", i * 8 + 1, F.lit(8))))
-        ).alias("key"),
+        some.select(F.col("__row").alias("cid"), "__n", "__bands", "__sig").join(chosen, "cid", "left_semi")
     )
+    bands = signatures.select("cid", F.explode("__bands").alias("key"))
     repeated = bands.groupBy("key").agg(F.min("cid").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     members = shared(join_by_hot_key(bands, shared(repeated), "key", "n", "inner"))
     pairs = shared(members.where("cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct())
@@ -287,9 +346,18 @@ def near_duplicates(
     texts = shared(some.select(F.col("__row").alias("cid"), F.col("__text").alias("text")).join(nodes, "cid", "left_semi"))
     links = confirm(pairs, texts, size, percent)
     labels = components(links)
-    more = shared(unseen_pairs(members.where("n > 2").select("key", "cid"), labels, signatures.select("cid", "__sig"), percent))
-    if not more.isEmpty():
-        links = links.union(confirm(more, texts, size, percent))
+    least = int(REGISTERS * (percent / 100 - MARGIN))
+    # in a group of two, the pivot was compared with the other
+    meeting, facts = members.where("n > 2").select("key", "cid"), signatures.select("cid", "__n", "__sig")
+    blocks = block_pairs(meeting, labels)
+    if blocks is not None:
+        found = met(blocks, facts, _likeliest(least, percent)).join(pairs, ["a", "b"], "left_anti")
+        links = links.union(confirm(shared(found), texts, size, percent))
+        labels = components(links)
+        blocks = block_pairs(meeting, labels)
+    if blocks is not None:
+        whole = signatures.select("cid", "__n", "__sig", "__bands").join(texts, "cid")
+        links = links.union(met(blocks, whole, _remaining(least, percent, size)))
         labels = components(links)
     named = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "__class", "copies", "best", F.coalesce("component", "cid").alias("component")
