@@ -1,0 +1,146 @@
+"""Every operator and stage on nulls, empty and long texts, repeated rows, clashing names."""
+
+import hashlib
+
+import pytest
+from llm_texts import LONG
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from hitledger.llm import bpe, brown, language, licenses, linededup, mixing, neardup, quality, vectors, warc
+from hitledger.llm.common import in_fold
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(1, 1, 0), (6, 1, 0), (6, 1, 0), (None, 1, None), (5, None, None), (8, 0, 0)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_encoding(odd_documents, no_documents):
+    got = bpe.encoded_digests(odd_documents).collect()
+    assert len(got) == 11
+    nothing = hashlib.sha256(b"").hexdigest()
+    found = {r.doc_id: r for r in got}
+    assert (found[2].n_tokens, found[2].ids_sha256, found[3].decoded_sha256) == (0, nothing, nothing)
+    assert found[5].decoded_sha256 == hashlib.sha256(LONG.encode()).hexdigest()
+    assert bpe.encoded_digests(no_documents).count() == 0
+
+
+def test_scores(odd_documents, no_documents):
+    got = brown.score_documents(odd_documents, in_fold("doc_id", 1))
+    found = by_id(got)
+    assert got.count() == 11
+    assert found[2].n_tokens == found[3].n_tokens == found[4].n_tokens == 1
+    assert found[5].n_tokens == 60_001
+    assert all(r.score <= 0 and r.base_score <= 0 for r in got.collect())
+    assert brown.score_documents(no_documents, in_fold("doc_id", 1)).count() == 0
+    unlearned = brown.score_documents(odd_documents, F.lit(True))
+    assert {(r.n_known, r.train_tokens) for r in unlearned.collect()} == {(0, 0)}
+
+
+def test_line_dedup(odd_documents, no_documents):
+    got = linededup.dedup_lines(odd_documents)
+    found = by_id(got)
+    assert got.count() == 11 and got.columns[: len(odd_documents.columns)] == odd_documents.columns
+    assert found[2].text is None and found[3].text == "" and found[5].text == LONG
+    assert found[2].n_lines == 0 and found[3].n_lines == 1 and found[3].removed_lines == 0
+    assert found[6].removed_lines == 0 and found[6].doc == "mine"
+    assert linededup.dedup_lines(no_documents).count() == 0
+
+
+def test_licenses(odd_documents, no_documents):
+    got = licenses.scan_licenses(odd_documents).collect()
+    assert [(r.doc_id, r.license, r.containment, r.first_word, r.end_word) for r in got] == [(1, "CC-BY-NC-4.0", 1.0, 0, 7)]
+    assert licenses.scan_licenses(no_documents).count() == 0
+    with pytest.raises(ValueError, match="fewer than"):
+        licenses.Templates({"short": "MIT License"})
+
+
+def test_quality(odd_documents, no_documents, labels):
+    got = quality.judge(odd_documents, quality.trusted_ids(labels))
+    found = by_id(got)
+    assert got.count() == 11 and got.columns.count("kept") == 1 and found[6].kept
+    assert found[2].base_failed and found[3].n_words == found[4].n_words == 0 and not found[4].kept
+    assert found[5].n_words == 60_000 and found[5].n_repeat_words == 60_000
+    assert quality.judge(no_documents, quality.trusted_ids(labels)).count() == 0
+    # nobody to trust: the base rules alone decide
+    alone = quality.judge(odd_documents, quality.trusted_ids(labels.limit(0)))
+    assert all(r.kept != r.base_failed and r.llr == 0 for r in alone.collect())
+
+
+def test_archives(spark, tmp_path):
+    html = "x" * 200
+    rows = [(1, "http://a/ b\nc", html), (2, None, html), (3, "u", None), (None, None, html), (4, "", "short"), (5, "v", "short"),
+            (1, "again", html), (None, None, None), (6, "long", "é" * 500_000)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(((r.page_id or -1), r.payload_bytes, r.record_type, r.refers_to) for r in warc.op6_warc(spark, str(tmp_path)).collect())
+    assert got == [
+        (-1, 0, "response", None), (-1, 200, "revisit", 1), (1, 200, "response", None), (1, 200, "response", None),
+        (2, 200, "revisit", 1), (3, 0, "response", None), (4, 5, "response", None), (5, 5, "response", None),
+        (6, 1_000_000, "response", None),
+    ]
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(str(tmp_path / "none" / "pages.parquet"))
+    assert warc.op6_warc(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_languages(odd_documents, no_documents):
+    network = language.fit(odd_documents)
+    assert network.languages == ["de", "en", "es", "fr"]
+    got = language.identify(odd_documents, network)
+    found = by_id(got)
+    assert got.count() == 11 and 0 <= found[5].score <= 1 and found[1].lang_pred in network.languages
+    assert [found[i].lang_pred for i in (2, 3, 4)] == ["und"] * 3 and found[2].score == 0
+    assert language.identify(no_documents, network).count() == 0
+    blind = language.identify(odd_documents, language.fit(no_documents))
+    assert {r.lang_pred for r in blind.collect()} == {"und"}
+
+
+def test_vectors(spark):
+    unit = [1.0, 0.0, 0.0]
+    rows = [
+        (1, unit, 1), (2, [2.0, 0.0, 0.0], 1), (3, unit, 2), (4, unit, None), (5, None, 1), (6, [], 1), (7, [0.0] * 3, 1),
+        (8, [1.0, None, 0.0], 1), (9, [float("nan"), 0.0, 0.0], 1), (10, [float("inf"), 0.0, 0.0], 1), (11, [1.0, 0.0], 1),
+        (12, unit, 1), (12, unit, 1), (None, unit, 1), (13, [1e-30, 0.0, 0.0], 1), (14, [0.97, 0.2431, 0.0], 1),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id or -1, r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(df).collect())
+    group = [(-1, 5, 1, False), (1, 5, 1, True), (2, 5, 1, False), (12, 5, 1, False), (12, 5, 1, False), (13, 5, 1, False)]
+    alone = [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10, 11, 14)]
+    assert got == sorted(group + alone)
+    assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_near_duplicates(odd_documents, no_documents):
+    got = neardup.near_duplicates(odd_documents, size=4)
+    rows = got.collect()
+    assert len(rows) == 11 and got.columns.count("kept") == 1
+    assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in rows if r.doc_id in (2, 3, 4, 8)} == {
+        (2, 0, 2, True), (3, 0, 3, True), (4, 0, 4, True), (8, 1, 8, True),
+    }
+    assert [r.component_id for r in rows if r.doc_id == 6] == [6, 6]
+    assert sorted(r["first"] for r in rows if r.doc_id == 6) == [False, True]
+    assert neardup.near_duplicates(no_documents).count() == 0
+
+
+def test_mixing(odd_documents, no_documents):
+    mixed, totals = mixing.mix_documents(odd_documents)
+    rows = mixed.collect()
+    assert len(rows) == 11 and list(totals) == ["a", "b", None]
+    assert sum(r.taken for r in rows) == sum(int(t) for _, t in totals.values())
+    assert all(0 <= r.taken <= 2 * r.size for r in rows)
+    assert mixing.mix_documents(no_documents)[0].count() == 0
+
+
+def test_pipeline_stages(spark, odd_documents, no_documents, labels, tmp_path):
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for docs in (odd_documents, no_documents):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+            stage(spark, docs, str(tmp_path)).collect()
+        last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert last.count() == docs.count()
