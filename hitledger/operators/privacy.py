@@ -1,16 +1,21 @@
 """Privacy: drop addresses, or mask addresses, hashes and times inside log text.
 
-Masking stays in the JVM. A line is cut at the matches of a pattern, each match is
-replaced by a value drawn from a keyed digest, and the pieces are joined again. "Random"
-replacements come from a digest too, of the seed, the line's identity, the pass and the
-position of the match; so a retried task, or another partitioning, writes the same text.
+Masking runs in Arrow batches, one pass of a regular expression per kind of value. Each match is
+replaced by a value drawn from a keyed digest, remembered per task, as the same client fills many
+lines. "Random" replacements come from a digest too, of the seed, the line's identity, the pass and
+the position of the match; so a retried task, or another partitioning, writes the same text. The key
+travels inside the function, not as an expression, so no plan or event log shows it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,35 +35,31 @@ def resource_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 # --- replacement values, each from a 64-digit hex digest --------------------------------
 
 
-def _hex_number(digest: Column, start: int, length: int) -> Column:
-    return F.conv(F.substring(digest, start, length), 16, 10).cast("bigint")
+def fake_ipv4(digest: str) -> str:
+    return ".".join(str(int(digest[i : i + 2], 16)) for i in range(0, 8, 2))
 
 
-def fake_ipv4(digest: Column) -> Column:
-    return F.concat_ws(".", *[_hex_number(digest, 1 + 2 * i, 2).cast("string") for i in range(4)])
+def fake_ipv6(digest: str) -> str:
+    return ":".join(digest[i : i + 4].lstrip("0") or "0" for i in range(0, 32, 4))
 
 
-def fake_ipv6(digest: Column) -> Column:
-    groups = [F.regexp_replace(F.substring(digest, 1 + 4 * i, 4), "^0{1,3}", "") for i in range(8)]
-    return F.concat_ws(":", *groups)
+def fake_hash(digest: str) -> str:
+    return digest[:40]
 
 
-def fake_hash(digest: Column) -> Column:
-    return F.substring(digest, 1, 40)
+_START = datetime.fromisoformat(P.MASKED_FROM)
 
 
-def _fake_moment(digest: Column) -> Column:
-    seconds = _hex_number(digest, 1, 13) % (P.MASKED_DAYS * 24 * 60 * 60)
-    start = F.lit(P.MASKED_FROM).cast("timestamp_ntz")
-    return start + seconds.cast("interval second")
+def _fake_moment(digest: str) -> datetime:
+    return _START + timedelta(seconds=int(digest[:13], 16) % (P.MASKED_DAYS * 24 * 60 * 60))
 
 
-def fake_local_time(digest: Column) -> Column:
-    return F.date_format(_fake_moment(digest), "dd/MMM/yyyy:HH:mm:ss")
+def fake_local_time(digest: str) -> str:
+    return _fake_moment(digest).strftime("%d/%b/%Y:%H:%M:%S")
 
 
-def fake_iso_time(digest: Column) -> Column:
-    return F.date_format(_fake_moment(digest), "yyyy-MM-dd'T'HH:mm:ss")
+def fake_iso_time(digest: str) -> str:
+    return _fake_moment(digest).strftime("%Y-%m-%dT%H:%M:%S")
 
 
 @dataclass(frozen=True)
@@ -67,88 +68,106 @@ class Kind:
 
     name: str
     pattern: str
-    fake: Callable[[Column], Column]
-    maybe: Callable[[Column], Column]
+    fake: Callable[[str], str]
+    maybe: Callable[[str], object]
 
 
-def _maybe_ipv6(text: Column) -> Column:
+_SEVEN_GROUPS = re.compile("(?:[0-9a-fA-F]{1,4}:){7}")
+
+
+def _maybe_ipv6(text: str) -> object:
     # every form has a double colon, or seven groups, or is a zoned link-local address
-    return text.contains("::") | text.contains("fe80:") | text.rlike("(?:[0-9a-fA-F]{1,4}:){7}")
+    return "::" in text or "fe80:" in text or _SEVEN_GROUPS.search(text)
 
 
 # The address pattern may stop at a double colon; a match reaches to the end of the address.
 _WHOLE_IPV6 = rf"(?:{P.IPV6})[0-9a-fA-F:]*(?:\.[0-9]+){{0,3}}"
 
-HASHES = Kind("hash", P.HASH, fake_hash, lambda text: text.rlike(P.HASH))
-IPV4 = Kind("ipv4", P.IPV4, fake_ipv4, lambda text: text.rlike(r"[0-9]\.[0-9]"))
+HASHES = Kind("hash", P.HASH, fake_hash, lambda text: len(text) >= 40)
+IPV4 = Kind("ipv4", P.IPV4, fake_ipv4, lambda text: text.count(".") >= 3)
 IPV6 = Kind("ipv6", _WHOLE_IPV6, fake_ipv6, _maybe_ipv6)
-LOCAL = Kind("local_time", P.LOCAL_TIME_IN_TEXT, fake_local_time, lambda text: text.contains("/"))
-ISO = Kind("iso_time", P.ISO_TIME_IN_TEXT, fake_iso_time, lambda text: text.rlike("[0-9]T[0-9]"))
+LOCAL = Kind("local_time", P.LOCAL_TIME_IN_TEXT, fake_local_time, lambda text: text.count("/") >= 2)
+ISO = Kind("iso_time", P.ISO_TIME_IN_TEXT, fake_iso_time, lambda text: "T" in text)
 
 # Order matters: an IPv4 tail belongs to its IPv6 address.
 PASSES = [IPV6, IPV4, HASHES, LOCAL, ISO]
+#: Replacements a task remembers for each kind before it starts anew.
+REMEMBERED = 200_000
+
+
+class _Masker:
+    """Masks texts with one key; made once per batch stream, so what it remembers is bounded."""
+
+    def __init__(self, key: str, kinds: Sequence[Kind], random_share: float, seed: str):
+        self.key, self.share, self.seed = key, random_share, seed
+        # letters and digits are ASCII, as in the log format
+        self.passes = [(kind, re.compile(kind.pattern, re.ASCII)) for kind in kinds]
+        self.known: dict[str, dict[str, str]] = {kind.name: {} for kind in kinds}
+
+    def _digest(self, *parts: str) -> str:
+        return hashlib.sha256("\0".join((self.key, *parts)).encode()).hexdigest()
+
+    def linked(self, match: str, kind: Kind) -> str:
+        """The value that stands for a match wherever it occurs."""
+        known = self.known[kind.name]
+        fake = known.get(match)
+        if fake is None:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            fake = known[match] = kind.fake(self._digest(kind.name, match))
+        return fake
+
+    def masked(self, text: str, identity: str = "") -> str:
+        for kind, pattern in self.passes:
+            if kind.maybe(text):
+                text = self._one_pass(text, kind, pattern, identity)
+        return text
+
+    def _one_pass(self, text: str, kind: Kind, pattern: re.Pattern, identity: str) -> str:
+        place = -1
+
+        def replaced(match: re.Match) -> str:
+            nonlocal place
+            place += 2
+            if self.share > 0:
+                drawn = self._digest(self.seed, kind.name, identity, str(place))
+                # the last 13 digits decide, the first ones make the value
+                if int(drawn[51:], 16) / 16**13 < self.share:
+                    return kind.fake(drawn)
+            return self.linked(match[0], kind)
+
+        return pattern.sub(replaced, text)
 
-# Put around matches to cut a line; lines hold no line ends.
-_MARK = "\n"
-
-
-def replace_matches(
-    text: Column, pattern: str, *steps: Callable[[Column, Column], Column]
-) -> Column:
-    """Every match of ``pattern`` in a line replaced by the last of ``steps``.
-
-    One scan marks the matches, so that cutting at the marks leaves them at the odd
-    positions. Each step maps (match, what the step before made of it) to a value, computed
-    once per match; the first one is given the position of the match.
-    """
-    pieces = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK)
-    first, *others = steps
-    cut = F.transform(
-        pieces,
-        lambda piece, i: F.struct(
-            piece.alias("text"), F.when(i % 2 == 1, first(piece, i)).alias("made")
-        ),
-    )
-    for step in others:
-        cut = F.transform(cut, _next_step(step))
-    return F.array_join(F.transform(cut, lambda c: F.coalesce(c["made"], c["text"])), "")
-
-
-def _next_step(step: Callable[[Column, Column], Column]) -> Callable[[Column], Column]:
-    def apply(c: Column) -> Column:
-        made = F.when(c["made"].isNotNull(), step(c["text"], c["made"]))
-        return F.struct(c["text"].alias("text"), made.alias("made"))
-
-    return apply
 
+def _checked(key: str) -> str:
+    if not key:
+        raise ValueError("masking needs a secret key")
+    return key
 
-def _linked(match: Column, kind: Kind, key: str) -> Column:
-    return F.sha2(F.concat_ws("\0", F.lit(key), F.lit(kind.name), match), 256)
 
+def _text_masker(key: str, kinds: Sequence[Kind], random_share: float, seed: str):
+    """Column function: (text, identity) -> masked text; null stays null."""
+    masker = _Masker(key, kinds, random_share, seed)
 
-def masked(
-    text: Column, kind: Kind, key: str, random_share: float, seed: str, identity: Column
-) -> Column:
-    """One pass: keyed values, a share of them replaced by values free of the input."""
+    @F.arrow_udf("string")
+    def mask_text(texts: pa.Array, identities: pa.Array) -> pa.Array:
+        pairs = zip(texts.to_pylist(), identities.to_pylist())
+        return pa.array([None if t is None else masker.masked(t, i) for t, i in pairs], pa.string())
 
-    def free(_: Column, position: Column) -> Column:
-        given = [F.lit(key), F.lit(seed), F.lit(kind.name), identity, position.cast("string")]
-        return F.sha2(F.concat_ws("\0", *given), 256)
+    return mask_text
 
-    def chosen(match: Column, drawn: Column) -> Column:
-        # the last 13 digits decide, the first ones make the value
-        chance = _hex_number(drawn, 52, 13) / F.lit(float(16**13))
-        return F.when(chance < random_share, drawn).otherwise(_linked(match, kind, key))
 
-    draw = [free, chosen] if random_share > 0 else [lambda match, _: _linked(match, kind, key)]
-    replaced = replace_matches(text, kind.pattern, *draw, lambda _, digest: kind.fake(digest))
-    return F.when(kind.maybe(text), replaced).otherwise(text)
+def _pseudonym(key: str):
+    """Column function: (value, kind's name) -> its keyed stand-in; null stays null."""
+    kinds = {kind.name: kind for kind in PASSES}
+    masker = _Masker(key, PASSES, 0.0, "")
 
+    @F.arrow_udf("string")
+    def pseudonym(values: pa.Array, names: pa.Array) -> pa.Array:
+        pairs = zip(values.to_pylist(), names.to_pylist())
+        return pa.array([None if v is None else masker.linked(v, kinds[n]) for v, n in pairs], pa.string())
 
-def _checked(key: str) -> str:
-    if not key:
-        raise ValueError("masking needs a secret key")
-    return key
+    return pseudonym
 
 
 def mask_lines(
@@ -165,13 +184,9 @@ def mask_lines(
     it the original text itself is used, so equal lines draw alike.
     """
     _checked(key)
-    names = lines.columns
     told_apart = [F.col(c).cast("string") for c in identity] or [F.col(line)]
-    out = lines.withColumn("_identity", F.sha2(F.concat_ws("\0", *told_apart), 256))
-    for kind in PASSES:
-        text = masked(F.col(line), kind, key, random_share, seed, F.col("_identity"))
-        out = out.withColumn(line, text)
-    return out.select(*names)
+    own = F.sha2(F.concat_ws("\0", *told_apart), 256)
+    return lines.withColumn(line, _text_masker(key, PASSES, random_share, seed)(F.col(line), own))
 
 
 def mask_columns(rows: DataFrame, key: str) -> DataFrame:
@@ -180,17 +195,11 @@ def mask_columns(rows: DataFrame, key: str) -> DataFrame:
     The hashes inside URLs get the same pseudonyms as the hash columns.
     """
     _checked(key)
-
-    def pseudonym(name: str, kind: Kind) -> Column:
-        value = F.col(name)
-        return F.when(value.isNotNull(), kind.fake(_linked(value, kind, key)))
-
-    def rewritten(name: str) -> Column:
-        return masked(F.col(name), HASHES, key, 0.0, "", F.lit(""))
-
-    columns = {n: pseudonym(n, HASHES) for n in ("package_hash", "registry_hash", "artifact_hash")}
-    columns |= {n: rewritten(n) for n in ("request", "request_url", "package", "registry", "artifact")}
-    columns[ADDRESS_COLUMN] = F.when(
-        F.instr(ADDRESS_COLUMN, ":") > 0, pseudonym(ADDRESS_COLUMN, IPV6)
-    ).otherwise(pseudonym(ADDRESS_COLUMN, IPV4))
+    pseudonym, rewritten = _pseudonym(key), _text_masker(key, [HASHES], 0.0, "")
+    columns: dict[str, Column] = {
+        n: pseudonym(F.col(n), F.lit(HASHES.name)) for n in ("package_hash", "registry_hash", "artifact_hash")
+    }
+    columns |= {n: rewritten(F.col(n), F.lit("")) for n in ("request", "request_url", "package", "registry", "artifact")}
+    family = F.when(F.instr(ADDRESS_COLUMN, ":") > 0, IPV6.name).otherwise(IPV4.name)
+    columns[ADDRESS_COLUMN] = pseudonym(F.col(ADDRESS_COLUMN), family)
     return rows.withColumns({n: c for n, c in columns.items() if n in rows.columns})

@@ -125,3 +125,35 @@ def test_mask_columns(spark):
     assert ":" in b.remote_addr and b.request_url == "/meta"
     assert a.package_hash != H and a.request_url == f"/package/u/{a.package_hash}" and b.artifact_hash == a.package_hash
     assert tuple(c) == (None,) * 4
+
+
+def test_the_key_is_in_no_plan(spark, capsys):
+    df = spark.createDataFrame([(1, TEXTS[0])], "id int, value string")
+    masked_rows = privacy.mask_lines(df, "very-secret-key", identity=["id"], seed="hidden-seed")
+    columns = df.select(F.col("value").alias("request_url"), F.lit("1.2.3.4").alias("remote_addr"))
+    for out in (masked_rows, privacy.mask_columns(columns, "very-secret-key")):
+        out.explain(True)
+        shown = capsys.readouterr().out
+        assert "ArrowEvalPython" in shown and "secret" not in shown and "hidden-seed" not in shown
+
+
+def test_forgetting_replacements_changes_nothing(spark, monkeypatch):
+    want = masked(spark, TEXTS)
+    monkeypatch.setattr(privacy, "REMEMBERED", 1)
+    small = privacy._Masker("secret", privacy.PASSES, P.MASK_RANDOM_SHARE, "")
+    ids = [__import__("hashlib").sha256(str(i).encode()).hexdigest() for i in range(len(TEXTS))]
+    assert [small.masked(t, i) for t, i in zip(TEXTS, ids)] == want
+
+
+def test_runs_over_a_file_differ_unless_seeded(spark, tmp_path):
+    from hitledger.plans.jobs import anonymize_file
+
+    (tmp_path / "in.log").write_text("9.9.9.9 GET /package\n" * 40)
+
+    def run(name, **options):
+        anonymize_file(spark, str(tmp_path / "in.log"), str(tmp_path / name), "k", **options)
+        return [r.value for r in spark.read.text(str(tmp_path / name)).collect()]
+
+    assert len(set(run("a"))) > 10
+    assert sorted(run("b")) != sorted(run("c"))
+    assert sorted(run("d", seed="1")) == sorted(run("e", seed="1"))
