@@ -370,7 +370,8 @@ def hll_estimate(spark, sf_dir):
         F.to_date("time_utc").alias("day"), "remote_addr"
     )
     hashed = rows.withColumn("hll_hash", hll_hash(F.col("remote_addr")))
-    return registers.estimate_clients(hashed, ["day"])
+    per_day = registers.estimate_clients(hashed, ["day"])
+    return per_day.select("day", F.round("clients").cast("bigint").alias("clients"))
 
 
 def _md5_registers(spark, sf_dir):

@@ -6,8 +6,12 @@ written for the other engine from the log contract, with its own regular express
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import ipaddress
 from datetime import date, timedelta
 
+from hitledger.functions import patterns as P
 from hitledger.plans.sample_log import CI_PREFIXES, MASK_KEY, lines_sql, registries_sql
 
 _HEX = "[a-fA-F0-9]"
@@ -296,6 +300,56 @@ select event_id, {_fake_address("v6", "v4")} as remote_addr,
 from drawn"""
 
 
+# --- keyed client hash: by the letter, for every address the derived log can hold --------
+
+
+def register_of(address: bytes, secret: bytes = b"") -> str:
+    """Six hex digits of one address: sixteen Feistel rounds, then bucket and rank."""
+    half = len(address) // 2
+    head, tail = int.from_bytes(address[:half]), address[half:]
+    for turn in range(P.HASH_ROUNDS):
+        digest = hashlib.sha512(bytes([turn]) + secret + tail).digest()
+        for i in range(0, len(digest), half):
+            head ^= int.from_bytes(digest[i : i + half])
+        if turn < P.HASH_ROUNDS - 1:
+            head, tail = int.from_bytes(tail), head.to_bytes(half)
+    leading = int.from_bytes((head.to_bytes(half) + tail)[:4])
+    bucket, rank = leading & P.BUCKET_MASK, 1
+    for bit in range(31, -1, -1):
+        if not leading & P.SAMPLE_MASK & 1 << bit:
+            break
+        rank += 1
+    return bytes([bucket & 0xFF, bucket >> 8, rank]).hex()
+
+
+@functools.cache
+def _registers_sql() -> str:
+    """(day, ip, hll_hash): registers cut out of one string, found by the parts of an address.
+
+    IPv4 addresses are 10.(u % 8).(u % 256).(e % 250), IPv6 ones 2001:db8:: and a number below 1000.
+    """
+    v4 = "".join(register_of(bytes([10, u % 8, u, e])) for u in range(256) for e in range(250))
+    v6 = "".join(register_of(ipaddress.ip_address(f"2001:db8::{u}").packed) for u in range(1000))
+    place = "cast(split_part(remote_addr, '.', 3) as bigint) * 250 + cast(split_part(remote_addr, '.', 4) as bigint)"
+    return f"""
+with {_ROWS},
+tables as (select '{v4}' as v4, '{v6}' as v6),
+hashed as (
+  select cast(time_utc as date) as day, remote_addr as ip,
+    case when remote_addr like '2001:db8::%'
+      then substr(v6, 1 + 6 * cast(split_part(remote_addr, '::', 2) as bigint), 6)
+      else substr(v4, 1 + 6 * ({place}), 6) end as hll_hash
+  from parsed cross join tables where remote_addr is not null)"""
+
+
+def _hll_estimates() -> str:
+    part = lambda at: f"cast('0x' || substr(hll_hash, {at}, 2) as bigint)"
+    return f"""{_registers_sql()},
+regs as (
+  select day, {part(1)} + 256 * {part(3)} as bucket, max({part(5)}) as rank from hashed group by 1, 2)
+{_estimate("regs", "day")}"""
+
+
 def checking_sql() -> dict[str, str]:
     fields = ", ".join([*_TEXT, "time_utc", "status", "body_bytes_sent", "request_time", "julia_interactive", "pkgserver"])
     no_address = fields.replace("remote_addr, ", "", 1)
@@ -400,6 +454,8 @@ where contains(line, '/package') or contains(line, '/artifact') or contains(line
         "masked_links": f"""{_LINES}
 select lines, count(*) as n
 from (select split_part(line, ' ', 1) as client, count(*) as lines from lines group by 1) group by 1""",
+        "hll_hash": f"{_registers_sql()} select distinct ip, hll_hash from hashed",
+        "hll_estimate": _hll_estimates(),
         "register_table": f"{_MD5_REGISTERS} select day, cast(bucket as int) as bucket, rank from regs",
         "register_estimates": f"{_MD5_REGISTERS} {_estimate('regs', 'day')}",
         "register_merge": f"""{_MD5_REGISTERS},
