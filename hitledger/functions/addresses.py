@@ -1,8 +1,8 @@
 """Client addresses as binary keys, computed inside the JVM.
 
 ``address_key`` maps an IPv4 or IPv6 text to one version byte (4 or 6) followed by the
-big-endian address bytes. The first ``1 + n`` bytes of a key identify the enclosing
-network of ``8 * n`` bits, so prefix lookups become equality joins on a substring.
+big-endian address bytes. In hex digits, the first ``2 + n`` identify the enclosing network of
+``4 * n`` bits, so prefix lookups become equality joins on a substring.
 """
 
 from __future__ import annotations
@@ -80,6 +80,14 @@ def address_key(text: Column) -> Column:
     ).when(F.instr(text, ":") > 0, F.unhex(F.concat(F.lit("06"), _v6_hex(text))))
 
 
-def network_key(key: Column, whole_bytes: int) -> Column:
-    """The key cut to its first ``8 * whole_bytes`` bits; NULL for shorter addresses."""
-    return F.when(F.length(key) > whole_bytes, F.substring(key, 1, 1 + whole_bytes))
+def digits(text: Column) -> Column:
+    """The key as hex digits: two for the version, then the address. NULL like the key."""
+    return F.hex(address_key(text))
+
+
+def network(address: Column, level: int) -> Column:
+    """The enclosing network of ``4 * level`` bits, from an address's digits.
+
+    A shorter address gives a shorter text, which equals no network of that level.
+    """
+    return F.substring(address, 1, 2 + level)

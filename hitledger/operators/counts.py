@@ -194,13 +194,12 @@ class DailyHits:
     @classmethod
     def of(cls, table: DataFrame) -> DailyHits:
         """``table`` is the result of ``daily_hits``, written or checkpointed: it is read often."""
-        present = sorted(r.day for r in _package_days(table).collect())
-        return cls(table, present[1:-1])
+        return cls(table, sorted(r.day for r in plotted_days(table).collect()))
 
     def trimmed(self, kind: str) -> DataFrame:
         """(key, day, n) of one kind on the plotted days, which always come from packages."""
-        chosen = self.table.where((F.col("kind") == kind) & F.col("day").isin(self.days))
-        return chosen.select("key", "day", "n")
+        chosen = self.table.where(F.col("kind") == kind)
+        return chosen.join(plotted_days(self.table), "day", "left_semi").select("key", "day", "n")
 
     def by_day(self, kind: str, name: str) -> DataFrame:
         present = self.trimmed(kind).where(F.col("key").isNotNull())

@@ -9,50 +9,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.functions import patterns as P
-from hitledger.functions.addresses import address_key, network_key
+from hitledger.functions.addresses import digits, network
+from hitledger.joins import join_by_hot_key
 from hitledger.stages import shared
 
 # Rows a prefix table may have to be broadcast: about 50 MB of short keys and names.
 BROADCAST_ROWS = 500_000
 
 
-def _byte_aligned(prefixes: DataFrame) -> DataFrame:
-    """(provider, cidr) -> (level, net, provider): prefixes widened to whole bytes.
+def _aligned(prefixes: DataFrame) -> DataFrame:
+    """(provider, cidr) -> (level, net, provider): prefixes widened to whole hex digits.
 
-    A prefix that ends inside a byte becomes the up to 128 networks it covers at the next
-    byte boundary. Of several prefixes with one network the longest wins, then the smaller
-    provider name.
+    A prefix that ends inside a digit becomes the up to 8 networks it covers at the next
+    border. Of several prefixes with one network the longest wins, then the smaller provider
+    name. ``net`` is the start of an address's ``digits``, so its length tells the level.
     """
     parts = F.split("cidr", "/")
     base = prefixes.select(
         "provider",
-        address_key(F.get(parts, F.lit(0))).alias("base"),
+        digits(F.get(parts, F.lit(0))).alias("base"),
         F.get(parts, F.lit(1)).try_cast("int").alias("plen"),
-    ).where(
-        F.col("base").isNotNull() & F.col("plen").between(0, (F.length("base") - 1) * 8)
-    )
-    level = F.ceil(F.col("plen") / 8).cast("int")
-    span = F.pow(F.lit(2), level * 8 - F.col("plen")).cast("int")
-    last = F.conv(F.hex(F.substring("base", level + 1, F.lit(1))), 16, 10).cast("int")
+    ).where(F.col("base").isNotNull() & F.col("plen").between(0, (F.length("base") - 2) * 4))
+    level = F.ceil(F.col("plen") / 4).cast("int")
+    span = F.pow(F.lit(2), level * 4 - F.col("plen")).cast("int")
+    last = F.conv(F.substring("base", level + 2, F.lit(1)), 16, 10).cast("int")
     first = last - last % span
+    tails = F.when(level == 0, F.array(F.lit(""))).otherwise(
+        F.transform(F.sequence(first, first + span - 1), lambda n: F.hex(n))
+    )
     nets = base.select(
         "provider",
         "plen",
         level.alias("level"),
-        F.hex(F.substring("base", F.lit(1), F.greatest(level, F.lit(1)))).alias("head"),
-        F.explode(
-            F.when(level == 0, F.array(F.lit(-1))).otherwise(F.sequence(first, first + span - 1))
-        ).alias("tail"),
-    ).select(
-        "provider",
-        "plen",
-        "level",
-        F.unhex(
-            F.when(F.col("tail") < 0, F.col("head")).otherwise(
-                F.concat("head", F.lpad(F.hex("tail"), 2, "0"))
-            )
-        ).alias("net"),
-    )
+        F.substring("base", F.lit(1), F.greatest(level + 1, F.lit(2))).alias("head"),
+        F.explode(tails).alias("tail"),
+    ).select("provider", "plen", "level", F.concat("head", "tail").alias("net"))
     return (
         nets.groupBy("level", "net")
         .agg(F.min(F.struct((-F.col("plen")).alias("shorter"), "provider")).alias("best"))
@@ -62,18 +53,19 @@ def _byte_aligned(prefixes: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class PrefixTable:
-    """Byte-aligned networks of a prefix dimension, with its size checked once.
+    """Digit-aligned networks of a prefix dimension, with its size checked once.
 
     Up to ``BROADCAST_ROWS`` networks are fetched and kept as small local tables, one per
-    byte level in use (at most 17). ``small`` is None for anything larger.
+    level in use (at most 33). ``small`` is None for anything larger.
     """
 
     nets: DataFrame
     small: dict[int, DataFrame] | None
 
     @classmethod
-    def build(cls, prefixes: DataFrame, most_rows: int = BROADCAST_ROWS) -> PrefixTable:
-        nets = _byte_aligned(prefixes)
+    def build(cls, prefixes: DataFrame, most_rows: int | None = None) -> PrefixTable:
+        most_rows = BROADCAST_ROWS if most_rows is None else most_rows
+        nets = _aligned(prefixes)
         found = nets.limit(most_rows + 1).toArrow()
         if found.num_rows > most_rows:
             return cls(nets, None)
@@ -91,14 +83,14 @@ class PrefixTable:
 def with_provider(rows: DataFrame, prefixes: PrefixTable, addr: str = "remote_addr") -> DataFrame:
     """Adds ``provider``: the owner of the longest prefix around the address, or ``<unknown>``.
 
-    A prefix table of counted, broadcastable size is looked up with one hash join per byte
-    level in use, longest first: the log itself is neither shuffled nor multiplied, and a hot
+    A prefix table of counted, broadcastable size is looked up with one hash join per level
+    in use, longest first: the log itself is neither shuffled nor multiplied, and a hot
     address costs nothing extra. A larger table is joined against the distinct addresses.
     """
     if prefixes.small is None:
         return _with_provider_shuffled(rows, prefixes, addr)
     names = rows.columns
-    keyed = rows.withColumn("_key", address_key(F.col(addr)))
+    keyed = rows.withColumn("_key", digits(F.col(addr)))
     out, owner = _probed(keyed, prefixes.small)
     return out.select(*names, F.coalesce(owner, F.lit(P.UNKNOWN_PROVIDER)).alias("provider"))
 
@@ -106,77 +98,61 @@ def with_provider(rows: DataFrame, prefixes: PrefixTable, addr: str = "remote_ad
 def _probed(keyed: DataFrame, tables: dict[int, DataFrame]) -> tuple[DataFrame, Column]:
     """Joins ``_key`` to each level's broadcast table; the owner found at the longest level."""
     for level, table in tables.items():
-        same = network_key(F.col("_key"), level) == F.col(f"_net{level}")
+        same = network(F.col("_key"), level) == F.col(f"_net{level}")
         keyed = keyed.join(F.broadcast(table), same, "left")
     return keyed, F.coalesce(*[F.col(f"_provider{level}") for level in tables], F.lit(None))
 
 
-# Up to two bytes there are at most 2 * (1 + 256 + 65,536) networks, whatever the table holds.
-_COARSE = (2, 1, 0)
-_SALTS = 16
-# An address beyond the 10,000 busiest has less than a ten-thousandth of all rows.
-HOT_ADDRESSES = 10_000
+# Up to four digits there are at most 2 * 69,905 networks, whatever the table holds.
+_COARSE = (4, 3, 2, 1, 0)
 
 
 def _with_provider_shuffled(rows: DataFrame, prefixes: PrefixTable, addr: str) -> DataFrame:
     """Prefix tables beyond the broadcast bound: look up distinct addresses, then join back.
 
-    The busiest addresses are joined back by broadcast, so that no key of the remaining
-    shuffle join is large. Rows of hot addresses are never shuffled.
+    One job finds the owners of the distinct addresses; the rows are then read once, those of
+    hot addresses joined by broadcast and the others by shuffle.
     """
-    counted = shared(_owners(rows, prefixes, addr))
-    hot = F.broadcast(
-        counted.orderBy(F.desc("rows"), "_addr").limit(HOT_ADDRESSES).select("_addr", "_owner")
-    )
-    names = rows.columns
+    owners = shared(_owners(rows, prefixes, addr))
+    named = owners.withColumnRenamed("_addr", addr)
+    joined = join_by_hot_key(rows, named, addr, "_rows", "left")
     owner = F.coalesce("_owner", F.lit(P.UNKNOWN_PROVIDER)).alias("provider")
-    same = F.col(addr) == F.col("_addr")
-    busy = rows.join(hot, same, "left").where(F.col("_addr").isNotNull() | F.col(addr).isNull())
-    rest = rows.where(F.col(addr).isNotNull()).join(hot, same, "left_anti")
-    found = counted.where(F.col("_owner").isNotNull()).select("_addr", "_owner")
-    rest = rest.join(found, same, "left")
-    return busy.select(*names, owner).unionByName(rest.select(*names, owner))
+    return joined.select(*rows.columns, owner)
 
 
 def _owners(rows: DataFrame, prefixes: PrefixTable, addr: str) -> DataFrame:
-    """(_addr, rows, _owner) per distinct address; no owner is NULL.
+    """(_addr, _rows, _owner) per distinct address; no owner is NULL.
 
-    Networks of up to two bytes hold huge shares of all addresses but are few: they are
-    broadcast. Longer ones are joined by shuffle, each network's addresses over several
-    salted groups.
+    Networks of up to four digits hold huge shares of all addresses but are few: they are
+    broadcast. Longer ones meet the addresses in a join that treats hot networks apart.
     """
     nets = prefixes.nets
     counted = (
         rows.groupBy(F.col(addr).alias("_addr"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_addr").isNotNull())
     )
-    keyed = counted.withColumn("_key", address_key(F.col("_addr")))
+    keyed = shared(counted.withColumn("_key", digits(F.col("_addr"))))
     coarse = {level: _level_of(nets, level) for level in _COARSE}
     probed, coarse_owner = _probed(keyed, coarse)
-    probed = probed.select("_addr", "rows", "_key", coarse_owner.alias("_coarse"))
+    probed = probed.select("_addr", "_rows", coarse_owner.alias("_coarse"))
 
-    fine_levels = F.sequence(F.lit(len(_COARSE)), F.length("_key") - 1)
+    fine_levels = F.sequence(F.lit(len(_COARSE)), F.length("_key") - 2)
     probes = (
         keyed.where(F.col("_key").isNotNull())
         .select("_addr", "_key", F.explode(fine_levels).alias("level"))
-        .select(
-            "_addr",
-            "level",
-            F.substring("_key", F.lit(1), F.col("level") + 1).alias("net"),
-            F.pmod(F.hash("_addr"), F.lit(_SALTS)).alias("salt"),
-        )
-    )
-    salted = nets.where(F.col("level") >= len(_COARSE)).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+        .select("_addr", "level", F.substring("_key", F.lit(1), F.col("level") + 2).alias("net"))
     )
+    fine_nets = nets.where(F.col("level") >= len(_COARSE)).select("net", "provider")
+    met = probes.groupBy("net").agg(F.count(F.lit(1)).alias("_met"))
+    found = shared(fine_nets.join(met, "net").select("net", "provider", "_met"))
     fine = (
-        probes.join(salted, ["level", "net", "salt"])
+        join_by_hot_key(probes, found, "net", "_met", "inner")
         .groupBy("_addr")
         .agg(F.max_by("provider", "level").alias("_fine"))
     )
     return probed.join(fine, "_addr", "left").select(
-        "_addr", "rows", F.coalesce("_fine", "_coarse").alias("_owner")
+        "_addr", "_rows", F.coalesce("_fine", "_coarse").alias("_owner")
     )
 
 
@@ -220,15 +196,22 @@ def with_package_name(counts: DataFrame, registry: DataFrame, key: str = "packag
 
 def ci_variables(text: Column) -> Column:
     """``K=v;K=v`` as a map; of a repeated key the last value counts."""
-    pairs = F.transform(F.split(text, ";"), lambda p: F.split(p, "=", 2))
-    # map_from_entries refuses repeated keys, so keep each key's last pair only
-    numbered = F.transform(
-        pairs, lambda p, i: F.struct(p.getItem(0).alias("k"), F.get(p, F.lit(1)).alias("v"), i.alias("i"))
-    )
-    last = F.filter(
-        numbered, lambda e: ~F.exists(numbered, lambda o: (o.k == e.k) & (o.i > e.i))
+    # last first, so that the first position of a key is the one that counts
+    pairs = F.transform(F.reverse(F.split(text, ";")), lambda p: F.split(p, "=", 2))
+    keys = F.transform(pairs, lambda p: p.getItem(0))
+    values = F.transform(pairs, lambda p: F.get(p, F.lit(1)))
+    sides = F.struct(keys.alias("k"), values.alias("v"))
+    of_keys = F.transform(
+        F.array(sides),
+        lambda s: F.map_from_arrays(
+            F.reverse(F.array_distinct(s["k"])),
+            F.transform(
+                F.reverse(F.array_distinct(s["k"])),
+                lambda k: F.get(s["v"], (F.array_position(s["k"], k) - 1).cast("int")),
+            ),
+        ),
     )
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e.k, e.v)))
+    return F.when(text.isNotNull(), F.get(of_keys, F.lit(0)))
 
 
 def is_ci_environment(text: Column) -> Column:

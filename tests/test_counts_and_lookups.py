@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from hitledger import joins
 from hitledger.functions.values import human_bytes
 from hitledger.operators import counts, enrich
 
@@ -125,9 +126,9 @@ def longest_match(prefixes, text):
     return min(owners)[1] if owners else "<unknown>"
 
 
-@pytest.mark.parametrize("most_rows,hot", [(enrich.BROADCAST_ROWS, 0), (0, 0), (0, 3), (0, 10_000)])
+@pytest.mark.parametrize("most_rows,hot", [(enrich.BROADCAST_ROWS, 0), (0, 0), (0, 30), (0, 10_000)])
 def test_longest_prefix_against_brute_force(spark, monkeypatch, most_rows, hot):
-    monkeypatch.setattr(enrich, "HOT_ADDRESSES", hot)
+    monkeypatch.setattr(joins, "HOT_SHARE", hot)
     rng = random.Random(11)
     prefixes = [("all4", "0.0.0.0/0"), ("dup2", "10.1.0.0/16"), ("dup1", "10.1.0.0/16"), ("one", "10.1.2.3/32"), ("self6", "::1/128")]
     if most_rows == 0:
@@ -166,6 +167,29 @@ def test_small_tables_join_without_a_shuffle(spark):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "NestedLoop" not in plan
 
 
+def test_long_prefixes_stay_on_the_broadcast_plan(spark):
+    odd = spark.range(25_000).select(
+        F.concat(F.lit("n"), "id").alias("provider"),
+        F.concat_ws(".", F.lit("10"), (F.col("id") / 256).cast("int") % 256, F.col("id") % 2 * 128, F.lit("0/17")).alias("cidr"),
+    )
+    odd6 = spark.range(25_000).select(
+        F.concat(F.lit("s"), "id").alias("provider"), F.concat(F.lit("2001:"), F.hex("id"), F.lit(":8000::/33")).alias("cidr")
+    )
+    table = enrich.PrefixTable.build(odd.union(odd6))
+    assert table.small is not None and set(table.small) == {5, 9}
+    df = spark.createDataFrame([("2001:a:ffff::1",), ("2001:a:7fff::1",)], "remote_addr string")
+    assert [r.provider for r in enrich.with_provider(df, table).collect()] == ["s10", "<unknown>"]
+
+
+def test_large_tables_read_the_rows_once_more(spark):
+    df = spark.range(10).select(F.concat(F.lit("10.0.0."), "id").alias("remote_addr"))
+    table = enrich.PrefixTable.build(spark.sql("select 'a' as provider, '10.0.0.0/30' as cidr"), 0)
+    found = enrich.with_provider(df, table)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 10") == 1
+    assert sorted(r.provider for r in found.collect()) == ["<unknown>"] * 6 + ["a"] * 4
+
+
 def test_first_registry_names(spark):
     registry = spark.createDataFrame(
         [("u1", "late", "R2", 2), ("u1", "early", "R1", 1), ("u2", "tie-b", "B", 1), ("u2", "tie-a", "A", 1)],
