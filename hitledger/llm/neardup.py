@@ -35,8 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitledger.joins import join_by_hot_key
 from hitledger.llm import textkeys as tk
-from hitledger.llm.common import join_by_hot_key, text_or_empty
+from hitledger.llm.common import text_or_empty
 from hitledger.llm.components import components, forest
 from hitledger.stages import shared
 
@@ -332,7 +333,7 @@ def near_duplicates(
     some = rows.where("__n > 0")
     best = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
     classes = shared(
-        some.groupBy("__class").agg(F.min(best).alias("best"), F.count("*").alias("copies"), F.min("__row").alias("cid"))
+        some.groupBy("__class").agg(F.min(best).alias("best"), F.count("*").alias("__copies"), F.min("__row").alias("cid"))
     )
     chosen = classes.select("cid")
     signatures = shared(
@@ -343,7 +344,9 @@ def near_duplicates(
     members = shared(join_by_hot_key(bands, shared(repeated), "key", "n", "inner"))
     pairs = shared(members.where("cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct())
     nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    texts = shared(some.select(F.col("__row").alias("cid"), F.col("__text").alias("text")).join(nodes, "cid", "left_semi"))
+    # the ids of candidates grow with the corpus, so they are never sent to every task
+    texts = some.select(F.col("__row").alias("cid"), F.col("__text").alias("text"))
+    texts = shared(texts.join(nodes.hint("merge"), "cid", "left_semi"))
     links = confirm(pairs, texts, size, percent)
     labels = components(links)
     least = int(REGISTERS * (percent / 100 - MARGIN))
@@ -360,13 +363,13 @@ def near_duplicates(
         links = links.union(met(blocks, whole, _remaining(least, percent, size)))
         labels = components(links)
     named = classes.join(labels, classes["cid"] == labels["node"], "left").select(
-        "__class", "copies", "best", F.coalesce("component", "cid").alias("component")
+        "__class", "__copies", "best", F.coalesce("component", "cid").alias("component")
     )
     named = shared(named)
     firsts = named.groupBy("component").agg(F.min("best").alias("__best"), F.count("*").alias("n"))
     known = join_by_hot_key(named.drop("best"), shared(firsts), "component", "n", "left")
-    known = shared(known.select("__class", "copies", "__best"))
-    slim = join_by_hot_key(rows.drop("__text", "__bands", "__sig"), known, "__class", "copies", "left")
+    known = shared(known.select("__class", "__copies", "__best"))
+    slim = join_by_hot_key(rows.drop("__text", "__bands", "__sig"), known, "__class", "__copies", "left")
     component = F.when(F.col("__n") > 0, F.col("__best")["id"]).otherwise(F.col(doc_id))
     return slim.select(
         *docs.columns,
