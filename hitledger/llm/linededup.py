@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import SEPARATORS, join_by_hot_key, let, text_or_empty
+from hitledger.joins import join_by_hot_key
+from hitledger.llm.common import SEPARATORS, let, text_or_empty
 from hitledger.llm.quality import CRC_SQL
 from hitledger.stages import shared
 
@@ -92,13 +93,13 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     repeated = shared(repeated.select(F.xxhash64("chunk").alias("hash"), "chunk", "keeper", "n"))
     found = chunks.select("id", "doc", F.xxhash64("chunk").alias("hash"))
     gone = join_by_hot_key(found, repeated, "hash", "n", "inner").where("id is null or id > keeper")
-    gone = gone.groupBy("doc").agg(F.collect_set("chunk").alias("__gone"))
+    gone = gone.groupBy(F.col("doc").alias("__gone_doc")).agg(F.collect_set("chunk").alias("__gone"))
     kept = F.filter(
         chunk_marks(text_or_empty(text)),
         lambda c: F.col("__gone").isNull() | ~c.startswith(MARK) | ~F.array_contains("__gone", c),
     )
     rebuilt = F.array_join(F.transform(kept, lambda c: F.substring(c, F.instr(c, MARK) + 1, F.length(c))), "\n")
-    joined = docs.withColumn("__doc", key).join(gone, F.col("__doc") == F.col("doc"), "left")
+    joined = docs.withColumn("__doc", key).join(gone, F.col("__doc") == F.col("__gone_doc"), "left")
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(text, "\n")))
     left = F.when(F.col("__text") == "", 0).otherwise(F.size(F.split("__text", "\n")))
     # a text that lost nothing but is empty has one line and keeps it

@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm.common import join_by_hot_key
+from hitledger.joins import join_by_hot_key
 from hitledger.stages import new_folder, shared
 
 LEAST_BYTES = 100
@@ -39,7 +39,7 @@ SPLIT_BYTES = 8 << 20
 READ_BYTES = 256 << 10
 MAGIC = b"\x1f\x8b\x08"
 #: A candidate must show its header's end within so many decoded bytes.
-HEADER_BYTES = 64 << 10
+HEADER_BYTES, HEADER_STEP = 64 << 10, 512
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = (
     "path string, offset long, record_type string, record_id string, target_uri string, "
@@ -123,30 +123,33 @@ class _Range:
     def __init__(self, file, start: int, stop: int):
         self.file, self.start, self.stop, self.size = file, start, stop, file.size()
 
-    def decoded(self, at: int, limit: int | None = None) -> tuple[bytes, int] | None:
-        """What the member at an offset decodes to, and its end; None if it isn't a member.
-
-        With a limit only so many bytes are decoded, and the end is 0 unless it was reached.
-        """
-        packed, parts, have, pos = zlib.decompressobj(31), [], 0, at
+    def decoded(self, at: int) -> tuple[bytes, int] | None:
+        """What the member at an offset decodes to, and its end; None if it doesn't decode."""
+        packed, parts, pos = zlib.decompressobj(31), [], at
         try:
             while not packed.eof and pos < self.size:
                 data = self.file.read_at(min(READ_BYTES, self.size - pos), pos)
                 pos += len(data)
-                part = packed.decompress(data, limit - have if limit else 0)
-                parts.append(part)
-                have += len(part)
-                if limit and (have >= limit or b"\r\n\r\n" in part):
-                    break
+                parts.append(packed.decompress(data))
         except zlib.error:
             return None
-        if not packed.eof:
-            return (b"".join(parts), 0) if limit else None
-        return b"".join(parts), pos - len(packed.unused_data)
+        return (b"".join(parts), pos - len(packed.unused_data)) if packed.eof else None
 
     def is_record(self, at: int) -> bool:
-        head = self.decoded(at, HEADER_BYTES)
-        return bool(head) and head[0].startswith(b"WARC/") and b"\r\n\r\n" in head[0]
+        """Whether the bytes at an offset decode to a WARC header; no more than that is decoded."""
+        packed, head = zlib.decompressobj(31), b""
+        data = self.file.read_at(min(HEADER_BYTES, self.size - at), at)
+        try:
+            while data and not packed.eof and len(head) < HEADER_BYTES:
+                head += packed.decompress(data, HEADER_STEP)
+                if not head.startswith(b"WARC/"[: len(head)]):
+                    return False
+                if b"\r\n\r\n" in head:
+                    return True
+                data = packed.unconsumed_tail
+        except zlib.error:
+            pass
+        return False
 
     def candidate(self, at: int) -> int | None:
         """The first offset from ``at`` on, before the range's end, where a record starts."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
+from hitledger import joins
 from hitledger.llm import bpe, common, linededup, mixing, quality, vectors, warc
 from hitledger.stages import new_folder
 
@@ -27,13 +28,13 @@ def texts_of(spark, texts):
 
 
 def test_hot_keys_join_like_any_other(spark, monkeypatch):
-    monkeypatch.setattr(common, "HOT_SHARE", 20)
+    monkeypatch.setattr(joins, "HOT_SHARE", 20)
     random.seed(0)
     keys = [None] * 40 + ["hot"] * 300 + [f"k{random.randint(0, 150)}" for _ in range(300)]
     left = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i long, key string")
     right = spark.createDataFrame([(k, f"v{k}", keys.count(k)) for k in {*keys} - {None, "k3"}], "key string, v string, n long")
     for how, kept in (("left", keys), ("inner", [k for k in keys if k not in (None, "k3")])):
-        got = common.join_by_hot_key(left, right, "key", "n", how).collect()
+        got = joins.join_by_hot_key(left, right, "key", "n", how).collect()
         assert len(got) == len(kept)
         assert all(r.v == (None if r.key in (None, "k3") else f"v{r.key}") for r in got)
 
