@@ -52,9 +52,10 @@ def server_of(file_name: Column) -> Column:
 
 
 def month_day(ts: Column) -> Column:
-    return F.concat_ws(
-        "/",
+    """``MM/DD``, NULL for no time."""
+    return F.concat(
         F.lpad(F.month(ts).cast("string"), 2, "0"),
+        F.lit("/"),
         F.lpad(F.day(ts).cast("string"), 2, "0"),
     )
 

@@ -8,13 +8,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.functions import patterns as P
 from hitledger.functions.iphash import hll_hash
 from hitledger.functions.values import month_day, server_of
 from hitledger.operators import counts, enrich, mirror, parse, privacy, registers
 from hitledger.plans import sample_log
 from hitledger.stages import shared
 from hitledger.sources.listing import default_selection, is_access_log, is_recent
+from hitledger.sources.textscan import mirror_day
 from hitledger.streaming.ingest import daily_counts, run_to_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,7 +295,7 @@ def ci_variables_map(spark, sf_dir):
 def _mirror_lines(spark, sf_dir):
     lines = sample_log.log_lines(spark, sf_dir)
     return lines.select(
-        F.to_date(F.regexp_extract("src_file", P.DATED_NAME, 1), "yyyyMMdd").alias("day"),
+        mirror_day(F.col("src_file")).alias("day"),
         F.replace("line", F.lit("GET /"), F.lit("GET /julia/")).alias("line"),
     )
 

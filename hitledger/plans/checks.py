@@ -57,8 +57,8 @@ captured as materialized (
   from lines where regexp_matches(line, '{_FULL}')),
 clocked as (
   select *, c.time_text as tt,
-         case when c.time_text like '%/%' then strptime(substr(c.time_text, 2, 20), '%d/%b/%Y:%H:%M:%S')
-              else strptime(substr(c.time_text, 2, 19), '%Y-%m-%dT%H:%M:%S') end as wall,
+         case when c.time_text like '%/%' then try_strptime(substr(c.time_text, 2, 20), '%d/%b/%Y:%H:%M:%S')
+              else try_strptime(substr(c.time_text, 2, 19), '%Y-%m-%dT%H:%M:%S') end as wall,
          replace(replace(right(c.time_text, 7), ':', ''), ' ', '') as zone
   from captured),
 parsed as (
@@ -66,9 +66,9 @@ parsed as (
          {", ".join(f"nullif(nullif(c.{n}, ''), '-') as {n}" for n in _TEXT)},
          wall - to_minutes(cast(concat(substr(zone, 1, 1), '1') as bigint)
                 * (60 * cast(substr(zone, 2, 2) as bigint) + cast(substr(zone, 4, 2) as bigint))) as time_utc,
-         cast(c.status_text as bigint) as status,
-         cast(c.bytes_text as bigint) as body_bytes_sent,
-         cast(c.request_time_text as double) as request_time,
+         try_cast(c.status_text as bigint) as status,
+         try_cast(c.bytes_text as bigint) as body_bytes_sent,
+         try_cast(c.request_time_text as double) as request_time,
          case c.flag_text when 'true' then true when '1' then true when 'false' then false
                           when '0' then false end as julia_interactive,
          {_SERVER} as pkgserver
@@ -127,7 +127,7 @@ names as (
   qualify row_number() over (partition by package_uuid order by priority, registry, name) = 1)"""
 _MIRROR = f"""with lines as ({lines_sql()}),
 mirrored as (
-  select cast(strptime(regexp_extract(src_file, '-(\\d+).gz', 1), '%Y%m%d') as date) as day,
+  select cast(try_strptime(regexp_extract(src_file, '(\\d{{8}})', 1), '%Y%m%d') as date) as day,
          replace(line, 'GET /', 'GET /julia/') as line from lines),
 per_day as (
   select day, cast(coalesce(sum(case when regexp_matches(line, 'julia/(package|artifact|registry)/')
@@ -190,13 +190,21 @@ def _next_token() -> str:
     return f"nullif(regexp_extract({rest}, '^\\s*(\\S+)', 1), '')"
 
 
+def _led_to(name: str, piece: str) -> str:
+    """What a line's leading pieces, up to ``piece``, capture under ``name``; '' if they don't match."""
+    upto = [n for n, _ in _PIECES].index(piece) + 1
+    text = "^" + "".join(p for _, p in _PIECES[:upto])
+    names = ", ".join(f"'{n}'" for n in _NAMES[: _NAMES.index(name) + 1])
+    return f"regexp_extract(line, '{text}', [{names}]).{name}"
+
+
 _REJECTS = f"""{_LINES},
 rejects as (
   select line, {_reject_field()} as reject_field,
          case when u in ('/', '/favicon.ico', '/robots.txt')
                 or regexp_matches(u, '^(/meta|/badges/|/detail/|/docs/|/logs/)')
                 or lower(agent) = 'statping' then 'known_noise' else 'unknown' end as reject_class
-  from (select line, split_part(split_part(line, '"', 2), ' ', 2) as u, split_part(line, '"', 4) as agent
+  from (select line, {_led_to("request_url", "request")} as u, {_led_to("http_user_agent", "http_user_agent")} as agent
         from lines where not regexp_matches(line, '{_FULL}')))"""
 
 _MD5_REGISTERS = f"""{_PARSED},
@@ -326,17 +334,21 @@ def register_of(address: bytes, secret: bytes = b"") -> str:
 def _registers_sql() -> str:
     """(day, ip, hll_hash): registers cut out of one string, found by the parts of an address.
 
-    IPv4 addresses are 10.(u % 8).(u % 256).(e % 250), IPv6 ones 2001:db8:: and a number below 1000.
+    IPv4 addresses are 10.(u % 8).(u % 256).(e % 250), IPv6 ones 2001:db8:: and a number below 1000, or
+    ::ffff:10.9.8. and one below 100.
     """
     v4 = "".join(register_of(bytes([10, u % 8, u, e])) for u in range(256) for e in range(250))
     v6 = "".join(register_of(ipaddress.ip_address(f"2001:db8::{u}").packed) for u in range(1000))
+    tail = "".join(register_of(bytes([*[0] * 10, 255, 255, 10, 9, 8, u])) for u in range(100))
     place = "cast(split_part(remote_addr, '.', 3) as bigint) * 250 + cast(split_part(remote_addr, '.', 4) as bigint)"
     return f"""
 with {_ROWS},
-tables as (select '{v4}' as v4, '{v6}' as v6),
+tables as (select '{v4}' as v4, '{v6}' as v6, '{tail}' as tail),
 hashed as (
   select cast(time_utc as date) as day, remote_addr as ip,
-    case when remote_addr like '2001:db8::%'
+    case when remote_addr like '::ffff:%'
+      then substr(tail, 1 + 6 * cast(split_part(remote_addr, '.', 4) as bigint), 6)
+      when remote_addr like '2001:db8::%'
       then substr(v6, 1 + 6 * cast(split_part(remote_addr, '::', 2) as bigint), 6)
       else substr(v4, 1 + 6 * ({place}), 6) end as hll_hash
   from parsed cross join tables where remote_addr is not null)"""
@@ -372,14 +384,18 @@ select reject_field, cast(example as int) as example, {_next_token()} as next_to
 select src_file, case when regexp_matches(line, '{_FULL}') then 'row' else 'reject' end as record, count(*) as n
 from lines group by 1, 2""",
         "file_selection": f"""{_LINES},
-files as (select distinct src_file, strptime(regexp_extract(src_file, '-(\\d+)\\.gz', 1), '%Y%m%d') as d from lines)
-select src_file, true as access_log,
-       date_diff('second', d, timestamp '2024-02-08 12:00:00') < 15 * 86400 as recent_15,
-       date_diff('second', d, timestamp '2024-02-08 12:00:00') < 33 * 86400 as selected
+files as (
+  select distinct src_file, regexp_matches(src_file, '^access_.*\\.pkg\\.julia.*\\.(gz|zst)') as access_log,
+         date_diff('second', try_strptime(regexp_extract(src_file, '-(\\d+)\\.gz', 1), '%Y%m%d'),
+                   timestamp '2024-02-08 12:00:00') as age
+  from lines)
+select src_file, access_log, coalesce(age < 15 * 86400, false) as recent_15,
+       access_log and coalesce(age < 33 * 86400, false) as selected
 from files""",
         "union_files": f"{p} select src_file, count(*) as n from parsed group by 1",
         "freshness_anti_join": f"""{_LINES}
-select distinct src_file from lines where src_file like 'access\\_kr.%' escape '\\' or src_file like 'access\\_us-east.%' escape '\\'""",
+select distinct src_file from lines where src_file like 'access\\_kr.%' escape '\\' or src_file like 'access\\_us-east.%' escape '\\'
+  or src_file not like 'access\\_%' escape '\\'""",
         "package_requests": f"{p} select event_id, request_url from parsed where starts_with(request_url, '/package')",
         "artifact_requests": f"{p} select event_id, request_url from parsed where starts_with(request_url, '/artifact')",
         "hits_by_package": f"{p} select package_uuid, count(*) as n from parsed where package_uuid is not null group by 1",
@@ -460,6 +476,6 @@ from (select split_part(line, ' ', 1) as client, count(*) as lines from lines gr
         "register_estimates": f"{_MD5_REGISTERS} {_estimate('regs', 'day')}",
         "register_merge": f"""{_MD5_REGISTERS},
 whole as (select bucket, max(rank) as rank from regs group by 1) {_estimate("whole", "")}""",
-        "daily_window_counts": f"{p} select cast(time_utc as date) as day, count(*) as n from parsed group by 1",
-        "streaming_daily_counts": f"{p} select cast(time_utc as date) as day, count(*) as n from parsed group by 1",
+        "daily_window_counts": f"{p} select cast(time_utc as date) as day, count(*) as n from parsed where time_utc is not null group by 1",
+        "streaming_daily_counts": f"{p} select cast(time_utc as date) as day, count(*) as n from parsed where time_utc is not null group by 1",
     }
