@@ -1,5 +1,6 @@
 """Random and damaged lines, compared with a field-by-field reading in plain Python."""
 
+import calendar
 import random
 import re
 from datetime import datetime, timedelta
@@ -12,7 +13,7 @@ from hitledger.functions.layout import ACCESS_LOG
 from hitledger.operators.parse import parse_lines, parse_or_reject
 from hitledger.stages import shared
 
-MONTHS = {m.lower(): i for i, m in enumerate(P.MONTH_NAMES, start=1)}
+MONTHS = {m.lower(): i for i, m in enumerate(calendar.month_abbr[1:], start=1)}
 
 
 def plain_time(text):
@@ -71,7 +72,7 @@ def random_line(rng):
     pick = rng.choice
     clock = f"{rng.randint(0, 25):02d}:{rng.randint(0, 61):02d}:{rng.randint(0, 61):02d}"
     offset = f"{pick('+-')}{rng.randint(0, 30):02d}"
-    local = f"[{rng.randint(0, 32):02d}/{pick([*P.MONTH_NAMES, 'Xyz', 'nov', 'MAY'])}/{rng.randint(1990, 2040)}:{clock} {offset}30]"
+    local = f"[{rng.randint(0, 32):02d}/{pick([*calendar.month_abbr[1:], 'Xyz', 'nov', 'MAY'])}/{rng.randint(1990, 2040)}:{clock} {offset}30]"
     iso = f"[{rng.randint(1990, 2040)}-{rng.randint(0, 13):02d}-{rng.randint(0, 32):02d}T{clock}{offset}:00]"
     url = pick([
         f"/package/{uuid(rng)}/{hexes(rng, 40)}", f"/package/{uuid(rng)}/{hexes(rng, 41)}", f"/registry/{uuid(rng)}/{hexes(rng, 40)}",
