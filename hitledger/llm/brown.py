@@ -40,11 +40,12 @@ from hitledger.stages import drop_stage, shared
 OWN, GROUPS = 60_000, 4_096
 UNITS = OWN + GROUPS
 CLASSES = 64
-ROUNDS = 5
+ROUNDS = 6
 #: Words whose counts are broadcast; the first OWN - 1 of them are units.
 HOT = 1 << 18
 BLOCK = 1024
 SALTS = 32
+TOKENS_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 2 << 20
 WIDTH = 2 * CLASSES + 1
 
 
@@ -57,7 +58,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in tk.slices(batch.column(0)):
+            for start, stop in tk.slices(batch.column(0), TEXT_AT_ONCE):
                 found = tk.words(batch.column(0).slice(start, stop - start), forms=True)
                 keys, first, n = np.unique(found.keys, return_index=True, return_counts=True)
                 arrays = [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(found.endings[first])]
@@ -76,7 +77,6 @@ class Lexicon:
     units: np.ndarray
     unit_counts: np.ndarray
     unit_types: np.ndarray
-    unit_endings: np.ndarray
     tokens: int
     distinct: int
     discount: float
@@ -85,34 +85,50 @@ class Lexicon:
         return np.log10((c + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
 
+def hot_words(counts: DataFrame, most: int) -> DataFrame:
+    """All words from some count on: as many as fit in ``most`` rows.
+
+    The count is found on a histogram by sixteenths of powers of two, at most 1008 rows; of the small
+    counts each has a row of its own.
+    """
+    step = F.floor(F.log2("n") * 16).cast("int")
+    histogram = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).orderBy(F.desc("step")).collect()
+    least, words = None, 0
+    for row in histogram:
+        words += row["words"]
+        if words > most:
+            break
+        least = row["step"]
+    return counts.where(F.lit(False) if least is None else step >= least)
+
+
 def lexicon(counts: DataFrame, texts: int) -> Lexicon:
-    """From the table of counts and the number of training texts. Gathers HOT + GROUPS rows."""
-    top = counts.orderBy(F.desc("n"), "key").limit(HOT).toPandas()
+    """From the table of counts and the number of training texts. Gathers HOT rows and 2**17 sums."""
+    top = hot_words(counts, HOT).toPandas().sort_values(["n", "key"], ascending=[False, True])
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     keys = top["key"].to_numpy(np.int64).view(np.uint64)
     n, endings = top["n"].to_numpy(np.int64), top["ending"].to_numpy(np.int64)
-    unit_counts, unit_types, unit_endings = (np.zeros(UNITS, np.int64) for _ in range(3))
-    own = min(len(top), OWN - 1)
+    unit_counts, unit_types = np.zeros(UNITS, np.int64), np.zeros(UNITS, np.int64)
+    # words seen once are known by their ending, as unseen words have to be
+    own = int(min((n > 1).sum(), OWN - 1))
     unit_counts[0] = texts
-    unit_counts[1 : own + 1], unit_endings[1 : own + 1] = n[:own], endings[:own]
-    unit_endings[OWN:] = np.arange(GROUPS)
-    singles = doubles = 0
-    if own == OWN - 1:
-        edge_n, edge_key = int(top["n"][own - 1]), int(top["key"][own - 1])
-        rest = counts.where((F.col("n") < edge_n) | ((F.col("n") == edge_n) & (F.col("key") > edge_key)))
-        by_ending = rest.groupBy("ending").agg(
-            F.sum("n").alias("n"), F.count("*").alias("types"),
-            F.count_if(F.col("n") == 1).alias("singles"), F.count_if(F.col("n") == 2).alias("doubles"),
-        ).toPandas()  # fmt: skip  # at most 2**17 endings
-        group = OWN + group_of(by_ending["ending"].to_numpy(np.int64))
-        np.add.at(unit_counts, group, by_ending["n"].to_numpy(np.int64))
-        np.add.at(unit_types, group, by_ending["types"].to_numpy(np.int64))
-        singles, doubles = int(by_ending["singles"].sum()), int(by_ending["doubles"].sum())
+    unit_counts[1 : own + 1] = n[:own]
+    by_ending = counts.groupBy("ending").agg(
+        F.sum("n").alias("n"), F.count("*").alias("types"),
+        F.count_if(F.col("n") == 1).alias("singles"), F.count_if(F.col("n") == 2).alias("doubles"),
+    ).toPandas()
+    group = group_of(by_ending["ending"].to_numpy(np.int64))
+    np.add.at(unit_counts, OWN + group, by_ending["n"].to_numpy(np.int64))
+    np.add.at(unit_types, OWN + group, by_ending["types"].to_numpy(np.int64))
+    # less the words that are units
+    np.subtract.at(unit_counts, OWN + group_of(endings[:own]), n[:own])
+    np.subtract.at(unit_types, OWN + group_of(endings[:own]), 1)
+    singles, doubles = int(by_ending["singles"].sum()), int(by_ending["doubles"].sum())
     units = np.full(len(top), -1, np.int64)
     units[:own] = np.arange(1, own + 1)
     order = np.argsort(keys)
     return Lexicon(
-        keys[order], n[order], units[order], unit_counts, unit_types, unit_endings,
+        keys[order], n[order], units[order], unit_counts, unit_types,
         int(total[0]) + texts, int(total[1]) + (texts > 0), singles / (singles + 2 * doubles) if singles else 0.5,
     )
 
@@ -135,7 +151,7 @@ def _coded(lex: Lexicon, text_at: int, names: list[str]):
         end_base = float(lex.base(lex.unit_counts[:1])[0])
         end_emitted = float(np.log10(max(lex.unit_counts[0], 1)))
         for whole in batches:
-            for start, stop in tk.slices(whole.column(text_at)):
+            for start, stop in tk.slices(whole.column(text_at), TEXT_AT_ONCE):
                 part = whole.slice(start, stop - start)
                 found = tk.words(part.column(text_at), forms=True)
                 counts = np.diff(found.offsets)
@@ -174,55 +190,74 @@ def _coded(lex: Lexicon, text_at: int, names: list[str]):
     return run
 
 
+def _block(block: int, whole: bool, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int32()), pa.array([whole]), pa.array([data], pa.binary())], names=["block", "whole", "counts"]
+    )
+
+
 def _neighbours(classes: np.ndarray):
     """Counts, by block of units: classes before, classes behind, and the unit itself before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((UNITS, WIDTH), np.int64)
-        for batch in batches:
-            data = b"".join(x.as_py() for x in batch.column(0))
-            if not data:
-                continue
-            units = np.frombuffer(data, np.uint16).astype(np.int64)
-            before = np.concatenate([[0], units[:-1]])
-            counts[:, :CLASSES] += np.bincount(units * CLASSES + classes[before], minlength=UNITS * CLASSES).reshape(UNITS, -1)
-            counts[:, CLASSES:-1] += np.bincount(before * CLASSES + classes[units], minlength=UNITS * CLASSES).reshape(UNITS, -1)
+        # a task reads far fewer than 2**31 tokens
+        counts = np.zeros((UNITS, WIDTH), np.int32)
+
+        def add(units: np.ndarray) -> None:
+            before = np.concatenate([np.zeros(1, np.int32), units[:-1]])
+            for low, key in ((0, units * CLASSES + classes[before]), (CLASSES, before * CLASSES + classes[units])):
+                counts[:, low : low + CLASSES] += np.bincount(key, minlength=UNITS * CLASSES).reshape(UNITS, -1)
             counts[:, -1] += np.bincount(units[units == before], minlength=UNITS)
-        for block in range(0, UNITS, BLOCK):
-            part = counts[block : block + BLOCK]
-            if part.any():
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "counts": pa.array([part.tobytes()], pa.binary())})
 
+        held, size = [], 0
+        for batch in batches:
+            for data in batch.column(0):
+                held.append(data.as_py())
+                size += len(held[-1])
+                if size >= TOKENS_AT_ONCE * 2:
+                    add(np.frombuffer(b"".join(held), np.uint16).astype(np.int32))
+                    held, size = [], 0
+        if held:
+            add(np.frombuffer(b"".join(held), np.uint16).astype(np.int32))
+        for block in range(0, UNITS, BLOCK):
+            part = counts[block : block + BLOCK].reshape(-1)
+            cells = np.flatnonzero(part).astype(np.int32)
+            if len(cells):
+                # most cells are empty: places and values of the others
+                data = np.stack([cells, part[cells]]).tobytes()
+                yield _block(block, False, data)
+
+    classes = classes.astype(np.int32)
     return run
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums runs of equal blocks, one at a time."""
+    """Sums runs of equal blocks, one at a time: cells in, whole blocks of int64 out."""
     at, total = None, None
 
-    def out():
-        return pa.RecordBatch.from_pydict({"block": pa.array([at], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
-
     for batch in batches:
-        for block, data in zip(batch.column("block").to_pylist(), batch.column("counts")):
-            part = np.frombuffer(data.as_py(), np.int64)
-            if block == at:
-                total = total + part
-            else:
+        for block, whole, data in zip(batch.column("block").to_pylist(), batch.column("whole").to_pylist(), batch.column("counts")):
+            if block != at:
                 if at is not None:
-                    yield out()
-                at, total = block, part
+                    yield _block(at, True, total.tobytes())
+                at, total = block, np.zeros(min(BLOCK, UNITS - block) * WIDTH, np.int64)
+            if whole:
+                total += np.frombuffer(data.as_buffer(), np.int64)
+            else:
+                cells, values = np.frombuffer(data.as_buffer(), np.int32).reshape(2, -1)
+                total[cells] += values
     if at is not None:
-        yield out()
+        yield _block(at, True, total.tobytes())
 
 
 def neighbour_counts(coded: DataFrame, classes: np.ndarray) -> DataFrame:
     """(block, counts): at most UNITS / BLOCK rows, summed in two steps over all training rows."""
-    schema = "block int, counts binary"
+    schema = "block int, whole boolean, counts binary"
     parts = coded.select("__units").mapInArrow(_neighbours(classes), schema)
     salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).repartition("block", "salt")
-    some = salted.sortWithinPartitions("block", "salt").select("block", "counts").mapInArrow(_summed, schema)
-    return shared(some.repartition("block").sortWithinPartitions("block").mapInArrow(_summed, schema))
+    some = salted.sortWithinPartitions("block", "salt").select("block", "whole", "counts").mapInArrow(_summed, schema)
+    whole = some.repartition("block").sortWithinPartitions("block").mapInArrow(_summed, schema)
+    return shared(whole.select("block", "counts"))
 
 
 def class_counts(blocks: DataFrame, classes: np.ndarray) -> np.ndarray:
@@ -267,8 +302,9 @@ def best_classes(counts: np.ndarray, own: np.ndarray, bigrams: np.ndarray) -> np
     mid = without[:, diagonal, diagonal]
     gain -= _xlogx(mid + left) + _xlogx(mid + right) - 2 * base[:, diagonal, diagonal]
     gain += _xlogx(mid + left + right + itself[:, None]) - base[:, diagonal, diagonal]
-    for axis, more in ((2, right), (1, left)):
-        side = without.sum(axis=axis)
+    # the unit's neighbours have it on one side whatever its class; the class has it on the other
+    for axis, beside, more in ((2, left, right), (1, right, left)):
+        side = without.sum(axis=axis) + beside
         gain -= _xlogx(side + (more.sum(axis=1) + itself)[:, None]) - _xlogx(side)
     gain[:, 0] = -np.inf
     best = gain.argmax(axis=1)
@@ -309,9 +345,13 @@ class Model:
     unseen: np.ndarray
 
 
-def first_classes(lex: Lexicon) -> np.ndarray:
-    """Words start in a class by their ending, groups by their number; the end token alone in 0."""
-    classes = 1 + (tk.mixed(lex.unit_endings.astype(np.uint64)) % np.uint64(CLASSES - 1)).astype(np.int64)
+def first_classes() -> np.ndarray:
+    """Units are dealt to the classes in turn, words by falling frequency; the end token alone in 0.
+
+    Classes that all start alike drift apart; starting from similar words instead, half of all units
+    would at first crowd into a few classes, as moves of a round don't see each other.
+    """
+    classes = 1 + np.arange(UNITS) % (CLASSES - 1)
     classes[0] = 0
     return classes
 
@@ -327,7 +367,7 @@ def finished(lex: Lexicon, classes: np.ndarray, bigrams: np.ndarray) -> Model:
 
 def learn(coded: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> Model:
     """Exchange clustering over the coded training rows."""
-    classes = first_classes(lex)
+    classes = first_classes()
     for turn in range(rounds):
         blocks = neighbour_counts(coded, classes)
         classes = exchange(blocks, classes, class_counts(blocks, classes), turn)
@@ -336,22 +376,22 @@ def learn(coded: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> Model:
     return finished(lex, classes, class_counts(blocks, classes))
 
 
-def _scored(model: Model):
+def _scored(classes: np.ndarray, transitions: np.ndarray, emission_sums: np.ndarray):
     """Per row: what units alone decide of the score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = []
             for data in batch.column(1):
-                classes = model.classes[np.frombuffer(data.as_py(), np.uint16)]
-                before = np.concatenate([[0], classes[:-1]])
-                scores.append(float(model.transitions[before, classes].sum() - model.emission_sums[classes].sum()))
+                own = classes[np.frombuffer(data.as_py(), np.uint16)]
+                before = np.concatenate([[0], own[:-1]])
+                scores.append(float(transitions[before, own].sum() - emission_sums[own].sum()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
     return run
 
 
-def _rare(model: Model):
+def _rare(unseen_of: np.ndarray):
     """The rare words of each row: (row, key, n, log10 of the unseen mass in their class)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +401,7 @@ def _rare(model: Model):
             units = np.frombuffer(b"".join(x.as_py() for x in batch.column(3)), np.uint16)
             sizes = [len(x.as_py()) // 8 for x in batch.column(1)]
             rows = np.repeat(batch.column(0).to_numpy(), sizes)
-            unseen = model.unseen[model.classes[units]].astype(np.float32)
+            unseen = unseen_of[units]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, (rows, keys, n, unseen))), names=["row", "key", "n", "unseen"])
 
     return run
@@ -379,9 +419,9 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
     fields = T.StructType([*slim.fields, *T._parse_datatype_string(_CODED).fields])
     coded = shared(marked.mapInArrow(_coded(lex, 3, fields.names), fields))
     model = learn(coded.where("not held_out"), lex)
-    wholes = coded.select("row", "__units").mapInArrow(_scored(model), "row long, score double")
+    wholes = coded.select("row", "__units").mapInArrow(_scored(model.classes, model.transitions, model.emission_sums), "row long, score double")
     rare = coded.select("row", "__rare_keys", "__rare_n", "__rare_units").where(F.octet_length("__rare_keys") > 0)
-    rare = rare.mapInArrow(_rare(model), "row long, key long, n int, unseen float")
+    rare = rare.mapInArrow(_rare(model.unseen[model.classes].astype(np.float32)), "row long, key long, n int, unseen float")
     tail = counts.select(F.col("key").alias("word"), F.col("n").alias("c"))
     met = rare.join(tail, rare["key"] == tail["word"], "left")
     c, n = F.coalesce("c", F.lit(0)), F.col("n")

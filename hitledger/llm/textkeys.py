@@ -30,13 +30,14 @@ def _powers(base: int, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_BASE, SEGMENT + 1), _powers(_INVERSE, SEGMENT + 1)
 
 
-def _folding(separators: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def _folding(separators: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By byte: whether it belongs to a word, its code, and what it is folded to."""
     is_word = np.ones(256, bool)
     is_word[list(separators)] = False
-    codes = _CODES.copy()
+    folded = np.arange(256, dtype=np.int32)
     if lower:
-        codes[65:91] = codes[97:123]
-    return is_word, codes
+        folded[65:91] += 32
+    return is_word, _CODES[folded], folded
 
 
 WHITE = bytes([32, *range(9, 14)])
@@ -88,7 +89,7 @@ def words(column: pa.Array, folding=SPACED, forms: bool = False) -> Words:
     An ending is the last byte, plus 256 times the byte before it (0 if there is none), plus 2**16
     if any byte is beyond ASCII.
     """
-    is_word, codes = folding
+    is_word, codes, folded = folding
     data, offsets = string_parts(column)
     if not len(data):
         return Words(np.zeros(len(offsets), np.int64), np.zeros(0, _U), np.zeros(0, np.int32))
@@ -114,8 +115,8 @@ def words(column: pa.Array, folding=SPACED, forms: bool = False) -> Words:
         if forms:
             beyond = np.zeros(len(part) + 1, np.int32)
             np.cumsum(part >= 128, out=beyond[1:])
-            before = np.where(end - begin > 1, part[np.maximum(end - 2, 0)], 0).astype(np.int32)
-            endings.append(part[end - 1] + (before << 8) + ((beyond[end] > beyond[begin]).astype(np.int32) << 16))
+            before = np.where(end - begin > 1, folded[part[np.maximum(end - 2, 0)]], 0)
+            endings.append(folded[part[end - 1]] + (before << 8) + ((beyond[end] > beyond[begin]).astype(np.int32) << 16))
         at = stop
     all_starts = np.concatenate(starts)
     return Words(
