@@ -136,7 +136,8 @@ def judge(docs: DataFrame, trusted: DataFrame, *, text: str = "text", doc_id: st
             repeat_words(w).alias("repeated"),
         ),
     )
-    measured = docs.withColumn("__of_words", of_words).withColumns(
+    # no filter moves below a generator, so one on ``kept`` doesn't evaluate all this again
+    measured = docs.select("*", F.explode(F.array(of_words)).alias("__of_words")).withColumns(
         {
             "n_words": F.col("__of_words")["n"],
             "word_chars": F.col("__of_words")["chars"],
