@@ -25,15 +25,21 @@ from __future__ import annotations
 import base64
 import functools
 from array import array
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Bound of the pieces and pairs a task remembers.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
+#: Bytes of input that a task takes at a time.
+SLICE = 1 << 20
 #: Lengths of the heads of pieces whose tables are kept.
 HEADS = (4, 8)
 
@@ -46,9 +52,11 @@ class Vocabulary:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
+        self.lengths = [len(self.tokens.get(i, b"")) for i in range(max(self.tokens) + 1)]
         self.longest = max(map(len, self.ranks))
-        self.suffixes = {t[i:] for t in self.ranks for i in range(len(t))}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # by first token: whether a second one may follow
+        self.followers: list[dict[int, bool]] = [{} for _ in self.lengths]
+        self.n_pairs = 0
         self.alone: dict[int, bool] = {}
         self.heads: dict[bytes, list[int]] = {}
 
@@ -63,12 +71,13 @@ class Vocabulary:
         return [self.ranks[p] for p in parts]
 
     def may_follow(self, first: int, second: int) -> bool:
-        known = self.pairs.get((first, second))
+        known = self.followers[first].get(second)
         if known is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
+            if self.n_pairs >= REMEMBERED // 2:
+                self.followers, self.n_pairs = [{} for _ in self.lengths], 0
             known = self.merged(self.tokens[first] + self.tokens[second]) == [first, second]
-            self.pairs[first, second] = known
+            self.followers[first][second] = known
+            self.n_pairs += 1
         return known
 
     def stands_alone(self, token: int) -> bool:
@@ -79,35 +88,36 @@ class Vocabulary:
 
     def extend(self, piece: bytes, last: list[int], until: int | None = None) -> None:
         """Continues the table ``last`` (one entry per prefix, the empty one first) over ``piece``."""
-        ranks, suffixes, pairs = self.ranks.get, self.suffixes, self.pairs
+        ranks = self.ranks.get
         for end in range(len(last), (len(piece) if until is None else until) + 1):
-            start = end - 1
-            part = piece[start:end]
-            while True:
-                token = ranks(part)
-                if token is not None:
-                    if start:
-                        before = last[start]
-                        follows = pairs.get((before, token))
-                        if follows is None:
-                            follows = self.may_follow(before, token)
-                    else:
-                        follows = self.stands_alone(token)
-                    if follows:
-                        last.append(token)
-                        break
+            start = end
+            while start:
                 start -= 1
-                part = piece[start:end]
-                if start < 0 or part not in suffixes:
-                    raise ValueError("the vocabulary lacks single bytes")
+                token = ranks(piece[start:end])
+                if token is None:
+                    continue
+                if start:
+                    before = last[start]
+                    follows = self.followers[before].get(token)
+                    if follows is None:
+                        follows = self.may_follow(before, token)
+                else:
+                    follows = self.stands_alone(token)
+                if follows:
+                    last.append(token)
+                    break
+            else:
+                raise ValueError("the vocabulary lacks single bytes")
 
     def backwards(self, last: list[int]) -> list[int]:
         """The encoding of the longest prefix, read from the table's end."""
-        ids, at = [], len(last) - 1
+        ids, at, lengths = [], len(last) - 1, self.lengths
         while at:
-            ids.append(last[at])
-            at -= len(self.tokens[last[at]])
-        return ids[::-1]
+            token = last[at]
+            ids.append(token)
+            at -= lengths[token]
+        ids.reverse()
+        return ids
 
     def piece_ids(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -124,7 +134,7 @@ class Vocabulary:
             head = piece[: HEADS[1] if len(piece) > HEADS[1] else HEADS[0]]
             known = self.heads.get(head)
             if known is None:
-                if len(self.heads) >= REMEMBERED // 4:
+                if len(self.heads) >= REMEMBERED // 8:
                     self.heads.clear()
                 known = self.heads[head] = self.table(head)
             last = known.copy()
@@ -191,18 +201,23 @@ def append_text(vocabulary: Vocabulary, text: str, more: str) -> tuple[int, list
 
 
 class _Pieces(dict):
-    """Piece of text -> its ids as little-endian 32-bit numbers, computed when first asked for."""
+    """Piece of text -> its ids as little-endian 32-bit numbers, computed when first asked for.
+
+    When full it becomes the older generation, from which pieces come back when they recur.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.older = vocabulary, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = array("I", self.vocabulary.piece_ids(piece.encode()))
-        packed = ids.tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            packed = array("I", self.vocabulary.piece_ids(piece.encode())).tobytes()
         if len(piece) <= 64:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
+                self.clear()
             self[piece] = packed
         return packed
 
@@ -215,35 +230,18 @@ def loaded(path: str, pattern: str) -> tuple[Vocabulary, _Pieces, list[bytes | N
     return vocabulary, _Pieces(vocabulary), table
 
 
-def encoder(path: str, pattern: str):
-    """Column function: text -> ids as little-endian unsigned 32-bit numbers (binary)."""
-
-    @F.arrow_udf("binary")
-    def encode(texts: pa.Array) -> pa.Array:
-        vocabulary, pieces, _ = loaded(path, pattern)
-        find = vocabulary.pattern.findall
-        packed = (b"".join(map(pieces.__getitem__, find(t.as_py() or ""))) for t in texts)
-        return pa.array(packed, pa.binary())
-
-    return encode
-
-
-def decoder(path: str, pattern: str):
-    """Column function: ids as little-endian unsigned 32-bit numbers -> bytes."""
+def packed_ids(text: str | None, path: str, pattern: str) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers, with the memory of the task."""
+    vocabulary, pieces, _ = loaded(path, pattern)
+    return b"".join(map(pieces.__getitem__, vocabulary.pattern.findall(text or "")))
 
-    @F.arrow_udf("binary")
-    def decode(ids: pa.Array) -> pa.Array:
-        _, _, table = loaded(path, pattern)
 
-        def text(packed: bytes | None) -> bytes:
-            try:
-                return b"".join(map(table.__getitem__, memoryview(packed or b"").cast("I")))
-            except (IndexError, TypeError) as error:
-                raise ValueError("an id is outside the vocabulary") from error
-
-        return pa.array((text(x.as_py()) for x in ids), pa.binary())
-
-    return decode
+def unpacked_text(ids: bytes | None, path: str, pattern: str) -> bytes:
+    table = loaded(path, pattern)[2]
+    try:
+        return b"".join(map(table.__getitem__, memoryview(ids or b"").cast("I")))
+    except (IndexError, TypeError) as error:
+        raise ValueError("an id is outside the vocabulary") from error
 
 
 def default_files() -> tuple[str, str]:
@@ -252,12 +250,51 @@ def default_files() -> tuple[str, str]:
     return public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
-def encode_column(docs: DataFrame, files: tuple[str, str], text: str = "text", out: str = "ids") -> DataFrame:
-    return docs.withColumn(out, encoder(*files)(F.col(text)))
+def _with_columns(docs: DataFrame, given: str, keep: list[str], made: dict) -> DataFrame:
+    """``keep`` and new binary columns; each of ``made`` maps the value before it, ``given`` at first.
+
+    Rows go out in slices of about a megabyte of input, so a task holds little at a time.
+    """
+    fields = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(c, T.BinaryType()) for c in made)])
+    names = fields.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column(0)), 0).to_numpy(zero_copy_only=False)
+            ends = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE, prepend=0)) + 1
+            for start, stop in zip([0, *ends], [*ends, whole.num_rows]):
+                part = whole.slice(start, stop - start)
+                values, columns = part.column(0).to_pylist(), []
+                for make in made.values():
+                    values = [make(v) for v in values]
+                    columns.append(pa.array(values, pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=names)
+
+    return docs.select(F.col(given).alias("__given"), *keep).mapInArrow(run, fields)
+
+
+def encode_column(
+    docs: DataFrame,
+    files: tuple[str, str],
+    text: str = "text",
+    out: str = "ids",
+    decoded: str | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Adds ``out``, the ids as little-endian unsigned 32-bit numbers, and what they decode to.
+
+    Of the other columns all stay, or those that ``keep`` names.
+    """
+    made = {out: lambda value: packed_ids(value, *files)}
+    if decoded:
+        made[decoded] = lambda value: unpacked_text(value, *files)
+    return _with_columns(docs, text, keep or [c for c in docs.columns if c not in made], made)
 
 
 def decode_column(docs: DataFrame, files: tuple[str, str], ids: str = "ids", out: str = "decoded") -> DataFrame:
-    return docs.withColumn(out, decoder(*files)(F.col(ids)))
+    """Adds ``out``, the bytes that the ids stand for."""
+    made = {out: lambda value: unpacked_text(value, *files)}
+    return _with_columns(docs, ids, [c for c in docs.columns if c != out], made)
 
 
 def sha256(data: Column) -> Column:
@@ -267,7 +304,7 @@ def sha256(data: Column) -> Column:
 def encoded_digests(docs: DataFrame, files: tuple[str, str] | None = None) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     files = files or default_files()
-    both = decode_column(encode_column(docs.select("doc_id", "text"), files), files)
+    both = encode_column(docs, files, decoded="decoded", keep=["doc_id"])
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
