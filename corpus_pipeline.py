@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm.bpe import decode_column, default_files, encode_column, sha256
+from hitledger.llm.bpe import default_files, encode_column, sha256
 from hitledger.llm.linededup import dedup_lines
 from hitledger.llm.mixing import mix_documents
 from hitledger.llm.neardup import near_duplicates
@@ -47,8 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with the digests of the ids and of the text they decode to."""
-    files = default_files()
-    both = decode_column(encode_column(docs, files), files)
+    both = encode_column(docs, default_files(), decoded="decoded", keep=["doc_id", "source"])
     return both.select(
         "doc_id",
         "source",
