@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: Used on local masters only, where driver and executors are one process.
@@ -25,9 +28,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_made: list[tuple[str, object]] = []
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing else uses.
+
+    What is there when the driver's Python ends is deleted; a killed driver leaves it.
+    """
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _made.append((path, spark._jsc.hadoopConfiguration()))
+    return path
+
+
+@atexit.register
+def _delete_made() -> None:
+    for path, configuration in _made if SparkContext._jvm else ():
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            _delete(SparkContext._jvm, path, configuration)
+
+
+def _delete(jvm, folder: str, configuration) -> None:
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(configuration).delete(path, True)
 
 
 def shared(df: DataFrame) -> DataFrame:
@@ -46,5 +69,4 @@ def drop_stage(df: DataFrame) -> None:
     spark = df.sparkSession
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         if folder.rsplit("/", 1)[-1].startswith("stage-"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark._jvm, folder, spark._jsc.hadoopConfiguration())
