@@ -5,7 +5,7 @@ from __future__ import annotations
 from hitledger.llm.bpe import op1_byte_bpe
 from hitledger.llm.brown import op2_brown_scores
 from hitledger.llm.language import op7_language
-from hitledger.llm.licenses import op4_license_scan
+from hitledger.llm.licenses import OP4_SQL, op4_license_scan
 from hitledger.llm.linededup import OP3_SQL, op3_line_dedup
 from hitledger.llm.mixing import OP10_SQL, op10_mix_sources
 from hitledger.llm.neardup import op9_near_duplicates
@@ -26,6 +26,7 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
 }
 SQL = {
+    "op4_license_scan": OP4_SQL,
     "op3_line_dedup": OP3_SQL,
     "op5_quality_rules": OP5_SQL,
     "op6_warc": OP6_SQL,

@@ -123,7 +123,7 @@ class Templates:
         """(containment, first word, word behind) of template t near a window of one row."""
         wanted, reach = self.shingles[t], len(self.shingles[t]) + len(self.shingles[t]) // 4
         low = max(0, place - self.widths[t])
-        part = own[low : place + 2 * self.widths[t]]
+        part = own[low : place + 3 * self.widths[t]]
         at = np.minimum(np.searchsorted(wanted, part), len(wanted) - 1)
         hits = np.flatnonzero(wanted[at] == part)
         best = None
@@ -180,3 +180,44 @@ def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, *, text
 def op4_license_scan(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return scan_licenses(docs)
+
+
+_WORDS = "[0-9a-z\\x{80}-\\x{10FFFF}]+"
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words_of(text: str) -> str:
+    return f"regexp_extract_all({_LOWER.format(text)}, '{_WORDS}') as w"
+
+
+_SHINGLES = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))"
+
+
+def _values() -> str:
+    quoted = (f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in NOTICES.items())
+    return ", ".join(quoted)
+
+
+#: Every place of every text, without windows or bands.
+OP4_SQL = f"""
+with notices(license, notice) as (values {_values()}),
+wanted as (
+  select license, unnest(own) as shingle, len(own) as n, len(own) + len(own) // 4 as reach
+  from (select license, list_distinct({_SHINGLES}) as own from (select license, {_words_of("notice")} from notices))),
+docs as (select row_number() over () as r, doc_id, {_words_of("text")} from documents),
+places as (
+  select r, doc_id, unnest(own) as shingle, unnest(range(len(own))) as i
+  from (select r, doc_id, {_SHINGLES} as own from docs)),
+hits as (select r, doc_id, i, license, shingle, n, reach from places join wanted using (shingle)),
+spans as (
+  select a.r, a.doc_id, a.license, a.i as first_word, max(b.i) + {SHINGLE} as end_word,
+    count(distinct b.shingle) / any_value(a.n) as containment
+  from hits a join hits b on a.r = b.r and a.license = b.license and b.i >= a.i and b.i < a.i + a.reach
+  group by all),
+ranked as (
+  select *, row_number() over (partition by r, license order by containment desc, first_word) as place
+  from spans where containment >= {LEAST})
+select doc_id, license, cast(containment as double) as containment,
+  cast(first_word as bigint) as first_word, cast(end_word as bigint) as end_word
+from ranked where place = 1
+"""
