@@ -6,13 +6,18 @@
 3. NN-descent rounds: around every class, its neighbours (and those whose neighbour it is) meet each
    other; pairs in which one is new to the list are compared, and who beats the worst of a
    list enters it. A class in very many lists is met in chunks, so no group grows with the data.
-4. After the rounds, ``AUDIT`` classes are compared with all of their label by brute force. While
-   fewer than ``RECALL`` of their links are known, lists double, fresh orders are added and rounds
-   go on.
-5. A list full of links is saturated: there may be more than it holds. It is enlarged to the whole
+4. A list full of links is saturated: there may be more than it holds. It is enlarged to the whole
    component it lies in, whose members are compared block against block; what a task holds is
    bounded, and a block pair returns link counts and a spanning forest, not pairs.
-6. Links are those of at least ``LEAST`` in double precision. Union-find gives components.
+5. Enlarged components of one label may link where no list had room. Their members are covered by
+   cells, a leader and all within ``CELL`` of it; leaders are compared block against block, and
+   cells of two components close enough for a link (by the angles) member by member. So links
+   between enlarged components are exact; the leaders' comparisons grow with the square of the
+   cells of a label.
+6. After that, ``AUDIT`` classes with saturated lists, and as many others, are compared with all of
+   their label by brute force. While fewer than ``RECALL`` of the links of either are known, lists
+   double, fresh orders are added and rounds go on.
+7. Links are those of at least ``LEAST`` in double precision. Union-find gives components.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows
 without label, link with nothing; vectors of different length don't compare; repeated rows are
@@ -40,6 +45,7 @@ K, TABLES, REACH, ROUNDS = 8, 4, 6, 4
 CHUNK = 48
 AUDIT, RECALL, ATTEMPTS = 1024, 0.99, 3
 BLOCK = 512
+CELL = 0.995
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,38 +187,6 @@ def descend(lists: DataFrame, classes: DataFrame, k: int) -> tuple[DataFrame, in
     return better, better.where("fresh").count()
 
 
-def _audit_links(queries: list[tuple[int, str, bytes]]):
-    """All links of the queries among the rows of their block: (v, u)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_block: dict[str, list[tuple[int, bytes]]] = {}
-        for cid, block, unit in queries:
-            by_block.setdefault(block, []).append((cid, unit))
-        for batch in batches:
-            blocks = np.array(batch.column("block").to_pylist())
-            for block in set(blocks.tolist()) & set(by_block):
-                part = batch.filter(pa.array(blocks == block))
-                asked = np.frombuffer(b"".join(u for _, u in by_block[block]), np.float64).reshape(len(by_block[block]), -1)
-                a, b = np.nonzero(asked @ _matrix(part.column("unit"), np.float64).T >= LEAST)
-                ids = np.array([c for c, _ in by_block[block]])[a]
-                others = part.column("cid").to_numpy()[b]
-                yield _edges(ids[ids != others], others[ids != others], np.ones(int((ids != others).sum())))
-
-    return run
-
-
-def recall(lists: DataFrame, links: DataFrame, classes: DataFrame) -> float:
-    """Share of the brute-force links of AUDIT classes, those with saturated lists left out."""
-    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(AUDIT).select("cid", "block", "unit").collect()
-    true = classes.select("cid", "block", "unit").mapInArrow(
-        _audit_links([(r["cid"], r["block"], bytes(r["unit"])) for r in sample]), "v long, u long, sim float"
-    )
-    saturated = lists.where(F.col("worst") >= LEAST - SLACK).select("v").distinct()
-    true = shared(true.select("v", "u").join(saturated, "v", "left_anti"))
-    n = true.count()
-    return 1.0 if not n else true.join(links.select("v", "u"), ["v", "u"], "left_semi").count() / n
-
-
 def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of (component, i, j): links of the asking members to the others, and a spanning forest.
 
@@ -257,21 +231,152 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(list(compare(held)))
 
 
-def dense_links(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, n) rows of ``_block_links`` for (cid, component, size) members of dense components."""
-    few = F.ceil(F.col("size") / BLOCK)
-    own = F.pmod(F.xxhash64("cid"), few)
-    every = F.explode(F.sequence(F.lit(0).cast("long"), few - 1))
-    asking = members.select("component", own.alias("i"), every.alias("j"), F.lit(0).alias("role"), "cid")
-    others = members.select("component", every.alias("i"), own.alias("j"), F.lit(1).alias("role"), "cid")
-    rows = asking.union(others).join(classes.select("cid", "copies", "unit"), "cid")
+def block_links(asking: DataFrame, others: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, n) rows of ``_block_links`` for ``asking`` and ``others``, both (cid, component)."""
+    sizes = asking.groupBy("component").agg(F.count("*").alias("asked"))
+    sizes = shared(sizes.join(others.groupBy("component").agg(F.count("*").alias("size")), "component"))
+
+    def dealt(rows: DataFrame, role: int, own: str, other: str) -> DataFrame:
+        known = join_by_hot_key(rows.select("component", "cid"), sizes, "component", own, "inner")
+        places = {
+            own: F.pmod(F.xxhash64("cid"), F.ceil(F.col(own) / BLOCK)),
+            other: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(other) / BLOCK) - 1)),
+        }
+        return known.select(
+            "component", places["asked"].alias("i"), places["size"].alias("j"), F.lit(role).alias("role"), "cid"
+        )
+
+    rows = dealt(asking, 0, "asked", "size").union(dealt(others, 1, "size", "asked"))
+    return _compared(rows, classes)
+
+
+def _compared(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``_block_links`` of (component, i, j, role, cid)."""
+    rows = rows.join(classes.select("cid", "copies", "unit"), "cid")
     rows = rows.select("component", "i", "j", "role", "cid", "copies", "unit")
     rows = rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
     return shared(rows.mapInArrow(_block_links, "a long, b long, n long"))
 
 
+def _runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[tuple]]:
+    """Runs of rows that agree in their first ``key`` columns."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[-1][:key] != row[:key]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of (component, i): each member's cell, named by its leader, and the cell's angle."""
+    for rows in _runs(batches, 2):
+        ids = np.array([r[2] for r in rows])
+        vectors = np.frombuffer(b"".join(r[3] for r in rows), np.float64).reshape(len(rows), -1)
+        cell, angle, left = np.zeros(len(rows), np.int64), np.zeros(len(rows)), np.arange(len(rows))
+        while len(left):
+            sim = vectors[left] @ vectors[left[0]]
+            near = sim >= CELL
+            near[0] = True
+            cell[left[near]] = ids[left[0]]
+            angle[left[near]] = np.arccos(np.clip(sim[near].min(), -1, 1))
+            left = left[~near]
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(cell), pa.array(angle)], names=["cid", "cell", "angle"])
+
+
+def _near_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of (block, i, j): pairs of cells of two components whose members may link."""
+    for rows in _runs(batches, 3):
+        asking, others = [r for r in rows if r[3] == 0], [r for r in rows if r[3] == 1]
+        if not asking or not others:
+            continue
+        left, right = (np.frombuffer(b"".join(r[7] for r in x), np.float64).reshape(len(x), -1) for x in (asking, others))
+        (own, a, ra), (other, b, rb) = ([np.array([r[k] for r in x]) for k in (4, 5, 6)] for x in (asking, others))
+        most = np.arccos(LEAST) + ra[:, None] + rb[None, :] + SLACK
+        near = (np.arccos(np.clip(left @ right.T, -1, 1)) <= most) & (own[:, None] != other[None, :])
+        x, y = np.nonzero(near)
+        yield pa.RecordBatch.from_arrays([pa.array(a[x]), pa.array(b[y])], names=["x", "y"])
+
+
+def bridge_links(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, n) rows of ``_block_links`` between the (cid, component) members of different components."""
+    placed = members.select("cid", "component").join(classes.select("cid", "block", "unit"), "cid")
+    alone = placed.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    placed = placed.join(alone.where("low < high").select("block"), "block", "left_semi")
+    counted = shared(placed.groupBy("component").agg(F.count("*").alias("size")))
+    dealt = join_by_hot_key(placed.select("component", "cid", "unit"), counted, "component", "size", "inner")
+    dealt = dealt.select("component", F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / BLOCK)).alias("i"), "cid", "unit")
+    dealt = dealt.repartition("component", "i").sortWithinPartitions("component", "i")
+    cells = shared(dealt.mapInArrow(_cells, "cid long, cell long, angle double"))
+    leaders = cells.where("cid = cell").select("cell", "angle").join(
+        members.select(F.col("cid").alias("cell"), "component"), "cell"
+    ).join(classes.select(F.col("cid").alias("cell"), "block", "unit"), "cell")
+    leaders = shared(leaders)
+    sizes = shared(leaders.groupBy("block").agg(F.count("*").alias("size")))
+    known = join_by_hot_key(leaders, sizes, "block", "size", "inner")
+    few = F.ceil(F.col("size") / BLOCK)
+    own = F.pmod(F.xxhash64("cell"), few)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), few - 1))
+    rest = ["component", "cell", "angle", "unit"]
+    rows = known.select("block", own.alias("i"), every.alias("j"), F.lit(0).alias("role"), *rest).union(
+        known.select("block", every.alias("i"), own.alias("j"), F.lit(1).alias("role"), *rest)
+    )
+    rows = rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
+    pairs = shared(rows.mapInArrow(_near_cells, "x long, y long"))
+    inside = cells.select("cid", "cell")
+    sides = [
+        pairs.join(inside, pairs[side] == inside["cell"]).select(
+            F.lit(0).alias("component"), F.col("x").alias("i"), F.col("y").alias("j"), F.lit(role).alias("role"), "cid"
+        )
+        for role, side in enumerate(("x", "y"))
+    ]
+    return _compared(sides[0].union(sides[1]), classes)
+
+
+def completed(lists: DataFrame, confirmed: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, n) link counts and (a, b) edges, after components with saturated lists are compared whole."""
+    grouped = components(confirmed.select(F.col("v").alias("a"), F.col("u").alias("b")))
+    full = saturated(lists)
+    dense = grouped.join(full, grouped["node"] == full["v"], "left_semi").select("component").distinct()
+    sizes = grouped.groupBy("component").agg(F.count("*").alias("size")).join(dense, "component", "left_semi")
+    members = join_by_hot_key(grouped, shared(sizes), "component", "size", "inner")
+    members = shared(members.select(F.col("node").alias("cid"), "component"))
+    whole = block_links(members, members, classes).union(bridge_links(members, classes))
+    both = confirmed.union(confirmed.select("u", "v"))
+    loose = both.join(members.select(F.col("cid").alias("v")), "v", "left_anti")
+    counts = (
+        loose.join(classes.select(F.col("cid").alias("u"), "copies"), "u")
+        .select(F.col("v").alias("a"), F.col("copies").alias("n"))
+        .union(whole.where("n is not null").select("a", "n"))
+        .groupBy("a").agg(F.sum("n").alias("n"))
+    )
+    edges = confirmed.select(F.col("v").alias("a"), F.col("u").alias("b")).union(whole.where("b is not null").select("a", "b"))
+    return shared(counts), edges
+
+
+def saturated(lists: DataFrame) -> DataFrame:
+    return lists.where(F.col("worst") >= LEAST - SLACK).select("v").distinct()
+
+
+def audit(counts: DataFrame, lists: DataFrame, classes: DataFrame) -> float:
+    """Share of the brute-force links of AUDIT classes that is known; the lesser of saturated ones and others."""
+    everyone = classes.select("cid", F.col("block").alias("component"))
+    full = saturated(lists).select(F.col("v").alias("cid"))
+    shares = [1.0]
+    for how in ("left_semi", "left_anti"):
+        drawn = shared(everyone.join(full, "cid", how).orderBy(F.xxhash64("cid"), "cid").limit(AUDIT))
+        true = block_links(drawn, everyone, classes).where("n is not null").groupBy("a").agg(F.sum("n").alias("true"))
+        held = true.join(counts, "a", "left").agg(F.sum("true"), F.sum("n")).first()
+        if held[0]:
+            shares.append((held[1] or 0) / held[0])
+    return min(shares)
+
+
 def near_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """NN-descent until the audit is content: (lists, links found in single precision)."""
+    """NN-descent until the audit is content: (a, n) link counts and (a, b) edges."""
     n = classes.count()
     bits = max(6, min(24, n.bit_length() - 3))
     k, lists, extra = K, None, None
@@ -289,12 +394,15 @@ def near_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
                 break
         # pairs met in the first orders count as well, though a full list may have dropped them
         found = lists.where(F.col("sim") >= LEAST - SLACK).select("v", "u", "sim").union(extra)
-        links = found.select("v", "u").union(found.select("u", "v")).distinct()
-        links = shared(links)
-        if recall(lists, links, classes) >= RECALL:
+        links = shared(found.select(F.least("v", "u").alias("v"), F.greatest("v", "u").alias("u")).distinct())
+        joined = links.join(classes.select(F.col("cid").alias("v"), F.col("unit").alias("x")), "v")
+        joined = joined.join(classes.select(F.col("cid").alias("u"), F.col("unit").alias("y")), "u")
+        confirmed = shared(joined.select("v", "u", "x", "y").mapInArrow(_confirm, "v long, u long"))
+        counts, linked = completed(lists, confirmed, classes)
+        if audit(counts, lists, classes) >= RECALL:
             break
         k *= 2
-    return lists, links
+    return counts, linked
 
 
 def near_vectors(
@@ -312,25 +420,7 @@ def near_vectors(
     classes = shared(
         some.groupBy("block", "unit").agg(F.min("row").alias("cid"), F.count("*").alias("copies"), F.min("id").alias("least"))
     )
-    lists, links = near_links(classes)
-    joined = links.where("v < u").join(classes.select(F.col("cid").alias("v"), F.col("unit").alias("x")), "v")
-    joined = joined.join(classes.select(F.col("cid").alias("u"), F.col("unit").alias("y")), "u")
-    confirmed = shared(joined.select("v", "u", "x", "y").mapInArrow(_confirm, "v long, u long"))
-    grouped = components(confirmed.select(F.col("v").alias("a"), F.col("u").alias("b")))
-    saturated = lists.where(F.col("worst") >= LEAST - SLACK).select("v").distinct()
-    dense = grouped.join(saturated, grouped["node"] == saturated["v"], "left_semi").select("component").distinct()
-    sizes = grouped.groupBy("component").agg(F.count("*").alias("size")).join(dense, "component", "left_semi")
-    members = join_by_hot_key(grouped, shared(sizes), "component", "size", "inner")
-    members = shared(members.select(F.col("node").alias("cid"), "component", "size"))
-    whole = dense_links(members, classes)
-    both = confirmed.union(confirmed.select("u", "v"))
-    loose = both.join(members.select(F.col("cid").alias("v")), "v", "left_anti")
-    counts = (
-        loose.join(classes.select(F.col("cid").alias("u"), "copies"), "u")
-        .groupBy(F.col("v").alias("a")).agg(F.sum("copies").alias("n"))
-        .union(whole.where("n is not null").groupBy("a").agg(F.sum("n").alias("n")))
-    )
-    edges = confirmed.select(F.col("v").alias("a"), F.col("u").alias("b")).union(whole.where("b is not null").select("a", "b"))
+    counts, edges = near_links(classes)
     labels = components(edges)
     named = classes.join(counts, classes["cid"] == counts["a"], "left").join(labels, F.col("cid") == labels["node"], "left")
     named = shared(

@@ -193,6 +193,22 @@ def test_pairs_copies_and_dense_groups(spark, monkeypatch):
     assert got == linked(rows)
 
 
+def test_tight_groups_of_one_label_are_linked(spark, monkeypatch):
+    orders = vectors.first_edges  # where no order brings two groups together
+    monkeypatch.setattr(vectors, "first_edges", lambda *given: orders(*given).where("sim > 0.99"))
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    rows = []
+    for pair in range(6):
+        a, b = np.linalg.qr(rng.standard_normal((24, 2)))[0].T
+        for centre in (a, 0.981 * a + np.sqrt(1 - 0.981**2) * b):  # some members link, others don't
+            rows += [(len(rows) + i, centre + 0.004 * rng.standard_normal(24), pair % 2) for i in range(14)]
+    rows = [(i, x.astype(np.float32).astype(float), label) for i, x, label in rows]
+    df = spark.createDataFrame([(i, x.tolist(), label) for i, x, label in rows], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df.repartition(5)).collect()}
+    assert got == linked(rows)
+
+
 # --- mixing ---------------------------------------------------------------------------
 
 
