@@ -15,9 +15,11 @@
    between enlarged components are exact; the leaders' comparisons grow with the square of the
    cells of a label.
 6. After that, ``AUDIT`` classes with saturated lists, and as many others, are compared with all of
-   their label by brute force. While fewer than ``RECALL`` of the links of either are known, lists
-   double, fresh orders are added and rounds go on.
-7. Links are those of at least ``LEAST`` in double precision. Union-find gives components.
+   their label by brute force; where those have fewer than ``AUDIT_LINKS`` links, four times as many
+   are drawn, up to all. While fewer than ``RECALL`` of the links of either are known, lists double,
+   fresh orders are added and rounds go on.
+7. After ``ATTEMPTS`` audits without success all classes of a label are compared, block against block.
+8. Links are those of at least ``LEAST`` in double precision. Union-find gives components.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows
 without label, link with nothing; vectors of different length don't compare; repeated rows are
@@ -44,6 +46,7 @@ SLACK = 1e-4
 K, TABLES, REACH, ROUNDS = 8, 4, 6, 4
 CHUNK = 48
 AUDIT, RECALL, ATTEMPTS = 1024, 0.99, 3
+AUDIT_LINKS = 256
 BLOCK = 512
 CELL = 0.995
 
@@ -362,21 +365,31 @@ def saturated(lists: DataFrame) -> DataFrame:
 
 
 def audit(counts: DataFrame, lists: DataFrame, classes: DataFrame) -> float:
-    """Share of the brute-force links of AUDIT classes that is known; the lesser of saturated ones and others."""
+    """Share of the brute-force links of drawn classes that is known; the lesser of saturated ones and others.
+
+    The draw starts at AUDIT classes and grows until it holds AUDIT_LINKS links or is everyone.
+    """
     everyone = classes.select("cid", F.col("block").alias("component"))
     full = saturated(lists).select(F.col("v").alias("cid"))
     shares = [1.0]
     for how in ("left_semi", "left_anti"):
-        drawn = shared(everyone.join(full, "cid", how).orderBy(F.xxhash64("cid"), "cid").limit(AUDIT))
-        true = block_links(drawn, everyone, classes).where("n is not null").groupBy("a").agg(F.sum("n").alias("true"))
-        held = true.join(counts, "a", "left").agg(F.sum("true"), F.sum("n")).first()
+        kind = shared(everyone.join(full, "cid", how))
+        n, draw, held = kind.count(), AUDIT, (0, 0)
+        while n:
+            # hashed with a word, so that the draw says nothing about blocks
+            drawn = shared(kind.where(F.pmod(F.xxhash64("cid", F.lit("audit")), F.lit(n)) < draw))
+            true = block_links(drawn, everyone, classes).where("n is not null").groupBy("a").agg(F.sum("n").alias("true"))
+            held = true.join(counts, "a", "left").agg(F.coalesce(F.sum("true"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+            if held[0] >= AUDIT_LINKS or draw >= n:
+                break
+            draw *= 4
         if held[0]:
-            shares.append((held[1] or 0) / held[0])
+            shares.append(held[1] / held[0])
     return min(shares)
 
 
 def near_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """NN-descent until the audit is content: (a, n) link counts and (a, b) edges."""
+    """NN-descent until the audit is content, or all pairs of a label: (a, n) link counts and (a, b) edges."""
     n = classes.count()
     bits = max(6, min(24, n.bit_length() - 3))
     k, lists, extra = K, None, None
@@ -400,9 +413,11 @@ def near_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         confirmed = shared(joined.select("v", "u", "x", "y").mapInArrow(_confirm, "v long, u long"))
         counts, linked = completed(lists, confirmed, classes)
         if audit(counts, lists, classes) >= RECALL:
-            break
+            return counts, linked
         k *= 2
-    return counts, linked
+    everyone = classes.select("cid", F.col("block").alias("component"))
+    whole = block_links(everyone, everyone, classes)
+    return whole.where("n is not null").groupBy("a").agg(F.sum("n").alias("n")), whole.where("b is not null").select("a", "b")
 
 
 def near_vectors(

@@ -209,6 +209,20 @@ def test_tight_groups_of_one_label_are_linked(spark, monkeypatch):
     assert got == linked(rows)
 
 
+def test_rare_links_no_search_finds(spark, monkeypatch):
+    orders = vectors.first_edges
+    monkeypatch.setattr(vectors, "first_edges", lambda *given: orders(*given).where("sim < 0.9"))
+    monkeypatch.setattr(vectors, "ROUNDS", 0)
+    monkeypatch.setattr(vectors, "AUDIT", 16)  # too few to hold a link
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(24), i % 2) for i in range(400)]
+    rows += [(500 + i, rows[i][1] + 0.02 * rng.standard_normal(24), i % 2) for i in range(4)]
+    rows = [(i, x.astype(np.float32).astype(float), label) for i, x, label in rows]
+    df = spark.createDataFrame([(i, x.tolist(), label) for i, x, label in rows], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    assert got == linked(rows)
+
+
 # --- mixing ---------------------------------------------------------------------------
 
 
