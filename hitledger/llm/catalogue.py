@@ -5,6 +5,7 @@ from __future__ import annotations
 from hitledger.llm.bpe import op1_byte_bpe
 from hitledger.llm.brown import op2_brown_scores
 from hitledger.llm.conversations import OP13_SQL, op13_conversation_repair
+from hitledger.llm.filteraudit import OP11_SQL, op11_filter_audit
 from hitledger.llm.language import op7_language
 from hitledger.llm.licenses import OP4_SQL, op4_license_scan
 from hitledger.llm.linededup import OP3_SQL, op3_line_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_near_vectors": op8_near_vectors,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_mix_sources": op10_mix_sources,
+    "op11_filter_audit": op11_filter_audit,
     "op13_conversation_repair": op13_conversation_repair,
 }
 SQL = {
@@ -33,5 +35,6 @@ SQL = {
     "op5_quality_rules": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op10_mix_sources": OP10_SQL,
+    "op11_filter_audit": OP11_SQL,
     "op13_conversation_repair": OP13_SQL,
 }
