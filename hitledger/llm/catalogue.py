@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hitledger.llm.additive import op12_quality_classifier
 from hitledger.llm.bpe import op1_byte_bpe
 from hitledger.llm.brown import op2_brown_scores
 from hitledger.llm.conversations import OP13_SQL, op13_conversation_repair
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_mix_sources": op10_mix_sources,
     "op11_filter_audit": op11_filter_audit,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_conversation_repair": op13_conversation_repair,
 }
 SQL = {
