@@ -7,19 +7,21 @@ of ``LEAST_BYTES`` or more, the one with the smallest id is a response; the othe
 name it and carry digest and length of the payload.
 
 Reader: the archives are cut into byte ranges. A task looks for the gzip magic in its range, takes a
-candidate as a member if it decodes to a WARC header, and owns the records that start inside; the
-last one may end beyond. Behind a member the next is expected at once; if it isn't there, the task
+candidate as a member if it decodes to the version line of a WARC header, whatever the header's length,
+and owns the records that start inside; the last one may end beyond. Behind a member the next is expected at once; if it isn't there, the task
 searches again. So any range can be read alone, and no index is needed. (A member that holds
 another archive uncompressed could mislead a range that starts inside it; text payloads can't, as
 the magic isn't valid UTF-8.)
 
 Defined results: null payload is empty; empty payloads are responses; rows with equal ids and equal
 payloads are all responses; rows without id come last and refer to the smallest id; null URLs get
-a name from the id; an empty table gives no archive and no records. A damaged member raises.
+a name from the id; an empty table gives no archive and no records. A damaged member raises, and so does ``complete`` if
+the records read from an archive are not as many as its manifest says.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,8 +40,9 @@ LEVEL = 3
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 256 << 10
 MAGIC = b"\x1f\x8b\x08"
-#: A candidate must show its header's end within so many decoded bytes.
-HEADER_BYTES, HEADER_STEP = 64 << 10, 512
+#: A candidate must decode to a whole line like this; how long the header goes on doesn't matter.
+VERSION = re.compile(rb"WARC/\d{1,9}\.\d{1,9}\r\n")
+VERSION_BYTES, LOOK_BYTES = 32, 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = (
     "path string, offset long, record_type string, record_id string, target_uri string, "
@@ -136,20 +139,16 @@ class _Range:
         return (b"".join(parts), pos - len(packed.unused_data)) if packed.eof else None
 
     def is_record(self, at: int) -> bool:
-        """Whether the bytes at an offset decode to a WARC header; no more than that is decoded."""
-        packed, head = zlib.decompressobj(31), b""
-        data = self.file.read_at(min(HEADER_BYTES, self.size - at), at)
+        """Whether the bytes at an offset decode to the version line of a record; no more is decoded."""
+        packed, head, pos = zlib.decompressobj(31), b"", at
         try:
-            while data and not packed.eof and len(head) < HEADER_BYTES:
-                head += packed.decompress(data, HEADER_STEP)
-                if not head.startswith(b"WARC/"[: len(head)]):
-                    return False
-                if b"\r\n\r\n" in head:
-                    return True
-                data = packed.unconsumed_tail
+            while len(head) < VERSION_BYTES and not packed.eof and pos < self.size:
+                data = self.file.read_at(min(LOOK_BYTES, self.size - pos), pos)
+                pos += len(data)
+                head += packed.decompress(data, VERSION_BYTES)
         except zlib.error:
-            pass
-        return False
+            return False
+        return VERSION.match(head) is not None
 
     def candidate(self, at: int) -> int | None:
         """The first offset from ``at`` on, before the range's end, where a record starts."""
@@ -180,10 +179,14 @@ class _Range:
 
 def parse_record(data: bytes) -> tuple[dict[str, str], int | None, bytes]:
     """Named fields (lower case), the HTTP content length if there is one, and the payload."""
-    head, _, rest = data.partition(b"\r\n\r\n")
+    head, ended, rest = data.partition(b"\r\n\r\n")
+    if not ended:
+        raise ValueError("a record's header has no end")
     lines = head.decode("utf-8", "replace").split("\r\n")[1:]
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
     block = rest[: int(fields.get("content-length", len(rest)))]
+    if len(block) < int(fields.get("content-length", 0)):
+        raise ValueError("a record's block is shorter than its header says")
     if not fields.get("content-type", "").startswith("application/http"):
         return fields, None, block
     http, _, payload = block.partition(b"\r\n\r\n")
@@ -231,6 +234,16 @@ def archive_files(spark: SparkSession, folder: str) -> DataFrame:
     return listed.load(folder).select("path", F.col("length").alias("bytes"))
 
 
+def complete(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``records`` (path and more, a written table), once each archive is known to have given all of them."""
+    read = records.groupBy("path").agg(F.count("*").alias("found"))
+    found = F.coalesce("found", F.lit(0))
+    short = manifest.join(read, "path", "left").where(found != F.col("records")).select("path", "records", found.alias("found"))
+    for path, records_written, records_read in short.take(1):
+        raise ValueError(f"{path} holds {records_written} records, {records_read} were read")
+    return records
+
+
 def op6_warc(spark, sf_dir: str) -> DataFrame:
     """Writes all pages to archives and reads them back."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
@@ -243,13 +256,15 @@ def op6_warc(spark, sf_dir: str) -> DataFrame:
         return F.nullif(F.regexp_extract(name, r"^<urn:x-page:(-?\d*)>$", 1), F.lit("")).cast("long")
 
     is_response = F.col("record_type") == "response"
-    return records.select(
+    slim = records.select(
+        "path",
         page("record_id").alias("page_id"),
         F.when(is_response, F.octet_length("payload")).otherwise(F.col("content_length")).cast("long").alias("payload_bytes"),
         F.when(is_response, F.sha2("payload", 256)).otherwise(F.substring_index("digest", ":", -1)).alias("payload_digest"),
         "record_type",
         page("refers_to").alias("refers_to"),
     )
+    return complete(shared(slim), manifest).drop("path")
 
 
 OP6_SQL = f"""

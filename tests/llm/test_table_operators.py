@@ -155,6 +155,29 @@ def test_magic_inside_payloads_and_damage(spark):
         warc.read_archives(files).collect()
 
 
+def test_headers_of_any_length_come_back(spark):
+    long_url = "data:text/html," + "".join(f"%{random.Random(1).randrange(16, 256):02X}{i:x}" for i in range(40_000))
+    assert len(long_url) > 200 << 10
+    rows = [(1, long_url, b"first"), (2, "u", b"second"), (3, long_url + "x", b"third")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, payload binary").coalesce(1)
+    manifest = warc.write_archives(warc.with_references(pages), new_folder(spark, "warc"))
+    for split in (300, 5_000, 1 << 20):
+        got = warc.read_archives(manifest.select("path", "bytes"), split).where("record_type = 'response'").collect()
+        assert sorted(r.payload for r in got) == [b"first", b"second", b"third"]
+        assert max(len(r.target_uri) for r in got) > 200 << 10
+
+
+def test_missing_records_raise(spark):
+    pages = spark.createDataFrame([(i, "u", bytes([i])) for i in range(5)], "page_id long, url string, payload binary").coalesce(1)
+    manifest = warc.write_archives(warc.with_references(pages), new_folder(spark, "warc"))
+    records = warc.read_archives(manifest.select("path", "bytes")).where("record_type = 'response'").select("path", "record_id")
+    assert warc.complete(records, manifest).count() == 5
+    with pytest.raises(ValueError, match="holds 5 records, 4 were read"):
+        warc.complete(records.where("record_id <> '<urn:x-page:3>'"), manifest)
+    with pytest.raises(ValueError, match="holds 5 records, 0 were read"):
+        warc.complete(records.limit(0), manifest)
+
+
 # --- vectors --------------------------------------------------------------------------
 
 
