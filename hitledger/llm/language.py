@@ -3,7 +3,8 @@
 Texts are cut into windows of ``WINDOW`` bytes, the last one shorter. A forward and a backward GRU
 read each window; a softmax over both states labels every byte. A document's probabilities are the
 mean over all its bytes, whole texts included. Windows of many documents run side by side as
-numpy lanes, so long texts need no long loops.
+numpy lanes, the longest first, so long texts need no long loops and padding is rare. Gates and
+candidates are softsigns, x / (1 + |x|), which numpy computes several times faster than tanh.
 
 The network is trained here, in numpy, by backpropagation through time with Adam, on a bounded
 sample: of each language, for each of ``SAMPLE`` hash buckets the document with the smallest hash,
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from hitledger.llm import textkeys as tk
 from hitledger.llm.common import in_fold, text_or_empty
 
-WINDOW, HIDDEN, LANES = 128, 16, 2048
+WINDOW, HIDDEN, LANES = 128, 16, 512
 SAMPLE, PIECES = 256, 8
 STEPS, BATCH, RATE = 300, 192, 0.01
 PAD = 256
@@ -74,9 +75,17 @@ def new_network(languages: list[str], seed: int = 0) -> Network:
     )
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x *= 0.5
-    np.tanh(x, out=x)
+def softsign(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|) in place."""
+    np.abs(x, out=spare)
+    spare += 1
+    x /= spare
+    return x
+
+
+def gate(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """A softsign between 0 and 1, in place."""
+    softsign(x, spare)
     x *= 0.5
     x += 0.5
     return x
@@ -94,11 +103,12 @@ def states(gru: Gru, codes: np.ndarray, real: np.ndarray | None = None, keep: li
     for t in range(len(codes)):
         given = gru.inputs[codes[t]]
         from_state = h @ gru.recurrent
-        gates = _sigmoid(given[:, :h2] + from_state[:, :h2])
+        gates = given[:, :h2] + from_state[:, :h2]
+        gate(gates, np.empty_like(gates))
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
         q = from_state[:, h2:] + gru.bias
         n = given[:, h2:] + r * q
-        np.tanh(n, out=n)
+        softsign(n, np.empty_like(n))
         new = n + z * (h - n)
         if real is not None:
             new *= real[t][:, None]
@@ -119,10 +129,10 @@ def gradients(gru: Gru, codes: np.ndarray, real: np.ndarray | None, keep: list,
         d = wanted[t] + carry
         if real is not None:
             d = d * real[t][:, None]
-        d_n = d * (1 - z) * (1 - n * n)
+        d_n = d * (1 - z) * (1 - np.abs(n)) ** 2
         d_q = d_n * r
-        d_z = d * (h - n) * z * (1 - z)
-        d_r = d_n * q * r * (1 - r)
+        d_z = d * (h - n) * 0.5 * (1 - np.abs(2 * z - 1)) ** 2
+        d_r = d_n * q * 0.5 * (1 - np.abs(2 * r - 1)) ** 2
         d_state = np.concatenate([d_z, d_r, d_q], axis=1)
         recurrent += h.T @ d_state
         bias += d_q.sum(axis=0)
@@ -137,17 +147,51 @@ def gradients(gru: Gru, codes: np.ndarray, real: np.ndarray | None, keep: list,
 
 
 def position_probabilities(network: Network, codes: np.ndarray) -> np.ndarray:
-    """(T x lanes x languages) for ``codes`` (T x lanes) padded with PAD at the end."""
-    h2 = HIDDEN
-    real = (codes != PAD).astype(np.float32)
-    logits = states(network.forward, codes) @ network.output[:h2]
-    back = states(network.backward, codes[::-1], real[::-1])
-    logits += back[::-1] @ network.output[h2:]
-    logits += network.shift
-    logits -= logits.max(axis=2, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
-    return logits
+    """(languages x T x lanes) for ``codes`` (T x lanes) padded with PAD at the end.
+
+    What ``states`` computes, for both directions at once: gates, candidates and states are blocks
+    of their own, so every step runs over whole buffers that are reused.
+    """
+    steps, lanes = codes.shape
+    codes = codes.astype(np.intp)
+    both = (network.forward, network.backward)
+    shape = (2, 3, lanes, HIDDEN)
+    tables = [np.ascontiguousarray(g.inputs.reshape(257, 3, HIDDEN).transpose(1, 0, 2)) for g in both]
+    recurrent = np.stack([g.recurrent.reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2) for g in both])
+    bias = np.stack([g.bias for g in both])[:, None]
+    padded = codes[-1].max() == PAD
+    given, carried = np.empty(shape, np.float32), np.empty(shape, np.float32)
+    spare = np.empty((2, 2, lanes, HIDDEN), np.float32)
+    out = np.empty((steps, 2, lanes, HIDDEN), np.float32)
+    h = np.zeros((2, lanes, HIDDEN), np.float32)
+    for t in range(steps):
+        for side, at in enumerate((t, steps - 1 - t)):
+            for part in range(3):
+                tables[side][part].take(codes[at], axis=0, out=given[side, part], mode="clip")
+        np.matmul(h[:, None], recurrent, out=carried)
+        gates = given[:, :2]
+        gates += carried[:, :2]
+        gate(gates, spare)
+        q, n = carried[:, 2], given[:, 2]
+        q += bias
+        q *= gates[:, 1]
+        n += q
+        softsign(n, spare[:, 0])
+        np.subtract(h, n, out=q)
+        q *= gates[:, 0]
+        h = np.add(n, q, out=out[t])
+        if padded:
+            # the state stays 0 while the backward run passes the padding
+            h[1] *= (codes[steps - 1 - t] != PAD)[:, None]
+    ahead = out[:, 0].reshape(-1, HIDDEN)
+    behind = out[::-1, 1].reshape(-1, HIDDEN)
+    found = network.output[:HIDDEN].T @ ahead.T
+    found += network.output[HIDDEN:].T @ behind.T
+    found += network.shift[:, None]
+    found -= found.max(axis=0)
+    np.exp(found, out=found)
+    found /= found.sum(axis=0)
+    return found.reshape(-1, steps, lanes)
 
 
 def train(network: Network, windows: np.ndarray, labels: np.ndarray, steps: int = STEPS, seed: int = 0) -> Network:
@@ -209,11 +253,17 @@ def document_probabilities(network: Network, column: pa.Array) -> np.ndarray:
         for low in range(0, len(data), WINDOW << 13):
             near = np.clip(offsets, low, low + (WINDOW << 13)) if len(offsets) == 2 else offsets
             codes, row = windows_of(data, near)
+            lengths = (codes != PAD).sum(axis=1)
+            longest = np.argsort(-lengths, kind="stable")
             for lane in range(0, len(codes), LANES):
-                part = np.ascontiguousarray(codes[lane : lane + LANES].T)
+                chosen = longest[lane : lane + LANES]
+                part = np.ascontiguousarray(codes[chosen, : lengths[chosen[0]]].T)
                 found = position_probabilities(network, part)
-                found *= (part != PAD)[:, :, None]
-                np.add.at(sums, start + row[lane : lane + LANES], found.sum(axis=0))
+                if lengths[chosen[-1]] < len(part):
+                    found *= part != PAD
+                totals = found.sum(axis=1)
+                for k in range(len(totals)):
+                    sums[start:stop, k] += np.bincount(row[chosen], totals[k], stop - start)
             if len(offsets) != 2:
                 break
         sums[start:stop] /= np.maximum(np.diff(offsets), 1)[:, None]

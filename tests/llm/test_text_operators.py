@@ -252,6 +252,44 @@ def test_held_out_languages(spark, documents):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in got)
 
 
+def plain_probabilities(network, data):
+    """Mean label probabilities of a text's bytes, one byte and one number at a time."""
+    size, sign = language.HIDDEN, lambda x: x / (1 + abs(x))
+
+    def run(gru, codes):
+        h, out = [0.0] * size, []
+        w, b = gru.recurrent.tolist(), gru.bias.tolist()
+        for code in codes:
+            x = gru.inputs[code].tolist()
+            s = [sum(h[i] * w[i][k] for i in range(size)) for k in range(3 * size)]
+            z, r = ([0.5 + 0.5 * sign(x[k] + s[k]) for k in range(g * size, (g + 1) * size)] for g in (0, 1))
+            n = [sign(x[2 * size + k] + r[k] * (s[2 * size + k] + b[k])) for k in range(size)]
+            h = [n[k] + z[k] * (h[k] - n[k]) for k in range(size)]
+            out.append(h)
+        return out
+
+    sums = [0.0] * len(network.languages)
+    for start in range(0, len(data), language.WINDOW):
+        codes = data[start : start + language.WINDOW]
+        for f, b in zip(run(network.forward, codes), reversed(run(network.backward, codes[::-1]))):
+            logits = [sum(v * w for v, w in zip(f + b, column)) + s for column, s in zip(network.output.T.tolist(), network.shift.tolist())]
+            top = max(logits)
+            e = [math.exp(v - top) for v in logits]
+            sums = [t + v / sum(e) for t, v in zip(sums, e)]
+    return [t / len(data) for t in sums]
+
+
+def test_scores_equal_a_plain_forward_pass(spark, documents):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    network = language.fit(docs.where(~language.in_fold("doc_id", 0)).select("lang", "text"))
+    got = {r.doc_id: r for r in language.op7_language(spark, SF_DIR).collect()}
+    short = sorted((d for d in documents.values() if d.text and len(d.text) > 100), key=lambda d: len(d.text))[:12]
+    for doc in short:
+        plain = plain_probabilities(network, doc.text.encode())
+        assert got[doc.doc_id].score == pytest.approx(max(plain), abs=1e-3)
+        assert got[doc.doc_id].lang_pred == network.languages[int(np.argmax(plain))]
+
+
 def test_probabilities_cover_every_byte():
     network = language.new_network(["a", "b", "c"], 4)
     texts = ["é" * 700, "", "short", "x" * 200_000]
