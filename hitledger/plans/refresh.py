@@ -31,6 +31,7 @@ from hitledger.sources.codecs import damaged_files, with_codec
 from hitledger.sources.listing import file_date, list_files
 from hitledger.sources.tables import read_if_present
 from hitledger.sources.textscan import lines_of_files
+from hitledger.stages import shared
 
 PARSER_VERSION = 2
 # Manifest entries that may be broadcast to check rows against: 16 bytes each.
@@ -141,22 +142,20 @@ def refresh_files(
     """
     key_print = key_fingerprint(secret)
     stale = with_codec(stale_files(files, manifest_entries(spark, root), key_print))
-    # The listing is fixed here: the manifest must record what this run saw, not what a
-    # later look at the folder would show. One short row per stale file.
-    fixed = stale.toArrow()
-    if fixed.num_rows == 0:
+    # The listing is fixed here, as a table: the manifest must record what this run saw, not
+    # what a later look at the folder would show.
+    chosen = shared(stale)
+    if chosen.isEmpty():
         return 0
-    chosen = spark.createDataFrame(fixed)
     readable, odd = chosen.where("decodable"), chosen.where("not decodable")
     run_id = uuid.uuid4().hex
     try:
         written = _write(spark, root, readable, run_id, secret, transform, layout)
     except Exception:
         # only after a failure: which files does not even decoding get through?
-        broken = damaged_files(readable).toArrow()
-        if broken.num_rows == 0:
+        broken = shared(damaged_files(readable))
+        if broken.isEmpty():
             raise
-        broken = spark.createDataFrame(broken)
         readable = readable.join(broken, "src_path", "left_anti")
         odd = odd.unionByName(chosen.join(broken, "src_path", "left_semi"))
         run_id = uuid.uuid4().hex

@@ -1,8 +1,7 @@
 """Compression by content, for files whose name does not tell the truth.
 
 Spark picks a decompressor by file extension. ``with_codec`` reads the first six bytes of
-every listed file on the executors; only files where name and content disagree take the
-streaming decoder below, everything else stays on Spark's text source.
+every listed file on the executors; ``ranges`` reads the files by that codec, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,24 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitledger.functions import patterns as P
+from hitledger.sources.ranges import open_uri
 
 _BLOCK = 4 << 20
 DECODABLE = ["plain", "gzip", "zstd", "bzip2"]
 
 
-def _open(uri: str):
-    from pyarrow import fs
-
-    if uri.startswith("s3a://"):
-        uri = "s3://" + uri[len("s3a://") :]
-    system, path = fs.FileSystem.from_uri(uri)
-    return system, path
-
-
 def _leading_bytes(uri: str) -> str | None:
     """Hex of the first bytes; None for stores that only Spark can open."""
     try:
-        system, path = _open(uri)
+        system, path = open_uri(uri)
     except (ValueError, ImportError, OSError):
         return None
     with system.open_input_stream(path, compression=None) as stream:
@@ -63,14 +54,17 @@ def codec_of_name(name: Column) -> Column:
 
 
 def with_codec(files: DataFrame) -> DataFrame:
-    """Adds ``codec`` (by content), ``as_named`` (text source can read it), ``decodable``."""
+    """Adds ``codec`` (by content), ``as_named`` (text source can read it), ``decodable``, ``reachable``.
+
+    Files that cannot be opened beside Spark are not reachable; their codec is that of the name.
+    """
     # an explicit number: adaptive execution would open all these files in one task
     spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism, "src_path")
     # where only the session's own file systems reach, the name has to be trusted
     head = _head_of(F.col("src_path"))
     looked = spread.withColumn("_head", head)
     codec = F.when(F.col("_head").isNull(), codec_of_name(F.col("src_file"))).otherwise(codec_of_head(F.col("_head")))
-    sniffed = looked.withColumn("codec", codec).drop("_head")
+    sniffed = looked.withColumns({"codec": codec, "reachable": F.col("_head").isNotNull()}).drop("_head")
     return sniffed.withColumns(
         {
             "as_named": F.col("codec") == codec_of_name(F.col("src_file")),
@@ -103,7 +97,7 @@ def damaged_files(files: DataFrame) -> DataFrame:
 
 
 def _lines_of(uri: str, codec: str) -> Iterator[list[str]]:
-    system, path = _open(uri)
+    system, path = open_uri(uri)
     compression = {"plain": None, "bzip2": "bz2"}.get(codec, codec)
     rest = b""
     with system.open_input_stream(path, compression=compression) as stream:
@@ -112,22 +106,3 @@ def _lines_of(uri: str, codec: str) -> Iterator[list[str]]:
             yield [w.decode("utf-8", "replace") for w in whole]
     if rest:
         yield [rest.decode("utf-8", "replace")]
-
-
-def decoded_lines(files: DataFrame, tasks: int) -> DataFrame:
-    """(value, src_path, src_file) of misnamed files, one block of lines at a time.
-
-    ``tasks`` is explicit: the listing rows are tiny, and adaptive execution would put all
-    the decoding into one task.
-    """
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for uri, name, codec in zip(batch["src_path"], batch["src_file"], batch["codec"]):
-                for lines in _lines_of(uri, codec):
-                    yield pd.DataFrame({"value": lines, "src_path": uri, "src_file": name})
-
-    chosen = files.select("src_path", "src_file", "codec")
-    return chosen.repartition(tasks, "src_path").mapInPandas(
-        decode, "value string, src_path string, src_file string"
-    )

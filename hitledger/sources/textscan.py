@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.functions import patterns as P
-from hitledger.sources.codecs import decoded_lines, undecodable_files, with_codec
+from hitledger.sources.codecs import undecodable_files, with_codec
 from hitledger.sources.listing import default_selection, list_files
+from hitledger.sources.ranges import lines_by_range
+from hitledger.stages import shared
 
-# A compressed file is read by one task. If it is at least this large and more than one
-# core's share of the scan, that task would outlast all others.
+# A compressed file of at least this size, and more than one core's share of the scan, is read by
+# the members inside it, or has its lines spread if there is only one.
 HEAVY_BYTES = 256 << 20
 # Its lines get this many tasks per core's share, and no task more than 1 GB of text.
 _TASKS_PER_SHARE = 4
@@ -44,40 +46,45 @@ def text_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
 def lines_of_files(spark: SparkSession, files: DataFrame, sniff: bool = True) -> DataFrame | None:
     """Lines of the files in a listing; None if it is empty.
 
-    A listing that already says how its files are packed (``with_codec``) is taken at its word.
-    The chosen paths come to the driver, as Spark's own file index would hold them anyway.
-    Compressed files cannot be split. One that exceeds an even share of the scan has its
-    lines spread over more tasks before any parsing; all other files are parsed in the task
-    that reads them, without a shuffle.
+    A listing that already says how its files are packed (``with_codec``) is taken at its word; it
+    should be a written table then. Tasks open the files themselves, large ones by byte ranges
+    (``lines_by_range``), so that paths and lines stay out of the driver. Only for stores that nothing
+    but Spark's own file systems can open, and without a look at the content (``sniff``), do paths
+    go to Spark's text source, whose file index holds them in the driver.
     """
     if "as_named" not in files.columns:
-        named = {"codec": F.lit("plain"), "as_named": F.lit(True), "decodable": F.lit(True)}
-        files = with_codec(files) if sniff else files.withColumns(named)
-    compressed = F.col("src_file").rlike(r"\.(gz|zst|bz2)$")
-    found = (
-        files.where("decodable")
-        .select("src_path", "src_bytes", "as_named", compressed.alias("compressed"))
-        .collect()
-    )
+        if not sniff:
+            return _lines_by_spark(spark, files)
+        files = shared(with_codec(files))
+    readable = files.where("decodable")
+    reached = lines_by_range(readable.where("reachable"), heavy_bytes(spark, readable))
+    others = _lines_by_spark(spark, readable.where("not reachable"))
+    parts = [p for p in (reached, others) if p is not None]
+    if reached is not None:
+        parts[0] = reached.withColumn("value", without_carriage_return(F.col("value")))
+    return parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0] if parts else None
+
+
+def heavy_bytes(spark: SparkSession, files: DataFrame) -> int:
+    """Compressed files beyond this would outlast all others: an even share of the scan."""
+    total = files.agg(F.coalesce(F.sum("src_bytes"), F.lit(0))).first()[0]
+    return max(HEAVY_BYTES, total // spark.sparkContext.defaultParallelism)
+
+
+def _lines_by_spark(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """The same by the text source, which trusts names and cannot split compressed files."""
+    found = files.select("src_path", "src_bytes", F.col("src_file").rlike(r"\.(gz|zst|bz2)$").alias("compressed")).collect()
+    if not found:
+        return None
     share = sum(r.src_bytes for r in found) / spark.sparkContext.defaultParallelism
-    limit = max(HEAVY_BYTES, share)
-    big = [r for r in found if r.as_named and r.compressed and r.src_bytes > limit]
-    light = [r.src_path for r in found if r.as_named and not (r.compressed and r.src_bytes > limit)]
-    parts = []
-    if light:
-        parts.append(text_lines(spark, light))
+    big = [r for r in found if r.compressed and r.src_bytes > max(HEAVY_BYTES, share)]
+    light = [r.src_path for r in found if r not in big]
+    parts = [text_lines(spark, light)] if light else []
     if big:
         size = sum(r.src_bytes for r in big)
         spread = max(_TASKS_PER_SHARE * size / share, size * _EXPANSION / _LINE_BYTES_PER_TASK)
         parts.append(text_lines(spark, [r.src_path for r in big]).repartition(math.ceil(spread)))
-    misnamed = sum(not r.as_named for r in found)
-    if misnamed:
-        odd = decoded_lines(files.where("decodable and not as_named"), misnamed)
-        parts.append(odd.withColumn("value", without_carriage_return(F.col("value"))))
-    out = None
-    for part in parts:
-        out = part if out is None else out.unionByName(part)
-    return out
+    return parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
 
 
 def scan_directory(
