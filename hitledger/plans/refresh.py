@@ -4,6 +4,8 @@ Layout below one root folder:
 
 * ``table/run_id=<run>/record=<row|reject>/log_date=<day>/`` zstd Parquet. Every run writes a
   folder of its own and never touches another's; ``src_id`` tells the source files apart;
+* ``parts/`` one appended row per Parquet file and source file: length and digest of the Parquet
+  file, rows and rejects of the source file in it;
 * ``manifest/`` one appended row per file and run: what was read (path, modification time,
   length), how (key fingerprint, parser version), what came out (status, row and reject counts).
 
@@ -11,6 +13,11 @@ A file is stale when the manifest's newest entry for its path does not match wha
 disk now. Rows count only if the manifest names their run for their file. So a run that dies
 before its manifest rows are written changes nothing: the rows of earlier runs stay published, and
 its files are parsed again. ``remove_superseded`` deletes runs that no file needs any more.
+
+Readers heal: before rows are read, the parts that hold them are compared with their recorded
+lengths and digests, and the source files of damaged ones are parsed again at once. What cannot be
+parsed again (a source file that is gone or unreadable, another key) raises ``DamagedStore``, so a
+reader never gets fewer rows than the manifest promises.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +34,9 @@ from pyspark.sql import types as T
 from hitledger.functions import patterns as P
 from hitledger.functions.layout import ACCESS_LOG, Layout
 from hitledger.operators.parse import parse_or_reject, with_hll_hash
+from hitledger.plans.parts import PARTS, damaged_parts, delete_parts, record_parts
 from hitledger.sources.codecs import damaged_files, with_codec
-from hitledger.sources.listing import file_date, list_files
+from hitledger.sources.listing import file_date, list_files, present_files
 from hitledger.sources.tables import read_if_present
 from hitledger.sources.textscan import lines_of_files
 from hitledger.stages import shared
@@ -141,12 +149,16 @@ def refresh_files(
     not keep the others from being parsed; ``unreadable_files`` lists them.
     """
     key_print = key_fingerprint(secret)
-    stale = with_codec(stale_files(files, manifest_entries(spark, root), key_print))
     # The listing is fixed here, as a table: the manifest must record what this run saw, not
     # what a later look at the folder would show.
-    chosen = shared(stale)
+    chosen = shared(with_codec(stale_files(files, manifest_entries(spark, root), key_print)))
     if chosen.isEmpty():
         return 0
+    return _parse(spark, root, chosen, secret, transform, layout)
+
+
+def _parse(spark, root, chosen, secret, transform, layout) -> int:
+    """Parses a fixed listing with codecs into a run of its own; how many files it could read."""
     readable, odd = chosen.where("decodable"), chosen.where("not decodable")
     run_id = uuid.uuid4().hex
     try:
@@ -160,7 +172,8 @@ def refresh_files(
         odd = odd.unionByName(chosen.join(broken, "src_path", "left_semi"))
         run_id = uuid.uuid4().hex
         written = _write(spark, root, readable, run_id, secret, transform, layout)
-    _record(spark, root, readable, odd, run_id, key_print, written)
+    files = readable.withColumn("status", F.lit(OK)).unionByName(odd.withColumn("status", F.lit(UNREADABLE)))
+    record_run(spark, root, files, run_id, key_fingerprint(secret), written)
     return readable.count()
 
 
@@ -172,6 +185,19 @@ def _write(spark, root, files, run_id, secret, transform, layout) -> bool:
     lines = lines_of_files(spark, files)
     if lines is None:
         return False
+    store_lines(root, lines, run_id, secret, transform, layout)
+    return True
+
+
+def store_lines(
+    root: str,
+    lines: DataFrame,
+    run_id: str,
+    secret: bytes = b"",
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    layout: Layout = ACCESS_LOG,
+) -> None:
+    """Parses (value, src_path, src_file) into the folder of a run; ``record_run`` publishes it."""
     rows = parse_or_reject(lines, "value", ["src_path", "src_file"], F.col("src_file"), layout)
     rows = with_hll_hash(rows, secret)
     if transform is not None:
@@ -188,18 +214,19 @@ def _write(spark, root, files, run_id, secret, transform, layout) -> bool:
         .partitionBy("record", "log_date")
         .parquet(run_folder(root, run_id))
     )
-    return True
 
 
-def _record(spark, root, readable, odd, run_id, key_print, written) -> None:
+def record_run(
+    spark: SparkSession, root: str, files: DataFrame, run_id: str, key_print: str, written: bool = True
+) -> None:
+    """Publishes a run: its parts, then the manifest rows of its files (a listing with ``status``)."""
     own = T.StructType([f for f in table_schema() if f.name in ("src_id", "record")])
     rows = None
     if written:
         # the run's own folder alone; footers and one short column
         rows = read_if_present(spark, run_folder(root, run_id), own)
-    rows = spark.createDataFrame([], own) if rows is None else rows
-    counts = _per_file(rows.withColumn("run_id", F.lit(run_id))).drop("run_id")
-    files = readable.withColumn("status", F.lit(OK)).unionByName(odd.withColumn("status", F.lit(UNREADABLE)))
+    counts = spark.createDataFrame([], PARTS) if rows is None else record_parts(spark, root, run_id, rows)
+    counts = counts.groupBy("src_id").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_rejects").alias("n_rejects"))
     entries = files.withColumn("src_id", source_id(F.col("src_path"))).join(counts, "src_id", "left")
     entries.select(
         "src_path",
@@ -241,11 +268,41 @@ def _stored(spark: SparkSession, root: str, layout: Layout = ACCESS_LOG, **optio
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def _per_file(stored: DataFrame) -> DataFrame:
-    return stored.groupBy("src_id", "run_id").agg(
-        F.count_if(F.col("record") == "row").alias("n_rows"),
-        F.count_if(F.col("record") == "reject").alias("n_rejects"),
-    )
+class DamagedStore(ValueError):
+    """Rows that the manifest promises are lost and cannot be parsed again."""
+
+
+def heal(
+    spark: SparkSession,
+    root: str,
+    secret: bytes = b"",
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    layout: Layout = ACCESS_LOG,
+    chosen: Column | None = None,
+    verify: str = "digest",
+) -> int:
+    """Parses the source files of damaged parts again; how many there were.
+
+    ``chosen`` limits the look to parts (a condition on ``part``), ``verify`` is ``digest`` or
+    ``length``. The damaged parts are deleted once the new run is published.
+    """
+    known = manifest(spark, root)
+    damaged = shared(damaged_parts(spark, root, known, chosen, verify == "digest"))
+    if damaged.isEmpty():
+        return 0
+    lost = shared(known.join(damaged.select("src_id").distinct(), "src_id", "left_semi"))
+    for row in lost.where(F.col("key_print") != key_fingerprint(secret)).take(1):
+        raise DamagedStore(f"parsing {row.src_path} again needs the key it was parsed with")
+    name = F.substring_index("src_path", "/", -1)
+    there = present_files(lost.withColumn("src_file", F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))))
+    again = shared(with_codec(there))
+    for row in lost.join(again, "src_path", "left_anti").take(1):
+        raise DamagedStore(f"{row.src_path} is gone, and so are stored rows of it")
+    _parse(spark, root, again, secret, transform, layout)
+    for row in unreadable_files(spark, root).join(lost, "src_path", "left_semi").take(1):
+        raise DamagedStore(f"{row.src_path} cannot be read any more, and stored rows of it are lost")
+    delete_parts(damaged)
+    return lost.count()
 
 
 def _current(spark, root, record: str, layout: Layout, files: DataFrame | None) -> DataFrame:
@@ -259,70 +316,69 @@ def _current(spark, root, record: str, layout: Layout, files: DataFrame | None)
     return stored.join(known, ["src_id", "run_id"], "left_semi").drop("record")
 
 
+def _parts_of(record: str, oldest: date | None = None) -> Column:
+    """The parts of a record kind, of days after ``oldest``."""
+    chosen = F.col("part").startswith(f"record={record}/")
+    if oldest is not None:
+        chosen = chosen & (F.regexp_extract("part", "log_date=([0-9-]+)", 1) > oldest.isoformat())
+    return chosen
+
+
 def read_rows(
-    spark: SparkSession, root: str, layout: Layout = ACCESS_LOG, files: DataFrame | None = None
+    spark: SparkSession,
+    root: str,
+    layout: Layout = ACCESS_LOG,
+    files: DataFrame | None = None,
+    secret: bytes = b"",
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    verify: str | None = "digest",
+    newer_than: date | None = None,
 ) -> DataFrame:
     """Parsed rows, with ``src_path``, ``src_file`` and ``log_date``.
 
     Of all files the manifest knows, or of those in a listing (``files``), which leaves out
-    files that are gone by now.
+    files that are gone by now; of days after ``newer_than``. Damaged parts are healed first, with
+    ``secret`` and ``transform`` as in ``refresh``; ``verify`` says how they are found: by ``digest``
+    (the bytes are read once more), by ``length``, or not at all (None).
     """
-    return _current(spark, root, "row", layout, files).drop(*_REASONS.names)
+    if verify is not None:
+        heal(spark, root, secret, transform, layout, _parts_of("row", newer_than), verify)
+    rows = _current(spark, root, "row", layout, files).drop(*_REASONS.names)
+    return rows if newer_than is None else rows.where(F.col("log_date") > newer_than)
 
 
 def read_recent(
-    spark: SparkSession, root: str, as_of: datetime, days: int = P.DEFAULT_WINDOW_DAYS
+    spark: SparkSession, root: str, as_of: datetime, days: int = P.DEFAULT_WINDOW_DAYS, **reading
 ) -> DataFrame:
-    """Rows of the files that ``is_recent`` selects; other partitions are not opened."""
-    oldest = (as_of - timedelta(days=days)).date()
-    return read_rows(spark, root).where(F.col("log_date") > oldest)
+    """Rows of the files that ``is_recent`` selects; other partitions are neither checked nor opened."""
+    return read_rows(spark, root, newer_than=(as_of - timedelta(days=days)).date(), **reading)
 
 
 def read_rejects(
-    spark: SparkSession, root: str, layout: Layout = ACCESS_LOG, files: DataFrame | None = None
+    spark: SparkSession,
+    root: str,
+    layout: Layout = ACCESS_LOG,
+    files: DataFrame | None = None,
+    secret: bytes = b"",
+    verify: str | None = "digest",
 ) -> DataFrame:
+    if verify is not None:
+        heal(spark, root, secret, None, layout, _parts_of("reject"), verify)
     rejects = _current(spark, root, "reject", layout, files)
     return rejects.select("src_path", "src_file", "log_date", *_REASONS.names)
 
 
 def drop_damaged(spark: SparkSession, root: str) -> DataFrame:
-    """Marks files whose stored rows are unreadable or incomplete, so they are parsed again.
+    """Marks the source files of damaged parts, so that the next refresh parses them; their paths.
 
-    Damaged Parquet files are skipped while reading all columns; a file whose counts fall short of its
-    manifest entry gets a ``dropped`` entry, then the damaged Parquet files are deleted. Returns the
-    paths concerned.
+    For stores whose source files or key are not at hand; otherwise reading heals by itself. Each
+    file gets a ``dropped`` entry, then the damaged parts are deleted.
     """
     known = manifest(spark, root)
-    readable = _stored(spark, root, ignoreCorruptFiles=True, ignoreMissingFiles=True)
-    # a value made of all columns, so that every page is read; no row is left out
-    whole = F.xxhash64(*readable.columns)
-    counts = _per_file(readable.where(whole.isNotNull() & (F.length(whole.cast("string")) > 0)))
-    found = counts.withColumnsRenamed({"n_rows": "rows_now", "n_rejects": "rejects_now"})
-    damaged = known.join(found, ["src_id", "run_id"], "left").where(
-        (F.coalesce("rows_now", F.lit(0)) != F.col("n_rows"))
-        | (F.coalesce("rejects_now", F.lit(0)) != F.col("n_rejects"))
-    )
-    fixed = spark.createDataFrame(damaged.select(*MANIFEST.names).toArrow(), MANIFEST)
-    dropped = fixed.withColumns({"status": F.lit(DROPPED), "run_at": F.current_timestamp()})
-    if not dropped.isEmpty():
-        dropped.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
-        _delete_damaged_parts(spark, root, readable)
-    return fixed.select("src_path")
-
-
-def _delete_damaged_parts(spark: SparkSession, root: str, readable: DataFrame) -> None:
-    """Deletes table files of which not all rows can be read: no reader could get past them.
-
-    Called once their source files are marked; rows of other source files in them are too.
-    """
-    path = F.col("_metadata.file_path").alias("src_path")
-    by_footer = readable.groupBy(path).agg(F.count(F.lit(1)).alias("all_rows"))
-    whole = F.xxhash64(*readable.columns)
-    in_full = readable.where(F.length(whole.cast("string")) > 0).groupBy(path).agg(F.count(F.lit(1)).alias("rows"))
-    parts = list_files(spark, f"{root}/table").where(F.col("src_file").endswith(".parquet"))
-    bad = parts.join(by_footer, "src_path", "left").join(in_full, "src_path", "left").where(
-        F.col("all_rows").isNull() | ~F.col("rows").eqNullSafe(F.col("all_rows"))
-    )
-    for row in bad.select("src_path").toLocalIterator():
-        file = spark._jvm.org.apache.hadoop.fs.Path(row.src_path)
-        file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
+    damaged = shared(damaged_parts(spark, root, known))
+    lost = shared(known.join(damaged.select("src_id").distinct(), "src_id", "left_semi"))
+    if not lost.isEmpty():
+        dropped = lost.withColumns({"status": F.lit(DROPPED), "run_at": F.current_timestamp()})
+        dropped.select(*MANIFEST.names).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+        delete_parts(damaged)
+    return lost.select("src_path")

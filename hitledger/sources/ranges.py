@@ -21,6 +21,7 @@ import bz2
 import math
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,6 +45,8 @@ def open_uri(uri: str):
     """(pyarrow file system, path) of a URI; raises for stores that only Spark can open."""
     from pyarrow import fs
 
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), unquote(uri.removeprefix("file:").removeprefix("//"))
     if uri.startswith("s3a://"):
         uri = "s3://" + uri[len("s3a://") :]
     return fs.FileSystem.from_uri(uri)

@@ -1,11 +1,12 @@
-"""New log files as a stream: parse into a Parquet folder, and daily counts.
+"""New log files as a stream: parse into the store or a Parquet folder, and daily counts.
 
 A file stream sees each file once. Files that are rewritten in place belong to the batch
-refresh, which compares modification times.
+refresh, which compares modification times; it knows the files a stream brought into the store.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitledger.operators.parse import parse_or_reject, with_hll_hash
+from hitledger.plans import refresh
 from hitledger.sources.listing import is_access_log
 from hitledger.sources.tables import read_if_present
 from hitledger.sources.textscan import without_carriage_return
@@ -27,20 +29,24 @@ def stream_lines(
     files_per_batch: int | None = None,
     criteria: Column | None = None,
     names: str = "access_*",
+    state: bool = False,
 ) -> DataFrame:
     """(value, src_path, src_file) of the log files that land in ``directory`` or below.
 
-    Files whose name does not match the glob ``names`` are not opened; ``criteria`` on src_file
+    With ``state`` also src_mtime and src_bytes, what the file was when it was read. Files whose name does not match the glob ``names`` are not opened; ``criteria`` on src_file
     (default: the name of an access log) decides about the others.
     """
     reader = spark.readStream.option("lineSep", "\n").option("recursiveFileLookup", True)
     reader = reader.option("pathGlobFilter", names)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    seen = {"src_mtime": "file_modification_time", "src_bytes": "file_size"} if state else {}
     lines = reader.text(directory).select(
         without_carriage_return(F.col("value")).alias("value"),
-        F.col("_metadata.file_path").alias("src_path"),
+        # the form that listings give
+        F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("src_path"),
         F.col("_metadata.file_name").alias("src_file"),
+        *[F.col(f"_metadata.{field}").alias(name) for name, field in seen.items()],
     )
     return lines.where(is_access_log(F.col("src_file")) if criteria is None else criteria)
 
@@ -66,6 +72,40 @@ def ingest_available(rows: DataFrame, table: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def ingest_into_store(
+    spark: SparkSession,
+    root: str,
+    directory: str,
+    checkpoint: str,
+    secret: bytes = b"",
+    files_per_batch: int | None = None,
+    criteria: Column | None = None,
+    names: str = "access_*",
+) -> None:
+    """Brings everything that has arrived into the store of ``refresh``, one run per batch.
+
+    A batch is published by its manifest rows. One that is repeated after a failure writes another
+    run, whose newer manifest rows supersede those of the first, so every file counts once; so does a
+    file that is rewritten later and parsed by ``refresh``.
+    """
+    lines = stream_lines(spark, directory, files_per_batch, criteria, names, state=True)
+
+    def store(batch: DataFrame, number: int) -> None:
+        run_id = f"stream-{number}-{uuid.uuid4().hex}"
+        refresh.store_lines(root, batch.select("value", "src_path", "src_file"), run_id, secret)
+        files = batch.select("src_path", "src_file", "src_mtime", "src_bytes").distinct()
+        files = files.withColumn("status", F.lit(refresh.OK))
+        refresh.record_run(batch.sparkSession, root, files, run_id, refresh.key_fingerprint(secret))
+
+    query = (
+        lines.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def with_event_time(rows: DataFrame, late: str = LATE) -> DataFrame:
     """Adds ``event_time``, the instant of ``time_utc``, watermarked on a stream.
 

@@ -119,13 +119,13 @@ def test_content_decides_the_codec(spark, tmp_path):
     put(tmp_path, "wrong.zst", LINES[4:5], "bz2")
     put(tmp_path, "bare.gz", LINES[5:6], "log")
     put(tmp_path, "hopeless.gz", LINES[6:7], "xz")
-    (tmp_path / "empty.gz").write_bytes(b"")  # Spark lists no empty files
+    (tmp_path / "empty.gz").write_bytes(b"")
     files = with_codec(list_files(spark, str(tmp_path)))
     codecs = {r.src_file: (r.codec, r.as_named) for r in files.collect()}
     assert codecs == {
         "plain.log": ("plain", True), "zipped.log": ("gzip", False), "really-zstd.gz": ("zstd", False),
         "fine.bz2": ("bzip2", True), "wrong.zst": ("bzip2", False), "bare.gz": ("plain", False),
-        "hopeless.gz": ("xz", False),
+        "hopeless.gz": ("xz", False), "empty.gz": ("plain", False),
     }
     lines = textscan.lines_of_files(spark, list_files(spark, str(tmp_path)))
     assert sorted(r.value for r in lines.collect()) == sorted(LINES[:6])
