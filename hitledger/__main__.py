@@ -26,10 +26,12 @@ def _arguments() -> argparse.Namespace:
     report = job.add_parser("report", help="downloads per day as CSV")
     for name in ("store", "prefixes", "registries", "output"):
         report.add_argument(name)
+    report.add_argument("--key-file", help="the key of the store, to heal damaged parts")
 
     sanitize = job.add_parser("sanitize", help="export the parsed table without addresses")
     sanitize.add_argument("store")
     sanitize.add_argument("output")
+    sanitize.add_argument("--key-file", help="the key of the store, to heal damaged parts")
     sanitize.add_argument("--format", choices=["parquet", "csv"], default="parquet")
 
     anonymize = job.add_parser("anonymize", help="mask addresses, hashes and times of a log")
@@ -62,7 +64,7 @@ def main() -> None:
             print(jobs.parse_directory(spark, args.dir, args.store, as_of, args.key_file), "files parsed")
         else:
             print(jobs.parse_files(spark, args.files, args.store, args.key_file), "files parsed")
-        report = jobs.parse_report(spark, args.store, args.dir)
+        report = jobs.parse_report(spark, args.store, args.dir, args.key_file)
         for title, table in (("not readable", report.unreadable), ("no date in the name", report.undated)):
             for row in table.limit(100).collect():
                 print(f"{title}: {row.src_path}")
@@ -70,14 +72,14 @@ def main() -> None:
     elif args.job == "tidy":
         print("{} files to parse again, {} runs removed".format(*jobs.tidy(spark, args.store)))
     elif args.job == "report":
-        rows = refresh.read_recent(spark, args.store, as_of)
-        registry = registries(spark, args.registries)
-        reports = jobs.download_reports(rows, ci_prefixes(spark, args.prefixes), registry, args.output, as_of)
+        registry, prefixes = registries(spark, args.registries), ci_prefixes(spark, args.prefixes)
+        reports = jobs.stored_reports(spark, args.store, prefixes, registry, args.output, as_of, args.key_file)
         reports.totals.show()
         reports.top_packages(registry).orderBy("package_uuid", "day").show(400, truncate=False)
         print(reports.package_csv, reports.artifact_csv, sep="\n")
     elif args.job == "sanitize":
-        exports.write_sanitized(refresh.read_rows(spark, args.store), args.output, args.format)
+        secret = read_secret(spark, args.key_file) if args.key_file else b""
+        exports.write_sanitized(refresh.read_rows(spark, args.store, secret=secret), args.output, args.format)
     elif args.job == "anonymize":
         key = read_secret(spark, args.key_file).hex()
         jobs.anonymize_file(spark, args.source, args.output, key, args.seed)

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.functions import patterns as P
-from hitledger.operators import counts, enrich, mirror
+from hitledger.operators import counts, enrich, mirror, registers
 from hitledger.operators.parse import parse_lines
-from hitledger.plans import exports, refresh
+from hitledger.plans import exports, refresh, summaries
 from hitledger.stages import shared
 from hitledger.sources.dimensions import read_secret
 from hitledger.sources.listing import default_selection, list_files, undated_files
@@ -48,9 +48,11 @@ class ParseReport:
     rejects: DataFrame
 
 
-def parse_report(spark: SparkSession, store: str, directory: str | None = None) -> ParseReport:
+def parse_report(
+    spark: SparkSession, store: str, directory: str | None = None, key_file: str | None = None
+) -> ParseReport:
     """Files that could not be decoded, access logs whose names hold no date, rejects by reason."""
-    rejects = refresh.read_rejects(spark, store)
+    rejects = refresh.read_rejects(spark, store, secret=_secret(spark, key_file))
     names = [] if directory is None else [directory]
     listed = list_files(spark, *names) if names else refresh.manifest(spark, store).select(
         "src_path", F.substring_index("src_path", "/", -1).alias("src_file")
@@ -94,7 +96,32 @@ def download_reports(
     One pass over a handful of the rows' columns gives the small table behind all of it.
     """
     flagged = enrich.with_ci_flag(rows, enrich.PrefixTable.build(prefixes))
-    hits = shared(counts.hits_by_key_and_day(flagged, "is_ci"))
+    return _reports(shared(counts.hits_by_key_and_day(flagged, "is_ci")), registry, output, as_of)
+
+
+def stored_reports(
+    spark: SparkSession,
+    store: str,
+    prefixes: DataFrame,
+    registry: DataFrame,
+    output: str,
+    as_of: datetime,
+    key_file: str | None = None,
+) -> Reports:
+    """The same for the recent files of a store, from its summaries: only runs that no earlier
+    report has counted are read."""
+    summaries.update(spark, store, prefixes, _secret(spark, key_file))
+    hits = summaries.current_hits(spark, store, prefixes, summaries.oldest_day(as_of))
+    return _reports(shared(hits), registry, output, as_of)
+
+
+def stored_clients(spark: SparkSession, store: str, prefixes: DataFrame, key_file: str | None = None) -> DataFrame:
+    """(day, clients): distinct clients a day, estimated from the registers of the store's summaries."""
+    summaries.update(spark, store, prefixes, _secret(spark, key_file))
+    return registers.estimated(summaries.current_registers(spark, store, prefixes), ["day"])
+
+
+def _reports(hits: DataFrame, registry: DataFrame, output: str, as_of: datetime) -> Reports:
     totals = counts.split_totals(hits)
     others = hits.where(~F.col("is_ci") & F.col("day").isNotNull()).drop("is_ci")
     daily = counts.DailyHits.of(others)

@@ -316,6 +316,11 @@ def _current(spark, root, record: str, layout: Layout, files: DataFrame | None)
     return stored.join(known, ["src_id", "run_id"], "left_semi").drop("record")
 
 
+def current_rows(spark: SparkSession, root: str, layout: Layout = ACCESS_LOG) -> DataFrame:
+    """The rows that count, unchecked, with ``run_id`` and ``src_id``."""
+    return _current(spark, root, "row", layout, None)
+
+
 def _parts_of(record: str, oldest: date | None = None) -> Column:
     """The parts of a record kind, of days after ``oldest``."""
     chosen = F.col("part").startswith(f"record={record}/")
