@@ -12,6 +12,7 @@ from hitledger.functions.iphash import hll_hash
 from hitledger.functions.values import month_day, server_of
 from hitledger.operators import counts, enrich, mirror, parse, privacy, registers
 from hitledger.plans import sample_log
+from hitledger.plans.file_queries import FILE_QUERIES
 from hitledger.stages import shared
 from hitledger.sources.listing import default_selection, is_access_log, is_recent
 from hitledger.sources.textscan import mirror_day
@@ -475,4 +476,5 @@ CATALOGUE: dict[str, Query] = {
     "register_merge": register_merge,
     "daily_window_counts": daily_window_counts,
     "streaming_daily_counts": streaming_daily_counts,
+    **FILE_QUERIES,
 }

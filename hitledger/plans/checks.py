@@ -106,8 +106,8 @@ owned as (
   from addressed)"""
 
 
-_LOOKED_UP = f"with {_ROWS}, {_ADDRESS}, {_owned()}"
-_DAILY = f"""{_LOOKED_UP},
+LOOKED_UP = f"with {_ROWS}, {_ADDRESS}, {_owned()}"
+DAILY = f"""{LOOKED_UP},
 hits as materialized (
   select case when starts_with(request_url, '/package') then 'package' else 'artifact' end as kind,
          case when starts_with(request_url, '/package') then package_uuid else artifact_hash end as key,
@@ -118,9 +118,9 @@ hits as materialized (
 edges as (select min(day) as lo, max(day) as hi from hits where kind = 'package'),
 days as (select distinct day from hits, edges where kind = 'package' and day > lo and day < hi),
 kept as (select hits.* from hits join days using (day))"""
-_PARSED = f"with {_ROWS}"
-_LINES = f"with lines as ({lines_sql()})"
-_REGISTRY = f"""
+PARSED = f"with {_ROWS}"
+LINES = f"with lines as ({lines_sql()})"
+REGISTRY = f"""
 registry as ({registries_sql()}),
 names as (
   select package_uuid, name from registry
@@ -148,7 +148,7 @@ def _human(value: str) -> str:
 
 
 def _zero_filled(kind: str, name: str) -> str:
-    return f"""{_DAILY}
+    return f"""{DAILY}
 select k.key as {name}, d.day, cast(count(h.day) as bigint) as n
 from (select distinct key from kept where kind = '{kind}' and key is not null) k
 cross join days d
@@ -198,16 +198,16 @@ def _led_to(name: str, piece: str) -> str:
     return f"regexp_extract(line, '{text}', [{names}]).{name}"
 
 
-_REJECTS = f"""{_LINES},
+REJECTS = f"""{LINES},
 rejects as (
-  select line, {_reject_field()} as reject_field,
+  select src_file, line, {_reject_field()} as reject_field,
          case when u in ('/', '/favicon.ico', '/robots.txt')
                 or regexp_matches(u, '^(/meta|/badges/|/detail/|/docs/|/logs/)')
                 or lower(agent) = 'statping' then 'known_noise' else 'unknown' end as reject_class
-  from (select line, {_led_to("request_url", "request")} as u, {_led_to("http_user_agent", "http_user_agent")} as agent
+  from (select src_file, line, {_led_to("request_url", "request")} as u, {_led_to("http_user_agent", "http_user_agent")} as agent
         from lines where not regexp_matches(line, '{_FULL}')))"""
 
-_MD5_REGISTERS = f"""{_PARSED},
+_MD5_REGISTERS = f"""{PARSED},
 updates as (
   select cast(time_utc as date) as day,
          cast(concat('0x', substr(md5(remote_addr), 3, 1)) as int) * 256
@@ -271,7 +271,7 @@ def _fake_time(digest: str, form: str) -> str:
 def _masked_lines() -> str:
     """Every line has one address at its start, one time, and at most one 40-digit hash."""
     share = 0.5
-    return f"""{_LINES},
+    return f"""{LINES},
 found as (
   select event_id, line, split_part(line, ' ', 1) as addr, regexp_extract(line, '{_HASH}') as tree,
          regexp_extract(line, '\\d\\d/\\w\\w\\w/\\d\\d\\d\\d:\\d\\d:\\d\\d:\\d\\d') as local,
@@ -297,7 +297,7 @@ def _masked_columns() -> str:
         return f"case when {name} is not null then substr({_drawn('hash', name, 0)}, 1, 40) end"
 
     found = f"regexp_extract(request_url, '{_HASH}')"
-    return f"""{_PARSED},
+    return f"""{PARSED},
 drawn as (
   select *, remote_addr as addr, {_drawn("ipv6", "remote_addr", 0)} as v6,
          {_drawn("ipv4", "remote_addr", 0)} as v4, {found} as found from parsed)
@@ -331,15 +331,15 @@ def register_of(address: bytes, secret: bytes = b"") -> str:
 
 
 @functools.cache
-def _registers_sql() -> str:
+def _registers_sql(secret: bytes = b"") -> str:
     """(day, ip, hll_hash): registers cut out of one string, found by the parts of an address.
 
     IPv4 addresses are 10.(u % 8).(u % 256).(e % 250), IPv6 ones 2001:db8:: and a number below 1000, or
     ::ffff:10.9.8. and one below 100.
     """
-    v4 = "".join(register_of(bytes([10, u % 8, u, e])) for u in range(256) for e in range(250))
-    v6 = "".join(register_of(ipaddress.ip_address(f"2001:db8::{u}").packed) for u in range(1000))
-    tail = "".join(register_of(bytes([*[0] * 10, 255, 255, 10, 9, 8, u])) for u in range(100))
+    v4 = "".join(register_of(bytes([10, u % 8, u, e]), secret) for u in range(256) for e in range(250))
+    v6 = "".join(register_of(ipaddress.ip_address(f"2001:db8::{u}").packed, secret) for u in range(1000))
+    tail = "".join(register_of(bytes([*[0] * 10, 255, 255, 10, 9, 8, u]), secret) for u in range(100))
     place = "cast(split_part(remote_addr, '.', 3) as bigint) * 250 + cast(split_part(remote_addr, '.', 4) as bigint)"
     return f"""
 with {_ROWS},
@@ -354,19 +354,27 @@ hashed as (
   from parsed cross join tables where remote_addr is not null)"""
 
 
-def _hll_estimates() -> str:
+def hll_estimates(secret: bytes = b"") -> str:
     part = lambda at: f"cast('0x' || substr(hll_hash, {at}, 2) as bigint)"
-    return f"""{_registers_sql()},
+    return f"""{_registers_sql(secret)},
 regs as (
   select day, {part(1)} + 256 * {part(3)} as bucket, max({part(5)}) as rank from hashed group by 1, 2)
 {_estimate("regs", "day")}"""
 
 
+SPLIT_TOTALS = """
+select kind, is_ci, count(event_id) as n
+from (values ('package', '/package'), ('artifact', '/artifact')) k(kind, prefix)
+cross join (values (true), (false)) f(is_ci)
+left join owned on starts_with(request_url, prefix) and (provider <> '<unknown>') = is_ci
+group by 1, 2"""
+
+
 def checking_sql() -> dict[str, str]:
     fields = ", ".join([*_TEXT, "time_utc", "status", "body_bytes_sent", "request_time", "julia_interactive", "pkgserver"])
     no_address = fields.replace("remote_addr, ", "", 1)
     days_01 = _labels(_FIRST_DAY, _LAST_DAY)
-    p = _PARSED
+    p = PARSED
     return {
         "parse_all_fields": f"{p} select event_id, {fields} from parsed",
         "parse_timestamps": f"{p} select event_id, time_utc from parsed",
@@ -374,16 +382,16 @@ def checking_sql() -> dict[str, str]:
         "parse_urls": f"{p} select event_id, request_method, request_url, request_http, package_uuid, package_hash, "
         "registry_uuid, registry_hash, artifact_hash from parsed",
         "parse_strict": f"{p} select pkgserver, cache_miss, count(*) as n from parsed group by 1, 2",
-        "pkgserver_from_file": f"{_LINES} select {_SERVER} as pkgserver, count(*) as n from lines group by 1",
-        "reject_classes": f"{_REJECTS} select reject_class, reject_field, count(*) as n from rejects group by 1, 2",
-        "reject_examples": f"""{_REJECTS}
+        "pkgserver_from_file": f"{LINES} select {_SERVER} as pkgserver, count(*) as n from lines group by 1",
+        "reject_classes": f"{REJECTS} select reject_class, reject_field, count(*) as n from rejects group by 1, 2",
+        "reject_examples": f"""{REJECTS}
 select reject_field, cast(example as int) as example, {_next_token()} as next_token, line from (
   select *, row_number() over (partition by reject_field order by line) as example
   from rejects where reject_class = 'unknown') where example <= 4""",
-        "parse_outcomes": f"""{_LINES}
+        "parse_outcomes": f"""{LINES}
 select src_file, case when regexp_matches(line, '{_FULL}') then 'row' else 'reject' end as record, count(*) as n
 from lines group by 1, 2""",
-        "file_selection": f"""{_LINES},
+        "file_selection": f"""{LINES},
 files as (
   select distinct src_file, regexp_matches(src_file, '^access_.*\\.pkg\\.julia.*\\.(gz|zst)') as access_log,
          date_diff('second', try_strptime(regexp_extract(src_file, '-(\\d+)\\.gz', 1), '%Y%m%d'),
@@ -393,7 +401,7 @@ select src_file, access_log, coalesce(age < 15 * 86400, false) as recent_15,
        access_log and coalesce(age < 33 * 86400, false) as selected
 from files""",
         "union_files": f"{p} select src_file, count(*) as n from parsed group by 1",
-        "freshness_anti_join": f"""{_LINES}
+        "freshness_anti_join": f"""{LINES}
 select distinct src_file from lines where src_file like 'access\\_kr.%' escape '\\' or src_file like 'access\\_us-east.%' escape '\\'
   or src_file not like 'access\\_%' escape '\\'""",
         "package_requests": f"{p} select event_id, request_url from parsed where starts_with(request_url, '/package')",
@@ -402,18 +410,18 @@ select distinct src_file from lines where src_file like 'access\\_kr.%' escape '
         "hits_by_package_with_missing": f"{p} select package_uuid, count(*) as n from parsed "
         "where starts_with(request_url, '/package') group by 1",
         "hits_by_artifact": f"{p} select artifact_hash, count(*) as n from parsed where artifact_hash is not null group by 1",
-        "plotted_days": f"{_DAILY} select day from days",
-        "plotted_day_labels": f"""{_DAILY},
+        "plotted_days": f"{DAILY} select day from days",
+        "plotted_day_labels": f"""{DAILY},
 labels as (select distinct strftime(day, '%m/%d') as label from hits where kind = 'package')
 select label from labels where label > (select min(label) from labels) and label < (select max(label) from labels)""",
         "hits_by_month_day": f"{p} select strftime(time_utc, '%m/%d') as label, count(*) as n from parsed group by 1",
         "package_downloads_by_day": _zero_filled("package", "package_uuid"),
         "artifact_downloads_by_day": _zero_filled("artifact", "artifact_hash"),
-        "package_report_wide": f"""{_DAILY}, {_REGISTRY},
+        "package_report_wide": f"""{DAILY}, {REGISTRY},
 report as ({_wide("package", "package_uuid", days_01)})
 select report.*, names.name from report left join names using (package_uuid)""",
-        "artifact_report_wide": f"{_DAILY} {_wide('artifact', 'artifact_hash', days_01)}",
-        "top10_package_series": f"""{_DAILY},
+        "artifact_report_wide": f"{DAILY} {_wide('artifact', 'artifact_hash', days_01)}",
+        "top10_package_series": f"""{DAILY},
 top as (select key, count(*) as total from kept where kind = 'package' group by 1
         order by total desc, key asc nulls last limit 10)
 select t.key as package_uuid, d.day, cast(count(h.day) as bigint) as n
@@ -431,20 +439,15 @@ from parsed group by 1, 2, 3""",
         "distinct_values": f"{p} select distinct julia_version as value from parsed where julia_version is not null",
         "present_values": f"{p} select http_user_agent as value, count(*) as n from parsed "
         "where http_user_agent is not null group by 1",
-        "package_names": f"""{p}, {_REGISTRY}
+        "package_names": f"""{p}, {REGISTRY}
 select p.package_uuid, names.name
 from (select distinct package_uuid from parsed where package_uuid is not null) p
 left join names using (package_uuid)""",
-        "ci_provider": f"{_LOOKED_UP} select event_id, provider from owned",
-        "ci_provider_shuffled": f"{_LOOKED_UP} select event_id, provider from owned",
-        "ci_split_totals": f"""{_LOOKED_UP}
-select kind, is_ci, count(event_id) as n
-from (values ('package', '/package'), ('artifact', '/artifact')) k(kind, prefix)
-cross join (values (true), (false)) f(is_ci)
-left join owned on starts_with(request_url, prefix) and (provider <> '<unknown>') = is_ci
-group by 1, 2""",
-        "non_ci_hits": f"{_LOOKED_UP} select event_id from owned where provider = '<unknown>'",
-        "ci_hits": f"{_LOOKED_UP} select event_id from owned where provider <> '<unknown>'",
+        "ci_provider": f"{LOOKED_UP} select event_id, provider from owned",
+        "ci_provider_shuffled": f"{LOOKED_UP} select event_id, provider from owned",
+        "ci_split_totals": LOOKED_UP + SPLIT_TOTALS,
+        "non_ci_hits": f"{LOOKED_UP} select event_id from owned where provider = '<unknown>'",
+        "ci_hits": f"{LOOKED_UP} select event_id from owned where provider <> '<unknown>'",
         "ci_variables_map": f"""{p}
 select event_id, nullif(regexp_extract(julia_ci_variables, '(?:^|;)CI=([^;]*)', 1), '') as ci,
        regexp_matches(julia_ci_variables, '=([^n;]|n[^;])') as is_ci_env
@@ -454,7 +457,7 @@ from parsed""",
 select bytes, {_human("bytes")} as human from total""",
         "mirror_line_filter": f"{_MIRROR} select day, count(*) as n from mirrored "
         "where regexp_matches(line, 'julia/(package|artifact|registry)/') group by 1",
-        "human_sizes": f"""{_LINES},
+        "human_sizes": f"""{LINES},
 sums as (
   select user_id, event_type,
          cast(coalesce(sum(try_cast(nullif(regexp_extract(line, '"GET .*" 200 (\\d+)', 1), '') as bigint)), 0)
@@ -462,16 +465,16 @@ sums as (
   from lines group by 1, 2)
 select user_id, event_type, bytes, {_human("bytes")} as human from sums""",
         "sanitized": f"{p} select event_id, {no_address} from parsed",
-        "anonymize_line_filter": f"""{_LINES}
+        "anonymize_line_filter": f"""{LINES}
 select event_id, line from lines
 where contains(line, '/package') or contains(line, '/artifact') or contains(line, '/registry')""",
         "anonymize_lines": _masked_lines(),
         "masked_columns": _masked_columns(),
-        "masked_links": f"""{_LINES}
+        "masked_links": f"""{LINES}
 select lines, count(*) as n
 from (select split_part(line, ' ', 1) as client, count(*) as lines from lines group by 1) group by 1""",
         "hll_hash": f"{_registers_sql()} select distinct ip, hll_hash from hashed",
-        "hll_estimate": _hll_estimates(),
+        "hll_estimate": hll_estimates(),
         "register_table": f"{_MD5_REGISTERS} select day, cast(bucket as int) as bucket, rank from regs",
         "register_estimates": f"{_MD5_REGISTERS} {_estimate('regs', 'day')}",
         "register_merge": f"""{_MD5_REGISTERS},

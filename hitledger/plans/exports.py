@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from hitledger.functions.layout import ACCESS_LOG, Layout
 from hitledger.operators import counts, enrich, mirror, privacy
-from hitledger.sources.listing import list_files
 from hitledger.sources.tables import read_if_present
-from hitledger.sources.textscan import in_mirror_window, mirror_day, mirror_scan
+from hitledger.sources.textscan import mirror_files, mirror_lines_of
+from hitledger.stages import shared
 
 _DAY = T.StructType([T.StructField("day", T.DateType(), True)])
 _LINES = T.StructType([T.StructField("line", T.StringType(), True), *_DAY])
@@ -68,13 +68,13 @@ def cache_mirror_lines(spark: SparkSession, logs: str, cache: str, as_of: dateti
     without lines. A day is listed only after its lines are there, and writing them again
     replaces them, so an interrupted run does no harm.
     """
-    day = mirror_day(F.col("src_file"))
-    seen = list_files(spark, logs).select(day.alias("day")).where(in_mirror_window(F.col("day"), as_of))
-    # at most one value per day of the window
-    new = seen.distinct().join(mirror_days(spark, cache), "day", "left_anti").toArrow()
-    if new.num_rows == 0:
+    seen = shared(mirror_files(spark, logs, as_of))
+    new = shared(seen.select("day").distinct().join(mirror_days(spark, cache), "day", "left_anti"))
+    # at most one row per day of the window
+    n_days = new.count()
+    if n_days == 0:
         return 0
-    lines = mirror_scan(spark, logs, as_of).where(F.col("day").isin(new["day"].to_pylist()))
+    lines = mirror_lines_of(spark, seen.join(F.broadcast(new), "day", "left_semi"))
     (
         mirror.mirror_lines(lines)
         .write.mode("overwrite")
@@ -83,8 +83,8 @@ def cache_mirror_lines(spark: SparkSession, logs: str, cache: str, as_of: dateti
         .partitionBy("day")
         .parquet(f"{cache}/lines")
     )
-    spark.createDataFrame(new).coalesce(1).write.mode("append").parquet(f"{cache}/days")
-    return new.num_rows
+    new.coalesce(1).write.mode("append").parquet(f"{cache}/days")
+    return n_days
 
 
 def _cached(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -21,14 +21,15 @@ _SCHEMA = pa.schema(
 _PAGE = 10_000
 
 
-def list_files(spark: SparkSession, *paths: str) -> DataFrame:
+def list_files(spark: SparkSession, *paths: str, folders: Column | None = None) -> DataFrame:
     """(src_path, src_file, src_mtime, src_bytes) of files and of all files below folders.
 
     Tasks look into the folders, each level of the given ones by one task and every subfolder by
     another, so no list of files passes the driver; every use of the DataFrame looks again. The
     contents are never read. Names that begin with ``_`` or ``.`` are left out, as in Spark's own
     readers; empty files are listed. Globs, and stores that only Spark can open, are listed by
-    Spark, in the driver and without empty files.
+    Spark, in the driver and without empty files. ``folders``, a condition on ``src_file``, says
+    which folders directly below the given ones are looked into; the others are not listed.
     """
     uris = [qualified(spark, path) for path in paths]
     if any(set(path) & set("*?[{") for path in paths) or not all(map(_opens, uris)):
@@ -38,8 +39,9 @@ def list_files(spark: SparkSession, *paths: str) -> DataFrame:
         _entries(recursive=False), LISTING
     )
     # a folder has no length
-    folders = top.where("src_bytes is null").select("src_path")
-    spread = folders.repartition(spark.sparkContext.defaultParallelism, "src_path")
+    below = top.where("src_bytes is null")
+    below = (below if folders is None else below.where(folders)).select("src_path")
+    spread = below.repartition(spark.sparkContext.defaultParallelism, "src_path")
     return top.where("src_bytes is not null").unionByName(spread.mapInArrow(_entries(recursive=True), LISTING))
 
 

@@ -115,13 +115,28 @@ def in_mirror_window(day: Column, as_of: datetime, days: int = P.MIRROR_WINDOW_D
     return day.between(F.date_sub(today, days), F.date_sub(today, 1))
 
 
-def mirror_scan(
+def mirror_files(
     spark: SparkSession, directory: str, as_of: datetime, days: int = P.MIRROR_WINDOW_DAYS
 ) -> DataFrame:
-    """(day, line) of the daily mirror logs in the window.
+    """(day and listing) of the daily mirror logs in the window.
 
-    The filter is on the file name, so files of other days are not opened.
+    Folders named by a day outside the window are not even listed; files of other days are not opened.
     """
-    day = mirror_day(F.col("_metadata.file_name"))
-    lines = raw_lines(spark, directory).where(in_mirror_window(day, as_of, days))
-    return lines.select(day.alias("day"), F.col("value").alias("line"))
+    day = mirror_day(F.col("src_file"))
+    listed = list_files(spark, directory, folders=day.isNull() | in_mirror_window(day, as_of, days))
+    return listed.withColumn("day", day).where(in_mirror_window(F.col("day"), as_of, days))
+
+
+def mirror_lines_of(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(day, line) of listed mirror logs, packed in whatever way."""
+    lines = lines_of_files(spark, files.drop("day"))
+    if lines is None:
+        return spark.createDataFrame([], "day date, line string")
+    return lines.select(mirror_day(F.col("src_file")).alias("day"), F.col("value").alias("line"))
+
+
+def mirror_scan(
+    spark: SparkSession, directory: str, as_of: datetime, days: int = P.MIRROR_WINDOW_DAYS
+) -> DataFrame:
+    """(day, line) of the daily mirror logs in the window."""
+    return mirror_lines_of(spark, mirror_files(spark, directory, as_of, days))
