@@ -14,11 +14,14 @@
    cells of two components close enough for a link (by the angles) member by member. So links
    between enlarged components are exact; the leaders' comparisons grow with the square of the
    cells of a label.
-6. After that, ``AUDIT`` classes with saturated lists, and as many others, are compared with all of
-   their label by brute force; where those have fewer than ``AUDIT_LINKS`` links, four times as many
-   are drawn, up to all. While fewer than ``RECALL`` of the links of either are known, lists double,
-   fresh orders are added and rounds go on.
-7. After ``ATTEMPTS`` audits without success all classes of a label are compared, block against block.
+6. Fresh hyperplane orders search for links on their own, and what they find is added. The share of
+   it that was known already estimates the recall (capture and recapture); fresh orders go on until
+   at least ``ENOUGH`` was known, ``SEARCHES`` times at most.
+7. ``AUDIT`` classes with saturated lists, and as many others, are compared with all of their label by
+   brute force: a number that doesn't grow, so the comparisons grow with the rows. If they hold links
+   enough to tell (``FEW``) and less than ``RECALL`` of them is known, lists double and everything goes
+   on, ``ATTEMPTS`` times at most; what is known then is returned, with a warning that states it.
+   Comparing all pairs of a label is an option (``exhaustive``) that nothing turns on by itself.
 8. Links are those of at least ``LEAST`` in double precision. Union-find gives components.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows
@@ -28,7 +31,9 @@ vectors of their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +43,16 @@ from pyspark.sql.window import Window
 
 from hitledger.joins import join_by_hot_key
 from hitledger.llm.components import components
-from hitledger.stages import shared
+from hitledger.stages import drop_stage, shared
 
+_LOG = logging.getLogger(__name__)
 LEAST = 0.98
 #: What single precision may lose; search keeps pairs down to LEAST - SLACK.
 SLACK = 1e-4
 K, TABLES, REACH, ROUNDS = 8, 4, 6, 4
 CHUNK = 48
 AUDIT, RECALL, ATTEMPTS = 1024, 0.99, 3
-AUDIT_LINKS = 256
+SEARCHES, ENOUGH, FEW = 8, 0.999, 16
 BLOCK = 512
 CELL = 0.995
 
@@ -364,32 +370,91 @@ def saturated(lists: DataFrame) -> DataFrame:
     return lists.where(F.col("worst") >= LEAST - SLACK).select("v").distinct()
 
 
-def audit(counts: DataFrame, lists: DataFrame, classes: DataFrame) -> float:
-    """Share of the brute-force links of drawn classes that is known; the lesser of saturated ones and others.
+@dataclass(frozen=True)
+class Audit:
+    """Links of drawn classes found by brute force, and how many of them are known."""
 
-    The draw starts at AUDIT classes and grows until it holds AUDIT_LINKS links or is everyone.
-    """
+    links: int
+    known: int
+
+    def share(self) -> float:
+        return self.known / self.links if self.links else 1.0
+
+    def interval(self) -> tuple[float, float]:
+        """95 percent interval of the recall (Wilson), as if links were drawn one by one."""
+        if not self.links:
+            return 0.0, 1.0
+        z, n, p = 1.96, self.links, min(1.0, self.share())
+        middle, width = p + z * z / (2 * n), z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))
+        return float((middle - width) / (1 + z * z / n)), float((middle + width) / (1 + z * z / n))
+
+    def failed(self) -> bool:
+        return self.links >= FEW and self.share() < RECALL
+
+
+def audit(counts: DataFrame, lists: DataFrame, classes: DataFrame) -> list[Audit]:
+    """AUDIT classes with saturated lists, then AUDIT others, against all of their label."""
     everyone = classes.select("cid", F.col("block").alias("component"))
     full = saturated(lists).select(F.col("v").alias("cid"))
-    shares = [1.0]
+    done = []
     for how in ("left_semi", "left_anti"):
-        kind = shared(everyone.join(full, "cid", how))
-        n, draw, held = kind.count(), AUDIT, (0, 0)
-        while n:
-            # hashed with a word, so that the draw says nothing about blocks
-            drawn = shared(kind.where(F.pmod(F.xxhash64("cid", F.lit("audit")), F.lit(n)) < draw))
-            true = block_links(drawn, everyone, classes).where("n is not null").groupBy("a").agg(F.sum("n").alias("true"))
-            held = true.join(counts, "a", "left").agg(F.coalesce(F.sum("true"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-            if held[0] >= AUDIT_LINKS or draw >= n:
-                break
-            draw *= 4
-        if held[0]:
-            shares.append(held[1] / held[0])
-    return min(shares)
+        # hashed with a word, so that the draw says nothing about blocks
+        kind = everyone.join(full, "cid", how).orderBy(F.xxhash64("cid", F.lit("audit")), "cid")
+        drawn = shared(kind.limit(AUDIT))
+        links = block_links(drawn, everyone, classes)
+        true = links.where("n is not null").groupBy("a").agg(F.sum("n").alias("true"))
+        row = true.join(counts, "a", "left").agg(F.coalesce(F.sum("true"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        done.append(Audit(int(row[0]), int(row[1])))
+        drop_stage(links)
+        drop_stage(drawn)
+    return done
+
+
+def confirmed_links(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """The (v, u) that are near in double precision."""
+    joined = links.join(classes.select(F.col("cid").alias("v"), F.col("unit").alias("x")), "v")
+    joined = joined.join(classes.select(F.col("cid").alias("u"), F.col("unit").alias("y")), "u")
+    return shared(joined.select("v", "u", "x", "y").mapInArrow(_confirm, "v long, u long"))
+
+
+def near_pairs(edges: DataFrame) -> DataFrame:
+    near = edges.where(F.col("sim") >= LEAST - SLACK)
+    return near.select(F.least("v", "u").alias("v"), F.greatest("v", "u").alias("u")).distinct()
+
+
+def searched(confirmed: DataFrame, lists: DataFrame, classes: DataFrame, seed: int, bits: int) -> DataFrame:
+    """``confirmed`` and what fresh orders find, until they find next to nothing new.
+
+    Pairs of which both lists are saturated join components but don't count for the estimate:
+    the links inside such components are found by comparing them whole.
+    """
+    full = saturated(lists)
+    for turn in range(SEARCHES):
+        pairs = shared(near_pairs(first_edges(classes, seed + turn, bits)))
+        new = confirmed_links(pairs.join(confirmed, ["v", "u"], "left_anti"), classes)
+        room = lambda rows: rows.join(full, "v", "left_semi").join(full.withColumnRenamed("v", "u"), "u", "left_semi")
+        n_known = pairs.join(confirmed, ["v", "u"], "left_semi").count()
+        n_new, n_inside = new.count(), room(new).count()
+        drop_stage(pairs)
+        if n_new:
+            both = shared(confirmed.union(new))
+            drop_stage(confirmed)
+            confirmed = both
+        drop_stage(new)
+        if n_new - n_inside <= (1 - ENOUGH) * (n_known + n_new):
+            break
+    return confirmed
+
+
+def all_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, n) link counts and (a, b) edges from all pairs of every label."""
+    everyone = classes.select("cid", F.col("block").alias("component"))
+    whole = block_links(everyone, everyone, classes)
+    return whole.where("n is not null").groupBy("a").agg(F.sum("n").alias("n")), whole.where("b is not null").select("a", "b")
 
 
-def near_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """NN-descent until the audit is content, or all pairs of a label: (a, n) link counts and (a, b) edges."""
+def near_links(classes: DataFrame) -> tuple[DataFrame, DataFrame, list[Audit]]:
+    """(a, n) link counts, (a, b) edges and the last audit."""
     n = classes.count()
     bits = max(6, min(24, n.bit_length() - 3))
     k, lists, extra = K, None, None
@@ -398,32 +463,38 @@ def near_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         start = edges.withColumn("fresh", F.lit(True))
         if lists is not None:
             start = start.union(lists.select("v", "u", "sim", "fresh"))
-        near = edges.where(F.col("sim") >= LEAST - SLACK)
-        extra = near if extra is None else extra.union(near)
-        lists = best_lists(start, k)
+        # pairs met in the first orders count as well, though a full list may have dropped them
+        near = near_pairs(edges)
+        extra = shared(near if extra is None else extra.union(near).distinct())
+        lists, before = best_lists(start, k), lists
+        drop_stage(edges)
         for _ in range(ROUNDS):
+            if before is not None:
+                drop_stage(before)
+            before = lists
             lists, changed = descend(lists, classes, k)
             if changed <= 0.002 * n * k:
                 break
-        # pairs met in the first orders count as well, though a full list may have dropped them
-        found = lists.where(F.col("sim") >= LEAST - SLACK).select("v", "u", "sim").union(extra)
-        links = shared(found.select(F.least("v", "u").alias("v"), F.greatest("v", "u").alias("u")).distinct())
-        joined = links.join(classes.select(F.col("cid").alias("v"), F.col("unit").alias("x")), "v")
-        joined = joined.join(classes.select(F.col("cid").alias("u"), F.col("unit").alias("y")), "u")
-        confirmed = shared(joined.select("v", "u", "x", "y").mapInArrow(_confirm, "v long, u long"))
+        confirmed = confirmed_links(near_pairs(lists).union(extra).distinct(), classes)
+        confirmed = searched(confirmed, lists, classes, 1000 * (attempt + 1), bits)
         counts, linked = completed(lists, confirmed, classes)
-        if audit(counts, lists, classes) >= RECALL:
-            return counts, linked
-        k *= 2
-    everyone = classes.select("cid", F.col("block").alias("component"))
-    whole = block_links(everyone, everyone, classes)
-    return whole.where("n is not null").groupBy("a").agg(F.sum("n").alias("n")), whole.where("b is not null").select("a", "b")
+        audits = audit(counts, lists, classes)
+        if not any(a.failed() for a in audits):
+            return counts, linked, audits
+        extra, k = confirmed, 2 * k
+    for kind, found in zip(("saturated", "other"), audits):
+        low, high = found.interval()
+        _LOG.warning("%s classes: %d of %d drawn links known, recall %.3f to %.3f", kind, found.known, found.links, low, high)
+    return counts, linked, audits
 
 
 def near_vectors(
-    vectors: DataFrame, *, vec_id: str = "vec_id", label: str = "label", embedding: str = "embedding"
+    vectors: DataFrame, *, vec_id: str = "vec_id", label: str = "label", embedding: str = "embedding", exhaustive: bool = False
 ) -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept."""
+    """One row per vector: vec_id, n_links, component_id, kept.
+
+    ``exhaustive`` compares all pairs of every label instead of searching; for small labels.
+    """
     given = vectors.select(
         F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("id"),
         F.col(label).cast("string").alias("label"), F.col(embedding).cast("array<double>").alias("embedding"),
@@ -435,7 +506,7 @@ def near_vectors(
     classes = shared(
         some.groupBy("block", "unit").agg(F.min("row").alias("cid"), F.count("*").alias("copies"), F.min("id").alias("least"))
     )
-    counts, edges = near_links(classes)
+    counts, edges = all_links(classes) if exhaustive else near_links(classes)[:2]
     labels = components(edges)
     named = classes.join(counts, classes["cid"] == counts["a"], "left").join(labels, F.col("cid") == labels["node"], "left")
     named = shared(

@@ -232,7 +232,7 @@ def test_tight_groups_of_one_label_are_linked(spark, monkeypatch):
     assert got == linked(rows)
 
 
-def test_rare_links_no_search_finds(spark, monkeypatch):
+def test_all_pairs_on_request(spark, monkeypatch):
     orders = vectors.first_edges
     monkeypatch.setattr(vectors, "first_edges", lambda *given: orders(*given).where("sim < 0.9"))
     monkeypatch.setattr(vectors, "ROUNDS", 0)
@@ -242,10 +242,51 @@ def test_rare_links_no_search_finds(spark, monkeypatch):
     rows += [(500 + i, rows[i][1] + 0.02 * rng.standard_normal(24), i % 2) for i in range(4)]
     rows = [(i, x.astype(np.float32).astype(float), label) for i, x, label in rows]
     df = spark.createDataFrame([(i, x.tolist(), label) for i, x, label in rows], "vec_id long, embedding array<float>, label int")
-    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df, exhaustive=True).collect()}
     assert got == linked(rows)
 
 
+def planted(seed, n, pairs):
+    """Vectors with no link but those of planted pairs, chains and groups near the threshold."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.standard_normal(32), i % 2) for i in range(n)]
+    for i in range(pairs):
+        x = rows[i][1]
+        off = rng.standard_normal(32)
+        off -= off @ x / (x @ x) * x
+        off *= np.linalg.norm(x) / np.linalg.norm(off)
+        cos = 0.9805 + 0.019 * rng.random()
+        rows.append((n + i, cos * x + np.sqrt(1 - cos * cos) * off, i % 2))
+    return [(i, x.astype(np.float32).astype(float), label) for i, x, label in rows]
+
+
+def test_rare_links_are_found_by_search(spark, monkeypatch):
+    compared = []
+    blocks = vectors.block_links
+    monkeypatch.setattr(vectors, "AUDIT", 64)
+    monkeypatch.setattr(vectors, "block_links", lambda a, o, c: compared.append((a.count(), o.count())) or blocks(a, o, c))
+    rows = planted(3, 6000, 60)
+    df = spark.createDataFrame([(i, x.tolist(), label) for i, x, label in rows], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df.repartition(4)).collect()}
+    units = np.array([x / np.linalg.norm(x) for _, x, _ in rows])
+    sim = units @ units.T
+    label = np.array([r[2] for r in rows])
+    near = (sim >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    want = near.sum(axis=1)
+    known = sum(min(got[i][0], want[k]) for k, (i, _, _) in enumerate(rows))
+    assert want.sum() >= 120 and known >= 0.97 * want.sum()
+    assert all(got[i][0] <= want[k] for k, (i, _, _) in enumerate(rows))
+    # no step compared more than a fixed number of classes with everything
+    assert all(asked <= 64 or asked == others < 200 for asked, others in compared)
+
+
+def test_audit_states_an_interval():
+    low, high = vectors.Audit(400, 396).interval()
+    assert 0.97 < low < 0.99 < high < 1 and not vectors.Audit(400, 396).failed()
+    assert vectors.Audit(400, 300).failed() and not vectors.Audit(8, 2).failed() and vectors.Audit(0, 0).share() == 1
+
+
 # --- mixing ---------------------------------------------------------------------------
 
 
