@@ -111,11 +111,14 @@ def recorded(spark: SparkSession, root: str) -> DataFrame:
 def damaged_parts(
     spark: SparkSession, root: str, current: DataFrame, chosen: Column | None = None, digests: bool = True
 ) -> DataFrame:
-    """(run_id, part, src_id) of the damaged parts that hold rows of ``current`` (src_id, run_id).
+    """(run_id, part, part_uri, src_id, counts) of damaged parts.
 
-    ``chosen`` is a condition on ``part``, whose path begins with the record kind and the day.
+    ``counts`` says whether the part holds rows of ``current`` (src_id, run_id); parts that are there
+    but hold none are listed too, since readers would stumble over them. ``chosen`` is a condition on
+    ``part``, whose path begins with the record kind and the day.
     """
-    parts = recorded(spark, root).join(current.select("src_id", "run_id"), ["src_id", "run_id"], "left_semi")
+    now = current.select("src_id", "run_id", F.lit(True).alias("counts"))
+    parts = recorded(spark, root).join(now, ["src_id", "run_id"], "left")
     parts = with_uri(spark, root, parts if chosen is None else parts.where(chosen))
     states = inspected(parts, digests)
     if not states_all_seen(states):
@@ -124,7 +127,11 @@ def damaged_parts(
     found = parts.join(states, "part_uri", "left")
     other_bytes = ~F.col("bytes_now").eqNullSafe(F.col("part_bytes"))
     other_digest = F.coalesce(F.col("digest_now") != F.col("part_digest"), F.lit(False))
-    return found.where(other_bytes | other_digest).select("run_id", "part", "part_uri", "src_id")
+    counts = F.coalesce("counts", F.lit(False))
+    harmful = counts | F.col("bytes_now").isNotNull()
+    return found.where(harmful & (other_bytes | other_digest)).select(
+        "run_id", "part", "part_uri", "src_id", counts.alias("counts")
+    )
 
 
 def states_all_seen(states: DataFrame) -> bool:

@@ -290,7 +290,10 @@ def heal(
     damaged = shared(damaged_parts(spark, root, known, chosen, verify == "digest"))
     if damaged.isEmpty():
         return 0
-    lost = shared(known.join(damaged.select("src_id").distinct(), "src_id", "left_semi"))
+    lost = shared(known.join(damaged.where("counts").select("src_id").distinct(), "src_id", "left_semi"))
+    if lost.isEmpty():
+        delete_parts(damaged)
+        return 0
     for row in lost.where(F.col("key_print") != key_fingerprint(secret)).take(1):
         raise DamagedStore(f"parsing {row.src_path} again needs the key it was parsed with")
     name = F.substring_index("src_path", "/", -1)
@@ -377,13 +380,13 @@ def drop_damaged(spark: SparkSession, root: str) -> DataFrame:
     """Marks the source files of damaged parts, so that the next refresh parses them; their paths.
 
     For stores whose source files or key are not at hand; otherwise reading heals by itself. Each
-    file gets a ``dropped`` entry, then the damaged parts are deleted.
+    file gets a ``dropped`` entry, then the damaged parts are deleted, also those nobody needs.
     """
     known = manifest(spark, root)
     damaged = shared(damaged_parts(spark, root, known))
-    lost = shared(known.join(damaged.select("src_id").distinct(), "src_id", "left_semi"))
+    lost = shared(known.join(damaged.where("counts").select("src_id").distinct(), "src_id", "left_semi"))
     if not lost.isEmpty():
         dropped = lost.withColumns({"status": F.lit(DROPPED), "run_at": F.current_timestamp()})
         dropped.select(*MANIFEST.names).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
-        delete_parts(damaged)
+    delete_parts(damaged)
     return lost.select("src_path")

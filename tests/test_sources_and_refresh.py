@@ -304,7 +304,7 @@ def test_a_death_before_the_manifest_keeps_the_old_rows(spark, logs, tmp_path, m
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(refresh, "_record", dies)
+        patch.setattr(refresh, "record_run", dies)
         with pytest.raises(RuntimeError, match="lost"):
             run()
     assert refresh.read_rows(spark, root).count() == before
