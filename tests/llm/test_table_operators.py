@@ -79,6 +79,40 @@ def test_copies_lose_all_but_the_first(spark):
     assert got[7] == text and all(len(got[i].split("\n")) <= 2 for i in (8, 9))
 
 
+@pytest.mark.parametrize("size", [2, 3, 4, 6])
+def test_passages_of_any_lines_go_whole_from_any_place(spark, size):
+    random.seed(size)
+    line = lambda n: " ".join(f"w{random.randint(0, 10**9)}" for _ in range(n))
+    texts, clean = {}, {}
+    for i in range(40):
+        passage = [line(12) for _ in range(size)]
+        if i % 3 == 0:
+            passage[1:1] = ["", "  "]  # lines without words don't part it
+        for d in (2 * i, 2 * i + 1):
+            own = [line(7) for _ in range(6)]
+            at = random.randint(0, 6)
+            texts[d] = "\n".join([*own[:at], *passage, *own[at:]])
+            clean[d] = "\n".join(own) if i % 3 else None
+    for d in range(100, 140):
+        texts[d] = "\n".join(line(9) for _ in range(8))
+    got = cleaned(spark, texts)
+    assert all(got[d] == texts[d] for d in (*range(0, 80, 2), *range(100, 140)))
+    for d in range(1, 80, 2):
+        rest = "\n".join(x for x in got[d].split("\n") if x.strip()) if clean[d] is None else got[d]
+        assert len(rest.split("\n")) == 6 and not set(rest.split("\n")) & set(texts[d - 1].split("\n"))
+
+
+def test_every_line_stays_somewhere(spark):
+    random.seed(11)
+    lines = [f"line {i}" for i in range(12)]
+    texts = {d: "\n".join(random.choices(lines, k=random.randint(1, 9))) for d in range(60)}
+    got = cleaned(spark, texts)
+    left = {x for t in got.values() for x in t.split("\n")}
+    assert {x for t in texts.values() for x in t.split("\n")} <= left
+    windows = lambda t: set(zip(t.split("\n"), t.split("\n")[1:]))
+    assert all(windows(texts[d]) & set().union(*(windows(texts[e]) for e in range(d))) for d in texts if got[d] != texts[d] and len(windows(texts[d])) == len(texts[d].split("\n")) - 1)
+
+
 # --- quality --------------------------------------------------------------------------
 
 
