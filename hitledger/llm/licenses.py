@@ -12,7 +12,9 @@ Retrieved templates are verified with whole shingle keys: the share of the templ
 within its own length, plus a quarter, of some place near the window must be ``LEAST`` or more.
 
 Templates are a parameter, broadcast with the code; their number is a property of the library, not of
-the data. Each text is read whole, in the task that holds it; there is no shuffle.
+the data. The library holds usual notices and whole licence texts (``license_texts``); notices
+that share most of their words, as those of GPL and AGPL do, are both found, the closer one with the
+higher containment. Rows too short for a template leave before its windows are made. Each text is read whole, in the task that holds it; there is no shuffle.
 
 Defined results: null and empty texts, and texts of fewer than five words, match nothing (shorter
 templates are refused); repeated rows give equal matches each; of several places, the one with the
@@ -22,6 +24,7 @@ highest containment counts, the first among equals; an empty table gives an empt
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ SHINGLE, BANDS, LEAST = 5, 32, 0.8
 SIEVE = 16
 
 # Notices by which texts state their licence.
-NOTICES = {
+_SHORT = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
         "Unless required by applicable law or agreed to in writing, software distributed under the License is "
@@ -59,6 +62,18 @@ NOTICES = {
 }
 
 
+def _library() -> dict[str, str]:
+    """The short notices above, those of ``notices.tsv`` and the whole texts beside it, by name."""
+    folder = resources.files(__package__) / "license_texts"
+    rows = (folder / "notices.tsv").read_text("utf-8").splitlines()
+    notices = dict(row.split("\t", 1) for row in rows)
+    texts = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in folder.iterdir() if f.name.endswith(".txt")}
+    return {**_SHORT, **notices, **dict(sorted(texts.items()))}
+
+
+NOTICES = _library()
+
+
 def hash_seeds(bands: int = BANDS) -> np.ndarray:
     return tk.mixed(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -95,30 +110,50 @@ class Templates:
     def retrieve(self, offsets: np.ndarray, keys: np.ndarray) -> set[tuple[int, int, int]]:
         """(row, first shingle of the window, template) of all windows that share a band."""
         found: set[tuple[int, int, int]] = set()
-        counts, most = np.diff(offsets), max(self.minima)
-        # behind every row stands what no window's minimum can be, so windows end with their row
-        begins = offsets[:-1] + np.arange(len(counts)) * (most - 1)
-        places = np.arange(len(keys)) + np.repeat(begins - offsets[:-1], counts)
-        hashes = np.full(len(keys) + len(counts) * (most - 1), 0xFFFFFFFF, np.uint32)
+        levels = self._levels(offsets)
         for b, seed in enumerate(self.seeds):
-            hashes[places] = band_hashes(keys, seed)
-            least, width = hashes, 1
-            while True:
+            least, width = band_hashes(keys, seed), 1
+            for rows, own, taken, inside in levels:
+                if taken is not None:
+                    least = least[taken]
                 if width in self.minima:
                     sieve, table = self.sieves[width][b], self.minima[width][b]
                     for at in np.flatnonzero(sieve[least & np.uint32((1 << SIEVE) - 1)]).tolist():
                         for t in table.get(int(least[at]), ()):
-                            row = int(np.searchsorted(begins, at, "right")) - 1
-                            place, last = at - int(begins[row]), max(0, int(counts[row]) - width)
+                            row = int(np.searchsorted(own, at, "right")) - 1
+                            place, last = at - int(own[row]), max(0, int(own[row + 1] - own[row]) - width)
                             if place == last or place < last and place % max(1, width // 4) == 0:
-                                found.add((row, place, t))
-                if width >= most:
+                                found.add((int(rows[row]), place, t))
+                if inside is None:
                     break
+                # windows end with their row: the other half counts where it begins before that
                 wider = least.copy()
-                np.minimum(least[:-width], least[width:], out=wider[:-width])
+                np.minimum(least[:-width], least[width:], out=wider[:-width], where=inside)
                 least, width = wider, 2 * width
         return found
 
+    def _levels(self, offsets: np.ndarray) -> list[tuple]:
+        """For widths 1, 2, 4 and so on: (rows, their offsets, shingles taken from the level before or
+        None, where the next width has a second half or None at the end).
+
+        A row with fewer than two fifths of a width's shingles has less than four fifths of any
+        template of that width or beyond, and leaves.
+        """
+        rows, levels, width, most = np.arange(len(offsets) - 1), [], 1, max(self.minima)
+        while True:
+            counts, taken = np.diff(offsets), None
+            stays = 5 * counts >= 2 * width
+            if not stays.all():
+                taken = np.flatnonzero(np.repeat(stays, counts))
+                rows, counts = rows[stays], counts[stays]
+                offsets = np.concatenate([[0], np.cumsum(counts)])
+            if width >= most or not len(rows):
+                levels.append((rows, offsets, taken, None))
+                return levels
+            left = np.repeat(offsets[1:], counts) - np.arange(offsets[-1])
+            levels.append((rows, offsets, taken, left[:-width] > width))
+            width *= 2
+
     def verify(self, own: np.ndarray, place: int, t: int) -> tuple[float, int, int] | None:
         """(containment, first word, word behind) of template t near a window of one row."""
         wanted, reach = self.shingles[t], len(self.shingles[t]) + len(self.shingles[t]) // 4

@@ -207,6 +207,46 @@ def test_changed_notices_need_four_fifths():
     assert found_licenses("MIT License and Apache License, Version 3") == {}
 
 
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        ("This project is licensed under the MIT license - see LICENSE.", "MIT notice"),
+        ("# SPDX-License-Identifier: GPL-2.0-or-later\nimport os", "GPL-2.0-or-later SPDX"),
+        ("/* SPDX-License-Identifier: Apache-2.0 */ int main", "Apache-2.0 SPDX"),
+        ("Text is available under the Creative Commons Attribution-ShareAlike License; terms may apply.", "CC-BY-SA notice"),
+        ("The code is licensed under the ISC License.", "ISC notice"),
+        ("This is free and unencumbered software released into the public domain. Enjoy.", "Unlicense notice"),
+        ("Our server is licensed under the GNU Affero General Public License, have fun", "AGPL notice: licensed"),
+        ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+         "Public License as published by the Free Software Foundation; either version 2.1 of the License", "LGPL notice"),
+        ("Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "BSD notice: style"),
+        ("All photos are licensed under CC BY-SA 4.0 unless noted", "CC-BY-SA-4.0 notice"),
+    ],
+)
+def test_usual_wordings(text, name):
+    assert name in found_licenses(text) and name in found_licenses("filler " * 300 + text + " filler" * 300)
+
+
+def test_versions_and_kinds_are_told_apart():
+    assert not any(n.startswith("GPL-2") for n in found_licenses("This work is licensed under the GNU General Public License, version 3."))
+    assert not any(n.startswith("GPL-3.0 notice") for n in found_licenses("under the GNU General Public License version 2 as published"))
+    assert "LGPL notice: licensed" not in found_licenses("licensed under the GNU General Public License, version 3")
+    assert set(found_licenses("A clean text about licenses, the public domain and free software in general.")) == set()
+
+
+def test_whole_texts_are_found_among_others_and_with_changes():
+    random.seed(6)
+    filler = [f"w{i}" for i in range(500)]
+    for name in [n for n in licenses.NOTICES if n.endswith(" text")]:
+        own = licenses.NOTICES[name].split()
+        changed = [f"x{k}" if k % 60 == 30 else w for k, w in enumerate(own)]
+        text = " ".join([*random.choices(filler, k=137), *changed, *random.choices(filler, k=50)])
+        match = found_licenses(text)[name]
+        assert 0.8 <= match["containment"] < 1 and abs(match["first_word"] - 137) < 6
+        # half of a licence is not the licence
+        assert name not in found_licenses(" ".join(own[: len(own) // 2]))
+
+
 def test_licenses_of_all_documents(spark, documents):
     got = {(r.doc_id, r.license) for r in licenses.op4_license_scan(spark, SF_DIR).collect()}
     rule = lambda t: "".join(c if c.isalnum() or ord(c) > 127 else " " for c in t or "")
