@@ -58,19 +58,6 @@ IPV4 = (
     r"((25[0-5]|(2[0-4]|1{0,1}[0-9]){0,1}[0-9])\.){3,3}"
     r"(25[0-5]|(2[0-4]|1{0,1}[0-9]){0,1}[0-9])"
 )
-IPV6 = (
-    r"(([0-9a-fA-F]{1,4}:){7,7}[0-9a-fA-F]{1,4}"
-    r"|([0-9a-fA-F]{1,4}:){1,7}:"
-    r"|([0-9a-fA-F]{1,4}:){1,6}:[0-9a-fA-F]{1,4}"
-    r"|([0-9a-fA-F]{1,4}:){1,5}(:[0-9a-fA-F]{1,4}){1,2}"
-    r"|([0-9a-fA-F]{1,4}:){1,4}(:[0-9a-fA-F]{1,4}){1,3}"
-    r"|([0-9a-fA-F]{1,4}:){1,3}(:[0-9a-fA-F]{1,4}){1,4}"
-    r"|([0-9a-fA-F]{1,4}:){1,2}(:[0-9a-fA-F]{1,4}){1,5}"
-    r"|[0-9a-fA-F]{1,4}:((:[0-9a-fA-F]{1,4}){1,6})"
-    r"|:((:[0-9a-fA-F]{1,4}){1,7}|:)"
-    r"|fe80:(:[0-9a-fA-F]{0,4}){0,4}%[0-9a-zA-Z]{1,}"
-    r"|::(ffff(:0{1,4}){0,1}:){0,1}" + IPV4 + r"|([0-9a-fA-F]{1,4}:){1,4}:" + IPV4 + ")"
-)
 LOCAL_TIME_IN_TEXT = r"\d\d/\w\w\w/\d\d\d\d:\d\d:\d\d:\d\d"
 ISO_TIME_IN_TEXT = r"\d\d\d\d-\d\d-\d\dT\d\d:\d\d:\d\d"
 MASKED_FROM = "2020-09-01 00:00:00"

@@ -80,8 +80,11 @@ def _maybe_ipv6(text: str) -> object:
     return "::" in text or "fe80:" in text or _SEVEN_GROUPS.search(text)
 
 
-# The address pattern may stop at a double colon; a match reaches to the end of the address.
-_WHOLE_IPV6 = rf"(?:{P.IPV6})[0-9a-fA-F:]*(?:\.[0-9]+){{0,3}}"
+# Eight groups, or fewer around a double colon; then whatever else belongs to an address: more groups,
+# or the other three numbers of an IPv4 tail. A link-local address may consist of its zone.
+_GROUP = "[0-9a-fA-F]{1,4}"
+_SOME = f"{_GROUP}(?::{_GROUP}){{0,6}}"
+_WHOLE_IPV6 = rf"(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:{_SOME})?::(?:{_SOME})?)[0-9a-fA-F:]*(?:\.[0-9]+){{0,3}}|fe80:%[0-9a-zA-Z]+"
 
 HASHES = Kind("hash", P.HASH, fake_hash, lambda text: len(text) >= 40)
 IPV4 = Kind("ipv4", P.IPV4, fake_ipv4, lambda text: text.count(".") >= 3)
