@@ -8,7 +8,7 @@ candidates are softsigns, x / (1 + |x|), which numpy computes several times fast
 
 The network is trained here, in numpy, by backpropagation through time with Adam, on a bounded
 sample: of each language, for each of ``SAMPLE`` hash buckets the document with the smallest hash,
-``PIECES`` windows of it at most. Training is seeded, so reruns agree.
+``PIECES`` windows at most, spread over its whole text. Training is seeded, so reruns agree.
 
 Defined results: null text and text without a letter get ``und`` and score 0; so does everything if
 there is no labelled row; repeated rows get equal results; texts of any length are read whole; an
@@ -278,22 +278,29 @@ def training_sample(labelled: DataFrame, lang: str, text: str, sample: int = SAM
     return hashed.select("lang", "text", "hash").join(F.broadcast(least), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
 
 
+def spread_windows(text: Column, pieces: int = PIECES) -> Column:
+    """At most ``pieces`` of a text's windows of WINDOW bytes, evenly spread over all of it."""
+    data = text.cast("binary")
+    last = F.ceil(F.octet_length(data) / WINDOW) - 1
+    numbers = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: F.floor(k * last / (pieces - 1)))
+    return F.transform(F.array_distinct(numbers), lambda n: F.substring(data, (n * WINDOW + 1).cast("int"), F.lit(WINDOW)))
+
+
 def fit(labelled: DataFrame, *, lang: str = "lang", text: str = "text") -> Network:
     """Trains on the bounded sample of labelled rows."""
-    # of a very long text the sample takes 64 Ki characters, so that its size is bounded
     sample = training_sample(labelled, lang, text)
-    rows = sample.select("lang", "hash", F.substring("text", 1, 1 << 16).alias("text")).orderBy("lang", "hash").collect()
+    rows = sample.select("lang", "hash", spread_windows(F.col("text")).alias("windows")).orderBy("lang", "hash").collect()
     languages = sorted({r["lang"] for r in rows})
     network = new_network(languages)
     if not languages:
         return network
     pieces, labels = [], []
     for r in rows:
-        data = np.frombuffer(r["text"].encode(), np.uint8)
-        codes, _ = windows_of(data, np.array([0, len(data)]))
-        chosen = np.unique(np.linspace(0, len(codes) - 1, PIECES).astype(int))
-        pieces.append(codes[chosen])
-        labels += [languages.index(r["lang"])] * len(chosen)
+        for window in r["windows"]:
+            codes = np.full(WINDOW, PAD, np.int16)
+            codes[: len(window)] = np.frombuffer(bytes(window), np.uint8)
+            pieces.append(codes[None])
+            labels.append(languages.index(r["lang"]))
     return train(network, np.concatenate(pieces), np.array(labels))
 
 
