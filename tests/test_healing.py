@@ -157,3 +157,23 @@ def test_a_repeated_batch_counts_once(spark, tmp_path):
     assert refresh.read_rows(spark, root, secret=b"k").count() == len(GOOD)
     assert len(refresh.remove_superseded(spark, root)) == 1
     assert refresh.read_rows(spark, root, secret=b"k").count() == len(GOOD)
+
+
+def test_lists_of_a_run_are_joined_by_many_tasks(spark, store, monkeypatch):
+    """One task writes each list, but no join or aggregate runs in that task."""
+    logs, root = store
+    put(logs, name_of("kr", 20240112), GOOD[:2])
+    plans, frame = [], type(spark.range(1))
+    write = frame.write
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write.fget(df)
+
+    monkeypatch.setattr(frame, "write", property(watched))
+    assert refresh.refresh(spark, root, str(logs), F.lit(True), b"k") == 1
+    monkeypatch.undo()
+    assert sum(p.startswith("Repartition 1, true") for p in plans) == 2
+    assert not any("Repartition 1, false" in p for p in plans)
+    for kind in ("parts", "manifest"):
+        assert len(list(pathlib.Path(root, kind).glob("*.parquet"))) == 2
