@@ -137,3 +137,15 @@ def test_nothing_to_read(spark, tmp_path):
     files = listed(spark, tmp_path)
     assert ranges.lines_by_range(files, 1000) is None and textscan.lines_of_files(spark, files) is None
     assert pathlib.Path(tmp_path, "empty.gz").exists()
+
+
+def test_tasks_are_counted_by_text(spark, tmp_path):
+    """Compressed files become as many tasks as their text would fill."""
+    lines, data = text(5, 400)
+    for k in range(24):
+        (tmp_path / f"{k}.gz").write_bytes(gzip.compress(data))
+    files, size = listed(spark, tmp_path), len(gzip.compress(data))
+    got = ranges.lines_by_range(files, 1 << 30, 1 << 20, 8 * size)
+    assert got.count() == 24 * len(lines)
+    assert got.rdd.getNumPartitions() == 24
+    assert ranges.lines_by_range(files, 1 << 30, 1 << 20, 1 << 30).rdd.getNumPartitions() == 4
