@@ -149,3 +149,19 @@ def test_tasks_are_counted_by_text(spark, tmp_path):
     assert got.count() == 24 * len(lines)
     assert got.rdd.getNumPartitions() == 24
     assert ranges.lines_by_range(files, 1 << 30, 1 << 20, 1 << 30).rdd.getNumPartitions() == 4
+
+
+def test_broken_members_are_found_in_any_range(spark, tmp_path):
+    _, data = text(6, 500)
+    for codec in ("gzip", "zstd", "bzip2"):
+        whole = members(codec, data, 9000)
+        (tmp_path / f"{codec}-whole").write_bytes(whole + (b"\0" * 600 if codec == "gzip" else b""))
+        (tmp_path / f"{codec}-cut").write_bytes(whole[:-9])
+    (tmp_path / "one-whole").write_bytes(gzip.compress(data))
+    (tmp_path / "one-cut").write_bytes(gzip.compress(data)[:-9])
+    (tmp_path / "garbage").write_bytes(gzip.compress(data) + b"more")
+    (tmp_path / "plain").write_bytes(data)
+    files = listed(spark, tmp_path)
+    for heavy, split in ((1 << 30, 1 << 20), (1000, 2000)):
+        found = ranges.broken_files(files, heavy, split).collect()
+        assert sorted(r.src_path.rsplit("/", 1)[1] for r in found) == ["bzip2-cut", "garbage", "gzip-cut", "one-cut", "zstd-cut"]

@@ -477,3 +477,13 @@ def test_recent_rows_follow_the_file_predicate(spark, logs, tmp_path):
             as_of = AS_OF.replace(hour=0) + timedelta(hours=hours)
             want = rows.where(is_recent(F.col("src_file"), days, as_of)).count()
             assert refresh.read_recent(spark, store, as_of, days).count() == want
+
+
+def test_cut_off_files_are_found_before_anything_is_parsed(spark, logs, tmp_path, monkeypatch):
+    broken = put(logs, name_of("bad", 20240112), LINES * 50)
+    broken.write_bytes(broken.read_bytes()[:-20])
+    root, runs, store_lines = str(tmp_path / "store"), [], refresh.store_lines
+    monkeypatch.setattr(refresh, "store_lines", lambda *given: runs.append(given) or store_lines(*given))
+    assert refresh.refresh(spark, root, str(logs), selected(spark, logs)) == 3
+    assert len(runs) == 1
+    assert [r.src_path.rsplit("/", 1)[1] for r in refresh.unreadable_files(spark, root).collect()] == [broken.name]
